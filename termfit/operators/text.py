@@ -32,24 +32,18 @@ def document_term_frequency(
     ``term_frequency(terms, by)`` this needs no shuffle.
     """
     ordered = docs.select(*keep, F.sort_array(term_array(F.col(text))).alias("_terms"))
-    starts = ordered.where(F.size("_terms") > 0).select(
+    # positions where a run starts; NULL, so no rows, for a document without terms
+    first = "filter(sequence(1, size(_terms) - 1), i -> _terms[i] <> _terms[i - 1])"
+    starts = ordered.select(
         *keep,
         "_terms",
-        F.filter(
-            F.sequence(F.lit(0), F.size("_terms") - 1),
-            lambda i: (i == 0) | (F.col("_terms")[i] != F.col("_terms")[F.greatest(i - 1, F.lit(0))]),
+        F.expr(
+            "CASE WHEN size(_terms) = 1 THEN array(0) "
+            f"WHEN size(_terms) > 1 THEN array_prepend({first}, 0) END"
         ).alias("_starts"),
     )
-    runs = F.transform("_starts", _run(F.col("_terms"), F.col("_starts")))
-    return starts.select(*keep, F.inline(runs))
-
-
-def _run(ordered: Column, starts: Column):
-    def run(start: Column, n: Column) -> Column:
-        end = F.coalesce(F.get(starts, n + 1), F.size(ordered))
-        return F.struct(ordered[start].alias("term"), (end - start).cast("bigint").alias("tf"))
-
-    return run
+    run = "struct(_terms[s] AS term, CAST(coalesce(get(_starts, n + 1), size(_terms)) - s AS BIGINT) AS tf)"
+    return starts.select(*keep, F.expr(f"inline(transform(_starts, (s, n) -> {run}))"))
 
 
 def top_terms(scores: DataFrame, k: int = 20, value: str | None = None) -> DataFrame:

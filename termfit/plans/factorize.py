@@ -63,26 +63,25 @@ class _Ratings:
     def __init__(self, ratings: DataFrame, small_users: bool, small_items: bool, partitions: int | None):
         self.small = {"user_id": small_users, "item_id": small_items}
         self.hot: dict[str, DataFrame] = {}
-        columns = ["user_id", "item_id", "rating"]
-        table = ratings.select(*columns)
         large = [key for key in self.small if not self.small[key]]
-        if large:
-            table = table.groupBy(*columns).agg(F.count(F.lit(1)).alias("weight"))
-            table = table.persist(StorageLevel.MEMORY_AND_DISK)
-            merged = table
-            for key in large:
-                counts = merged.groupBy(key).count()
-                self.hot[key] = durable(hot_keys(counts, key))
-                table = add_salt(table, key, self.hot[key], self._salt(key), by=columns)
-            layout = [large[0], self._salt(large[0])]
-            table = table.repartition(*([partitions] if partitions else []), *layout)
-            table = table.sortWithinPartitions(*layout)
-        elif partitions:
-            table = table.repartition(partitions)
-        self.table = table.persist(StorageLevel.MEMORY_AND_DISK)
-        if large:
-            # plans know the partitioning and order of a cached table once it is filled
-            self.table.count()
+        if not large:
+            table = ratings.repartition(partitions) if partitions else ratings
+            self.table = table.persist(StorageLevel.MEMORY_AND_DISK)
+            return
+        columns = ["user_id", "item_id", "rating"]
+        merged = ratings.groupBy(*columns).agg(F.count(F.lit(1)).alias("weight"))
+        merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
+        table = merged
+        for key in large:
+            counts = merged.groupBy(key).count()
+            self.hot[key] = durable(hot_keys(counts, key))
+            table = add_salt(table, key, self.hot[key], self._salt(key), by=columns)
+        layout = [large[0], self._salt(large[0])]
+        table = table.repartition(*([partitions] if partitions else []), *layout)
+        self.table = table.sortWithinPartitions(*layout).persist(StorageLevel.MEMORY_AND_DISK)
+        # plans know the partitioning and order of a cached table once it is filled
+        self.table.count()
+        merged.unpersist()
 
     @staticmethod
     def _salt(key: str) -> str:
@@ -142,7 +141,11 @@ def factorize(
     row_bytes = 64 + 8 * d
     small = [fits_broadcast(n, row_bytes) for n in (n_users, n_items)]
     train = _Ratings(source, *small, num_partitions)
-    held_out = None if test is None else _Ratings(test, *small, num_partitions)
+    held_out = None
+    if test is not None:
+        held_out = _Ratings(test.select("user_id", "item_id", "rating"), *small, num_partitions)
+    if train.table is not source:
+        source.unpersist()
 
     start = time.time()
     rows = []
@@ -168,7 +171,6 @@ def factorize(
     for table in (train, held_out):
         if table is not None:
             table.release()
-    source.unpersist()
     return FactorModel(
         profiles.where(F.col("side") == USER).select("id", "factors"),
         profiles.where(F.col("side") == ITEM).select("id", "factors"),
@@ -198,6 +200,7 @@ def cross_validate(folded: DataFrame, folds: int, **options) -> DataFrame:
     both training and test set. The cross-validation error is the mean of ``rmse``.
     """
     spark = folded.sparkSession
+    folded = folded.where(F.col("fold").between(0, folds - 1))
     folded = folded.select("user_id", "item_id", "rating", "fold").persist(StorageLevel.MEMORY_AND_DISK)
     sizes = {row["fold"]: row["count"] for row in folded.groupBy("fold").count().collect()}
     rows = []

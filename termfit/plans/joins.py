@@ -70,12 +70,12 @@ def salted_join(
     ``how="left"`` needs a right side without hot keys, because a copied left row
     would be reported once per copy.
     """
+    if hot_right is not None and how != "inner":
+        raise ValueError("only inner joins may split both sides")
     left = add_salt(left, key, hot_left, "_salt", by=left_by)
     right = copy_per_salt(right, key, hot_left, "_salt")
     on = [key, "_salt"]
     if hot_right is not None:
-        if how != "inner":
-            raise ValueError("only inner joins may split both sides")
         right = add_salt(right, key, hot_right, "_salt2", by=right_by)
         left = copy_per_salt(left, key, hot_right, "_salt2")
         on.append("_salt2")

@@ -13,6 +13,7 @@ _NAME = r"""(?:[uU]?'(.*)'|[uU]?"(.*)"|(.*?))"""
 _NUMBER = r"(?:np\.float64\()?([-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?)L?\)?"
 PAIR_LINE = rf"^\s*\(\s*{_NAME}\s*,\s*{_NUMBER}\s*\)\s*$"
 POINT_LINE = r"^\s*\(\s*(\{.*\})\s*,\s*([+-]?1)(?:\.0*)?\s*\)\s*$"
+SPLIT_BYTES = 128 * 1024 * 1024
 RATING_SCHEMA = "user_id BIGINT, item_id BIGINT, rating DOUBLE"
 
 
@@ -38,28 +39,21 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, text): one row per file, named by its path; empty files count too.
 
-    Spark's file scan skips zero-byte files, so those come from a folder listing.
+    The whole-file input format keeps zero-byte files, which Spark's file scans skip.
+    Its rows become a DataFrame inside the JVM, without a detour through Python.
     """
-    written = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("doc_id"), F.col("value").alias("text")
-    )
-    empty = [(name, "") for name in _empty_files(spark, path)]
-    if not empty:
-        return written
-    return written.unionByName(spark.createDataFrame(empty, "doc_id string, text string"))
-
-
-def _empty_files(spark: SparkSession, path: str) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = []
-    for match in files.globStatus(root) or []:
-        for status in files.listStatus(match.getPath()):
-            name = status.getPath().getName()
-            if status.isFile() and status.getLen() == 0 and name[0] not in "._":
-                names.append(status.getPath().toUri().toString())
-    return names
+    context = spark.sparkContext
+    jvm = context._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(context._jsc.hadoopConfiguration())
+    matches = files.globStatus(place) or []
+    size = sum(files.getContentSummary(match.getPath()).getLength() for match in matches)
+    splits = max(context.defaultParallelism, size // SPLIT_BYTES + 1)
+    pairs = context._jsc.wholeTextFiles(path, splits)
+    text = jvm.org.apache.spark.sql.Encoders.STRING()
+    both = jvm.org.apache.spark.sql.Encoders.tuple(text, text)
+    dataset = spark._jsparkSession.createDataset(pairs.rdd(), both)
+    return DataFrame(dataset.toDF(), spark).toDF("doc_id", "text")
 
 
 def _or_error(ok: Column, value: Column, message: str, line: Column) -> Column:
