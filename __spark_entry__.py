@@ -17,7 +17,7 @@ from termfit.operators.similarity import cosine_similarity
 from termfit.plans.corpus import compare_documents, score_corpus
 from termfit.plans.factorize import FactorModel, cross_validate, factorize, fit_and_save
 from termfit.plans.logistic import LogisticModel, train_logistic
-from termfit.session import scratch_path
+from termfit.session import durable, scratch_path
 from termfit.sources.readers import (
     read_corpus,
     read_folds,
@@ -65,6 +65,11 @@ def _ratings(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _stored_ratings(spark: SparkSession, sf: str) -> DataFrame:
+    """The ratings for queries that read them more than once."""
+    return durable(_ratings(spark, sf))
+
+
 def _folded(spark: SparkSession, sf: str) -> DataFrame:
     fold = (F.col("user_id") * 31 + F.col("item_id") * 17) % FOLDS
     return _ratings(spark, sf).withColumn("fold", fold.cast("int"))
@@ -88,7 +93,7 @@ def _beta(spark: SparkSession) -> DataFrame:
 def _profiles(ratings: DataFrame, dist: str = "uniform") -> tuple[DataFrame, DataFrame]:
     users = factors.init_profiles(factors.entity_ids(ratings, "user_id"), D, SEED, "u", dist)
     items = factors.init_profiles(factors.entity_ids(ratings, "item_id"), D, SEED, "v", dist)
-    return users, items
+    return durable(users), durable(items)
 
 
 def _residuals(ratings: DataFrame) -> DataFrame:
@@ -211,24 +216,24 @@ def folds(spark, sf):
 
 
 def init_profiles_uniform(spark, sf):
-    return _both_sides(*_profiles(_ratings(spark, sf)))
+    return _both_sides(*_profiles(_stored_ratings(spark, sf)))
 
 
 def init_profiles_normal(spark, sf):
-    return _both_sides(*_profiles(_ratings(spark, sf), "normal"))
+    return _both_sides(*_profiles(_stored_ratings(spark, sf), "normal"))
 
 
 def residuals(spark, sf):
-    res = _residuals(_ratings(spark, sf)).select("user_id", "item_id", "rating", "delta")
+    res = _residuals(_stored_ratings(spark, sf)).select("user_id", "item_id", "rating", "delta")
     return _rounded(res, 6, "rating", "delta")
 
 
 def squared_error(spark, sf):
-    return _rounded(factors.squared_error(_residuals(_ratings(spark, sf))), 4, "squared_error")
+    return _rounded(factors.squared_error(_residuals(_stored_ratings(spark, sf))), 4, "squared_error")
 
 
 def penalty(spark, sf):
-    users, items = _profiles(_ratings(spark, sf))
+    users, items = _profiles(_stored_ratings(spark, sf))
     sides = [
         factors.profile_penalty(table, LAM, D).select(F.lit(side).alias("side"), "penalty")
         for side, table in (("u", users), ("v", items))
@@ -237,26 +242,27 @@ def penalty(spark, sf):
 
 
 def objective(spark, sf):
-    ratings = _ratings(spark, sf)
+    ratings = _stored_ratings(spark, sf)
     users, items = _profiles(ratings)
-    value = factors.objective(_residuals(ratings), users, items, LAM, LAM, D)
+    res = factors.residuals(ratings, users, items, D)
+    value = factors.objective(res, users, items, LAM, LAM, D)
     return _rounded(value, 4, "objective")
 
 
 def rmse(spark, sf):
     """Profiles of fold 0's complement, scored on fold 0."""
-    folded = _folded(spark, sf)
+    folded = durable(_folded(spark, sf))
     users, items = _profiles(folded.where(F.col("fold") != 0))
     value = factors.rmse(folded.where(F.col("fold") == 0), users, items, D)
     return _rounded(value, 6, "rmse", "rmse_scored")
 
 
 def step_users(spark, sf):
-    return _elements(factors.step_users(_residuals(_ratings(spark, sf)), GAIN, LAM, D))
+    return _elements(factors.step_users(_residuals(_stored_ratings(spark, sf)), GAIN, LAM, D))
 
 
 def step_items(spark, sf):
-    return _elements(factors.step_items(_residuals(_ratings(spark, sf)), GAIN, LAM, D))
+    return _elements(factors.step_items(_residuals(_stored_ratings(spark, sf)), GAIN, LAM, D))
 
 
 def _mf_options(iterations: int) -> dict:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from termfit.functions.hashing import hash_normal, hash_uniform
 from termfit.functions.vectors import UNROLL_LIMIT, dot, elements
+from termfit.plans.joins import lookup
 
 USER, ITEM = 0, 1
 
@@ -46,11 +47,20 @@ def residual(d: int | None = None) -> Column:
 def residuals(
     ratings: DataFrame, users: DataFrame, items: DataFrame, d: int | None = None
 ) -> DataFrame:
-    """ratings plus u, v and delta = <u, v> - rating; rows without both profiles drop."""
-    joined = ratings.join(as_users(users), "user_id").join(as_items(items), "item_id")
+    """ratings plus u, v and delta = <u, v> - rating; rows without both profiles drop.
+
+    The profile tables are measured to choose the joins, so pass stored ones.
+    """
+    joined = _with_profiles(ratings, users, items, "inner")
     return joined.select(*ratings.columns, "u", "v", residual(d))
 
 
+def _with_profiles(ratings: DataFrame, users: DataFrame, items: DataFrame, how: str) -> DataFrame:
+    spread = ["user_id", "item_id", "rating"]
+    joined = lookup(ratings, as_users(users), "user_id", by=spread, how=how)
+    return lookup(joined, as_items(items), "item_id", by=spread, how=how)
+
+
 def _weight(df: DataFrame) -> Column:
     return F.col("weight") if "weight" in df.columns else F.lit(1)
 
@@ -93,7 +103,7 @@ def rmse(
     ``rmse`` divides by all rows although rows without both profiles add no error;
     ``rmse_scored`` divides by the rows that could be scored.
     """
-    joined = ratings.join(as_users(users), "user_id", "left").join(as_items(items), "item_id", "left")
+    joined = _with_profiles(ratings, users, items, "left")
     return rmse_of(joined.select(*ratings.columns, residual(d)))
 
 

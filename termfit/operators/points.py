@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termfit.functions.logistic import gradient_weight, logistic_loss, softplus_sql
+from termfit.plans.joins import lookup
+from termfit.session import durable
 
 
 def entries(points: DataFrame) -> DataFrame:
@@ -40,8 +42,11 @@ def axpy(a: DataFrame, c: float, b: DataFrame) -> DataFrame:
 
 
 def with_coefficients(points: DataFrame, beta: DataFrame) -> DataFrame:
-    """The entries of the points with the coefficient of their feature, where it has one."""
-    return entries(points).join(beta.select("feature", "coef"), "feature", "left")
+    """The entries of the points with the coefficient of their feature, where it has one.
+
+    The coefficient table is measured to choose the join, so pass a stored one.
+    """
+    return lookup(entries(points), beta.select("feature", "coef"), "feature", by=["row_id"], how="left")
 
 
 def row_sums(scored: DataFrame, **columns: str) -> DataFrame:
@@ -166,7 +171,7 @@ def line_search(
     b: float = 0.6,
 ) -> LineSearch:
     """Backtracking line search from ``beta`` against a (feature, g) gradient."""
-    stacked = (
+    stacked = durable(
         beta.select("feature", "coef", F.lit(0.0).alias("g"))
         .unionByName(gradient.select("feature", F.lit(0.0).alias("coef"), "g"))
         .groupBy("feature")
@@ -175,7 +180,8 @@ def line_search(
     coef_sq, coef_g = stacked.agg(
         F.expr("coalesce(sum(coef * coef), 0D)"), F.expr("coalesce(sum(coef * g), 0D)")
     ).first()
-    rows = row_sums(entries(points).join(stacked, "feature", "left"), m="coef", q="g")
+    scored = lookup(entries(points), stacked, "feature", by=["row_id"], how="left")
+    rows = row_sums(scored, m="coef", q="g")
     return backtrack(rows, fx, coef_sq, coef_g, grad_sq, lam, a, b)
 
 

@@ -9,10 +9,9 @@ from termfit.operators.similarity import pairwise_cosine
 from termfit.operators.text import (
     document_term_frequency,
     inverse_document_frequency,
-    tfidf,
     tfidf_value,
 )
-from termfit.plans.joins import fits_broadcast, hot_keys, salted_join, text_table_fits
+from termfit.plans.joins import fits_broadcast, lookup, measured_bytes
 from termfit.session import durable
 
 
@@ -25,11 +24,9 @@ def score_corpus(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> Da
     """
     idf = durable(inverse_document_frequency(docs, text))
     tf = document_term_frequency(docs, text, [doc])
-    if text_table_fits(idf, "term"):
-        return tfidf(tf, F.broadcast(idf))
-    hot = durable(hot_keys(idf.select("term", F.col("df").alias("count")), "term"))
-    joined = salted_join(tf, idf.select("term", "idf"), "term", hot_left=hot, left_by=[doc])
-    return joined.select(doc, "term", tfidf_value())
+    counts = idf.select("term", F.col("df").alias("count"))
+    scored = lookup(tf, idf.select("term", "idf"), "term", by=[doc], counts=counts)
+    return scored.select(doc, "term", tfidf_value())
 
 
 def compare_documents(
@@ -37,5 +34,6 @@ def compare_documents(
 ) -> DataFrame:
     """(doc_a, doc_b, cosine) for a table of document pairs of any size."""
     pairs = durable(pairs.select("doc_a", "doc_b").distinct())
-    small = fits_broadcast(pairs.count(), 64)
+    # two requests per pair, each a little wider than the pair
+    small = fits_broadcast(4 * measured_bytes(pairs))
     return pairwise_cosine(scores, pairs, doc, value, small_pairs=small)

@@ -138,8 +138,7 @@ def factorize(
     n_users, n_items = profiles.agg(
         F.count_if(F.col("side") == USER), F.count_if(F.col("side") == ITEM)
     ).first()
-    row_bytes = 64 + 8 * d
-    small = [fits_broadcast(n, row_bytes) for n in (n_users, n_items)]
+    small = [fits_broadcast(n * (64 + 8 * d)) for n in (n_users, n_items)]
     train = _Ratings(source, *small, num_partitions)
     held_out = None
     if test is not None:

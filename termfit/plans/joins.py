@@ -9,23 +9,31 @@ it holds more than 1/``SHARES`` of all rows), so that list may always be broadca
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termfit.session import durable
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 SHARES = 1000
 
 
-def fits_broadcast(rows: int, row_bytes: float) -> bool:
-    return rows * row_bytes <= BROADCAST_BYTES
+def measured_bytes(table: DataFrame) -> int:
+    """Rough in-memory size of a stored or otherwise cheap table, from its rows."""
+    widths = [F.lit(32 + 16 * len(table.columns))]
+    for name, kind in table.dtypes:
+        if kind in ("string", "binary"):
+            widths.append(F.coalesce(F.octet_length(name), F.lit(0)))
+        elif kind == "array<double>":
+            widths.append(F.coalesce(8 * F.array_size(name), F.lit(0)))
+    return table.agg(F.coalesce(F.sum(reduce(add, widths).cast("bigint")), F.lit(0))).first()[0]
 
 
-def text_table_fits(table: DataFrame, key: str, value_bytes: int = 16) -> bool:
-    """Measure a materialised table with a string key."""
-    rows, key_bytes = table.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(key)), F.lit(0))
-    ).first()
-    return rows * (value_bytes + 32) + key_bytes <= BROADCAST_BYTES
+def fits_broadcast(size: int) -> bool:
+    return size <= BROADCAST_BYTES
 
 
 def hot_keys(counts: DataFrame, key: str) -> DataFrame:
@@ -41,9 +49,13 @@ def hot_keys(counts: DataFrame, key: str) -> DataFrame:
 
 
 def add_salt(df: DataFrame, key: str, hot: DataFrame, salt: str, *, by: list[str]) -> DataFrame:
-    """Number the rows of hot keys by a hash of ``by``; all others get salt 0."""
+    """Number the rows of hot keys by a hash of ``by``; all others get salt 0.
+
+    Rows without a key match nothing, so they are always spread.
+    """
     splits = F.broadcast(hot.withColumnRenamed("splits", "_splits"))
-    spread = F.pmod(F.xxhash64(*by), F.coalesce("_splits", F.lit(1)))
+    default = F.when(F.col(key).isNull(), F.lit(SHARES)).otherwise(F.lit(1))
+    spread = F.pmod(F.xxhash64(*by), F.coalesce("_splits", default))
     return df.join(splits, key, "left").withColumn(salt, spread.cast("int")).drop("_splits")
 
 
@@ -80,3 +92,25 @@ def salted_join(
         left = copy_per_salt(left, key, hot_right, "_salt2")
         on.append("_salt2")
     return left.join(right, on, how).drop("_salt", "_salt2")
+
+
+def lookup(
+    facts: DataFrame,
+    table: DataFrame,
+    key: str,
+    *,
+    by: list[str],
+    how: str = "inner",
+    counts: DataFrame | None = None,
+) -> DataFrame:
+    """Join ``facts`` with a stored table that has one row per key.
+
+    The table is measured first. Beyond the broadcast limit, hot keys of ``facts`` are
+    found (from ``counts``, if the caller has them) and their rows spread by ``by``.
+    """
+    if fits_broadcast(measured_bytes(table)):
+        return facts.join(F.broadcast(table), key, how)
+    if counts is None:
+        counts = facts.where(F.col(key).isNotNull()).groupBy(key).count()
+    hot = durable(hot_keys(counts, key))
+    return salted_join(facts, table, key, hot_left=hot, left_by=by, how=how)

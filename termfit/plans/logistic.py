@@ -20,7 +20,7 @@ from termfit.operators.points import (
     predict,
     row_sums,
 )
-from termfit.plans.joins import add_salt, copy_per_salt, fits_broadcast, hot_keys
+from termfit.plans.joins import add_salt, copy_per_salt, fits_broadcast, hot_keys, measured_bytes
 from termfit.session import durable
 
 HISTORY = (
@@ -92,7 +92,7 @@ def _measure(coefficients: DataFrame):
         F.count(F.lit(1)).alias("rows"),
         F.expr("coalesce(sum(octet_length(feature)), 0)").alias("key_bytes"),
     ).first()
-    small = fits_broadcast(1, row["rows"] * 64 + row["key_bytes"])
+    small = fits_broadcast(row["rows"] * 96 + row["key_bytes"])
     return row, small
 
 
@@ -117,7 +117,7 @@ def train_logistic(
         small = True
     else:
         beta = durable(beta0.select("feature", "coef"))
-        _, small = _measure(beta.select("*", F.lit(0.0).alias("g"), F.lit(0.0).alias("loss")))
+        small = fits_broadcast(measured_bytes(beta))
     train = _Entries(points, num_partitions)
     held_out = None if test is None else _Entries(test, num_partitions)
 

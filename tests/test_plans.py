@@ -66,10 +66,25 @@ def test_hot_list_is_bounded(spark):
 
 def test_size_checks(spark, monkeypatch):
     table = spark.createDataFrame([("abc", 1.0)] * 10, "term string, value double")
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", 10 * 48 + 30)
-    assert joins.text_table_fits(table, "term")
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", 10 * 48 + 29)
-    assert not joins.text_table_fits(table, "term")
+    assert joins.measured_bytes(table) == 10 * (32 + 2 * 16 + 3)
+    assert joins.measured_bytes(table.limit(0)) == 0
+    profiles = spark.range(4).selectExpr("id", "array(1D, 2D) AS factors")
+    assert joins.measured_bytes(profiles) == 4 * (32 + 2 * 16 + 16)
+    wide = spark.createDataFrame([("abc", i) for i in range(10)], "term string, n int")
+    assert "BroadcastHashJoin" in plan(joins.lookup(wide, table.limit(1), "term", by=["n"]))
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    shown = plan(joins.lookup(wide, table.limit(1), "term", by=["n"]))
+    assert "_salt" in shown
+
+
+def test_rows_without_a_key_are_spread(spark, shuffled_joins):
+    facts = spark.createDataFrame([(None, i) for i in range(100)] + [("a", 1)], "key string, n int")
+    table = spark.createDataFrame([("a", 5)], "key string, v int")
+    found = joins.lookup(facts, table, "key", by=["n"], how="left")
+    assert found.count() == 101 and found.where("v = 5").count() == 1
+    hot = joins.hot_keys(facts.where("key IS NOT NULL").groupBy("key").count(), "key")
+    salts = joins.add_salt(facts, "key", hot, "s", by=["n"]).where("key IS NULL").select("s").distinct().count()
+    assert salts > 50
 
 
 def test_document_terms_are_counted_without_a_shuffle(spark, tmp_path):
