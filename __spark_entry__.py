@@ -326,7 +326,7 @@ def axpy(spark, sf):
 
 def line_search(spark, sf):
     data, beta = _points(spark, sf), _beta(spark)
-    gradient = points.total_gradient(data, beta, LAM)
+    gradient = durable(points.total_gradient(data, beta, LAM))
     fx = points.total_loss(data, beta, LAM).first()["loss"]
     norm = points.grad_norm(gradient).first()["grad_norm"]
     found = points.line_search(data, beta, gradient, fx, norm * norm, LAM)

@@ -10,13 +10,9 @@ from pyspark.sql import functions as F
 UNROLL_LIMIT = 64
 
 
-def dot(u: str, v: str, d: int | None = None) -> Column:
-    """Inner product; give ``d`` to get the unrolled form."""
+def dot(u: str, v: str, d: int | None = None, offset: int = 0) -> Column:
+    """Inner product of whole vectors, or of d elements from ``offset`` (unrolled)."""
     if d is not None and d <= UNROLL_LIMIT:
-        return F.expr(" + ".join(f"{u}[{k}] * {v}[{k}]" for k in range(d)))
+        return F.expr(" + ".join(f"{u}[{k}] * {v}[{k}]" for k in range(offset, offset + d)))
     return F.expr(f"aggregate(zip_with({u}, {v}, (a, b) -> a * b), 0D, (s, x) -> s + x)")
 
-
-def elements(template: str, d: int) -> Column:
-    """Array of d elements from a SQL template with ``{k}`` for the position."""
-    return F.expr(f"array({', '.join(template.format(k=k) for k in range(d))})")

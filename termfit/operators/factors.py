@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termfit.functions.hashing import hash_normal, hash_uniform
-from termfit.functions.vectors import UNROLL_LIMIT, dot, elements
+from termfit.functions.vectors import UNROLL_LIMIT, dot
 from termfit.plans.joins import lookup
 
 USER, ITEM = 0, 1
@@ -127,83 +127,116 @@ def gain_schedule(gain: float, power: float, iteration: int) -> float:
     return gain / iteration**power
 
 
-def _descend(pulls: DataFrame, keys: list[str], gamma: float, strength: str, d: int) -> DataFrame:
-    """(*keys, factors, ...): own - gamma * (sum(2 delta other) + 2 strength own) per key.
+def _descend(
+    pulls: DataFrame, keys: list[str], gammas: list[float], strength: str, d: int, **extra: str
+) -> DataFrame:
+    """(*keys, factors, sq_error, sq_norm): own - gamma * (sum(2 delta other) + 2 strength own).
 
-    ``pulls`` has ``own``, ``other``, ``delta`` and ``weight``. Also returned are the key's
-    share of the squared error and the squared norm before the step.
+    Several models are stepped side by side: ``own`` and ``other`` hold the d factors of
+    each model one after the other, and ``delta`` one residual per model, NULL where the
+    row does not train it. ``sq_error`` and ``sq_norm`` give, per model, the key's share of
+    the squared error and its squared norm before the step. ``extra`` names further sums.
     """
-    error = F.expr("sum(delta * delta * weight)").alias("sq_error")
-    if d <= UNROLL_LIMIT:
+    further = [F.expr(rule).alias(name) for name, rule in extra.items()]
+    models = range(len(gammas))
+    cells = [(m, k, m * d + k) for m in models for k in range(d)]
+    step = "{p} - {gamma!r}D * ({g} + 2D * ({strength}) * {p})"
+    if len(cells) <= UNROLL_LIMIT:
         # plain numbers as buffers, so that this stays a hash aggregate
-        slope = [F.expr(f"sum(2D * delta * weight * other[{k}])").alias(f"_g{k}") for k in range(d)]
-        before = [F.expr(f"first(own[{k}])").alias(f"_p{k}") for k in range(d)]
-        sums = pulls.groupBy(*keys).agg(*before, *slope, error)
-        sums = sums.select(
+        sums = [F.expr(f"sum(2D * delta[{m}] * weight * other[{e}])").alias(f"_g{e}") for m, _, e in cells]
+        sums += [F.expr(f"first(own[{e}])").alias(f"_p{e}") for _, _, e in cells]
+        sums += [F.expr(f"sum(delta[{m}] * delta[{m}] * weight)").alias(f"_e{m}") for m in models]
+        summed = pulls.groupBy(*keys).agg(*sums, *further)
+        factors = [
+            step.format(p=f"_p{e}", g=f"_g{e}", gamma=float(gammas[m]), strength=strength) for m, _, e in cells
+        ]
+        norms = [" + ".join(f"_p{m * d + k} * _p{m * d + k}" for k in range(d)) for m in models]
+        return summed.select(
             *keys,
-            elements("_p{k}", d).alias("own"),
-            elements("_g{k}", d).alias("gradient"),
-            "sq_error",
-        )
-    else:
-        # one row per element, so that no buffer grows with d; at most d rows per key meet
-        pairs = pulls.select(
-            *keys, "delta", "weight", F.posexplode(F.arrays_zip("own", "other")).alias("k", "pair")
+            F.expr(f"array({', '.join(factors)})").alias("factors"),
+            F.expr(f"array({', '.join(f'_e{m}' for m in models)})").alias("sq_error"),
+            F.expr(f"array({', '.join(norms)})").alias("sq_norm"),
+            *extra,
         )
-        per_element = pairs.groupBy(*keys, "k").agg(
-            F.expr("first(pair.own)").alias("own"),
-            F.expr("sum(2D * delta * weight * pair.other)").alias("gradient"),
-            error,
-        )
-        in_order = F.expr("array_sort(collect_list(struct(k, own, gradient)))").alias("e")
-        sums = per_element.groupBy(*keys).agg(in_order, F.first("sq_error").alias("sq_error"))
-        sums = sums.select(*keys, F.col("e.own"), F.col("e.gradient"), "sq_error")
-    step = "{p} - %rD * ({g} + 2D * (%s) * {p})" % (float(gamma), strength)
-    if d <= UNROLL_LIMIT:
-        factors = elements(step.format(p="own[{k}]", g="gradient[{k}]"), d)
-    else:
-        factors = F.expr(f"zip_with(own, gradient, (p, g) -> {step.format(p='p', g='g')})")
-    norm = dot("own", "own", d).alias("sq_norm")
-    return sums.select(*keys, factors.alias("factors"), "sq_error", norm)
+    if len(gammas) > 1:
+        raise ValueError("several models are stepped together only while all their factors are unrolled")
+    # one row per element, so that no buffer grows with d; at most d rows per key meet
+    elements = pulls.select("*", F.expr("posexplode_outer(arrays_zip(own, other))").alias("k", "pair"))
+    per_element = elements.groupBy(*keys, "k").agg(
+        F.expr("first(pair.own)").alias("own"),
+        F.expr("sum(2D * delta[0] * weight * pair.other)").alias("gradient"),
+        F.expr("sum(delta[0] * delta[0] * weight)").alias("error"),
+        *further,
+    )
+    in_order = F.expr(
+        "array_sort(collect_list(struct(k, own, gradient)) FILTER (WHERE k IS NOT NULL))"
+    ).alias("e")
+    summed = per_element.groupBy(*keys).agg(
+        in_order, *[F.expr(f"max({name})").alias(name) for name in ("error", *extra)]
+    )
+    stepped = step.format(p="p", g="g", gamma=float(gammas[0]), strength=strength)
+    return summed.select(
+        *keys,
+        F.expr(f"IF(size(e) > 0, zip_with(e.own, e.gradient, (p, g) -> {stepped}), NULL)").alias("factors"),
+        F.array("error").alias("sq_error"),
+        F.array(dot("e.own", "e.own")).alias("sq_norm"),
+        *extra,
+    )
 
 
-def step_users(res: DataFrame, gamma: float, lam: float, d: int) -> DataFrame:
-    """(id, factors): user profiles after one gradient step from the residuals."""
+def _step(res: DataFrame, key: str, own: str, other: str, gamma: float, strength: float, d: int) -> DataFrame:
     pulls = res.select(
-        F.col("user_id").alias("id"),
-        F.col("u").alias("own"),
-        F.col("v").alias("other"),
-        "delta",
+        F.col(key).alias("id"),
+        F.col(own).alias("own"),
+        F.col(other).alias("other"),
+        F.array("delta").alias("delta"),
         _weight(res).alias("weight"),
     )
-    return _descend(pulls, ["id"], gamma, f"{float(lam)!r}D", d).select("id", "factors")
+    return _descend(pulls, ["id"], [gamma], f"{float(strength)!r}D", d).select("id", "factors")
+
+
+def step_users(res: DataFrame, gamma: float, lam: float, d: int) -> DataFrame:
+    """(id, factors): user profiles after one gradient step from the residuals."""
+    return _step(res, "user_id", "u", "v", gamma, lam, d)
 
 
 def step_items(res: DataFrame, gamma: float, mu: float, d: int) -> DataFrame:
     """(id, factors): item profiles after one gradient step from the same residuals."""
-    pulls = res.select(
-        F.col("item_id").alias("id"),
-        F.col("v").alias("own"),
-        F.col("u").alias("other"),
-        "delta",
-        _weight(res).alias("weight"),
-    )
-    return _descend(pulls, ["id"], gamma, f"{float(mu)!r}D", d).select("id", "factors")
+    return _step(res, "item_id", "v", "u", gamma, mu, d)
 
 
-def step_both(
-    res: DataFrame, gamma: float, lam: float, mu: float, d: int
+def step_models(
+    rows: DataFrame, models: list[int], gammas: list[float], lam: float, mu: float, d: int
 ) -> DataFrame:
-    """(side, id, factors, sq_error, sq_norm): both steps from one reading of the residuals.
+    """(side, id, factors, sq_error, sq_norm, held_error<i>, held_rows<i>): all profiles stepped.
+
+    ``rows`` is (user_id, item_id, rating, fold[, weight], u, v), with u and v holding the
+    factors of every model and NULL where a profile is missing. A model trains on the rows
+    whose fold is not its own number; the rows of its own fold are held out, and their
+    squared error and the number of them that could be scored are booked on the user.
 
-    Every rating pulls at its user and at its item; the two pulls are aggregated
-    together. ``sq_error`` over either side is the squared error of the old profiles.
+    All of it comes from one reading of the rows and one aggregation in which every row
+    pulls at its user and at its item.
     """
-    both = F.expr(
-        "inline(array("
-        f"struct({USER} AS side, user_id AS id, u AS own, v AS other), "
-        f"struct({ITEM} AS side, item_id AS id, v AS own, u AS other)))"
+    places = range(len(models))
+    residuals = [dot("u", "v", d, offset=i * d) - F.col("rating") for i in places]
+    delta = F.array(*residuals).alias("delta")
+    trained = ", ".join(f"IF(fold = {m}, NULL, delta[{i}])" for i, m in enumerate(models))
+    held = ", ".join(f"IF(fold = {m}, delta[{i}], NULL)" for i, m in enumerate(models))
+    scored = rows.select("user_id", "item_id", "fold", "u", "v", _weight(rows).alias("weight"), delta)
+    pulls = scored.select(
+        "weight",
+        F.expr(
+            "inline(array("
+            f"struct({USER} AS side, user_id AS id, u AS own, v AS other, "
+            f"array({trained}) AS delta, array({held}) AS held), "
+            f"struct({ITEM} AS side, item_id AS id, v AS own, u AS other, "
+            f"array({trained}) AS delta, CAST(NULL AS ARRAY<DOUBLE>) AS held)))"
+        ),
     )
-    pulls = res.select("delta", _weight(res).alias("weight"), both)
+    extra = {}
+    for i in places:
+        extra[f"held_error{i}"] = f"sum(held[{i}] * held[{i}] * weight)"
+        extra[f"held_rows{i}"] = f"sum(IF(held[{i}] IS NULL, 0, weight))"
     strength = f"IF(side = {USER}, {float(lam)!r}D, {float(mu)!r}D)"
-    return _descend(pulls, ["side", "id"], gamma, strength, d)
+    return _descend(pulls, ["side", "id"], gammas, strength, d, **extra)

@@ -10,21 +10,20 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termfit.functions.vectors import UNROLL_LIMIT
 from termfit.operators.factors import (
     ITEM,
     USER,
     as_items,
     as_users,
-    entity_ids,
     gain_schedule,
     init_profiles,
-    residual,
-    rmse_of,
-    step_both,
+    step_models,
 )
 from termfit.plans.joins import add_salt, copy_per_salt, fits_broadcast, hot_keys
 from termfit.session import durable
 
+ROW = ["user_id", "item_id", "rating", "fold"]
 HISTORY = (
     "iter INT, time_s DOUBLE, objective DOUBLE, change DOUBLE, gamma DOUBLE, "
     "rmse DOUBLE, rmse_scored DOUBLE, n BIGINT, n_scored BIGINT"
@@ -52,7 +51,7 @@ class FactorModel:
 
 
 class _Ratings:
-    """A rating table laid out once for the many joins of a training run.
+    """Fold-tagged ratings laid out once for the many passes of a training run.
 
     While the profiles of a side fit a broadcast, ratings stay where they are. For
     larger sides equal rows are merged into one with a weight, hot users and items are
@@ -68,14 +67,13 @@ class _Ratings:
             table = ratings.repartition(partitions) if partitions else ratings
             self.table = table.persist(StorageLevel.MEMORY_AND_DISK)
             return
-        columns = ["user_id", "item_id", "rating"]
-        merged = ratings.groupBy(*columns).agg(F.count(F.lit(1)).alias("weight"))
+        merged = ratings.groupBy(*ROW).agg(F.count(F.lit(1)).alias("weight"))
         merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
         table = merged
         for key in large:
             counts = merged.groupBy(key).count()
             self.hot[key] = durable(hot_keys(counts, key))
-            table = add_salt(table, key, self.hot[key], self._salt(key), by=columns)
+            table = add_salt(table, key, self.hot[key], self._salt(key), by=ROW)
         layout = [large[0], self._salt(large[0])]
         table = table.repartition(*([partitions] if partitions else []), *layout)
         self.table = table.sortWithinPartitions(*layout).persist(StorageLevel.MEMORY_AND_DISK)
@@ -87,22 +85,117 @@ class _Ratings:
     def _salt(key: str) -> str:
         return f"_{key}_salt"
 
-    def with_profiles(self, users: DataFrame, items: DataFrame, d: int, how: str) -> DataFrame:
-        table = self._attach(self.table, as_users(users), "user_id", how)
-        table = self._attach(table, as_items(items), "item_id", how)
-        weight = ["weight"] if "weight" in table.columns else []
-        return table.select("user_id", "item_id", "rating", *weight, "u", "v", residual(d))
+    def with_profiles(self, profiles: DataFrame) -> DataFrame:
+        users = profiles.where(F.col("side") == USER)
+        items = profiles.where(F.col("side") == ITEM)
+        table = self._attach(self.table, as_users(users), "user_id")
+        return self._attach(table, as_items(items), "item_id")
 
-    def _attach(self, table: DataFrame, profiles: DataFrame, key: str, how: str) -> DataFrame:
+    def _attach(self, table: DataFrame, profiles: DataFrame, key: str) -> DataFrame:
+        # held-out rows may lack a profile, so no row is dropped here
         if self.small[key]:
-            return table.join(F.broadcast(profiles), key, how)
+            return table.join(F.broadcast(profiles), key, "left")
         salt = self._salt(key)
-        return table.join(copy_per_salt(profiles, key, self.hot[key], salt), [key, salt], how)
+        return table.join(copy_per_salt(profiles, key, self.hot[key], salt), [key, salt], "left")
 
     def release(self) -> None:
         self.table.unpersist()
 
 
+def _draw(rows: DataFrame, models: list[int], d: int, seed: int, dist: str) -> DataFrame:
+    """(side, id, factors): random profiles, NULL for a model that an id does not train.
+
+    All models start from the same vector of an id.
+    """
+    sides = []
+    for side, key, tag in ((USER, "user_id", "u"), (ITEM, "item_id", "v")):
+        ids = rows.groupBy(F.col(key).alias("id")).agg(
+            F.min("fold").alias("low"), F.max("fold").alias("high")
+        )
+        drawn = init_profiles(ids, d, seed, tag, dist).join(ids, "id")
+        sides.append((side, drawn))
+    nothing = f"array_repeat(CAST(NULL AS DOUBLE), {d})"
+    parts = ", ".join(f"IF(low = {m} AND high = {m}, {nothing}, factors)" for m in models)
+    factors = F.expr(f"concat({parts})").alias("factors")
+    tables = [drawn.select(F.lit(side).alias("side"), "id", factors) for side, drawn in sides]
+    return tables[0].unionByName(tables[1])
+
+
+def _descend_all(
+    rows: DataFrame,
+    models: list[int],
+    d: int,
+    gain: float,
+    power: float,
+    lam: float,
+    mu: float,
+    eps: float,
+    maxiter: int,
+    seed: int,
+    dist: str,
+    num_partitions: int | None,
+    initial: DataFrame | None = None,
+) -> tuple[DataFrame, list[list]]:
+    """Train several models side by side on (user_id, item_id, rating, fold) rows.
+
+    A model trains on the rows outside its fold and is tested on its fold; a model
+    without rows in its fold is tested on its training rows. Returns the profiles and
+    one history row per model and iteration, the model's place first.
+    """
+    rows = rows.select(*ROW).persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = {r["fold"]: r["count"] for r in rows.groupBy("fold").count().collect()}
+    n_test = [sizes.get(m, 0) for m in models]
+    n_train = [sum(sizes.values()) - n for n in n_test]
+    profiles = durable(_draw(rows, models, d, seed, dist) if initial is None else initial)
+    counts = profiles.agg(F.count_if(F.col("side") == USER), F.count_if(F.col("side") == ITEM)).first()
+    small = [fits_broadcast(n * (64 + 8 * d * len(models))) for n in counts]
+    ratings = _Ratings(rows, *small, num_partitions)
+    if ratings.table is not rows:
+        rows.unpersist()
+
+    start = time.time()
+    history = []
+    totals = [1e99] * len(models)
+    changes = [1e99] * len(models)
+    iteration = 0
+    while iteration < maxiter and any(change > eps for change in changes):
+        iteration += 1
+        gamma = gain_schedule(gain, power, iteration)
+        # a model that has stopped stays where it is
+        gammas = [gamma if change > eps else 0.0 for change in changes]
+        table = ratings.with_profiles(profiles)
+        profiles = durable(step_models(table, models, gammas, lam, mu, d))
+        sums = _sums(profiles, len(models))
+        for i, step in enumerate(gammas):
+            if step == 0.0:
+                continue
+            error, users_norm, items_norm, held_error, held_rows = sums[5 * i : 5 * i + 5]
+            previous, totals[i] = totals[i], error + lam * users_norm + mu * items_norm
+            changes[i] = abs(totals[i] - previous)
+            n, scored = (n_test[i], int(held_rows)) if n_test[i] else (n_train[i], n_train[i])
+            if not n_test[i]:
+                held_error = error
+            quality = [math.sqrt(held_error / count) if count else None for count in (n, scored)]
+            seconds = time.time() - start
+            history.append([i, iteration, seconds, totals[i], changes[i], gamma, *quality, n, scored])
+    ratings.release()
+    return profiles, history
+
+
+def _sums(stepped: DataFrame, models: int) -> list[float]:
+    """Per model: squared error, both squared norms, held-out error and scored rows."""
+    rules = []
+    for i in range(models):
+        rules += [
+            f"sum(IF(side = {USER}, sq_error[{i}], 0D))",
+            f"sum(IF(side = {USER}, sq_norm[{i}], 0D))",
+            f"sum(IF(side = {ITEM}, sq_norm[{i}], 0D))",
+            f"sum(held_error{i})",
+            f"sum(held_rows{i})",
+        ]
+    return [value or 0.0 for value in stepped.agg(*[F.expr(rule) for rule in rules]).first()]
+
+
 def factorize(
     ratings: DataFrame,
     test: DataFrame | None = None,
@@ -123,98 +216,68 @@ def factorize(
     Without ``test`` the reported error is the training error. Only sums reach the
     driver; each iteration ends in a checkpoint of the new profiles.
     """
-    spark = ratings.sparkSession
-    source = ratings.select("user_id", "item_id", "rating").persist(StorageLevel.MEMORY_AND_DISK)
-    if initial is None:
-        initial = FactorModel(
-            init_profiles(entity_ids(source, "user_id"), d, seed, "u", dist),
-            init_profiles(entity_ids(source, "item_id"), d, seed, "v", dist),
-        )
-    profiles = durable(
-        initial.users.select(F.lit(USER).alias("side"), "id", "factors").unionByName(
+    columns = ["user_id", "item_id", "rating"]
+    rows = ratings.select(*columns, F.lit(-1).alias("fold"))
+    if test is not None:
+        rows = rows.unionByName(test.select(*columns, F.lit(0).alias("fold")))
+    given = None
+    if initial is not None:
+        given = initial.users.select(F.lit(USER).alias("side"), "id", "factors").unionByName(
             initial.items.select(F.lit(ITEM).alias("side"), "id", "factors")
         )
+    profiles, history = _descend_all(
+        rows, [0], d, gain, power, lam, mu, eps, maxiter, seed, dist, num_partitions, given
     )
-    n_users, n_items = profiles.agg(
-        F.count_if(F.col("side") == USER), F.count_if(F.col("side") == ITEM)
-    ).first()
-    small = [fits_broadcast(n * (64 + 8 * d)) for n in (n_users, n_items)]
-    train = _Ratings(source, *small, num_partitions)
-    held_out = None
-    if test is not None:
-        held_out = _Ratings(test.select("user_id", "item_id", "rating"), *small, num_partitions)
-    if train.table is not source:
-        source.unpersist()
-
-    start = time.time()
-    rows = []
-    total = change = 1e99
-    iteration = 0
-    while iteration < maxiter and change > eps:
-        iteration += 1
-        users = profiles.where(F.col("side") == USER).select("id", "factors")
-        items = profiles.where(F.col("side") == ITEM).select("id", "factors")
-        gamma = gain_schedule(gain, power, iteration)
-        res = train.with_profiles(users, items, d, "inner")
-        stepped = durable(step_both(res, gamma, lam, mu, d))
-        error, users_norm, items_norm = _sums(stepped)
-        previous, total = total, error + lam * users_norm + mu * items_norm
-        change = abs(total - previous)
-        if held_out is None:
-            n = train.table.agg(_row_count(train.table)).first()[0] if not rows else rows[0][-1]
-            quality = [math.sqrt(error / n), math.sqrt(error / n), n, n] if n else [None, None, 0, 0]
-        else:
-            quality = list(rmse_of(held_out.with_profiles(users, items, d, "left")).first())
-        rows.append([iteration, time.time() - start, total, change, gamma, *quality])
-        profiles = stepped
-    for table in (train, held_out):
-        if table is not None:
-            table.release()
+    trained = profiles.where(F.get("factors", F.lit(0)).isNotNull())
     return FactorModel(
-        profiles.where(F.col("side") == USER).select("id", "factors"),
-        profiles.where(F.col("side") == ITEM).select("id", "factors"),
-        spark.createDataFrame(rows, HISTORY),
+        trained.where(F.col("side") == USER).select("id", "factors"),
+        trained.where(F.col("side") == ITEM).select("id", "factors"),
+        ratings.sparkSession.createDataFrame([row[1:] for row in history], HISTORY),
     )
 
 
-def _row_count(table: DataFrame):
-    return F.sum("weight") if "weight" in table.columns else F.count(F.lit(1))
-
-
-def _sums(stepped: DataFrame) -> tuple[float, float, float]:
-    """Squared error and both squared norms before the step."""
-    is_user = F.col("side") == USER
-    row = stepped.agg(
-        F.sum(F.when(is_user, F.col("sq_error"))),
-        F.sum(F.when(is_user, F.col("sq_norm"))),
-        F.sum(F.when(~is_user, F.col("sq_norm"))),
-    ).first()
-    return tuple(value or 0.0 for value in row)
-
-
-def cross_validate(folded: DataFrame, folds: int, **options) -> DataFrame:
+def cross_validate(
+    folded: DataFrame,
+    folds: int,
+    d: int = 10,
+    gain: float = 0.001,
+    power: float = 0.2,
+    lam: float = 1.0,
+    mu: float = 1.0,
+    eps: float = 1e-99,
+    maxiter: int = 20,
+    seed: int = 1234567,
+    dist: str = "normal",
+    num_partitions: int | None = None,
+) -> DataFrame:
     """(fold, n_train, n_test, iterations, rmse, rmse_scored): one row per fold.
 
     Each fold is held out once and its last logged errors are kept; a single fold is
     both training and test set. The cross-validation error is the mean of ``rmse``.
+
+    The models of all folds are trained side by side, as many at a time as their
+    unrolled factors allow, so the ratings are read once per iteration and not once per
+    fold and iteration.
     """
     spark = folded.sparkSession
     folded = folded.where(F.col("fold").between(0, folds - 1))
-    folded = folded.select("user_id", "item_id", "rating", "fold").persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = {row["fold"]: row["count"] for row in folded.groupBy("fold").count().collect()}
+    folded = folded.select(*ROW).persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
+    together = max(1, UNROLL_LIMIT // d)
     rows = []
-    for k in range(folds):
-        held_out = folded.where(F.col("fold") == k)
-        if folds == 1:
-            model = factorize(held_out, **options)
-            n_train = sizes.get(k, 0)
-        else:
-            model = factorize(folded.where(F.col("fold") != k), held_out, **options)
-            n_train = sum(size for fold, size in sizes.items() if fold != k)
-        last = model.history.orderBy(F.col("iter").desc()).first()
-        rows.append(
-            (k, n_train, sizes.get(k, 0), last["iter"], last["rmse"], last["rmse_scored"])
+    for first in range(0, folds, together):
+        models = list(range(first, min(first + together, folds)))
+        # the only fold of a single-fold run is not held out
+        table = folded.withColumn("fold", F.lit(-1)) if folds == 1 else folded
+        _, history = _descend_all(
+            table, models, d, gain, power, lam, mu, eps, maxiter, seed, dist, num_partitions
         )
+        last = {row[0]: row for row in history}
+        for i, m in enumerate(models):
+            n_test = sizes.get(m, 0)
+            n_train = sum(sizes.values()) - (n_test if folds > 1 else 0)
+            _, iterations, _, _, _, _, rmse, rmse_scored, _, _ = last.get(i, [i, 0] + [None] * 8)
+            rows.append((m, n_train, n_test, iterations, rmse, rmse_scored))
     folded.unpersist()
     schema = "fold INT, n_train BIGINT, n_test BIGINT, iterations INT, rmse DOUBLE, rmse_scored DOUBLE"
     return spark.createDataFrame(rows, schema)

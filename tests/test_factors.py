@@ -22,7 +22,7 @@ from termfit import (
     step_items,
     step_users,
 )
-from termfit.operators.factors import step_both
+from termfit.operators.factors import step_models
 
 TRAIN = [(1, 10, 5.0), (1, 20, 3.0), (2, 10, 4.0)]
 TEST = [(2, 20, 1.0), (3, 10, 2.0)]
@@ -81,6 +81,26 @@ def test_golden_steps(spark):
     assert vectors(step_items(res, 0.1, 1.0, 2)) == {10: pytest.approx([1.9, 1.1]), 20: pytest.approx([0.6, 1.6])}
 
 
+@pytest.mark.parametrize("without_broadcast", [False, True])
+def test_long_vectors_with_held_out_rows(spark, monkeypatch, without_broadcast):
+    """Factors beyond the unroll limit: the golden run padded with zeros."""
+    from termfit.plans import joins
+
+    if without_broadcast:
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
+    padded = FactorModel(
+        *[profiles(spark, {i: v + [0.0] * 68 for i, v in table.items()}) for table in (USERS, ITEMS)]
+    )
+    model = factorize(
+        rated(spark, TRAIN), rated(spark, TEST), maxiter=2, initial=padded, **{**GOLDEN, "d": 70}
+    )
+    second = model.history.orderBy("iter").collect()[1]
+    assert second["objective"] == pytest.approx(18.7032)
+    assert second["rmse_scored"] == pytest.approx(1.2) and second["n_scored"] == 1
+    assert sorted(vectors(model.users)) == [1, 2]
+    assert vectors(model.users)[1] == pytest.approx([1.120849, 1.282666] + [0.0] * 68, abs=1e-6)
+
+
 def check_golden_run(spark):
     model = factorize(
         rated(spark, TRAIN), rated(spark, TEST), maxiter=2, initial=start(spark), **GOLDEN
@@ -92,6 +112,7 @@ def check_golden_run(spark):
     assert second["rmse_scored"] == pytest.approx(1.2)
     assert (second["n"], second["n_scored"]) == (2, 1)
     assert second["change"] == pytest.approx(41.5 - 18.7032)
+    assert sorted(vectors(model.users)) == [1, 2] and sorted(vectors(model.items)) == [10, 20]
     assert vectors(model.users)[1] == pytest.approx([1.120849, 1.282666], abs=1e-6)
     assert vectors(model.users)[2] == pytest.approx([1.156699, 1.017411], abs=1e-6)
     assert vectors(model.items)[10] == pytest.approx([1.676443, 0.999016], abs=1e-6)
@@ -182,15 +203,17 @@ def test_step_is_the_negative_gradient(spark):
                 assert (vector[k] - moved[side][key][k]) / 1e-3 == pytest.approx(slope, rel=1e-4, abs=1e-4)
 
 
-def test_both_steps_at_once_equal_single_steps(spark):
+def test_all_profiles_at_once_equal_single_steps(spark):
     train, users, items = rated(spark, TRAIN), profiles(spark, USERS), profiles(spark, ITEMS)
     res = residuals(train, users, items, 2)
-    both = step_both(res, 0.1, 0.5, 2.0, 2).collect()
+    both = step_models(res.drop("delta").withColumn("fold", F.lit(-1)), [0], [0.1], 0.5, 2.0, 2).collect()
     found = {(r["side"], r["id"]): list(r["factors"]) for r in both}
     single = {(0, i): v for i, v in vectors(step_users(res, 0.1, 0.5, 2)).items()}
     single |= {(1, j): v for j, v in vectors(step_items(res, 0.1, 2.0, 2)).items()}
     assert found == single
-    assert sum(r["sq_error"] for r in both if r["side"] == 0) == 34.0
+    assert sum(r["sq_error"][0] for r in both if r["side"] == 0) == 34.0
+    with pytest.raises(ValueError):
+        step_models(res.withColumn("fold", F.lit(-1)), [0, 1], [0.1, 0.1], 0.5, 2.0, 40)
 
 
 def test_rmse_counts_rows_without_profiles(spark):
@@ -236,12 +259,20 @@ def test_repartitioned_run_is_the_same(spark):
         assert all(left[key] == pytest.approx(right[key]) for key in left)
 
 
-def test_cross_validation(spark):
-    rows = [(u, j, float((u * j) % 5 + 1)) for u in range(6) for j in range(5)]
+@pytest.mark.parametrize("together", [64, 5, 2])
+def test_cross_validation(spark, monkeypatch, together):
+    """Folds trained all together, two at a time and one at a time agree with single runs."""
+    from termfit.plans import factorize as plan
+
+    monkeypatch.setattr(plan, "UNROLL_LIMIT", together)
+    rows = [(9, 1, 3.0)]  # a user that only fold 1 knows
+    rows += [(u, j, float((u * j) % 5 + 1)) for u in range(6) for j in range(5)]
     folded = rated(spark, rows).withColumn("fold", ((F.col("user_id") + F.col("item_id")) % 3).cast("int"))
     result = cross_validate(folded, 3, d=2, maxiter=2, seed=3).orderBy("fold").collect()
     assert [(r["fold"], r["n_train"], r["n_test"], r["iterations"]) for r in result] == [
-        (k, 20, 10, 2) for k in range(3)
+        (0, 21, 10, 2),
+        (1, 20, 11, 2),
+        (2, 21, 10, 2),
     ]
     for k in range(3):
         single = factorize(
@@ -249,6 +280,29 @@ def test_cross_validation(spark):
         )
         last = single.history.orderBy(F.col("iter").desc()).first()
         assert result[k]["rmse"] == pytest.approx(last["rmse"])
+        assert result[k]["rmse_scored"] == pytest.approx(last["rmse_scored"])
+    assert result[1]["rmse_scored"] > result[1]["rmse"]
+
+
+def test_models_stop_on_their_own(spark):
+    """With a wide tolerance a fold may stop early without holding up the others."""
+    rows = [(u, j, float((u * j) % 5 + 1)) for u in range(6) for j in range(5)]
+    fold = F.when(F.col("user_id") == 0, 0).otherwise(F.col("item_id") % 2 + 1).cast("int")
+    folded = rated(spark, rows).withColumn("fold", fold)
+    options = dict(d=2, maxiter=6, seed=3, gain=0.01)
+    objectives = []
+    for k in range(3):
+        parts = folded.where(F.col("fold") != k), folded.where(F.col("fold") == k)
+        objectives.append([r["change"] for r in factorize(*parts, **options).history.orderBy("iter").collect()])
+    eps = sorted(objectives[k][1] for k in range(3))[1]
+    wanted = []
+    for k in range(3):
+        parts = folded.where(F.col("fold") != k), folded.where(F.col("fold") == k)
+        history = factorize(*parts, eps=eps * 1.0001, **options).history.orderBy("iter").collect()
+        wanted.append((len(history), pytest.approx(history[-1]["rmse"])))
+    result = cross_validate(folded, 3, eps=eps * 1.0001, **options).orderBy("fold").collect()
+    assert [(r["iterations"], r["rmse"]) for r in result] == wanted
+    assert len({r["iterations"] for r in result}) > 1
 
 
 def test_single_fold_trains_and_tests_on_itself(spark):

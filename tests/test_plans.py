@@ -1,12 +1,13 @@
 """Shapes of physical plans, and the joins for tables that do not fit a broadcast."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from termfit import document_term_frequency, top_terms_from_text
-from termfit.operators.factors import init_profiles, entity_ids, step_both
+from termfit.operators.factors import entity_ids, init_profiles, step_models
 from termfit.operators.points import gradient_parts, row_sums
 from termfit.plans import joins
 from termfit.plans.factorize import _Ratings
@@ -115,17 +116,28 @@ def test_logistic_passes_leave_the_points_in_place(spark):
 
 def test_large_ratings_stay_with_their_users(spark):
     ratings = spark.createDataFrame(
-        [(u, i, 1.0) for u in range(20) for i in range(10)], "user_id bigint, item_id bigint, rating double"
+        [(u, i, 1.0, -1) for u in range(20) for i in range(10)],
+        "user_id bigint, item_id bigint, rating double, fold int",
     )
-    users = durable(init_profiles(entity_ids(ratings, "user_id"), 2, 1, "u"))
-    items = durable(init_profiles(entity_ids(ratings, "item_id"), 2, 1, "v"))
-    train = _Ratings(ratings, False, True, None)
-    res = train.with_profiles(users, items, 2, "inner")
-    shown = plan(step_both(res, 0.1, 1.0, 1.0, 2))
-    # one exchange for the user profiles and one for the sums; none for the ratings
-    assert shown.split("InMemoryRelation")[0].count("Exchange hashpartitioning(user_id") == 0
-    small = _Ratings(ratings, True, True, None)
-    shown = plan(step_both(small.with_profiles(users, items, 2, "inner"), 0.1, 1.0, 1.0, 2))
+    sides = [
+        init_profiles(entity_ids(ratings, key), 2, 1, key).select(F.lit(side).alias("side"), "id", "factors")
+        for side, key in enumerate(("user_id", "item_id"))
+    ]
+    profiles = durable(sides[0].unionByName(sides[1]))
+
+    def steps(*small):
+        return plan(step_models(_Ratings(ratings, *small, None).with_profiles(profiles), [0], [0.1], 1.0, 1.0, 2))
+
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    usual = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        shown = steps(False, True)
+    finally:
+        spark.conf.set(limit, usual)
+    # the user profiles are moved and sorted, the cached ratings are read in place
+    assert re.search(r"SortMergeJoin \[user_id[^\n]*\n[^\n]*:- InMemoryTableScan", shown)
+    shown = steps(True, True)
     assert shown.count("Exchange hashpartitioning(side") == 1 and "SortAggregate" not in shown
     assert shown.count("BroadcastExchange") == 2
 
