@@ -5,14 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Vectors up to this length are written out element by element, which keeps the
-# arithmetic inside generated code; longer ones use higher-order functions.
-UNROLL_LIMIT = 64
+# Up to this many elements are written out one by one, which keeps the arithmetic in
+# generated code of a size that the JVM still compiles.
+UNROLL_LIMIT = 20
 
 
-def dot(u: str, v: str, d: int | None = None, offset: int = 0) -> Column:
-    """Inner product of whole vectors, or of d elements from ``offset`` (unrolled)."""
-    if d is not None and d <= UNROLL_LIMIT:
+def dot(u: str, v: str, d: int | None = None, offset: int = 0, unroll: bool | None = None) -> Column:
+    """Inner product of whole vectors, or of the d elements from ``offset`` on."""
+    if d is None:
+        return _fold(u, v)
+    if unroll is None:
+        unroll = d <= UNROLL_LIMIT
+    if unroll:
         return F.expr(" + ".join(f"{u}[{k}] * {v}[{k}]" for k in range(offset, offset + d)))
-    return F.expr(f"aggregate(zip_with({u}, {v}, (a, b) -> a * b), 0D, (s, x) -> s + x)")
+    return _fold(f"slice({u}, {offset + 1}, {d})", f"slice({v}, {offset + 1}, {d})")
+
 
+def _fold(u: str, v: str) -> Column:
+    return F.expr(f"aggregate(zip_with({u}, {v}, (a, b) -> a * b), 0D, (s, x) -> s + x)")

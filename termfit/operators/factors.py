@@ -22,14 +22,18 @@ def entity_ids(ratings: DataFrame, column: str) -> DataFrame:
     return ratings.select(F.col(column).alias("id")).distinct()
 
 
+def random_vector(d: int, seed: int, side: str, dist: str = "normal") -> Column:
+    """A random vector that depends on (seed, side, id) alone."""
+    draws = {"normal": hash_normal, "uniform": hash_uniform}
+    draw = draws[dist]
+    return F.array(*[draw(F.lit(seed), F.lit(side), F.col("id"), F.lit(k)) for k in range(d)])
+
+
 def init_profiles(
     ids: DataFrame, d: int, seed: int, side: str, dist: str = "normal"
 ) -> DataFrame:
-    """(id, factors): a random vector per id that depends on (seed, side, id) alone."""
-    draws = {"normal": hash_normal, "uniform": hash_uniform}
-    draw = draws[dist]
-    element = [draw(F.lit(seed), F.lit(side), F.col("id"), F.lit(k)) for k in range(d)]
-    return ids.select("id", F.array(*element).alias("factors"))
+    """(id, factors): a random vector for every id."""
+    return ids.select("id", random_vector(d, seed, side, dist).alias("factors"))
 
 
 def as_users(profiles: DataFrame) -> DataFrame:
@@ -127,60 +131,71 @@ def gain_schedule(gain: float, power: float, iteration: int) -> float:
     return gain / iteration**power
 
 
+def parts_per_model(d: int) -> int:
+    """Long vectors are summed in parts of at most UNROLL_LIMIT elements."""
+    return -(-d // UNROLL_LIMIT)
+
+
 def _descend(
-    pulls: DataFrame, keys: list[str], gammas: list[float], strength: str, d: int, **extra: str
+    pulls: DataFrame, keys: list[str], gammas: list[float], strength: str, d: int
 ) -> DataFrame:
-    """(*keys, factors, sq_error, sq_norm): own - gamma * (sum(2 delta other) + 2 strength own).
+    """(*keys, factors, parts): own - gamma * (sum(2 delta other) + 2 strength own) per key.
 
     Several models are stepped side by side: ``own`` and ``other`` hold the d factors of
-    each model one after the other, and ``delta`` one residual per model, NULL where the
-    row does not train it. ``sq_error`` and ``sq_norm`` give, per model, the key's share of
-    the squared error and its squared norm before the step. ``extra`` names further sums.
+    each model one after the other; ``delta`` and ``held`` have one residual per model,
+    NULL where the row does not train or test it. A part is a stretch of one model's
+    vector; every pull is summed part by part in a hash aggregate over plain numbers.
+    ``parts`` gives each part's share of the squared error, the squared norm before the
+    step, the held-out squared error and the number of held-out rows scored.
     """
-    further = [F.expr(rule).alias(name) for name, rule in extra.items()]
-    models = range(len(gammas))
-    cells = [(m, k, m * d + k) for m in models for k in range(d)]
-    step = "{p} - {gamma!r}D * ({g} + 2D * ({strength}) * {p})"
-    if len(cells) <= UNROLL_LIMIT:
-        # plain numbers as buffers, so that this stays a hash aggregate
-        sums = [F.expr(f"sum(2D * delta[{m}] * weight * other[{e}])").alias(f"_g{e}") for m, _, e in cells]
-        sums += [F.expr(f"first(own[{e}])").alias(f"_p{e}") for _, _, e in cells]
-        sums += [F.expr(f"sum(delta[{m}] * delta[{m}] * weight)").alias(f"_e{m}") for m in models]
-        summed = pulls.groupBy(*keys).agg(*sums, *further)
-        factors = [
-            step.format(p=f"_p{e}", g=f"_g{e}", gamma=float(gammas[m]), strength=strength) for m, _, e in cells
-        ]
-        norms = [" + ".join(f"_p{m * d + k} * _p{m * d + k}" for k in range(d)) for m in models]
-        return summed.select(
-            *keys,
-            F.expr(f"array({', '.join(factors)})").alias("factors"),
-            F.expr(f"array({', '.join(f'_e{m}' for m in models)})").alias("sq_error"),
-            F.expr(f"array({', '.join(norms)})").alias("sq_norm"),
-            *extra,
+    per_model = parts_per_model(d)
+    width = -(-d // per_model)
+    stretches = [
+        (m * per_model + c, m, c, m * d + c * width, min(width, d - c * width))
+        for m in range(len(gammas))
+        for c in range(per_model)
+    ]
+    single = len(stretches) == 1
+    if single:
+        pieces = pulls.select(
+            *keys, "weight", "own", "other", F.lit(0).alias("part"),
+            F.expr("delta[0] AS delta"), F.expr("delta[0] AS error"), F.expr("held[0] AS held"),
         )
-    if len(gammas) > 1:
-        raise ValueError("several models are stepped together only while all their factors are unrolled")
-    # one row per element, so that no buffer grows with d; at most d rows per key meet
-    elements = pulls.select("*", F.expr("posexplode_outer(arrays_zip(own, other))").alias("k", "pair"))
-    per_element = elements.groupBy(*keys, "k").agg(
-        F.expr("first(pair.own)").alias("own"),
-        F.expr("sum(2D * delta[0] * weight * pair.other)").alias("gradient"),
-        F.expr("sum(delta[0] * delta[0] * weight)").alias("error"),
-        *further,
+    else:
+        structs = ", ".join(
+            f"struct({part} AS part, slice(own, {start + 1}, {n}) AS own, slice(other, {start + 1}, {n}) AS other, "
+            f"delta[{m}] AS delta, {f'delta[{m}]' if c == 0 else 'CAST(NULL AS DOUBLE)'} AS error, "
+            f"{f'held[{m}]' if c == 0 else 'CAST(NULL AS DOUBLE)'} AS held)"
+            for part, m, c, start, n in stretches
+        )
+        pieces = pulls.select(*keys, "weight", F.expr(f"inline(array({structs}))"))
+    cells = range(width)
+    summed = pieces.groupBy(*keys, "part").agg(
+        *[F.expr(f"sum(2D * delta * weight * get(other, {j}))").alias(f"_g{j}") for j in cells],
+        *[F.expr(f"first(get(own, {j}))").alias(f"_p{j}") for j in cells],
+        F.expr("sum(error * error * weight)").alias("sq_error"),
+        F.expr("sum(held * held * weight)").alias("held_error"),
+        F.expr("sum(IF(held IS NULL, 0, weight))").alias("held_rows"),
     )
-    in_order = F.expr(
-        "array_sort(collect_list(struct(k, own, gradient)) FILTER (WHERE k IS NOT NULL))"
-    ).alias("e")
-    summed = per_element.groupBy(*keys).agg(
-        in_order, *[F.expr(f"max({name})").alias(name) for name in ("error", *extra)]
+    steps = ", ".join(f"{float(gamma)!r}D" for gamma in gammas)
+    gamma = f"{float(gammas[0])!r}D" if len(set(gammas)) == 1 else f"array({steps})[part div {per_model}]"
+    moved = ", ".join(f"_p{j} - {gamma} * (_g{j} + 2D * ({strength}) * _p{j})" for j in cells)
+    last = d - (per_model - 1) * width
+    if last < width:
+        moved = f"slice(array({moved}), 1, IF(part % {per_model} = {per_model - 1}, {last}, {width}))"
+    else:
+        moved = f"array({moved})"
+    norm = " + ".join(f"coalesce(_p{j} * _p{j}, 0D)" for j in cells)
+    report = f"struct(part, sq_error, {norm} AS sq_norm, held_error, held_rows)"
+    stepped = summed.select(*keys, "part", F.expr(moved).alias("factors"), F.expr(report).alias("report"))
+    if single:
+        return stepped.select(*keys, "factors", F.array("report").alias("parts"))
+    # as many rows meet per key as it has parts
+    whole = stepped.groupBy(*keys).agg(
+        F.expr("array_sort(collect_list(struct(part, factors, report)))").alias("_parts")
     )
-    stepped = step.format(p="p", g="g", gamma=float(gammas[0]), strength=strength)
-    return summed.select(
-        *keys,
-        F.expr(f"IF(size(e) > 0, zip_with(e.own, e.gradient, (p, g) -> {stepped}), NULL)").alias("factors"),
-        F.array("error").alias("sq_error"),
-        F.array(dot("e.own", "e.own")).alias("sq_norm"),
-        *extra,
+    return whole.select(
+        *keys, F.flatten("_parts.factors").alias("factors"), F.col("_parts.report").alias("parts")
     )
 
 
@@ -190,6 +205,7 @@ def _step(res: DataFrame, key: str, own: str, other: str, gamma: float, strength
         F.col(own).alias("own"),
         F.col(other).alias("other"),
         F.array("delta").alias("delta"),
+        F.expr("array(CAST(NULL AS DOUBLE))").alias("held"),
         _weight(res).alias("weight"),
     )
     return _descend(pulls, ["id"], [gamma], f"{float(strength)!r}D", d).select("id", "factors")
@@ -208,22 +224,25 @@ def step_items(res: DataFrame, gamma: float, mu: float, d: int) -> DataFrame:
 def step_models(
     rows: DataFrame, models: list[int], gammas: list[float], lam: float, mu: float, d: int
 ) -> DataFrame:
-    """(side, id, factors, sq_error, sq_norm, held_error<i>, held_rows<i>): all profiles stepped.
+    """(side, id, factors, parts): all profiles of several models after one step.
 
     ``rows`` is (user_id, item_id, rating, fold[, weight], u, v), with u and v holding the
     factors of every model and NULL where a profile is missing. A model trains on the rows
     whose fold is not its own number; the rows of its own fold are held out, and their
-    squared error and the number of them that could be scored are booked on the user.
+    error is booked on the user.
 
     All of it comes from one reading of the rows and one aggregation in which every row
     pulls at its user and at its item.
     """
     places = range(len(models))
-    residuals = [dot("u", "v", d, offset=i * d) - F.col("rating") for i in places]
-    delta = F.array(*residuals).alias("delta")
+    unroll = len(models) * d <= UNROLL_LIMIT
+    residuals = [dot("u", "v", d, i * d, unroll) - F.col("rating") for i in places]
     trained = ", ".join(f"IF(fold = {m}, NULL, delta[{i}])" for i, m in enumerate(models))
     held = ", ".join(f"IF(fold = {m}, delta[{i}], NULL)" for i, m in enumerate(models))
-    scored = rows.select("user_id", "item_id", "fold", "u", "v", _weight(rows).alias("weight"), delta)
+    nothing = ", ".join("CAST(NULL AS DOUBLE)" for _ in models)
+    scored = rows.select(
+        "user_id", "item_id", "fold", "u", "v", _weight(rows).alias("weight"), F.array(*residuals).alias("delta")
+    )
     pulls = scored.select(
         "weight",
         F.expr(
@@ -231,12 +250,20 @@ def step_models(
             f"struct({USER} AS side, user_id AS id, u AS own, v AS other, "
             f"array({trained}) AS delta, array({held}) AS held), "
             f"struct({ITEM} AS side, item_id AS id, v AS own, u AS other, "
-            f"array({trained}) AS delta, CAST(NULL AS ARRAY<DOUBLE>) AS held)))"
+            f"array({trained}) AS delta, array({nothing}) AS held)))"
         ),
     )
-    extra = {}
-    for i in places:
-        extra[f"held_error{i}"] = f"sum(held[{i}] * held[{i}] * weight)"
-        extra[f"held_rows{i}"] = f"sum(IF(held[{i}] IS NULL, 0, weight))"
     strength = f"IF(side = {USER}, {float(lam)!r}D, {float(mu)!r}D)"
-    return _descend(pulls, ["side", "id"], gammas, strength, d, **extra)
+    return _descend(pulls, ["side", "id"], gammas, strength, d)
+
+
+def report(stepped: DataFrame, d: int) -> DataFrame:
+    """(place, error, users_norm, items_norm, held_error, held_rows): one row per model."""
+    parts = stepped.select("side", F.expr("inline(parts)"))
+    return parts.groupBy(F.expr(f"part div {parts_per_model(d)}").alias("place")).agg(
+        F.expr(f"coalesce(sum(IF(side = {USER}, sq_error, 0D)), 0D)").alias("error"),
+        F.expr(f"coalesce(sum(IF(side = {USER}, sq_norm, 0D)), 0D)").alias("users_norm"),
+        F.expr(f"coalesce(sum(IF(side = {ITEM}, sq_norm, 0D)), 0D)").alias("items_norm"),
+        F.expr("coalesce(sum(held_error), 0D)").alias("held_error"),
+        F.expr("CAST(coalesce(sum(held_rows), 0) AS BIGINT)").alias("held_rows"),
+    )

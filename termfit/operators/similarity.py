@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termfit.plans.joins import hot_keys, salted_join
+from termfit.session import durable
 
 
 def _cosine(stacked: DataFrame, keys: list[str]) -> DataFrame:
@@ -75,9 +76,9 @@ def pairwise_cosine(
             requests,
             scores,
             "_doc",
-            hot_left=hot_keys(requests.groupBy("_doc").count(), "_doc"),
+            hot_left=durable(hot_keys(requests.groupBy("_doc").count(), "_doc")),
             left_by=[left, right, "_side"],
-            hot_right=hot_keys(scores.groupBy("_doc").count(), "_doc"),
+            hot_right=durable(hot_keys(scores.groupBy("_doc").count(), "_doc")),
             right_by=["term"],
         )
     value_of = F.col("_value").cast("double")

@@ -10,14 +10,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termfit.functions.vectors import UNROLL_LIMIT
 from termfit.operators.factors import (
     ITEM,
     USER,
     as_items,
     as_users,
     gain_schedule,
-    init_profiles,
+    random_vector,
+    report,
     step_models,
 )
 from termfit.plans.joins import add_salt, copy_per_salt, fits_broadcast, hot_keys
@@ -107,17 +107,15 @@ def _draw(rows: DataFrame, models: list[int], d: int, seed: int, dist: str) -> D
 
     All models start from the same vector of an id.
     """
-    sides = []
+    nothing = f"array_repeat(CAST(NULL AS DOUBLE), {d})"
+    parts = ", ".join(f"IF(low = {m} AND high = {m}, {nothing}, drawn)" for m in models)
+    tables = []
     for side, key, tag in ((USER, "user_id", "u"), (ITEM, "item_id", "v")):
         ids = rows.groupBy(F.col(key).alias("id")).agg(
             F.min("fold").alias("low"), F.max("fold").alias("high")
         )
-        drawn = init_profiles(ids, d, seed, tag, dist).join(ids, "id")
-        sides.append((side, drawn))
-    nothing = f"array_repeat(CAST(NULL AS DOUBLE), {d})"
-    parts = ", ".join(f"IF(low = {m} AND high = {m}, {nothing}, factors)" for m in models)
-    factors = F.expr(f"concat({parts})").alias("factors")
-    tables = [drawn.select(F.lit(side).alias("side"), "id", factors) for side, drawn in sides]
+        drawn = ids.withColumn("drawn", random_vector(d, seed, tag, dist))
+        tables.append(drawn.select(F.lit(side).alias("side"), "id", F.expr(f"concat({parts})").alias("factors")))
     return tables[0].unionByName(tables[1])
 
 
@@ -165,14 +163,16 @@ def _descend_all(
         gammas = [gamma if change > eps else 0.0 for change in changes]
         table = ratings.with_profiles(profiles)
         profiles = durable(step_models(table, models, gammas, lam, mu, d))
-        sums = _sums(profiles, len(models))
+        # one row per model
+        sums = {row["place"]: row for row in report(profiles, d).collect()}
         for i, step in enumerate(gammas):
-            if step == 0.0:
+            if step == 0.0 or i not in sums:
+                changes[i] = 0.0
                 continue
-            error, users_norm, items_norm, held_error, held_rows = sums[5 * i : 5 * i + 5]
+            _, error, users_norm, items_norm, held_error, held_rows = sums[i]
             previous, totals[i] = totals[i], error + lam * users_norm + mu * items_norm
             changes[i] = abs(totals[i] - previous)
-            n, scored = (n_test[i], int(held_rows)) if n_test[i] else (n_train[i], n_train[i])
+            n, scored = (n_test[i], held_rows) if n_test[i] else (n_train[i], n_train[i])
             if not n_test[i]:
                 held_error = error
             quality = [math.sqrt(held_error / count) if count else None for count in (n, scored)]
@@ -182,20 +182,6 @@ def _descend_all(
     return profiles, history
 
 
-def _sums(stepped: DataFrame, models: int) -> list[float]:
-    """Per model: squared error, both squared norms, held-out error and scored rows."""
-    rules = []
-    for i in range(models):
-        rules += [
-            f"sum(IF(side = {USER}, sq_error[{i}], 0D))",
-            f"sum(IF(side = {USER}, sq_norm[{i}], 0D))",
-            f"sum(IF(side = {ITEM}, sq_norm[{i}], 0D))",
-            f"sum(held_error{i})",
-            f"sum(held_rows{i})",
-        ]
-    return [value or 0.0 for value in stepped.agg(*[F.expr(rule) for rule in rules]).first()]
-
-
 def factorize(
     ratings: DataFrame,
     test: DataFrame | None = None,
@@ -255,29 +241,26 @@ def cross_validate(
     Each fold is held out once and its last logged errors are kept; a single fold is
     both training and test set. The cross-validation error is the mean of ``rmse``.
 
-    The models of all folds are trained side by side, as many at a time as their
-    unrolled factors allow, so the ratings are read once per iteration and not once per
-    fold and iteration.
+    The models of all folds are trained side by side, so the ratings are read once per
+    iteration and not once per fold and iteration.
     """
     spark = folded.sparkSession
     folded = folded.where(F.col("fold").between(0, folds - 1))
     folded = folded.select(*ROW).persist(StorageLevel.MEMORY_AND_DISK)
     sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
-    together = max(1, UNROLL_LIMIT // d)
+    # the only fold of a single-fold run is not held out
+    table = folded.withColumn("fold", F.lit(-1)) if folds == 1 else folded
+    models = list(range(folds))
+    _, history = _descend_all(
+        table, models, d, gain, power, lam, mu, eps, maxiter, seed, dist, num_partitions
+    )
+    last = {row[0]: row for row in history}
     rows = []
-    for first in range(0, folds, together):
-        models = list(range(first, min(first + together, folds)))
-        # the only fold of a single-fold run is not held out
-        table = folded.withColumn("fold", F.lit(-1)) if folds == 1 else folded
-        _, history = _descend_all(
-            table, models, d, gain, power, lam, mu, eps, maxiter, seed, dist, num_partitions
-        )
-        last = {row[0]: row for row in history}
-        for i, m in enumerate(models):
-            n_test = sizes.get(m, 0)
-            n_train = sum(sizes.values()) - (n_test if folds > 1 else 0)
-            _, iterations, _, _, _, _, rmse, rmse_scored, _, _ = last.get(i, [i, 0] + [None] * 8)
-            rows.append((m, n_train, n_test, iterations, rmse, rmse_scored))
+    for m in models:
+        n_test = sizes.get(m, 0)
+        n_train = sum(sizes.values()) - (n_test if folds > 1 else 0)
+        _, iterations, _, _, _, _, rmse, rmse_scored, _, _ = last.get(m, [m, 0] + [None] * 8)
+        rows.append((m, n_train, n_test, iterations, rmse, rmse_scored))
     folded.unpersist()
     schema = "fold INT, n_train BIGINT, n_test BIGINT, iterations INT, rmse DOUBLE, rmse_scored DOUBLE"
     return spark.createDataFrame(rows, schema)
