@@ -160,14 +160,16 @@ def _descend_all(
         iteration += 1
         gamma = gain_schedule(gain, power, iteration)
         # a model that has stopped stays where it is
-        gammas = [gamma if change > eps else 0.0 for change in changes]
+        active = [change > eps for change in changes]
+        gammas = [gamma if on else 0.0 for on in active]
         table = ratings.with_profiles(profiles)
         profiles = durable(step_models(table, models, gammas, lam, mu, d))
         # one row per model
         sums = {row["place"]: row for row in report(profiles, d).collect()}
-        for i, step in enumerate(gammas):
-            if step == 0.0 or i not in sums:
-                changes[i] = 0.0
+        for i, on in enumerate(active):
+            if i not in sums:
+                changes[i] = math.nan
+            if not on or i not in sums:
                 continue
             _, error, users_norm, items_norm, held_error, held_rows = sums[i]
             previous, totals[i] = totals[i], error + lam * users_norm + mu * items_norm

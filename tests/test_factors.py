@@ -246,6 +246,11 @@ def test_stopping(spark):
     assert none.history.count() == 0 and none.users.count() == 2 and none.items.count() == 2
     early = factorize(rated(spark, TRAIN), maxiter=9, eps=1e98, initial=start(spark), **GOLDEN)
     assert early.history.count() == 2
+    still = factorize(rated(spark, TRAIN), maxiter=2, initial=start(spark), **{**GOLDEN, "gain": 0.0})
+    assert [r["objective"] for r in still.history.orderBy("iter").collect()] == [41.5, 41.5]
+    assert vectors(still.users) == USERS
+    empty = factorize(rated(spark, []), d=2, maxiter=3)
+    assert empty.history.count() == 0 and empty.users.count() == 0
 
 
 def test_repartitioned_run_is_the_same(spark):
