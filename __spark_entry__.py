@@ -28,6 +28,11 @@ from termfit.sources.readers import (
 )
 from termfit.sources.writers import write_ranked, write_scalar, write_scores
 
+try:  # the training-data operators and their queries can be left out
+    from termfit.llm import queries as training_data
+except ImportError:
+    training_data = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Model settings shared by the queries and their SQL.
@@ -443,7 +448,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {
+    own = {
         query.__name__: query
         for query in (
             tokens_by_doc,
@@ -503,6 +508,7 @@ def queries() -> dict[str, Query]:
             logistic_model_roundtrip,
         )
     }
+    return own | (training_data.QUERIES if training_data else {})
 
 
 # ---------------------------------------------------------------- SQL counterparts
@@ -749,7 +755,7 @@ def oracle_sql() -> dict[str, str]:
     corpus = f"WITH {_CORPUS_SCORES} SELECT term, round(tfidf, 6) AS tfidf FROM corpus"
     folds = f"WITH {_RATINGS} SELECT user_id, item_id, round(rating, 6) AS rating, {_FOLD} AS fold FROM r"
     last = LR_ITERATIONS
-    return {
+    own = {
         "tokens_by_doc": f"SELECT doc_id, count(*) AS n_tokens FROM ({_sql_tokens('documents', 'doc_id')}) GROUP BY doc_id",
         "terms_by_doc": f"WITH {_TERMS} SELECT doc_id, count(*) AS n_terms FROM terms GROUP BY doc_id",
         "tf_corpus": tf,
@@ -823,3 +829,4 @@ SELECT round(sqrt(coalesce(sum(delta * delta), 0) / count(*)), 6) AS rmse,
         "factor_model_roundtrip": _sql_trained(2),
         "logistic_model_roundtrip": f"WITH {_sql_descent(last)}, {_sql_margin(last)} SELECT {_PREDICT} FROM m{last}",
     }
+    return own | (training_data.ORACLE_SQL if training_data else {})

@@ -25,11 +25,15 @@ def ordered(rows):
     return sorted(plain, key=str)
 
 
+#: The training-data queries have tests of their own.
+OWN = [name for name in registry.queries() if not name.startswith("op") and name != "pipeline"]
+
+
 def test_every_query_has_sql():
-    assert registry.queries().keys() == registry.oracle_sql().keys()
+    assert set(OWN) <= registry.oracle_sql().keys() <= registry.queries().keys()
 
 
-@pytest.mark.parametrize("name", registry.queries())
+@pytest.mark.parametrize("name", OWN)
 def test_query_equals_sql(spark, database, name):
     found = registry.queries()[name](spark, FOLDER)
     result = database.execute(registry.oracle_sql()[name])
