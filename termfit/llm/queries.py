@@ -2,21 +2,84 @@
 
 from __future__ import annotations
 
+import os
 from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from termfit.llm import jaccard, quality
+from termfit.llm import bpe, chat, credentials, jaccard, quality, tiling, urls
+
+#: Where the public vocabularies are, unless the environment or the package of that name says otherwise.
+TOKENIZERS = "/opt/tokenizers"
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def fitted_quality(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
+def bpe_path() -> str:
+    """The vocabulary file, which the driver reads."""
+    try:
+        from public_tokenizers import path
+    except ImportError:
+        return os.path.join(TOKENIZERS, "word_bpe_49k.json")
+    return path("word_bpe_49k.json")
+
+
+def fitted_quality(spark: SparkSession, docs: DataFrame, sf: str, carry: list[str] | None = None) -> DataFrame:
     """Quality rules with both multinomials fitted to ``docs``; the trusted target comes from ``labels``."""
     ratio = quality.fit_ratio(docs, quality.trusted_ids(_table(spark, sf, "labels")))
-    return quality.quality_rules(docs, ratio)
+    return quality.quality_rules(docs, ratio, carry=carry)
+
+
+#: The rules of the URL query.
+URL_RULES = [
+    urls.Rule("org", "/", "allow"),
+    urls.Rule("example.org", "/es/", "block"),
+    urls.Rule("example.org", "/en/1", "block"),
+    urls.Rule("com", "/fr/", "allow"),
+    urls.Rule("com", "/de/", "block"),
+]
+
+
+def op1_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules decide first; URLs without a rule get the verdict of a model fitted to those with one."""
+    pages = _table(spark, sf, "pages")
+    return urls.judge(pages, URL_RULES, urls.train(urls.ruled_urls(pages, URL_RULES)))
+
+
+def op2_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    rows = _table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    return chat.digests(chat.read_back(chat.format_conversations(rows.unionByName(more))))
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = tiling.leaked_items(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+    return found.select("doc_id", "item_id", "item_words", "covered_words", "coverage", F.size("tiles").alias("n_tiles"))
+
+
+def op5_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    return credentials.summary(credentials.scan(docs, F.col("source"), F.concat_ws("/", "source", "lang")))
+
+
+def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    path = bpe_path()
+    decoded = bpe.decode(bpe.encode(_table(spark, sf, "documents"), path), path)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
@@ -28,5 +91,47 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return members
 
 
-QUERIES = {query.__name__: query for query in (op4_ngram_jaccard_join, op9_quality_rules)}
-ORACLE_SQL: dict[str, str] = {}
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)
+
+
+QUERIES = {
+    query.__name__: query
+    for query in (
+        op1_url_filters,
+        op2_chat_formatting,
+        op3_benchmark_decontamination,
+        op4_ngram_jaccard_join,
+        op5_secret_scans,
+        op9_quality_rules,
+        op10_bpe,
+        pipeline,
+    )
+}
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_chat_formatting": r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), w AS (
+  SELECT *, length(text) - length(replace(text, '\', ''))
+    + coalesce(list_sum(list_transform(regexp_extract_all(text, '#{3,}'), x -> length(x) - 2)), 0)
+    + (length(text) - length(replace(text, '</turn>', ''))) // 7 AS escapes,
+    length(role) - length(replace(role, '\', ''))
+    + coalesce(list_sum(list_transform(regexp_extract_all(role, '#{3,}'), x -> length(x) - 2)), 0)
+    + (length(role) - length(replace(role, '</turn>', ''))) // 7
+    + (length(role) - length(replace(role, ': ', ''))) // 2 AS role_escapes
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(role) + role_escapes + length(text) + escapes + 14)::BIGINT AS formatted_chars,
+  regexp_matches(string_agg(role || ',', '' ORDER BY turn NULLS FIRST, role, text), '^(system,)?(user,assistant,)+$') AS valid
+FROM w GROUP BY conv_id""",
+}
