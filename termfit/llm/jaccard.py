@@ -8,10 +8,10 @@ how many spare ones there are, is chosen per band by cost. A set leaves out its
 selective segments as far as the spare ones allow (see ``_signatures``). Sets that share
 a signature are candidates and are verified on their whole shingle sets.
 
-Copies are merged before the join. Inside a bucket, sets are compared with a few pivots
-and, as long as it still holds sets of different components, with twice as many pivots in
-the next round: no bucket is expanded into its pairs, and no link is lost that would
-join two components.
+Copies are merged before the join. The members of a bucket are compared with one of them only. A
+bucket whose members are then in different components is divided further by how they
+differ from that one (see ``_stars_by_difference``), and so on: no bucket is expanded into
+its pairs, and no link is lost that would join two components.
 """
 
 from __future__ import annotations
@@ -273,35 +273,20 @@ def jaccard_components(
     sets = docs.join(ids, "doc_id").mapInArrow(_sets(shingle_size), "doc_id bigint, shingles array<bigint>")
     sets = _stored(sets, "sets")
     links = None
-    pairs = members.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    active, pivots = members.where("doc_id <> first"), 1
+    stars = members.where("doc_id <> first").select("first", "doc_id").distinct()
     while True:
-        found = _stored(verify(pairs.distinct(), sets, threshold), "found")
+        stars = _stored(stars, "stars")
+        found = _stored(verify(stars.select(F.col("first").alias("a"), F.col("doc_id").alias("b")), sets, threshold), "found")
         links = found if links is None else links.union(found)
-        labels = components(links)
-        # What is left of a bucket is active while it holds different components.
-        known = active.select("signature", "doc_id").join(
-            labels.withColumnRenamed("id", "doc_id"), "doc_id", "left"
-        )
-        known = known.select("signature", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-        mixed = known.groupBy("signature").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        active = _stored(known.join(mixed.where("lo <> hi").select("signature"), "signature"), "active")
+        labels = _stored(components(links), "components")
+        # A group is what was compared with one document. It is active while it holds different components.
+        group = stars.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+        group = group.select("first", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+        mixed = group.groupBy("first").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        active = _stored(group.join(mixed.where("lo <> hi").select("first"), "first"), "active")
         if not active.limit(1).count():
             break
-        pivots *= 2
-        ranked = active.selectExpr(
-            "*", f"row_number() OVER (PARTITION BY signature ORDER BY doc_id) <= {pivots} AS pivot"
-        )
-        ranked = _stored(ranked, "ranked")
-        p = ranked.where("pivot").select(
-            "signature", F.col("doc_id").alias("p"), F.col("component").alias("p_component")
-        )
-        pairs = (
-            ranked.join(p, "signature")
-            .where("component <> p_component")
-            .select(F.least("doc_id", "p").alias("a"), F.greatest("doc_id", "p").alias("b"))
-        )
-        active = ranked.where("NOT pivot")
+        stars = _stars_by_difference(active, sets, threshold)
 
     named = classes.join(
         labels.select(F.col("id").alias("representative"), "component"), "representative", "left"
@@ -312,6 +297,53 @@ def jaccard_components(
     return linked.select(columns).union(alone.select(columns)), links
 
 
+def _stars_by_difference(active: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
+    """(first, doc_id): what to compare next inside groups (first, doc_id, component) that hold several components.
+
+    Let D(x) be the difference of x and the group's first document. Two members differ in |D(x) + D(y)| elements
+    (symmetric difference), so similar ones with |D(x)| + |D(y)| > H share an element of D, and the prefix
+    principle holds: with D ordered from the rarest element on, the shorter of the two holds a shared
+    element among its first H/2 + 1 (``index``), the longer among its first H + 1. Members with |D(x)| <= H
+    also meet in one bucket of their own. Each bucket is compared with one of its index members.
+    """
+    left = sets.select("doc_id", F.col("shingles").alias("mine"))
+    right = sets.select(F.col("doc_id").alias("first"), F.col("shingles").alias("other"))
+    n = F.size("mine").cast("bigint")
+    reach = n + F.floor(n * t.denominator / t.numerator)
+    allowed = F.floor(reach * (t.denominator - t.numerator) / (t.denominator + t.numerator))
+    differing = F.concat(F.array_except("mine", "other"), F.array_except("other", "mine"))
+    apart = active.join(left, "doc_id").join(right, "first").select(
+        "first", "doc_id", "component", (allowed + 1).alias("allowed"), differing.alias("d")
+    )
+    apart = _stored(apart, "differences")
+    rows = apart.select("first", "doc_id", "component", "allowed", F.explode("d").alias("element"))
+    counts = rows.groupBy("first", "element").count()
+    ranked = rows.join(counts.where("count > 1"), ["first", "element"], "left").select(
+        "first", "doc_id", "component", "allowed", F.struct(F.coalesce("count", F.lit(1)).alias("n"), "element").alias("e")
+    )
+    # D is at most as long as the two sets, so one document's part fits a task.
+    ranked = ranked.groupBy("first", "doc_id", "component", "allowed").agg(F.sort_array(F.collect_list("e")).alias("d"))
+    prefix = F.slice("d", F.lit(1), F.col("allowed").cast("int") + 1)
+    placed = ranked.select(
+        "first", "doc_id", "component", "allowed", F.posexplode(prefix).alias("at", "e")
+    ).where("e.n > 1")
+    placed = placed.select(
+        "first", "doc_id", "component", F.col("e.element").alias("element"), (2 * F.col("at") <= F.col("allowed")).alias("index")
+    )
+    near = apart.where("size(d) <= allowed").select(
+        "first", "doc_id", "component", F.lit(None).cast("bigint").alias("element"), F.lit(True).alias("index")
+    )
+    placed = _stored(placed.union(near).withColumn("bucket", F.xxhash64("first", "element")), "placed")
+    buckets = placed.groupBy("bucket").agg(
+        F.min(F.when(F.col("index"), F.col("doc_id"))).alias("star"),
+        F.min("component").alias("lo"),
+        F.max("component").alias("hi"),
+    )
+    buckets = buckets.where("star IS NOT NULL AND lo <> hi").select("bucket", "star")
+    met = placed.join(buckets, "bucket").where("doc_id <> star")
+    return met.select(F.col("star").alias("first"), "doc_id").distinct()
+
+
 def verify(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
     """The pairs (a, b) whose whole sets (doc_id, shingles) reach the threshold."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left"))
