@@ -8,7 +8,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termfit.llm import bpe, chat, credentials, jaccard, quality, tiling, urls
+from termfit.llm import backoff, bpe, chat, credentials, jaccard, quality, tiling, urls
 
 #: Where the public vocabularies are, unless the environment or the package of that name says otherwise.
 TOKENIZERS = "/opt/tokenizers"
@@ -71,6 +71,10 @@ def op5_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
     return credentials.summary(credentials.scan(docs, F.col("source"), F.concat_ws("/", "source", "lang")))
 
 
+def op8_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return backoff.score(_table(spark, sf, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path = bpe_path()
     decoded = bpe.decode(bpe.encode(_table(spark, sf, "documents"), path), path)
@@ -105,6 +109,7 @@ QUERIES = {
         op3_benchmark_decontamination,
         op4_ngram_jaccard_join,
         op5_secret_scans,
+        op8_lm_scoring,
         op9_quality_rules,
         op10_bpe,
         pipeline,
