@@ -152,9 +152,12 @@ def summary(scanned: DataFrame) -> DataFrame:
     def count(what) -> Column:
         return F.size(F.filter("spans", what)).cast("bigint")
 
+    def of_kind(kind: str) -> Column:
+        return count(lambda s: s["kind"] == kind).alias(f"n_{kind}")
+
     return scanned.select(
         "doc_id",
-        *(count(lambda s, k=k: s["kind"] == k).alias(f"n_{k}") for k in KINDS[:3]),
+        *map(of_kind, KINDS[:3]),
         F.sha2(joined(F.filter("spans", lambda s: s["kind"] != "owned")), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
         count(lambda s: s["live"]).alias("n_live"),
