@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from termfit.llm.words import Words, mix, shingles, slices, words
 
@@ -185,6 +186,8 @@ def leaked_items(
     tile = "array<struct<item_start:bigint,doc_start:bigint,length:bigint>>"
     schema = f"doc_id {id_type}, item_id {item_type}, item_words bigint, covered_words bigint, coverage double, tiles {tile}"
 
+    item_arrow = to_arrow_type(benchmark.schema["item_id"].dataType)
+
     def run(block: Benchmark):
         def tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tile_type = pa.list_(pa.struct([("item_start", pa.int64()), ("doc_start", pa.int64()), ("length", pa.int64())]))
@@ -200,7 +203,7 @@ def leaked_items(
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column("doc_id").take(pa.array([r for r, *_ in rows], pa.int64())),
-                            pa.array([block.ids[i] for _, i, _ in rows]),
+                            pa.array([block.ids[i] for _, i, _ in rows], item_arrow),
                             pa.array(total, pa.int64()),
                             pa.array(covered, pa.int64()),
                             pa.array([c / t for c, t in zip(covered, total, strict=True)], pa.float64()),
