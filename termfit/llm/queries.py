@@ -8,7 +8,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termfit.llm import backoff, bpe, chat, credentials, jaccard, quality, repeats, tiling, urls
+from termfit.llm import backoff, bpe, chat, credentials, jaccard, licenses, quality, repeats, tiling, urls
 
 #: Where the public vocabularies are, unless the environment or the package of that name says otherwise.
 TOKENIZERS = "/opt/tokenizers"
@@ -71,6 +71,10 @@ def op5_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
     return credentials.summary(credentials.scan(docs, F.col("source"), F.concat_ws("/", "source", "lang")))
 
 
+def op6_license_scans(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf, "documents"))
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return repeats.digests(repeats.remove_repeats(_table(spark, sf, "documents")))
 
@@ -113,6 +117,7 @@ QUERIES = {
         op3_benchmark_decontamination,
         op4_ngram_jaccard_join,
         op5_secret_scans,
+        op6_license_scans,
         op7_suffix_array_dedup,
         op8_lm_scoring,
         op9_quality_rules,
