@@ -187,7 +187,7 @@ def remove_repeats(
     length: int = LENGTH,
     *,
     block_bytes: int = exchange.BLOCK_BYTES // 2,
-    range_bytes: int = exchange.RANGE_BYTES,
+    range_bytes: int = exchange.RANGE_BYTES // 4,
 ) -> DataFrame:
     """Every row of ``docs`` (doc_id, text) without the bytes that a repeated string of ``length`` bytes covers.
 
