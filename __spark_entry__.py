@@ -15,7 +15,7 @@ from termfit.functions.logistic import gradient_weight, logistic_loss
 from termfit.operators import factors, points, text
 from termfit.operators.similarity import cosine_similarity
 from termfit.plans.corpus import compare_documents, score_corpus
-from termfit.plans.factorize import FactorModel, cross_validate, factorize, fit_and_save
+from termfit.plans.factorize import FactorModel, cross_validate, cross_validation_error, factorize, fit_and_save
 from termfit.plans.logistic import LogisticModel, train_logistic
 from termfit.session import durable, scratch_path
 from termfit.sources.readers import (
@@ -292,6 +292,11 @@ def cross_validation(spark, sf):
     return _rounded(result, 6, "rmse", "rmse_scored")
 
 
+def cross_validation_mean(spark, sf):
+    result = cross_validate(_folded(spark, sf), FOLDS, **_mf_options(CV_ITERATIONS))
+    return _rounded(cross_validation_error(result), 4, "rmse", "rmse_scored")
+
+
 # ---------------------------------------------------------------- logistic regression
 
 
@@ -482,6 +487,7 @@ def queries() -> dict[str, Query]:
             factorize_history,
             factorize_profiles,
             cross_validation,
+            cross_validation_mean,
             all_features,
             margins,
             row_losses,
@@ -802,6 +808,8 @@ SELECT round(sqrt(coalesce(sum(delta * delta), 0) / count(*)), 6) AS rmse,
         "factorize_history": _sql_factor_history(),
         "factorize_profiles": _sql_trained(MF_ITERATIONS),
         "cross_validation": _sql_cross_validation(),
+        "cross_validation_mean": "SELECT count(*) AS folds, round(avg(rmse), 4) AS rmse, "
+        f"round(avg(rmse_scored), 4) AS rmse_scored FROM ({_sql_cross_validation()})",
         "all_features": f"WITH {_LONG} SELECT DISTINCT f AS feature FROM d",
         "margins": f"{_FIXED}{_sql_margin(0)} SELECT id AS row_id, y, round(m, 6) AS m FROM m0",
         "row_losses": f"{_FIXED}{_sql_margin(0)} SELECT id AS row_id, round({_sql_loss('y * m')}, 6) AS loss, "

@@ -41,7 +41,13 @@ from termfit.operators.text import (
     top_terms_from_text,
 )
 from termfit.plans.corpus import compare_documents, score_corpus
-from termfit.plans.factorize import FactorModel, cross_validate, factorize, fit_and_save
+from termfit.plans.factorize import (
+    FactorModel,
+    cross_validate,
+    cross_validation_error,
+    factorize,
+    fit_and_save,
+)
 from termfit.plans.logistic import LogisticModel, train_logistic
 from termfit.sources.readers import (
     read_corpus,

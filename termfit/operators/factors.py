@@ -146,7 +146,7 @@ def _descend(
     NULL where the row does not train or test it. A part is a stretch of one model's
     vector; every pull is summed part by part in a hash aggregate over plain numbers.
     ``parts`` gives each part's share of the squared error, the squared norm before the
-    step, the held-out squared error and the number of held-out rows scored.
+    step, the held-out squared error and the numbers of held-out and of training rows scored.
     """
     per_model = parts_per_model(d)
     width = -(-d // per_model)
@@ -176,6 +176,7 @@ def _descend(
         F.expr("sum(error * error * weight)").alias("sq_error"),
         F.expr("sum(held * held * weight)").alias("held_error"),
         F.expr("sum(IF(held IS NULL, 0, weight))").alias("held_rows"),
+        F.expr("sum(IF(error IS NULL, 0, weight))").alias("rows"),
     )
     steps = ", ".join(f"{float(gamma)!r}D" for gamma in gammas)
     gamma = f"{float(gammas[0])!r}D" if len(set(gammas)) == 1 else f"array({steps})[part div {per_model}]"
@@ -186,7 +187,7 @@ def _descend(
     else:
         moved = f"array({moved})"
     norm = " + ".join(f"coalesce(_p{j} * _p{j}, 0D)" for j in cells)
-    report = f"struct(part, sq_error, {norm} AS sq_norm, held_error, held_rows)"
+    report = f"struct(part, sq_error, {norm} AS sq_norm, held_error, held_rows, rows)"
     stepped = summed.select(*keys, "part", F.expr(moved).alias("factors"), F.expr(report).alias("report"))
     if single:
         return stepped.select(*keys, "factors", F.array("report").alias("parts"))
@@ -258,7 +259,7 @@ def step_models(
 
 
 def report(stepped: DataFrame, d: int) -> DataFrame:
-    """(place, error, users_norm, items_norm, held_error, held_rows): one row per model."""
+    """(place, error, users_norm, items_norm, held_error, held_rows, rows): one row per model."""
     parts = stepped.select("side", F.expr("inline(parts)"))
     return parts.groupBy(F.expr(f"part div {parts_per_model(d)}").alias("place")).agg(
         F.expr(f"coalesce(sum(IF(side = {USER}, sq_error, 0D)), 0D)").alias("error"),
@@ -266,4 +267,5 @@ def report(stepped: DataFrame, d: int) -> DataFrame:
         F.expr(f"coalesce(sum(IF(side = {ITEM}, sq_norm, 0D)), 0D)").alias("items_norm"),
         F.expr("coalesce(sum(held_error), 0D)").alias("held_error"),
         F.expr("CAST(coalesce(sum(held_rows), 0) AS BIGINT)").alias("held_rows"),
+        F.expr(f"CAST(coalesce(sum(IF(side = {USER}, rows, 0)), 0) AS BIGINT)").alias("rows"),
     )

@@ -156,31 +156,33 @@ def _descend_all(
     totals = [1e99] * len(models)
     changes = [1e99] * len(models)
     iteration = 0
-    while iteration < maxiter and any(change > eps for change in changes):
-        iteration += 1
-        gamma = gain_schedule(gain, power, iteration)
-        # a model that has stopped stays where it is
-        active = [change > eps for change in changes]
-        gammas = [gamma if on else 0.0 for on in active]
-        table = ratings.with_profiles(profiles)
-        profiles = durable(step_models(table, models, gammas, lam, mu, d))
-        # one row per model
-        sums = {row["place"]: row for row in report(profiles, d).collect()}
-        for i, on in enumerate(active):
-            if i not in sums:
-                changes[i] = math.nan
-            if not on or i not in sums:
-                continue
-            _, error, users_norm, items_norm, held_error, held_rows = sums[i]
-            previous, totals[i] = totals[i], error + lam * users_norm + mu * items_norm
-            changes[i] = abs(totals[i] - previous)
-            n, scored = (n_test[i], held_rows) if n_test[i] else (n_train[i], n_train[i])
-            if not n_test[i]:
-                held_error = error
-            quality = [math.sqrt(held_error / count) if count else None for count in (n, scored)]
-            seconds = time.time() - start
-            history.append([i, iteration, seconds, totals[i], changes[i], gamma, *quality, n, scored])
-    ratings.release()
+    try:
+        while iteration < maxiter and any(change > eps for change in changes):
+            iteration += 1
+            gamma = gain_schedule(gain, power, iteration)
+            # a model that has stopped stays where it is
+            active = [change > eps for change in changes]
+            gammas = [gamma if on else 0.0 for on in active]
+            table = ratings.with_profiles(profiles)
+            profiles = durable(step_models(table, models, gammas, lam, mu, d))
+            # one row per model
+            sums = {row["place"]: row for row in report(profiles, d).collect()}
+            for i, on in enumerate(active):
+                if i not in sums:
+                    changes[i] = math.nan
+                if not on or i not in sums:
+                    continue
+                _, error, users_norm, items_norm, held_error, held_rows, train_rows = sums[i]
+                previous, totals[i] = totals[i], error + lam * users_norm + mu * items_norm
+                changes[i] = abs(totals[i] - previous)
+                n, scored = (n_test[i], held_rows) if n_test[i] else (n_train[i], train_rows)
+                if not n_test[i]:
+                    held_error = error
+                quality = [math.sqrt(held_error / count) if count else None for count in (n, scored)]
+                seconds = time.time() - start
+                history.append([i, iteration, seconds, totals[i], changes[i], gamma, *quality, n, scored])
+    finally:
+        ratings.release()
     return profiles, history
 
 
@@ -201,7 +203,9 @@ def factorize(
 ) -> FactorModel:
     """Full-batch gradient descent on both profile tables at once.
 
-    Without ``test`` the reported error is the training error. Only sums reach the
+    Without ``test`` the reported error is the training error, and ``n_scored`` counts the ratings
+    whose user and item both have a profile. Profiles of ``initial`` without a rating are not in the
+    model, because a step only moves what ratings pull at. Only sums reach the
     driver; each iteration ends in a checkpoint of the new profiles.
     """
     columns = ["user_id", "item_id", "rating"]
@@ -241,15 +245,18 @@ def cross_validate(
     """(fold, n_train, n_test, iterations, rmse, rmse_scored): one row per fold.
 
     Each fold is held out once and its last logged errors are kept; a single fold is
-    both training and test set. The cross-validation error is the mean of ``rmse``.
+    both training and test set. ``cross_validation_error`` gives the mean.
 
     The models of all folds are trained side by side, so the ratings are read once per
-    iteration and not once per fold and iteration.
+    iteration and not once per fold and iteration. A fold number outside 0 ... folds - 1, or none, is an error.
     """
     spark = folded.sparkSession
-    folded = folded.where(F.col("fold").between(0, folds - 1))
     folded = folded.select(*ROW).persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
+    known = F.when(F.col("fold").between(0, folds - 1), F.col("fold"))
+    sizes = {r["known"]: r["count"] for r in folded.groupBy(known.alias("known")).count().collect()}
+    if None in sizes:
+        folded.unpersist()
+        raise ValueError(f"{sizes[None]} rows have no fold from 0 to {folds - 1}")
     # the only fold of a single-fold run is not held out
     table = folded.withColumn("fold", F.lit(-1)) if folds == 1 else folded
     models = list(range(folds))
@@ -268,6 +275,11 @@ def cross_validate(
     return spark.createDataFrame(rows, schema)
 
 
+def cross_validation_error(folds: DataFrame) -> DataFrame:
+    """(folds, rmse, rmse_scored): the means over the rows of ``cross_validate``; folds without an error are not in them."""
+    return folds.agg(F.count("*").alias("folds"), F.avg("rmse").alias("rmse"), F.avg("rmse_scored").alias("rmse_scored"))
+
+
 def fit_and_save(ratings: DataFrame, path: str, **options) -> FactorModel:
     """Train on everything and store both profile tables below ``path``."""
     model = factorize(ratings, **options)

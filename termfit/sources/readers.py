@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # The shapes of legacy text lines. A name is quoted ('w', u'w', "w") or
 # bare; numbers may carry a long suffix or a float64 wrapper.
 _NAME = r"""(?:[uU]?'(.*)'|[uU]?"(.*)"|(.*?))"""
-_NUMBER = r"(?:np\.float64\()?([-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?)L?\)?"
+_DIGITS = r"(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?"
+_NUMBER = rf"(?:np\.float64\()?([-+]?(?:{_DIGITS}|[nN][aA][nN]|[iI]nf(?:inity)?))L?\)?"
 PAIR_LINE = rf"^\s*\(\s*{_NAME}\s*,\s*{_NUMBER}\s*\)\s*$"
-POINT_LINE = r"^\s*\(\s*(\{.*\})\s*,\s*([+-]?1)(?:\.0*)?\s*\)\s*$"
+POINT_LINE = r"^\s*\(\s*(\{.*\})\s*,\s*([+-]?1)(?:\.0*)?L?\s*\)\s*$"
+RATING_LINE = rf"^\s*([-+]?[0-9]+)\s*,\s*([-+]?[0-9]+)\s*,\s*([-+]?(?:{_DIGITS}|[nN][aA][nN]|[iI]nf(?:inity)?))\s*$"
 SPLIT_BYTES = 128 * 1024 * 1024
-RATING_SCHEMA = "user_id BIGINT, item_id BIGINT, rating DOUBLE"
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -56,9 +57,17 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     return DataFrame(dataset.toDF(), spark).toDF("doc_id", "text")
 
 
-def _or_error(ok: Column, value: Column, message: str, line: Column) -> Column:
-    problem = F.raise_error(F.concat(F.lit(message + ": "), line))
-    return F.when(ok, value).otherwise(problem.cast("string"))
+def _checked(lines: DataFrame, ok: Column, mode: str, message: str, dropped: Observation | None) -> DataFrame:
+    """The good lines. A bad one fails the job, whatever is selected later, or is counted and dropped.
+
+    The check is a filter, because a check inside a column disappears with a column that nobody reads.
+    """
+    if mode == "drop":
+        if dropped is not None:
+            lines = lines.observe(dropped, F.count_if(~ok).alias("dropped"))
+        return lines.where(ok)
+    problem = F.raise_error(F.concat(F.lit(message + ": "), F.col("value"))).cast("boolean")
+    return lines.where(F.when(ok, F.lit(True)).otherwise(problem))
 
 
 def _check_mode(mode: str) -> None:
@@ -75,34 +84,38 @@ def _unescape(name: Column) -> Column:
     return F.when(F.contains(name, F.lit("\\")), decoded).otherwise(name)
 
 
-def read_pairs(spark: SparkSession, path: str, mode: str = "fail") -> DataFrame:
+def read_pairs(
+    spark: SparkSession, path: str, mode: str = "fail", dropped: Observation | None = None
+) -> DataFrame:
     """(term, value) from ``(term, value)`` lines: term scores or model coefficients.
 
-    A line of any other shape fails the job, or is left out with ``mode="drop"``.
+    A line of any other shape fails the job, or is left out with ``mode="drop"``; then the
+    observation ``dropped`` counts such lines as ``dropped`` when the table is computed. Blank
+    lines are skipped in both modes.
     """
     _check_mode(mode)
     line = F.col("value")
     lines = spark.read.text(path).where(F.trim(line) != "")
     matches = F.rlike(line, F.lit(PAIR_LINE))
-    if mode == "drop":
-        lines = lines.where(matches)
+    lines = _checked(lines, matches, mode, "not a (term, value) line", dropped)
     quoted = F.concat(F.regexp_extract(line, PAIR_LINE, 1), F.regexp_extract(line, PAIR_LINE, 2))
     name = F.concat(_unescape(quoted), F.regexp_extract(line, PAIR_LINE, 3))
     number = F.regexp_extract(line, PAIR_LINE, 4)
-    if mode == "fail":
-        number = _or_error(matches, number, "not a (term, value) line", line)
     return lines.select(name.alias("term"), number.cast("double").alias("value"))
 
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """(user_id, item_id, rating) from ``user,item,rating`` lines; bad lines fail the job."""
-    return spark.read.csv(
-        path,
-        schema=RATING_SCHEMA,
-        mode="FAILFAST",
-        ignoreLeadingWhiteSpace=True,
-        ignoreTrailingWhiteSpace=True,
-    )
+    """(user_id, item_id, rating) from ``user,item,rating`` lines.
+
+    A line with an empty or malformed field, or an id beyond 64 bits, fails the job; blank lines are skipped.
+    """
+    line = F.col("value")
+    lines = spark.read.text(path).where(F.trim(line) != "")
+    users, items = (F.regexp_extract(line, RATING_LINE, k).try_cast("bigint") for k in (1, 2))
+    matches = F.rlike(line, F.lit(RATING_LINE)) & users.isNotNull() & items.isNotNull()
+    lines = _checked(lines, matches, "fail", "not a user,item,rating line", None)
+    rating = F.regexp_extract(line, RATING_LINE, 3).cast("double")
+    return lines.select(users.alias("user_id"), items.alias("item_id"), rating.alias("rating"))
 
 
 def read_folds(spark: SparkSession, folder: str, folds: int) -> DataFrame:
@@ -113,24 +126,37 @@ def read_folds(spark: SparkSession, folder: str, folds: int) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def read_labelled(spark: SparkSession, path: str, mode: str = "fail") -> DataFrame:
+def _as_json(features: Column) -> Column:
+    """A dictionary as its repr writes it, as JSON: no prefixes, suffixes or wrappers, quoted keys, known escapes."""
+    steps = (
+        (r"""([{,]\s*)[uU](['"])""", "$1$2"),
+        (r"""(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})""", r"$1\\u00$2"),
+        (rf"""(:\s*)np\.float64\(\s*([-+]?{_DIGITS})\s*\)""", "$1$2"),
+        (r"""(:\s*[-+]?[0-9]+)L(\s*[,}])""", "$1$2"),
+        (r"""([{,]\s*)([-+]?[0-9]+(?:\.[0-9]*)?)L?(\s*:)""", '$1"$2"$3'),
+        (r""",\s*\}$""", "}"),
+    )
+    for pattern, by in steps:
+        features = F.regexp_replace(features, pattern, by)
+    return features
+
+
+def read_labelled(
+    spark: SparkSession, path: str, mode: str = "fail", dropped: Observation | None = None
+) -> DataFrame:
     """(row_id, y, x) from ``({feature: value, ...}, label)`` lines with labels +1 and -1.
 
-    ``row_id`` follows the position in the scan: store the table (Parquet keeps the map)
-    before using the ids across jobs.
+    Bad lines are treated as in ``read_pairs``. ``row_id`` follows the position in the scan: store the table
+    (Parquet keeps the map) before using the ids across jobs.
     """
     _check_mode(mode)
     line = F.col("value")
     lines = spark.read.text(path).where(F.trim(line) != "")
-    features = F.regexp_extract(line, POINT_LINE, 1)
-    features = F.regexp_replace(features, r"""([{,]\s*)[uU](['"])""", "$1$2")
-    x = F.from_json(features, "map<string,double>")
+    features = _as_json(F.regexp_extract(line, POINT_LINE, 1))
+    x = F.from_json(features, "map<string,double>", {"allowBackslashEscapingAnyCharacter": "true"})
     label = F.regexp_extract(line, POINT_LINE, 2)
     parsed = F.rlike(line, F.lit(POINT_LINE)) & x.isNotNull()
-    if mode == "drop":
-        lines = lines.where(parsed)
-    else:
-        label = _or_error(parsed, label, "not a ({feature: value}, label) line", line)
+    lines = _checked(lines, parsed, mode, "not a ({feature: value}, label) line", dropped)
     return lines.select(
         F.monotonically_increasing_id().alias("row_id"), label.cast("int").alias("y"), x.alias("x")
     )

@@ -9,24 +9,31 @@ from pyspark.sql import functions as F
 def write_scores(scores: DataFrame, path: str, format: str = "parquet") -> None:
     """Write a score table; ``format="text"`` gives ``('term', value)`` lines.
 
-    The text form takes the first column as the term and the second as its value.
+    The text form needs exactly two columns, the term and its value.
     """
     if format == "parquet":
         scores.write.parquet(path)
     elif format == "text":
-        term, value = (F.col(name) for name in scores.columns[:2])
+        term, value = _two_columns(scores)
         scores.select(F.format_string("('%s', %s)", _quote(term), value.cast("string"))).write.text(path)
     else:
         raise ValueError("format is 'parquet' or 'text'")
 
 
+def _two_columns(table: DataFrame) -> tuple[Column, Column]:
+    if len(table.columns) != 2:
+        raise ValueError(f"(term, value) lines hold two columns, not {table.columns}")
+    term, value = table.columns
+    return F.col(term), F.col(value)
+
+
 def _quote(term: Column) -> Column:
     return F.regexp_replace(term, r"([\\'])", r"\\$1")
 
 
 def write_ranked(top: DataFrame, path: str) -> None:
-    """Write the few rows of a top list as ``(term, value)`` lines, largest value first."""
-    term, value = (F.col(name) for name in top.columns[:2])
+    """Write the few rows of a top list (term, value) as ``(term, value)`` lines, largest value first."""
+    term, value = _two_columns(top)
     lines = top.coalesce(1).sortWithinPartitions(value.desc(), term.asc())
     lines.select(F.format_string("(%s, %f)", term, value.cast("double"))).write.text(path)
 

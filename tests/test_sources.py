@@ -1,6 +1,7 @@
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from termfit import (
@@ -71,6 +72,59 @@ def test_bad_pairs_fail_or_drop(spark, tmp_path):
     assert [r["term"] for r in read_pairs(spark, path, "drop").collect()] == ["a"]
     with pytest.raises(ValueError):
         read_pairs(spark, path, "ignore")
+    dropped = Observation()
+    assert read_pairs(spark, path, "drop", dropped).select("term").count() == 1
+    assert dropped.get["dropped"] == 2
+
+
+def fails_however_it_is_read(df):
+    for read in (df, *(df.select(column) for column in df.columns)):
+        with pytest.raises(PySparkException, match="not a"):
+            read.collect()
+        with pytest.raises(PySparkException, match="not a"):
+            read.count()
+
+
+@pytest.mark.parametrize("line", ["garbage", "('b', x)", "('a')"])
+def test_bad_pairs_fail_in_every_projection(spark, tmp_path, line):
+    fails_however_it_is_read(read_pairs(spark, put(tmp_path / "pairs", f"('a', 1)\n{line}\n")))
+
+
+@pytest.mark.parametrize("line", [",5,1.0", "4,,2.0", "6,7,", "1,2,abc", "1,x,3", "1,2", "1,2,3,4", f"{2**70},1,1"])
+def test_bad_ratings_fail_in_every_projection(spark, tmp_path, line):
+    fails_however_it_is_read(read_ratings(spark, put(tmp_path / "ratings", f"1,10,5\n{line}\n")))
+
+
+@pytest.mark.parametrize("line", ["({'a': 1}, 2)", "({'a': }, 1)", "garbage"])
+def test_bad_points_fail_in_every_projection(spark, tmp_path, line):
+    fails_however_it_is_read(read_labelled(spark, put(tmp_path / "points", f"({{'a': 1}}, 1)\n{line}\n")))
+
+
+def test_numbers_that_are_not_finite(spark, tmp_path):
+    scores = spark.createDataFrame([("a", float("nan")), ("b", float("inf")), ("c", float("-inf"))], "term string, value double")
+    write_scores(scores, str(tmp_path / "text"), "text")
+    found = {r["term"]: str(r["value"]) for r in read_pairs(spark, str(tmp_path / "text")).collect()}
+    assert found == {"a": "nan", "b": "inf", "c": "-inf"}
+    path = put(tmp_path / "python", "('a', nan)\n('b', inf)\n('c', -inf)\n")
+    assert {r["term"]: str(r["value"]) for r in read_pairs(spark, path).collect()} == found
+
+
+@pytest.mark.parametrize(
+    ("line", "x"),
+    [
+        ("({u'caf\\xe9': 1}, 1)", {"caf\u00e9": 1.0}), ("({1: 2.0}, 1)", {"1": 2.0}), ("({'a': 1L}, 1L)", {"a": 1.0}),
+        ("({'a': np.float64(1.5)}, 1)", {"a": 1.5}), ("({'a': 1,}, 1)", {"a": 1.0}), ("({'it\\'s': 1, u'\\u0142': 2}, 1)", {"it's": 1.0, "\u0142": 2.0}),
+    ],
+)
+def test_labelled_shapes(spark, tmp_path, line, x):
+    assert read_labelled(spark, put(tmp_path / "points", line + "\n")).first()["x"] == x
+
+
+def test_text_tables_hold_two_columns(spark, tmp_path):
+    wide = spark.createDataFrame([(1, "a", 0.5)], "doc_id int, term string, tfidf double")
+    for write in (lambda: write_scores(wide, str(tmp_path / "x"), "text"), lambda: write_ranked(wide, str(tmp_path / "y"))):
+        with pytest.raises(ValueError, match="two columns"):
+            write()
 
 
 def test_ratings_and_folds(spark, tmp_path):
@@ -101,7 +155,9 @@ def test_labelled(spark, tmp_path):
     bad = put(tmp_path / "bad", "({'a': 1}, 1)\n({'a': 1}, 2)\n({'a': }, 1)\n")
     with pytest.raises(PySparkException, match="not a"):
         read_labelled(spark, bad).collect()
-    assert read_labelled(spark, bad, "drop").count() == 1
+    dropped = Observation()
+    assert read_labelled(spark, bad, "drop", dropped).count() == 1
+    assert dropped.get["dropped"] == 2
 
 
 def test_scores_roundtrip(spark, tmp_path):
