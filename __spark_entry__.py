@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from termfit.functions.logistic import gradient_weight, logistic_loss
 from termfit.operators import factors, points, text
 from termfit.operators.similarity import cosine_similarity
-from termfit.plans.corpus import compare_documents, score_corpus
+from termfit.plans.corpus import compare_documents, corpus_tfidf, score_corpus
 from termfit.plans.factorize import FactorModel, cross_validate, cross_validation_error, factorize, fit_and_save
 from termfit.plans.logistic import LogisticModel, train_logistic
 from termfit.session import durable, scratch_path
@@ -176,8 +176,7 @@ def tfidf(spark, sf):
 
 
 def tfidf_corpus_scores(spark, sf):
-    docs = _documents(spark, sf)
-    return text.tfidf(tf_corpus(spark, sf), text.inverse_document_frequency(docs))
+    return corpus_tfidf(_documents(spark, sf))
 
 
 def tfidf_corpus(spark, sf):

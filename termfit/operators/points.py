@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -138,11 +139,30 @@ def backtrack(
 
     ``rows`` is (y, m, q) with m = <coef, x> and q = <g, x>. A trial only changes a
     margin to m - t q, so one aggregation prices ``width`` step sizes; further batches
-    run until one passes (at the latest when t has become 0).
+    run until one passes (at the latest when t has become 0). The rows are kept for the search, so
+    that only the first batch reads their source.
     """
+    signed = rows.select(F.expr("y * m").alias("p"), F.expr("y * q").alias("s"))
+    signed = signed.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _backtrack(signed, fx, coef_sq, coef_g, grad_sq, lam, a, b, width)
+    finally:
+        signed.unpersist()
+
+
+def _backtrack(
+    signed: DataFrame,
+    fx: float,
+    coef_sq: float,
+    coef_g: float,
+    grad_sq: float,
+    lam: float,
+    a: float,
+    b: float,
+    width: int,
+) -> LineSearch:
     start = 0
     batches = 0
-    signed = rows.select(F.expr("y * m").alias("p"), F.expr("y * q").alias("s"))
     while True:
         steps = []
         t = b**start
@@ -181,8 +201,7 @@ def line_search(
         F.expr("coalesce(sum(coef * coef), 0D)"), F.expr("coalesce(sum(coef * g), 0D)")
     ).first()
     scored = lookup(entries(points), stacked, "feature", by=["row_id"], how="left")
-    rows = row_sums(scored, m="coef", q="g")
-    return backtrack(rows, fx, coef_sq, coef_g, grad_sq, lam, a, b)
+    return backtrack(row_sums(scored, m="coef", q="g"), fx, coef_sq, coef_g, grad_sq, lam, a, b)
 
 
 def predictions(scored_rows: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termfit.plans.joins import hot_keys, salted_join
+from termfit.plans.joins import fits_broadcast, hot_keys, measured_bytes, salted_join
 from termfit.session import durable
 
 
@@ -49,15 +49,18 @@ def pairwise_cosine(
     value: str = "tfidf",
     left: str = "doc_a",
     right: str = "doc_b",
-    small_pairs: bool = False,
+    small_pairs: bool | None = None,
 ) -> DataFrame:
     """(left, right, cosine) for every distinct pair of documents of a scored corpus.
 
-    The scores are read once: a pair asks for its two documents as two rows. With
-    ``small_pairs`` the caller vouches that the pair list fits a broadcast. Without it,
-    documents that occur in many pairs, or hold many scores, are split over tasks.
+    The scores are read once: a pair asks for its two documents as two rows. The pair list
+    is stored and measured, and broadcast if it fits (``small_pairs`` overrides that). Otherwise the scores are
+    stored, and documents that occur in many pairs, or hold many scores, are split over tasks.
     """
-    pairs = pairs.select(left, right).distinct()
+    pairs = durable(pairs.select(left, right).distinct())
+    if small_pairs is None:
+        # two requests per pair, each a little wider than the pair
+        small_pairs = fits_broadcast(4 * measured_bytes(pairs))
     requests = pairs.select(
         left,
         right,
@@ -72,6 +75,7 @@ def pairwise_cosine(
     if small_pairs:
         matched = scores.join(F.broadcast(requests), "_doc")
     else:
+        scores = durable(scores)  # counted and joined
         matched = salted_join(
             requests,
             scores,
@@ -97,4 +101,5 @@ def pairwise_cosine(
         nothing.cast("double").alias("a"),
         nothing.cast("double").alias("b"),
     )
-    return _cosine(scored.unionByName(unscored), [left, right])
+    # dealt by pair once; both aggregations fit that
+    return _cosine(scored.unionByName(unscored).repartition(left, right), [left, right])

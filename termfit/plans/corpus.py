@@ -11,7 +11,7 @@ from termfit.operators.text import (
     inverse_document_frequency,
     tfidf_value,
 )
-from termfit.plans.joins import fits_broadcast, lookup, measured_bytes
+from termfit.plans.joins import lookup
 from termfit.session import durable
 
 
@@ -33,7 +33,15 @@ def compare_documents(
     scores: DataFrame, pairs: DataFrame, doc: str = "doc_id", value: str = "tfidf"
 ) -> DataFrame:
     """(doc_a, doc_b, cosine) for a table of document pairs of any size."""
-    pairs = durable(pairs.select("doc_a", "doc_b").distinct())
-    # two requests per pair, each a little wider than the pair
-    small = fits_broadcast(4 * measured_bytes(pairs))
-    return pairwise_cosine(scores, pairs, doc, value, small_pairs=small)
+    return pairwise_cosine(scores, pairs, doc, value)
+
+
+def corpus_tfidf(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(term, tfidf) of a whole corpus with one document per row.
+
+    Occurrences and documents of a term are counted in the same reading of the texts.
+    """
+    n = docs.agg(F.count(F.lit(1))).scalar().cast("double")
+    counts = document_term_frequency(docs.select(text), text, []).groupBy("term")
+    both = counts.agg(F.sum("tf").alias("tf"), F.log(n / F.count(F.lit(1))).alias("idf"))
+    return both.select("term", tfidf_value())

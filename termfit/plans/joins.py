@@ -4,7 +4,8 @@ A keyed table goes to every executor only when its measured size is below
 ``BROADCAST_BYTES``. Beyond that both sides are shuffled, and a key that holds a large
 share of the rows is split: its rows get a salt, and the other side's row is copied once
 per salt. The list of split keys is bounded by construction (a key is on it only when
-it holds more than 1/``SHARES`` of all rows), so that list may always be broadcast.
+it holds more than a fair share of all rows: one of as many shares as there are shuffle
+partitions, or of ``SHARES`` if these are more), so that list may always be broadcast.
 """
 
 from __future__ import annotations
@@ -36,13 +37,18 @@ def fits_broadcast(size: int) -> bool:
     return size <= BROADCAST_BYTES
 
 
+def shares(df: DataFrame) -> int:
+    """Into how many fair shares rows are thought to be divided; grows with the session's partitions."""
+    return max(SHARES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def hot_keys(counts: DataFrame, key: str) -> DataFrame:
-    """(key, splits) for the keys with more than 1/SHARES of all rows.
+    """(key, splits) for the keys with more than a fair share of all rows.
 
     ``counts`` is (key, count), already aggregated.
     """
     total = counts.agg(F.sum("count")).scalar()
-    share = F.greatest(total / F.lit(SHARES), F.lit(1.0))
+    share = F.greatest(total / F.lit(shares(counts)), F.lit(1.0))
     return counts.where(F.col("count") > share).select(
         key, F.ceil(F.col("count") / share).cast("int").alias("splits")
     )
@@ -54,7 +60,7 @@ def add_salt(df: DataFrame, key: str, hot: DataFrame, salt: str, *, by: list[str
     Rows without a key match nothing, so they are always spread.
     """
     splits = F.broadcast(hot.withColumnRenamed("splits", "_splits"))
-    default = F.when(F.col(key).isNull(), F.lit(SHARES)).otherwise(F.lit(1))
+    default = F.when(F.col(key).isNull(), F.lit(shares(df))).otherwise(F.lit(1))
     spread = F.pmod(F.xxhash64(*by), F.coalesce("_splits", default))
     return df.join(splits, key, "left").withColumn(salt, spread.cast("int")).drop("_splits")
 

@@ -126,32 +126,34 @@ def train_logistic(
     norm = 2 * eps
     width = BATCH
     k = 0
-    while k < max_iter and norm > eps:
-        scored = train.join(beta, small)
-        state = durable(gradient_parts(scored, beta, lam))
-        sums, small = _measure(state)
-        loss = sums["loss"] + lam * sums["coef_sq"]
-        norm = math.sqrt(sums["grad_sq"])
-        trial_rows = row_sums(
-            train.join(state.where("feature IS NOT NULL").select("feature", "coef", "g"), small),
-            m="coef",
-            q="g",
-        )
-        found = backtrack(
-            trial_rows, loss, sums["coef_sq"], sums["coef_g"], sums["grad_sq"], lam, width=width
-        )
-        # the next search most likely needs about as many trials
-        width = BATCH * (1 + (found.n + 2) // BATCH)
-        beta = state.where("feature IS NOT NULL").select(
-            "feature", F.expr(f"coef - {found.t!r}D * g").alias("coef")
-        )
-        quality = [None, None, None]
-        if held_out is not None:
-            scored_rows = row_sums(held_out.join(beta, small), m="coef")
-            quality = list(metrics_of(confusion_of(scored_rows)).first())
-        rows.append([k, time.time() - start, loss, norm, found.n, found.t, *quality])
-        k += 1
-    for table in (train, held_out):
-        if table is not None:
-            table.release()
+    try:
+        while k < max_iter and norm > eps:
+            scored = train.join(beta, small)
+            state = durable(gradient_parts(scored, beta, lam))
+            sums, small = _measure(state)
+            loss = sums["loss"] + lam * sums["coef_sq"]
+            norm = math.sqrt(sums["grad_sq"])
+            trial_rows = row_sums(
+                train.join(state.where("feature IS NOT NULL").select("feature", "coef", "g"), small),
+                m="coef",
+                q="g",
+            )
+            found = backtrack(
+                trial_rows, loss, sums["coef_sq"], sums["coef_g"], sums["grad_sq"], lam, width=width
+            )
+            # the next search most likely needs about as many trials
+            width = BATCH * (1 + (found.n + 2) // BATCH)
+            beta = state.where("feature IS NOT NULL").select(
+                "feature", F.expr(f"coef - {found.t!r}D * g").alias("coef")
+            )
+            quality = [None, None, None]
+            if held_out is not None:
+                scored_rows = row_sums(held_out.join(beta, small), m="coef")
+                quality = list(metrics_of(confusion_of(scored_rows)).first())
+            rows.append([k, time.time() - start, loss, norm, found.n, found.t, *quality])
+            k += 1
+    finally:
+        for table in (train, held_out):
+            if table is not None:
+                table.release()
     return LogisticModel(beta, norm, k, norm <= eps, spark.createDataFrame(rows, HISTORY))

@@ -7,8 +7,11 @@ running step.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +25,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             shared = tempfile.mkdtemp(prefix="termfit-checkpoint-")
+            warnings.warn(f"spark.checkpoint.dir is not set; {shared} is used until this process ends", stacklevel=2)
+            atexit.register(shutil.rmtree, shared, ignore_errors=True)
         context.setCheckpointDir(shared)
     return context.getCheckpointDir()
 
