@@ -89,9 +89,33 @@ def plain_components(rows, size, threshold):
     return collections.Counter((i, len(s), low.get(find((i, s)), i)) for i, s in sets)
 
 
+def clustered_documents():
+    """One text in many versions that are too far from each other, and versions of these that are near."""
+    rnd = random.Random(11)
+    base = [f"b{i}" for i in range(400)]
+    rows = []
+
+    def edited(words_, n):
+        out = list(words_)
+        for _ in range(n):
+            out[rnd.randrange(len(out))] = f"e{rnd.randrange(10**6)}"
+        return out
+
+    for k in range(15):
+        version = edited(base, rnd.randint(6, 22))
+        for j in range(rnd.randint(1, 5)):
+            rows.append((7000 + 10 * k + j, " ".join(edited(version, rnd.randint(0, 4)))))
+    chain = list(base)
+    for k in range(12):
+        chain = edited(chain, 4)
+        rows.append((8000 + 7 * k % 12, " ".join(chain)))
+    rnd.shuffle(rows)
+    return rows
+
+
 @pytest.mark.parametrize(("size", "threshold"), [(3, Fraction(9, 10)), (1, Fraction(3, 5))])
 def test_components(spark, size, threshold):
-    rows = odd_documents()
+    rows = odd_documents() + clustered_documents()
     members, _ = jaccard.jaccard_components(frame(spark, rows), size, threshold)
     assert collections.Counter(tuple(r) for r in members.collect()) == plain_components(rows, size, threshold)
 
