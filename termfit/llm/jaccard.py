@@ -10,7 +10,7 @@ a signature are candidates and are verified on their whole shingle sets.
 
 Copies are merged before the join. The members of a bucket are compared with one of them only. A
 bucket whose members are then in different components is divided further by how they
-differ from that one (see ``_stars_by_difference``), and so on: no bucket is expanded into
+differ from that one (see ``_by_difference``), and so on: no bucket is expanded into
 its pairs, and no link is lost that would join two components.
 """
 
@@ -31,6 +31,8 @@ from termfit.session import scratch_path
 
 #: Chance that an unrelated document holds a given shingle too, as the cost model assumes.
 SHARED = 0.2
+#: Buckets of at most so many members are compared pair by pair.
+SMALL = 16
 #: Spare segments in proportion to the needed ones.
 SPARE = 0.15
 
@@ -272,11 +274,14 @@ def jaccard_components(
     ids = _stored(members.select("doc_id").distinct(), "ids")
     sets = docs.join(ids, "doc_id").mapInArrow(_sets(shingle_size), "doc_id bigint, shingles array<bigint>")
     sets = _stored(sets, "sets")
-    links = None
+    links, settled = None, None
     stars = members.where("doc_id <> first").select("first", "doc_id").distinct()
     while True:
         stars = _stored(stars, "stars")
-        found = _stored(verify(stars.select(F.col("first").alias("a"), F.col("doc_id").alias("b")), sets, threshold), "found")
+        pairs = stars.select(F.least("first", "doc_id").alias("a"), F.greatest("first", "doc_id").alias("b"))
+        if settled is not None:
+            pairs = pairs.union(settled)
+        found = _stored(verify(pairs.distinct(), sets, threshold), "found")
         links = found if links is None else links.union(found)
         labels = _stored(components(links), "components")
         # A group is what was compared with one document. It is active while it holds different components.
@@ -286,7 +291,7 @@ def jaccard_components(
         active = _stored(group.join(mixed.where("lo <> hi").select("first"), "first"), "active")
         if not active.limit(1).count():
             break
-        stars = _stars_by_difference(active, sets, threshold)
+        stars, settled = _by_difference(active, sets, threshold)
 
     named = classes.join(
         labels.select(F.col("id").alias("representative"), "component"), "representative", "left"
@@ -297,25 +302,34 @@ def jaccard_components(
     return linked.select(columns).union(alone.select(columns)), links
 
 
-def _stars_by_difference(active: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
-    """(first, doc_id): what to compare next inside groups (first, doc_id, component) that hold several components.
+def _by_difference(active: DataFrame, sets: DataFrame, t: Fraction) -> tuple[DataFrame, DataFrame]:
+    """What to compare next inside groups (first, doc_id, component) that hold several components.
 
-    Let D(x) be the difference of x and the group's first document. Two members differ in |D(x) + D(y)| elements
-    (symmetric difference), so similar ones with |D(x)| + |D(y)| > H share an element of D, and the prefix
-    principle holds: with D ordered from the rarest element on, the shorter of the two holds a shared
-    element among its first H/2 + 1 (``index``), the longer among its first H + 1. Members with |D(x)| <= H
-    also meet in one bucket of their own. Each bucket is compared with one of its index members.
+    Returns stars (first, doc_id), whose members form groups again, and pairs (a, b), with which their
+    buckets are done. Let D(x) be the difference of x and the group's first document. Two members differ
+    in the symmetric difference of D(x) and D(y). If |D(x)| + |D(y)| <= H they are similar for certain, so it is
+    enough to compare all with the member for which |D| - (|x| share of H) is least. Else similar ones share an element
+    of D, and the prefix principle holds: with D ordered from the rarest element on, the
+    shorter of the two holds a shared element among its first H/2 + 1 (``index``), the longer among its
+    first H + 1. Buckets of such an element with up to SMALL members give all pairs with an index
+    member, larger ones are compared with one index member.
     """
     left = sets.select("doc_id", F.col("shingles").alias("mine"))
     right = sets.select(F.col("doc_id").alias("first"), F.col("shingles").alias("other"))
     n = F.size("mine").cast("bigint")
-    reach = n + F.floor(n * t.denominator / t.numerator)
-    allowed = F.floor(reach * (t.denominator - t.numerator) / (t.denominator + t.numerator))
+    less, more = t.denominator - t.numerator, t.denominator + t.numerator
+    allowed = F.floor((n + F.floor(n * t.denominator / t.numerator)) * less / more).cast("int")
     differing = F.concat(F.array_except("mine", "other"), F.array_except("other", "mine"))
     apart = active.join(left, "doc_id").join(right, "first").select(
-        "first", "doc_id", "component", (allowed + 1).alias("allowed"), differing.alias("d")
-    )
+        "first", "doc_id", "component", allowed.alias("allowed"), differing.alias("d"),
+        (F.size(differing) * more - n * less).alias("far"),
+    )
     apart = _stored(apart, "differences")
+    # The near ones.
+    best = apart.groupBy("first").agg(F.min(F.struct("far", "doc_id", "component")).alias("best"))
+    near = apart.where("size(d) <= allowed").join(best, "first").where("component <> best.component")
+    near = near.select(F.least("doc_id", "best.doc_id").alias("a"), F.greatest("doc_id", "best.doc_id").alias("b"))
+    # The ones that share an element.
     rows = apart.select("first", "doc_id", "component", "allowed", F.explode("d").alias("element"))
     counts = rows.groupBy("first", "element").count()
     ranked = rows.join(counts.where("count > 1"), ["first", "element"], "left").select(
@@ -323,25 +337,26 @@ def _stars_by_difference(active: DataFrame, sets: DataFrame, t: Fraction) -> Dat
     )
     # D is at most as long as the two sets, so one document's part fits a task.
     ranked = ranked.groupBy("first", "doc_id", "component", "allowed").agg(F.sort_array(F.collect_list("e")).alias("d"))
-    prefix = F.slice("d", F.lit(1), F.col("allowed").cast("int") + 1)
-    placed = ranked.select(
-        "first", "doc_id", "component", "allowed", F.posexplode(prefix).alias("at", "e")
-    ).where("e.n > 1")
+    prefix = F.slice("d", F.lit(1), F.col("allowed") + 1)
+    placed = ranked.select("first", "doc_id", "component", "allowed", F.posexplode(prefix).alias("at", "e")).where("e.n > 1")
     placed = placed.select(
-        "first", "doc_id", "component", F.col("e.element").alias("element"), (2 * F.col("at") <= F.col("allowed")).alias("index")
-    )
-    near = apart.where("size(d) <= allowed").select(
-        "first", "doc_id", "component", F.lit(None).cast("bigint").alias("element"), F.lit(True).alias("index")
+        F.xxhash64("first", "e.element").alias("bucket"), "doc_id", "component", (2 * F.col("at") <= F.col("allowed")).alias("index")
     )
-    placed = _stored(placed.union(near).withColumn("bucket", F.xxhash64("first", "element")), "placed")
+    placed = _stored(placed, "placed")
     buckets = placed.groupBy("bucket").agg(
         F.min(F.when(F.col("index"), F.col("doc_id"))).alias("star"),
         F.min("component").alias("lo"),
         F.max("component").alias("hi"),
+        F.count("*").alias("n"),
     )
-    buckets = buckets.where("star IS NOT NULL AND lo <> hi").select("bucket", "star")
-    met = placed.join(buckets, "bucket").where("doc_id <> star")
-    return met.select(F.col("star").alias("first"), "doc_id").distinct()
+    buckets = _stored(buckets.where("star IS NOT NULL AND lo <> hi").select("bucket", "star", "n"), "mixed")
+    met = placed.join(buckets.where(F.col("n") > SMALL), "bucket").where("doc_id <> star")
+    stars = met.select(F.col("star").alias("first"), "doc_id").distinct()
+    few = placed.join(buckets.where(F.col("n") <= SMALL).select("bucket"), "bucket")
+    few = few.groupBy("bucket").agg(F.collect_list(F.struct("doc_id", "component", "index")).alias("m"))  # at most SMALL
+    few = few.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y"))
+    few = few.where("x.doc_id < y.doc_id AND x.component <> y.component AND (x.index OR y.index)")
+    return stars, near.union(few.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))).distinct()
 
 
 def verify(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
