@@ -24,8 +24,6 @@ CONTAINMENT = 0.8
 #: Least chance that a window which contains a template meets it in a band.
 CERTAINTY = 0.9999
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
 # Public license notices.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -78,7 +76,12 @@ def layout(words: int, size: int = SHINGLE, containment: float = CONTAINMENT, ce
 
 
 def _lowered(text: str) -> Column:
-    return F.translate(F.coalesce(F.col(text).cast("string"), F.lit("")), _UPPER, _LOWER)
+    return F.lower(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
+def _word_keys(words: Column) -> Column:
+    """Each word is hashed once; shingles are made of these."""
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
 def _shingles(words: Column) -> Column:
@@ -103,7 +106,8 @@ def _signature(shingles: Column, plan: Column) -> Column:
 def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
     """(license_id, n_words, template): the distinct shingles of a configured list of templates, which must be short."""
     rows = spark.createDataFrame(sorted(templates.items()), "license_id string, text string")
-    rows = rows.select("license_id", _lowered("text").alias("text")).select("license_id", word_array("text").alias("w"))
+    rows = rows.select("license_id", _lowered("text").alias("text")).select("license_id", once(word_array("text")).alias("w"))
+    rows = rows.select("license_id", once(_word_keys(F.col("w"))).alias("w"))
     return rows.select("license_id", F.size("w").alias("n_words"), F.array_distinct(_shingles(F.col("w"))).alias("template"))
 
 
@@ -132,6 +136,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
         return spark.createDataFrame([], f"doc_id {kind}, license_id string, containment double, n_windows bigint, first_word int")
     targets = F.split(F.lit(",".join(map(str, wanted))), ",").cast("array<bigint>")  # folded to one constant
     step = docs.select("doc_id", _lowered("text").alias("text")).select("doc_id", once(word_array("text")).alias("w"))
+    step = step.select("doc_id", once(_word_keys(F.col("w"))).alias("w"))
     step = step.select("doc_id", once(_shingles(F.col("w"))).alias("shingles"))
     step = step.select("doc_id", "shingles", F.array_intersect("shingles", targets).alias("known")).where("size(known) > 0")
     marked = F.transform("shingles", lambda s, i: F.when(F.array_contains("known", s), i))

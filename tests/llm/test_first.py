@@ -274,7 +274,7 @@ def test_masking(spark):
     masked = credentials.masked(docs, F.col("source"), F.col("source"))
     assert masked.columns == docs.columns and masked.count() == docs.count()
     by = {r.doc_id: r.text for r in masked.collect()}
-    assert by[1] == "é [secret] and [secret] and [secret]" and by[3] is None and by[4] == "" and by[30] == "[secret]"
+    assert by[1] == "é [secret]' and [secret] and [secret]" and by[3] is None and by[4] == "" and by[30] == "[secret]"
     assert by[20] == "Copied qR5" + "tU8v" * 6 + " here [secret]"
     assert credentials.masked(docs.limit(0), F.col("source"), F.col("source")).count() == 0
 
