@@ -134,10 +134,10 @@ WITH t AS (
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
 ), w AS (
   SELECT *, length(text) - length(replace(text, '\', ''))
-    + coalesce(list_sum(list_transform(regexp_extract_all(text, '#{3,}'), x -> length(x) - 2)), 0)
+    + coalesce(list_sum(list_transform(regexp_extract_all(text, '#{3,}'), lambda x: length(x) - 2)), 0)
     + (length(text) - length(replace(text, '</turn>', ''))) // 7 AS escapes,
     length(role) - length(replace(role, '\', ''))
-    + coalesce(list_sum(list_transform(regexp_extract_all(role, '#{3,}'), x -> length(x) - 2)), 0)
+    + coalesce(list_sum(list_transform(regexp_extract_all(role, '#{3,}'), lambda x: length(x) - 2)), 0)
     + (length(role) - length(replace(role, '</turn>', ''))) // 7
     + (length(role) - length(replace(role, ': ', ''))) // 2 AS role_escapes
   FROM t
