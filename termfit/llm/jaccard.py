@@ -8,10 +8,10 @@ how many spare ones there are, is chosen per band by cost. A set leaves out its
 selective segments as far as the spare ones allow (see ``_signatures``). Sets that share
 a signature are candidates and are verified on their whole shingle sets.
 
-Copies are merged before the join. The members of a bucket are compared with one of them only. A
-bucket whose members are then in different components is divided further by how they
-differ from that one (see ``_by_difference``), and so on: no bucket is expanded into
-its pairs, and no link is lost that would join two components.
+Copies are merged before the join. The members of a bucket are compared with one of them only. What was
+compared with one document and is then in different components is compared further only where two
+members share rare differences from that document (see ``_by_difference``): no bucket is expanded
+into its pairs, and no link is lost that would join two components.
 """
 
 from __future__ import annotations
@@ -31,8 +31,6 @@ from termfit.session import scratch_path
 
 #: Chance that an unrelated document holds a given shingle too, as the cost model assumes.
 SHARED = 0.2
-#: Buckets of at most so many members are compared pair by pair.
-SMALL = 16
 #: Spare segments in proportion to the needed ones.
 SPARE = 0.15
 
@@ -274,24 +272,18 @@ def jaccard_components(
     ids = _stored(members.select("doc_id").distinct(), "ids")
     sets = docs.join(ids, "doc_id").mapInArrow(_sets(shingle_size), "doc_id bigint, shingles array<bigint>")
     sets = _stored(sets, "sets")
-    links, settled = None, None
-    stars = members.where("doc_id <> first").select("first", "doc_id").distinct()
-    while True:
-        stars = _stored(stars, "stars")
-        pairs = stars.select(F.least("first", "doc_id").alias("a"), F.greatest("first", "doc_id").alias("b"))
-        if settled is not None:
-            pairs = pairs.union(settled)
-        found = _stored(verify(pairs.distinct(), sets, threshold), "found")
-        links = found if links is None else links.union(found)
+    stars = _stored(members.where("doc_id <> first").select("first", "doc_id").distinct(), "stars")
+    links = _stored(verify(stars.select(F.col("first").alias("a"), F.col("doc_id").alias("b")), sets, threshold), "found")
+    labels = _stored(components(links), "components")
+    # A group is what was compared with one document. It is active while it holds different components.
+    group = stars.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    group = group.select("first", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    mixed = group.groupBy("first").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    active = _stored(group.join(mixed.where("lo <> hi").select("first"), "first"), "active")
+    if active.limit(1).count():
+        pairs = _stored(_by_difference(active, sets, threshold), "pairs")
+        links = links.union(_stored(verify(pairs, sets, threshold), "found"))
         labels = _stored(components(links), "components")
-        # A group is what was compared with one document. It is active while it holds different components.
-        group = stars.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-        group = group.select("first", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-        mixed = group.groupBy("first").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        active = _stored(group.join(mixed.where("lo <> hi").select("first"), "first"), "active")
-        if not active.limit(1).count():
-            break
-        stars, settled = _by_difference(active, sets, threshold)
 
     named = classes.join(
         labels.select(F.col("id").alias("representative"), "component"), "representative", "left"
@@ -302,17 +294,15 @@ def jaccard_components(
     return linked.select(columns).union(alone.select(columns)), links
 
 
-def _by_difference(active: DataFrame, sets: DataFrame, t: Fraction) -> tuple[DataFrame, DataFrame]:
-    """What to compare next inside groups (first, doc_id, component) that hold several components.
+def _by_difference(active: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
+    """Pairs (a, b) to compare inside groups (first, doc_id, component) that hold several components.
 
-    Returns stars (first, doc_id), whose members form groups again, and pairs (a, b), with which their
-    buckets are done. Let D(x) be the difference of x and the group's first document. Two members differ
+    Let D(x) be the difference of x and the group's first document. Two members differ
     in the symmetric difference of D(x) and D(y). If |D(x)| + |D(y)| <= H they are similar for certain, so it is
-    enough to compare all with the member for which |D| - (|x| share of H) is least. Else similar ones share an element
-    of D, and the prefix principle holds: with D ordered from the rarest element on, the
-    shorter of the two holds a shared element among its first H/2 + 1 (``index``), the longer among its
-    first H + 1. Buckets of such an element with up to SMALL members give all pairs with an index
-    member, larger ones are compared with one index member.
+    enough to compare all with the member for which |D| - (|x| share of H) is least. Else similar ones share
+    o = (|D(x)| + |D(y)| - H) / 2 elements of D or more, and the prefix principle holds: with D ordered from
+    the rarest element on, the shorter of the two holds a shared element among its first H/2 + 1 (``index``), the
+    longer among its first H + 1, with o - 1 elements behind the first shared one in both.
     """
     left = sets.select("doc_id", F.col("shingles").alias("mine"))
     right = sets.select(F.col("doc_id").alias("first"), F.col("shingles").alias("other"))
@@ -338,25 +328,20 @@ def _by_difference(active: DataFrame, sets: DataFrame, t: Fraction) -> tuple[Dat
     # D is at most as long as the two sets, so one document's part fits a task.
     ranked = ranked.groupBy("first", "doc_id", "component", "allowed").agg(F.sort_array(F.collect_list("e")).alias("d"))
     prefix = F.slice("d", F.lit(1), F.col("allowed") + 1)
-    placed = ranked.select("first", "doc_id", "component", "allowed", F.posexplode(prefix).alias("at", "e")).where("e.n > 1")
-    placed = placed.select(
-        F.xxhash64("first", "e.element").alias("bucket"), "doc_id", "component", (2 * F.col("at") <= F.col("allowed")).alias("index")
-    )
+    placed = ranked.select(
+        "first", "doc_id", "component", "allowed", F.size("d").alias("size"), F.posexplode(prefix).alias("at", "e")
+    ).where("e.n > 1")
+    placed = placed.withColumn("bucket", F.xxhash64("first", "e.element")).drop("first", "e")
     placed = _stored(placed, "placed")
-    buckets = placed.groupBy("bucket").agg(
-        F.min(F.when(F.col("index"), F.col("doc_id"))).alias("star"),
-        F.min("component").alias("lo"),
-        F.max("component").alias("hi"),
-        F.count("*").alias("n"),
-    )
-    buckets = _stored(buckets.where("star IS NOT NULL AND lo <> hi").select("bucket", "star", "n"), "mixed")
-    met = placed.join(buckets.where(F.col("n") > SMALL), "bucket").where("doc_id <> star")
-    stars = met.select(F.col("star").alias("first"), "doc_id").distinct()
-    few = placed.join(buckets.where(F.col("n") <= SMALL).select("bucket"), "bucket")
-    few = few.groupBy("bucket").agg(F.collect_list(F.struct("doc_id", "component", "index")).alias("m"))  # at most SMALL
-    few = few.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y"))
-    few = few.where("x.doc_id < y.doc_id AND x.component <> y.component AND (x.index OR y.index)")
-    return stars, near.union(few.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))).distinct()
+    buckets = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    buckets = _stored(buckets.where("lo <> hi").select("bucket"), "mixed")
+    x = placed.where("2 * at <= allowed").join(buckets, "bucket")
+    y = placed.join(buckets, "bucket").select("bucket", *(F.col(c).alias(f"{c}_y") for c in placed.columns if c != "bucket"))
+    shared = F.col("size") + F.col("size_y") - F.least("allowed", "allowed_y")
+    behind = F.least(F.col("size") - F.col("at"), F.col("size_y") - F.col("at_y"))
+    met = x.join(y, "bucket").where((F.col("component") != F.col("component_y")) & (2 * behind >= shared))
+    met = met.select(F.least("doc_id", "doc_id_y").alias("a"), F.greatest("doc_id", "doc_id_y").alias("b"))
+    return near.union(met).distinct()
 
 
 def verify(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
