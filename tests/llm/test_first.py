@@ -56,6 +56,14 @@ def test_quality_ratio_prefers_the_trusted(spark):
     assert min(mean[i] for i, _ in good) > max(mean[i] for i, _ in bad) + 0.5
 
 
+def test_quality_ratio_does_not_depend_on_copies(spark):
+    rnd = random.Random(4)
+    rows = [(i, " ".join(f"w{rnd.randrange(300)}" for _ in range(80))) for i in range(40)]
+    trusted = quality.trusted_ids(frame(spark, [(i, 1, 0) for i in range(20)], "doc_id bigint, quality int, toxic int"))
+    copies = [(1000 + i, rows[0][1]) for i in range(40)] + [(2000 + i, rows[30][1]) for i in range(15)]
+    assert quality.fit_ratio(frame(spark, rows + copies), trusted) == quality.fit_ratio(frame(spark, rows), trusted)
+
+
 def test_quality_of_empty_tables(spark):
     docs = frame(spark, [])
     ratio = quality.fit_ratio(docs, quality.trusted_ids(frame(spark, [], "doc_id bigint, quality int, toxic int")))
