@@ -28,9 +28,11 @@ def bpe_path() -> str:
 
 
 def fitted_quality(spark: SparkSession, docs: DataFrame, sf: str, carry: list[str] | None = None) -> DataFrame:
-    """Quality rules with both multinomials fitted to ``docs``; the trusted target comes from ``labels``."""
-    ratio = quality.fit_ratio(docs, quality.trusted_ids(_table(spark, sf, "labels")))
-    return quality.quality_rules(docs, ratio, carry=carry)
+    """Quality rules with multinomials and threshold fitted to ``docs``; the trusted target comes from ``labels``."""
+    trusted = quality.trusted_ids(_table(spark, sf, "labels"))
+    counts = quality.fit_counts(docs, trusted)
+    threshold = quality.fit_threshold(docs, trusted, *counts)
+    return quality.quality_rules(docs, quality.ratio_of(*counts), threshold, carry)
 
 
 #: The rules of the URL query.

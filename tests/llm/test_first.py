@@ -8,6 +8,7 @@ from fractions import Fraction
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +65,37 @@ def test_quality_ratio_does_not_depend_on_copies(spark):
     assert quality.fit_ratio(frame(spark, rows + copies), trusted) == quality.fit_ratio(frame(spark, rows), trusted)
 
 
+def test_quality_keeps_clean_documents_that_are_not_in_the_target(spark):
+    """As in a small table: a tenth of the trusted documents loses its labels."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    good = quality.trusted_ids(labels).join(docs, "doc_id", "left_semi")
+    held = sorted(r[0] for r in good.collect())[::10]
+    trusted = good.where(~F.col("doc_id").isin(held))
+    counts = quality.fit_counts(docs, trusted)
+    threshold = quality.fit_threshold(docs, trusted, *counts)
+    found = quality.quality_rules(docs, quality.ratio_of(*counts), threshold).collect()
+    found = [r for r in found if not r.base_failed]
+    assert len(held) > 3 and all(r.kept for r in found if r.doc_id in held)
+    bad = {r[0] for r in labels.where("quality = 0").collect()}
+    assert any(r.doc_id in bad and not r.kept for r in found)
+
+
+def test_quality_threshold_leaves_out_own_counts(spark):
+    rnd = random.Random(6)
+    rows = [(i, " ".join(f"w{rnd.randrange(400)}" for _ in range(70))) for i in range(30)]
+    trusted = quality.trusted_ids(frame(spark, [(i, 1, 0) for i in range(5)], "doc_id bigint, quality int, toxic int"))
+    scores = []
+    for i in range(5):  # the target without one document
+        less = trusted.where(F.col("doc_id") != i)
+        ratio = quality.fit_ratio(frame(spark, rows), less)
+        scores += [r.llr for r in quality.quality_rules(frame(spark, rows), ratio).collect() if r.doc_id == i and not r.base_failed]
+    assert len(scores) == 5
+    low, quarter = np.quantile(scores, [0.01, 0.25])
+    counts = quality.fit_counts(frame(spark, rows), trusted)
+    assert quality.fit_threshold(frame(spark, rows), trusted, *counts) == pytest.approx(min(quality.THRESHOLD, 2 * low - quarter))
+
+
 def test_quality_of_empty_tables(spark):
     docs = frame(spark, [])
     ratio = quality.fit_ratio(docs, quality.trusted_ids(frame(spark, [], "doc_id bigint, quality int, toxic int")))
