@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termfit.llm.quality import once, word_array
+from termfit.llm.quality import once
 from termfit.session import scratch_path
 
 SHINGLE = 5
@@ -79,6 +79,14 @@ def _lowered(text: str) -> Column:
     return F.lower(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
+#: Where a word begins or a text ends: what is no letter or digit before a word, as comment marks are, is no part of it.
+BREAK = r"(?:^|[\x20\x09-\x0D])[^\p{L}\p{N}\p{M}]*+"
+
+
+def _words(text: str) -> Column:
+    return F.array_remove(F.split(F.col(text), BREAK), "")
+
+
 def _word_keys(words: Column) -> Column:
     """Each word is hashed once; shingles are made of these."""
     return F.transform(words, lambda w: F.xxhash64(w))
@@ -106,7 +114,7 @@ def _signature(shingles: Column, plan: Column) -> Column:
 def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
     """(license_id, n_words, template): the distinct shingles of a configured list of templates, which must be short."""
     rows = spark.createDataFrame(sorted(templates.items()), "license_id string, text string")
-    rows = rows.select("license_id", _lowered("text").alias("text")).select("license_id", once(word_array("text")).alias("w"))
+    rows = rows.select("license_id", _lowered("text").alias("text")).select("license_id", once(_words("text")).alias("w"))
     rows = rows.select("license_id", once(_word_keys(F.col("w"))).alias("w"))
     return rows.select("license_id", F.size("w").alias("n_words"), F.array_distinct(_shingles(F.col("w"))).alias("template"))
 
@@ -119,7 +127,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
     """The templates that documents contain.
 
     Returns doc_id, license_id, containment (the best window's share of the template's shingles), n_windows
-    and first_word, where the first of these windows begins (in words). One row per doc_id and template:
+    and first_word, where the first of these windows begins (in words, comment marks not counted). One row per doc_id and template:
     rows with the same doc_id, repeated ones and those without it are taken together. A null or
     empty text contains nothing; a template of fewer than SHINGLE words is never found.
     """
@@ -135,7 +143,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
     if not plans:
         return spark.createDataFrame([], f"doc_id {kind}, license_id string, containment double, n_windows bigint, first_word int")
     targets = F.split(F.lit(",".join(map(str, wanted))), ",").cast("array<bigint>")  # folded to one constant
-    step = docs.select("doc_id", _lowered("text").alias("text")).select("doc_id", once(word_array("text")).alias("w"))
+    step = docs.select("doc_id", _lowered("text").alias("text")).select("doc_id", once(_words("text")).alias("w"))
     step = step.select("doc_id", once(_word_keys(F.col("w"))).alias("w"))
     step = step.select("doc_id", once(_shingles(F.col("w"))).alias("shingles"))
     step = step.select("doc_id", "shingles", F.array_intersect("shingles", targets).alias("known")).where("size(known) > 0")

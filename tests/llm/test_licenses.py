@@ -48,6 +48,17 @@ def test_scan(spark):
         assert r.containment >= 0.8
 
 
+def test_commented_headers(spark):
+    rows, expected = [], set()
+    for i, name in enumerate(("Apache-2.0-header", "MIT-text", "GPL-3.0-header")):
+        parts = licenses.TEMPLATES[name].split(" ")
+        lines = [" ".join(parts[k : k + 11]) for k in range(0, len(parts), 11)]
+        for j, mark in enumerate((" * ", "# ", "// ", "#")):
+            rows.append((10 * i + j, "/*\n" + "\n".join(mark + x for x in lines) + "\n */\nint x;"))
+            expected.add((10 * i + j, name))
+    assert expected <= {(r.doc_id, r.license_id) for r in licenses.scan(frame(spark, rows)).collect()}
+
+
 def test_empty_tables(spark):
     assert licenses.scan(frame(spark, [])).count() == 0
     assert licenses.scan(frame(spark, [(1, "a b c d e f")]), {}).count() == 0
