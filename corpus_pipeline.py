@@ -69,5 +69,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: Tiling and pair merging cannot be written in SQL; tests/llm checks the stages against plain Python.
+#: Tiling and pair merging cannot be written in SQL; tests/llm checks the operators behind the stages; no test runs a stage yet.
 ORACLE_SQL = None
