@@ -60,22 +60,23 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Colu
     return name, verdict
 
 
-def _grams(text: Column, mark: str) -> list[Column]:
-    """Buckets of the character n-grams of one part."""
-    letters = F.concat(F.array(F.lit("\x02")), F.array_remove(F.split(text, ""), ""), F.array(F.lit("\x03")))
+def _grams(text: Column, mark: str) -> Column:
+    """Buckets of the character n-grams of one part, in time linear in its length."""
+    marked = F.concat(F.array(F.lit("\x02")), F.array_remove(F.split(text, ""), ""), F.array(F.lit("\x03")))
 
-    def of(size: int) -> Column:
+    def of(letters: Column, size: int) -> Column:
         def bucket(i: Column) -> Column:
             return F.pmod(F.xxhash64(F.lit(mark), *(F.get(letters, i + k) for k in range(size))), F.lit(BUCKETS))
 
         spots = F.sequence(F.lit(0), F.greatest(F.size(letters) - size, F.lit(0)))
         return F.when(F.size(letters) >= size, F.transform(spots, bucket)).otherwise(F.array().cast("array<bigint>"))
 
-    return [of(size) for size in SIZES]
+    # the letters are the variable of an outer function: a lambda would split the text again for every n-gram
+    return F.element_at(F.transform(F.array(marked), lambda letters: F.concat(*(of(letters, size) for size in SIZES))), 1)
 
 
 def features(host: Column, path: Column) -> Column:
-    return F.concat(*_grams(host, "h"), *_grams(path, "p"))
+    return F.concat(_grams(host, "h"), _grams(path, "p"))
 
 
 def _literal(weights: list[float]) -> Column:
