@@ -8,7 +8,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termfit.llm import backoff, bpe, chat, credentials, jaccard, licenses, quality, repeats, tiling, urls
+from termfit.llm import backoff, bpe, chat, credentials, jaccard, licenses, quality, ranking, repeats, tiling, urls
 
 #: Where the public vocabularies are, unless the environment or the package of that name says otherwise.
 TOKENIZERS = "/opt/tokenizers"
@@ -105,6 +105,10 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return members
 
 
+def op13_ranked_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return ranking.search(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -124,6 +128,7 @@ QUERIES = {
         op8_lm_scoring,
         op9_quality_rules,
         op10_bpe,
+        op13_ranked_lexical_search,
         pipeline,
     )
 }
@@ -151,4 +156,26 @@ SELECT conv_id, count(*) AS n_turns,
   sum(length(role) + role_escapes + length(text) + escapes + 14)::BIGINT AS formatted_chars,
   regexp_matches(string_agg(role || ',', '' ORDER BY turn NULLS FIRST, role, text), '^(system,)?(user,assistant,)+$') AS valid
 FROM w GROUP BY conv_id""",
+    "op13_ranked_lexical_search": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), s AS (SELECT count(*) FILTER (len(terms) > 0) AS n, sum(len(terms))::BIGINT AS total FROM d),
+t AS (SELECT doc_id, len(terms) AS length, unnest(terms) AS term FROM d),
+f AS (SELECT doc_id, term, any_value(length) AS length, count(*) AS tf FROM t GROUP BY doc_id, term),
+w AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n) + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM f, s GROUP BY term
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), r AS (
+  SELECT item_id, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * length * n) // total))))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN f USING (term), s GROUP BY item_id, doc_id
+), k AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+  FROM r WHERE score > 0
+)
+SELECT * FROM k WHERE rank <= 50""",
 }
