@@ -40,3 +40,9 @@ def durable(df: DataFrame) -> DataFrame:
     """Compute ``df`` now and continue from its checkpoint."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a written table that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
