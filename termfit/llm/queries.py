@@ -8,7 +8,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termfit.llm import backoff, bpe, chat, credentials, jaccard, licenses, quality, ranking, repeats, tiling, urls
+from termfit.llm import backoff, bpe, chat, collocations, credentials, jaccard, licenses, quality, ranking, repeats, tiling, urls
 
 #: Where the public vocabularies are, unless the environment or the package of that name says otherwise.
 TOKENIZERS = "/opt/tokenizers"
@@ -105,6 +105,10 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return members
 
 
+def op12_phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf, "documents"))
+
+
 def op13_ranked_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
     return ranking.search(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
@@ -128,6 +132,7 @@ QUERIES = {
         op8_lm_scoring,
         op9_quality_rules,
         op10_bpe,
+        op12_phrase_collocations,
         op13_ranked_lexical_search,
         pipeline,
     )
@@ -156,6 +161,34 @@ SELECT conv_id, count(*) AS n_turns,
   sum(length(role) + role_escapes + length(text) + escapes + 14)::BIGINT AS formatted_chars,
   regexp_matches(string_agg(role || ',', '' ORDER BY turn NULLS FIRST, role, text), '^(system,)?(user,assistant,)+$') AS valid
 FROM w GROUP BY conv_id""",
+    "op12_phrase_collocations": r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+i AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w),
+g AS (SELECT lang, words[i] AS w1, words[i + 1] AS w2, words[i + 2] AS w3 FROM i),
+c1 AS (SELECT lang, w1, count(*) AS f FROM g GROUP BY ALL),
+c2 AS (SELECT lang, w1, w2, count(*) AS f FROM g WHERE w2 IS NOT NULL GROUP BY ALL),
+c3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM g WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM c1 GROUP BY lang),
+k AS (
+  SELECT lang, w1 || ' ' || w2 AS phrase, 1 AS k, c2.f AS a, x.f AS l, y.f AS r
+  FROM c2 JOIN c1 x USING (lang, w1) JOIN (SELECT lang, w1 AS w2, f FROM c1) y USING (lang, w2)
+  WHERE c2.f >= 10 AND NOT EXISTS (
+    SELECT 1 FROM c3 WHERE c3.lang = c2.lang AND 100 * c3.f >= 50 * c2.f
+      AND (c3.w1 = c2.w1 AND c3.w2 = c2.w2 OR c3.w2 = c2.w1 AND c3.w3 = c2.w2))
+  UNION ALL
+  SELECT lang, w1 || ' ' || w2 || ' ' || w3, 1, c3.f, x.f, y.f
+  FROM c3 JOIN c1 x USING (lang, w1) JOIN (SELECT lang, w1 AS w2, w2 AS w3, f FROM c2) y USING (lang, w2, w3)
+  UNION ALL
+  SELECT lang, w1 || ' ' || w2 || ' ' || w3, 2, c3.f, x.f, y.f
+  FROM c3 JOIN c2 x USING (lang, w1, w2) JOIN (SELECT lang, w1 AS w3, f FROM c1) y USING (lang, w3)
+), s AS (SELECT *, (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score FROM k),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS worst FROM s),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM b WHERE worst = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) WHERE rank <= 2000""",
     "op13_ranked_lexical_search": r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
