@@ -8,7 +8,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termfit.llm import backoff, bpe, chat, collocations, credentials, jaccard, licenses, quality, ranking, repeats, tiling, urls
+from termfit.llm import backoff, bpe, chat, collocations, credentials, jaccard, licenses, quality, ranking, repeats, superkmers, tiling, urls
 
 #: Where the public vocabularies are, unless the environment or the package of that name says otherwise.
 TOKENIZERS = "/opt/tokenizers"
@@ -105,6 +105,11 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return members
 
 
+def op11_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    kept = superkmers.remove_repeats(_table(spark, sf, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf, "documents"))
 
@@ -132,6 +137,7 @@ QUERIES = {
         op8_lm_scoring,
         op9_quality_rules,
         op10_bpe,
+        op11_substring_dedup,
         op12_phrase_collocations,
         op13_ranked_lexical_search,
         pipeline,
@@ -161,6 +167,20 @@ SELECT conv_id, count(*) AS n_turns,
   sum(length(role) + role_escapes + length(text) + escapes + 14)::BIGINT AS formatted_chars,
   regexp_matches(string_agg(role || ',', '' ORDER BY turn NULLS FIRST, role, text), '^(system,)?(user,assistant,)+$') AS valid
 FROM w GROUP BY conv_id""",
+    "op11_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS p FROM d),
+x AS (
+  SELECT doc_id, p, string_agg(word, ' ') OVER frame AS passage, count(*) OVER frame AS n FROM w
+  WINDOW frame AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
+), r AS (
+  SELECT doc_id, p, row_number() OVER (PARTITION BY passage ORDER BY doc_id, p) > 1 AS again FROM x WHERE n = 20
+), c AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS p FROM r WHERE again),
+k AS (
+  SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY p) AS kept FROM w ANTI JOIN c USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n_kept, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)""",
     "op12_phrase_collocations": r"""
 WITH p AS (
   SELECT coalesce(lang, 'und') AS lang,
