@@ -136,6 +136,21 @@ def parts_per_model(d: int) -> int:
     return -(-d // UNROLL_LIMIT)
 
 
+def stretches(models: int, d: int) -> list[tuple[int, int, int, int, int]]:
+    """(part, model, its how-manyth part, first element, elements) of vectors that hold d factors per model."""
+    per_model = parts_per_model(d)
+    width = part_width(d)
+    return [
+        (m * per_model + c, m, c, m * d + c * width, min(width, d - c * width))
+        for m in range(models)
+        for c in range(per_model)
+    ]
+
+
+def part_width(d: int) -> int:
+    return -(-d // parts_per_model(d))
+
+
 def _descend(
     pulls: DataFrame, keys: list[str], gammas: list[float], strength: str, d: int
 ) -> DataFrame:
@@ -145,18 +160,9 @@ def _descend(
     each model one after the other; ``delta`` and ``held`` have one residual per model,
     NULL where the row does not train or test it. A part is a stretch of one model's
     vector; every pull is summed part by part in a hash aggregate over plain numbers.
-    ``parts`` gives each part's share of the squared error, the squared norm before the
-    step, the held-out squared error and the numbers of held-out and of training rows scored.
     """
-    per_model = parts_per_model(d)
-    width = -(-d // per_model)
-    stretches = [
-        (m * per_model + c, m, c, m * d + c * width, min(width, d - c * width))
-        for m in range(len(gammas))
-        for c in range(per_model)
-    ]
-    single = len(stretches) == 1
-    if single:
+    parts = stretches(len(gammas), d)
+    if len(parts) == 1:
         pieces = pulls.select(
             *keys, "weight", "own", "other", F.lit(0).alias("part"),
             F.expr("delta[0] AS delta"), F.expr("delta[0] AS error"), F.expr("held[0] AS held"),
@@ -166,10 +172,10 @@ def _descend(
             f"struct({part} AS part, slice(own, {start + 1}, {n}) AS own, slice(other, {start + 1}, {n}) AS other, "
             f"delta[{m}] AS delta, {f'delta[{m}]' if c == 0 else 'CAST(NULL AS DOUBLE)'} AS error, "
             f"{f'held[{m}]' if c == 0 else 'CAST(NULL AS DOUBLE)'} AS held)"
-            for part, m, c, start, n in stretches
+            for part, m, c, start, n in parts
         )
         pieces = pulls.select(*keys, "weight", F.expr(f"inline(array({structs}))"))
-    cells = range(width)
+    cells = range(part_width(d))
     summed = pieces.groupBy(*keys, "part").agg(
         *[F.expr(f"sum(2D * delta * weight * get(other, {j}))").alias(f"_g{j}") for j in cells],
         *[F.expr(f"first(get(own, {j}))").alias(f"_p{j}") for j in cells],
@@ -178,6 +184,17 @@ def _descend(
         F.expr("sum(IF(held IS NULL, 0, weight))").alias("held_rows"),
         F.expr("sum(IF(error IS NULL, 0, weight))").alias("rows"),
     )
+    return _moved(summed, keys, gammas, strength, d)
+
+
+def _moved(summed: DataFrame, keys: list[str], gammas: list[float], strength: str, d: int) -> DataFrame:
+    """(*keys, factors, parts) from a part's summed pulls (_g0 ...) and its own elements (_p0 ...).
+
+    ``parts`` gives each part's share of the squared error, the squared norm before the
+    step, the held-out squared error and the numbers of held-out and of training rows scored.
+    """
+    per_model, width = parts_per_model(d), part_width(d)
+    cells = range(width)
     steps = ", ".join(f"{float(gamma)!r}D" for gamma in gammas)
     gamma = f"{float(gammas[0])!r}D" if len(set(gammas)) == 1 else f"array({steps})[part div {per_model}]"
     moved = ", ".join(f"_p{j} - {gamma} * (_g{j} + 2D * ({strength}) * _p{j})" for j in cells)
@@ -189,7 +206,7 @@ def _descend(
     norm = " + ".join(f"coalesce(_p{j} * _p{j}, 0D)" for j in cells)
     report = f"struct(part, sq_error, {norm} AS sq_norm, held_error, held_rows, rows)"
     stepped = summed.select(*keys, "part", F.expr(moved).alias("factors"), F.expr(report).alias("report"))
-    if single:
+    if per_model * len(gammas) == 1:
         return stepped.select(*keys, "factors", F.array("report").alias("parts"))
     # as many rows meet per key as it has parts
     whole = stepped.groupBy(*keys).agg(
@@ -254,8 +271,39 @@ def step_models(
             f"array({trained}) AS delta, array({nothing}) AS held)))"
         ),
     )
-    strength = f"IF(side = {USER}, {float(lam)!r}D, {float(mu)!r}D)"
-    return _descend(pulls, ["side", "id"], gammas, strength, d)
+    return _descend(pulls, ["side", "id"], gammas, strength_of_sides(lam, mu), d)
+
+
+def strength_of_sides(lam: float, mu: float) -> str:
+    return f"IF(side = {USER}, {float(lam)!r}D, {float(mu)!r}D)"
+
+
+def pull_columns(d: int) -> list[str]:
+    return [f"_g{j}" for j in range(part_width(d))]
+
+
+def step_summed(
+    pulls: DataFrame, profiles: DataFrame, gammas: list[float], lam: float, mu: float, d: int
+) -> DataFrame:
+    """(side, id, factors, parts) as ``step_models`` gives them, from pulls that are partly summed already.
+
+    ``pulls`` has rows (side, id, part, _g0 ..., sq_error, held_error, held_rows, rows), any number per id and
+    part; the profiles travel along as rows. A profile that nothing pulls at is left out.
+    """
+    sums = ["sq_error", "held_error", "held_rows", "rows"]
+    cells = range(part_width(d))
+    own = ", ".join(
+        "struct(" + ", ".join([f"{part} AS part", *(f"{f'get(factors, {start + j})' if j < n else 'CAST(NULL AS DOUBLE)'} AS _p{j}" for j in cells)]) + ")"
+        for part, _, _, start, n in stretches(len(gammas), d)
+    )
+    carried = profiles.select("side", "id", F.expr(f"inline(array({own}))"), F.lit(False).alias("pulled"))
+    stacked = pulls.withColumn("pulled", F.lit(True)).unionByName(carried, allowMissingColumns=True)
+    summed = stacked.groupBy("side", "id", "part").agg(
+        *[F.sum(name).alias(name) for name in (*pull_columns(d), *sums)],
+        *[F.first(f"_p{j}", ignorenulls=True).alias(f"_p{j}") for j in cells],
+        F.max("pulled").alias("pulled"),
+    )
+    return _moved(summed.where("pulled"), ["side", "id"], gammas, strength_of_sides(lam, mu), d)
 
 
 def report(stepped: DataFrame, d: int) -> DataFrame:

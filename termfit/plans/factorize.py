@@ -21,6 +21,7 @@ from termfit.operators.factors import (
     step_models,
 )
 from termfit.plans.joins import add_salt, copy_per_salt, fits_broadcast, hot_keys
+from termfit.plans.rating_cells import RatingGrid
 from termfit.session import durable
 
 ROW = ["user_id", "item_id", "rating", "fold"]
@@ -51,52 +52,46 @@ class FactorModel:
 
 
 class _Ratings:
-    """Fold-tagged ratings laid out once for the many passes of a training run.
+    """Fold-tagged ratings laid out once for the many passes of a training run, with at most one large side.
 
-    While the profiles of a side fit a broadcast, ratings stay where they are. For
-    larger sides equal rows are merged into one with a weight, hot users and items are
-    split by salts, and the table is kept partitioned and sorted by user, so that an
-    iteration moves the user profiles and not the ratings.
+    While the profiles of a side fit a broadcast, ratings stay where they are. For a
+    larger side equal rows are merged into one with a weight, hot ids are
+    split by salts, and the table is kept partitioned and sorted by that side, so that an
+    iteration moves its profiles and not the ratings. Two large sides need a ``RatingGrid``.
     """
 
     def __init__(self, ratings: DataFrame, small_users: bool, small_items: bool, partitions: int | None):
-        self.small = {"user_id": small_users, "item_id": small_items}
-        self.hot: dict[str, DataFrame] = {}
-        large = [key for key in self.small if not self.small[key]]
-        if not large:
+        self.large = "item_id" if small_users else "user_id"
+        self.broadcast_only = small_users and small_items
+        if self.broadcast_only:
             table = ratings.repartition(partitions) if partitions else ratings
             self.table = table.persist(StorageLevel.MEMORY_AND_DISK)
             return
         merged = ratings.groupBy(*ROW).agg(F.count(F.lit(1)).alias("weight"))
         merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
-        table = merged
-        for key in large:
-            counts = merged.groupBy(key).count()
-            self.hot[key] = durable(hot_keys(counts, key))
-            table = add_salt(table, key, self.hot[key], self._salt(key), by=ROW)
-        layout = [large[0], self._salt(large[0])]
+        self.hot = durable(hot_keys(merged.groupBy(self.large).count(), self.large))
+        layout = [self.large, "_salt"]
+        table = add_salt(merged, self.large, self.hot, "_salt", by=ROW)
         table = table.repartition(*([partitions] if partitions else []), *layout)
         self.table = table.sortWithinPartitions(*layout).persist(StorageLevel.MEMORY_AND_DISK)
         # plans know the partitioning and order of a cached table once it is filled
         self.table.count()
         merged.unpersist()
 
-    @staticmethod
-    def _salt(key: str) -> str:
-        return f"_{key}_salt"
-
     def with_profiles(self, profiles: DataFrame) -> DataFrame:
         users = profiles.where(F.col("side") == USER)
         items = profiles.where(F.col("side") == ITEM)
-        table = self._attach(self.table, as_users(users), "user_id")
-        return self._attach(table, as_items(items), "item_id")
-
-    def _attach(self, table: DataFrame, profiles: DataFrame, key: str) -> DataFrame:
-        # held-out rows may lack a profile, so no row is dropped here
-        if self.small[key]:
-            return table.join(F.broadcast(profiles), key, "left")
-        salt = self._salt(key)
-        return table.join(copy_per_salt(profiles, key, self.hot[key], salt), [key, salt], "left")
+        table = self.table
+        # the large side first, in the layout; held-out rows may lack a profile, so no row is dropped here
+        for key, side in sorted({"user_id": as_users(users), "item_id": as_items(items)}.items(), key=lambda s: s[0] != self.large):
+            if key == self.large and not self.broadcast_only:
+                table = table.join(copy_per_salt(side, key, self.hot, "_salt"), [key, "_salt"], "left")
+            else:
+                table = table.join(F.broadcast(side), key, "left")
+        return table
+
+    def step(self, profiles: DataFrame, models: list[int], gammas: list[float], lam: float, mu: float, d: int) -> DataFrame:
+        return step_models(self.with_profiles(profiles), models, gammas, lam, mu, d)
 
     def release(self) -> None:
         self.table.unpersist()
@@ -147,8 +142,11 @@ def _descend_all(
     profiles = durable(_draw(rows, models, d, seed, dist) if initial is None else initial)
     counts = profiles.agg(F.count_if(F.col("side") == USER), F.count_if(F.col("side") == ITEM)).first()
     small = [fits_broadcast(n * (64 + 8 * d * len(models))) for n in counts]
-    ratings = _Ratings(rows, *small, num_partitions)
-    if ratings.table is not rows:
+    if any(small):
+        ratings = _Ratings(rows, *small, num_partitions)
+    else:
+        ratings = RatingGrid(rows, list(counts), d * len(models), num_partitions)
+    if getattr(ratings, "table", None) is not rows:
         rows.unpersist()
 
     start = time.time()
@@ -163,8 +161,7 @@ def _descend_all(
             # a model that has stopped stays where it is
             active = [change > eps for change in changes]
             gammas = [gamma if on else 0.0 for on in active]
-            table = ratings.with_profiles(profiles)
-            profiles = durable(step_models(table, models, gammas, lam, mu, d))
+            profiles = durable(ratings.step(profiles, models, gammas, lam, mu, d))
             # one row per model
             sums = {row["place"]: row for row in report(profiles, d).collect()}
             for i, on in enumerate(active):

@@ -12,6 +12,7 @@ from termfit.operators.points import gradient_parts, row_sums
 from termfit.plans import joins
 from termfit.plans.factorize import _Ratings
 from termfit.plans.logistic import _Entries
+from termfit.plans.rating_cells import RatingGrid
 from termfit.session import checkpoint_dir, durable
 
 
@@ -142,5 +143,68 @@ def test_large_ratings_stay_with_their_users(spark):
     assert shown.count("BroadcastExchange") == 2
 
 
+def some_ratings(spark):
+    rows = [(u, i, float(u % 5 + i % 3), (u + i) % 3) for u in range(40) for i in range(30) if (u * i) % 4 == 0 or u == 7]
+    return spark.createDataFrame(rows * 2, "user_id bigint, item_id bigint, rating double, fold int")
+
+
+def some_profiles(ratings, models, d):
+    sides = [
+        init_profiles(entity_ids(ratings, key), models * d, 1, key).select(F.lit(side).alias("side"), "id", "factors")
+        for side, key in enumerate(("user_id", "item_id"))
+    ]
+    return durable(sides[0].unionByName(sides[1]))
+
+
+def test_two_large_sides_exchange_no_ratings(spark, monkeypatch):
+    from termfit.plans import grid
+
+    monkeypatch.setattr(grid, "CELL_PAIRS", 40)
+    monkeypatch.setattr(joins, "SHARES", 100)
+    ratings = some_ratings(spark)
+    profiles = some_profiles(ratings, 1, 2)
+    cells = RatingGrid(ratings, [40, 30], 2, None)
+    rows = cells.grid.cells.select(F.size("left_ids").alias("users"), F.size("right_ids").alias("items"), F.octet_length("at").alias("bytes")).collect()
+    assert sum(r["bytes"] for r in rows) == 4 * ratings.distinct().count() and len(rows) > 8
+    # user 7, who rated everything, is in several cells, and no cell holds more than a few times its share
+    assert cells.grid.routes[0].where("id = 7").count() > 2
+    assert max(r["bytes"] for r in rows) < 4 * 4 * 40
+    # one vector per id and listing cell
+    sent = [cells.grid.send(side, profiles.where(F.col("side") == side).select("id", F.col("factors").alias("vector"))) for side in (0, 1)]
+    assert [table.count() for table in sent] == [sum(r["users"] for r in rows), sum(r["items"] for r in rows)]
+    shown = plan(cells.step(profiles, [-9], [0.1], 1.0, 1.0, 2))
+    # the cached cells are read in place: neither exchanged nor sorted
+    assert re.search(r"FlatMapCoGroupsInArrow[^\n]*\n[^\n]*:- (?:\*\(\d+\) )?(?:Project[^\n]*\n[^\n]*)?(?:InMemoryTableScan|TableCacheQueryStage)", shown), shown
+    cells.release()
+
+
+def test_cells_step_several_models(spark, monkeypatch):
+    from termfit.plans import grid
+
+    monkeypatch.setattr(grid, "CELL_PAIRS", 100)
+    ratings = some_ratings(spark)
+    models, d = [0, 1, 2], 23
+    profiles = some_profiles(ratings, len(models), d)
+    cells = RatingGrid(ratings, [40, 30], len(models) * d, 3)
+    place = _Ratings(ratings, True, True, None)
+
+    def steps(layout):
+        table = layout.step(profiles, models, [0.1, 0.0, 0.2], 0.5, 2.0, d)
+        return {(r["side"], r["id"]): (r["factors"], r["parts"]) for r in table.collect()}
+
+    found, wanted = steps(cells), steps(place)
+    assert found.keys() == wanted.keys()
+    for key, (factors, parts) in wanted.items():
+        assert found[key][0] == pytest.approx(factors)
+        for part, same in zip(found[key][1], parts, strict=True):
+            assert part["sq_norm"] == pytest.approx(same["sq_norm"])
+            if key[0] == 0:  # errors are booked on users
+                assert [part[n] or 0 for n in ("sq_error", "held_error", "held_rows", "rows")] == pytest.approx(
+                    [same[n] or 0 for n in ("sq_error", "held_error", "held_rows", "rows")]
+                )
+    for layout in (cells, place):
+        layout.release()
+
+
 def test_checkpoint_folder_comes_from_the_session(spark):
     assert spark.conf.get("spark.checkpoint.dir") in checkpoint_dir(spark)
