@@ -327,7 +327,9 @@ def remove_repeats(docs: DataFrame, hot: int = HOT, block_bytes: int = BLOCK_BYT
     placed = _collapsed(docs).select("doc_id", "text", "h", "copies", F.pmod("place", F.lit(blocks)).alias("block")).groupBy("block")
     totals = placed.applyInArrow(_ask(ranges), ASKED).groupBy("range").applyInArrow(_answer(hot), TOTALS)
     packed = placed.cogroup(totals.groupBy("block")).applyInArrow(_pack, _packed_schema(kind))
-    ordered = packed.repartition("key").sortWithinPartitions("key", "doc_id", "h", "start")
+    # a string that its block has sent already needs no bucket, so such rows are spread
+    spread = F.when(F.col("words").isNull(), F.xxhash64("block", "ord", "start"))
+    ordered = packed.repartition("key", spread).sortWithinPartitions("key", "doc_id", "h", "start")
     marks = ordered.mapInArrow(_repeats, "block bigint, ord int, start int, mask int").where("mask <> 0")
     found = placed.cogroup(marks.groupBy("block")).applyInArrow(_remove, f"doc_id {kind}, n_words bigint, n_removed bigint, kept string, copies bigint")
     return found.select("doc_id", "n_words", "n_removed", "kept", F.explode(F.sequence(F.lit(1), "copies"))).drop("col")
