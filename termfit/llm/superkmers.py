@@ -38,6 +38,9 @@ HOT = 4096
 BLOCK_BYTES = 8 << 20
 RANGE_BYTES = 64 << 20
 
+#: Words or strings whose letters are gathered at once.
+GATHERED = 50_000
+
 #: Words are divided by these bytes.
 WORD = ~byte_set((0x20, 0x20), (0x09, 0x0D))
 SPACE = ~byte_set((0x20, 0x20))
@@ -77,9 +80,45 @@ class _Block:
             start, size = start[held], size[held]
         offsets = np.concatenate([[0], np.cumsum(size + 1)])
         letters = np.full(int(offsets[-1]), 0x20, np.uint8)
-        letters[_gathered(offsets[:-1], size)] = self.data[_gathered(start, size)]
+        for at in range(0, len(size), GATHERED):
+            part = slice(at, at + GATHERED)
+            letters[_gathered(offsets[:-1][part], size[part])] = self.data[_gathered(start[part], size[part])]
         return letters, offsets
 
+    def coded(self) -> np.ndarray:
+        """A number for every word, equal for equal words."""
+        letters, offsets = self.joined()
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(letters)]
+        ).dictionary_encode().indices.to_numpy()
+
+
+def _strings(letters: np.ndarray, low: np.ndarray, size: np.ndarray) -> pa.Array:
+    """The stretches [low, low + size) of ``letters``."""
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    found = np.empty(int(offsets[-1]), np.uint8)
+    for at in range(0, len(size), GATHERED):
+        part = slice(at, at + GATHERED)
+        found[offsets[at] : offsets[min(at + GATHERED, len(size))]] = letters[_gathered(low[part], size[part])]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(found)])
+
+
+def _sent_before(block: _Block, first: np.ndarray, n: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which strings (windows n from word ``first`` on) equal an earlier one of the block. ``keys`` only narrow down; words decide."""
+    _, earliest, place = np.unique(keys, return_index=True, return_inverse=True)
+    like = earliest[place]
+    rest = np.flatnonzero(like != np.arange(len(first)))
+    rest = rest[n[rest] == n[like[rest]]]
+    code = block.coded() if len(rest) else None
+    for k in range(WINDOW + SHARED - 1):
+        within = k < n[rest] + WINDOW - 1
+        same = ~within
+        same[within] = code[first[rest[within]] + k] == code[first[like[rest[within]]] + k] if len(rest) else True
+        rest = rest[same]
+    before = np.zeros(len(first), bool)
+    before[rest] = True
+    return before
+
 
 def _grams(words: Words) -> np.ndarray:
     key = words.key[: len(words.key) - GRAM + 1].copy()
@@ -181,16 +220,11 @@ def _pack(docs: pa.Table, totals: pa.Table) -> pa.Table:
     key = np.concatenate([runs.key[some], runs.window_keys(single) if len(single) else runs.key[:0]])
     order = np.argsort(first, kind="stable")
     first, n, key = first[order], n[order], key[order]
+    ends = runs.window_keys(first + n - 1) if len(first) else key
+    sent = ~_sent_before(block, first, n, mix(key + ends * np.uint64(0xD1342543DE82EF95) + n.astype(np.uint64)))
     letters, offsets = block.joined()
-    size = offsets[first + n + WINDOW - 1] - offsets[first] - 1
-    strings = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(),
-        len(first),
-        [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int64)), pa.py_buffer(letters[_gathered(offsets[first], size)])],
-    )
-    code = strings.dictionary_encode().indices.to_numpy()
-    sent = np.zeros(len(code), bool)
-    sent[np.unique(code, return_index=True)[1]] = True
+    size = np.where(sent, offsets[first + n + WINDOW - 1] - offsets[first] - 1, 0)
+    strings = _strings(letters, offsets[first], size).cast(pa.binary())
     row = block.words.row[first]
     return pa.table(
         {
@@ -201,7 +235,7 @@ def _pack(docs: pa.Table, totals: pa.Table) -> pa.Table:
             "n": pa.array(n, pa.int32()),
             "block": pa.array(np.full(len(first), block.block), pa.int64()),
             "ord": pa.array(row, pa.int32()),
-            "words": pc.if_else(pa.array(sent), strings.cast(pa.binary()), pa.scalar(None, pa.binary())),
+            "words": pc.if_else(pa.array(sent), strings, pa.scalar(None, pa.binary())),
         }
     )
 
@@ -288,9 +322,7 @@ def _remove(docs: pa.Table, marks: pa.Table) -> pa.Table:
     ends = np.cumsum(words.count - removed)
     low, high = offsets[ends - (words.count - removed)], offsets[ends]
     size = np.maximum(high - low - 1, 0)
-    kept = pa.LargeStringArray.from_buffers(
-        len(size), pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int64)), pa.py_buffer(letters[_gathered(low, size)])
-    )
+    kept = _strings(letters, low, size).cast(pa.large_string())
     return pa.table(
         {
             "doc_id": block.docs.column("doc_id"),
