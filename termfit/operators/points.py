@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termfit.functions.logistic import gradient_weight, logistic_loss, softplus_sql
-from termfit.plans.joins import lookup
+from termfit.operators.rows import row_margins, row_pulls
+from termfit.plans.joins import fits_broadcast, lookup, measured_bytes
 from termfit.session import durable
 
 
@@ -56,9 +57,21 @@ def row_sums(scored: DataFrame, **columns: str) -> DataFrame:
     return scored.groupBy("row_id", "y").agg(*sums)
 
 
+def sums_of_points(points: DataFrame, table: DataFrame, **columns: str) -> DataFrame:
+    """(row_id, y, name...): ``row_sums`` against a stored (feature, ...) table, which is measured.
+
+    A table that fits every task is looked up inside the row. Otherwise the entries travel to a salted join, and the
+    sums are formed per ``row_id``.
+    """
+    if fits_broadcast(measured_bytes(table)):
+        return row_margins(points, table, **columns)
+    scored = lookup(entries(points), table.select("feature", *columns.values()), "feature", by=["row_id"], how="left")
+    return row_sums(scored, **columns)
+
+
 def margins(points: DataFrame, beta: DataFrame) -> DataFrame:
     """(row_id, y, m) with m = <coef, x>."""
-    return row_sums(with_coefficients(points, beta), m="coef")
+    return sums_of_points(points, beta, m="coef")
 
 
 def total_loss(points: DataFrame, beta: DataFrame, lam: float = 0.0) -> DataFrame:
@@ -68,45 +81,41 @@ def total_loss(points: DataFrame, beta: DataFrame, lam: float = 0.0) -> DataFram
     return fit.unionByName(penalty).agg(F.coalesce(F.sum("part"), F.lit(0.0)).alias("loss"))
 
 
-def gradient_parts(scored: DataFrame, beta: DataFrame, lam: float) -> DataFrame:
-    """(feature, coef, g, loss): gradient and loss from one reading of the scored entries.
+def gradient_parts(pulls: DataFrame, beta: DataFrame, lam: float) -> DataFrame:
+    """(feature, step, coef, g, loss): gradient and losses from the partial sums of ``row_pulls``.
 
-    The margin is a window sum over the entries of a point, which needs no shuffle and
-    no sort when they are stored partitioned and sorted by ``row_id``. Each point's loss
-    is booked on its head entry, and the coefficients travel along as rows, so a single
-    aggregation by feature (with partial sums before its shuffle) yields everything.
-    Points without features leave one row with a NULL feature.
+    The coefficients travel along as rows, so a single aggregation by feature (with partial sums before its
+    shuffle) yields everything. Rows without a feature hold the losses.
     """
-    margin = F.coalesce(
-        F.sum(F.col("value") * F.col("coef")).over(Window.partitionBy("row_id")), F.lit(0.0)
-    )
-    weighted = scored.select("feature", "value", "head", "y", margin.alias("m")).select(
-        "feature",
-        F.lit(0.0).alias("coef"),
-        (gradient_weight() * F.col("value")).alias("pull"),
-        F.when(F.col("head"), logistic_loss()).alias("loss"),
-    )
-    carried = beta.select(
-        "feature",
-        "coef",
-        F.lit(0.0).alias("pull"),
-        F.lit(0.0).alias("loss"),
-    )
-    return (
-        weighted.unionByName(carried)
-        .groupBy("feature")
-        .agg(
-            F.sum("coef").alias("coef"),
-            F.expr("coalesce(sum(pull), 0D)").alias("pull"),
-            F.expr("coalesce(sum(loss), 0D)").alias("loss"),
-        )
-        .select("feature", "coef", F.expr(f"pull + 2D * {float(lam)!r}D * coef").alias("g"), "loss")
+    carried = beta.select("feature", F.lit(-1).alias("step"), "coef", F.lit(0.0).alias("pull"), F.lit(0.0).alias("loss"))
+    summed = (
+        pulls.withColumn("coef", F.lit(0.0))
+        .unionByName(carried)
+        .groupBy("feature", "step")
+        .agg(*[F.expr(f"coalesce(sum({name}), 0D)").alias(name) for name in ("coef", "pull", "loss")])
     )
+    return summed.select("feature", "step", "coef", F.expr(f"pull + 2D * {float(lam)!r}D * coef").alias("g"), "loss")
+
+
+def _joined_pulls(points: DataFrame, beta: DataFrame) -> DataFrame:
+    """``row_pulls`` where the coefficients do not fit every task: the margin is a window sum over a point's entries."""
+    scored = with_coefficients(points, beta)
+    margin = F.coalesce(F.sum(F.col("value") * F.col("coef")).over(Window.partitionBy("row_id")), F.lit(0.0))
+    weighted = scored.select("feature", "value", "head", "y", margin.alias("m"))
+    pull = F.coalesce(gradient_weight() * F.col("value"), F.lit(0.0))
+    # the loss is booked on each point's head entry
+    loss = F.when(F.col("head"), logistic_loss()).otherwise(0.0)
+    return weighted.select("feature", F.lit(-1).alias("step"), pull.alias("pull"), loss.alias("loss"))
 
 
 def total_gradient(points: DataFrame, beta: DataFrame, lam: float = 0.0) -> DataFrame:
-    """(feature, g): the gradient of the regularised total loss."""
-    parts = gradient_parts(with_coefficients(points, beta), beta, lam)
+    """(feature, g): the gradient of the regularised total loss.
+
+    The coefficient table is measured to choose the plan, so pass a stored one. While it fits every task, points stay whole and only
+    sums per feature are exchanged.
+    """
+    small = fits_broadcast(measured_bytes(beta))
+    parts = gradient_parts(row_pulls(points, beta) if small else _joined_pulls(points, beta), beta, lam)
     return parts.where(F.col("feature").isNotNull()).select("feature", "g")
 
 
@@ -145,12 +154,12 @@ def backtrack(
     signed = rows.select(F.expr("y * m").alias("p"), F.expr("y * q").alias("s"))
     signed = signed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _backtrack(signed, fx, coef_sq, coef_g, grad_sq, lam, a, b, width)
+        return backtrack_signed(signed, fx, coef_sq, coef_g, grad_sq, lam, a, b, width)
     finally:
         signed.unpersist()
 
 
-def _backtrack(
+def backtrack_signed(
     signed: DataFrame,
     fx: float,
     coef_sq: float,
@@ -161,25 +170,46 @@ def _backtrack(
     b: float,
     width: int,
 ) -> LineSearch:
+    """``backtrack`` over stored rows (p, s) with p = y m and s = y q."""
+    test = Sufficient(fx, coef_sq, coef_g, grad_sq, lam, a, b)
     start = 0
-    batches = 0
     while True:
-        steps = []
-        t = b**start
-        for _ in range(width):
-            steps.append(t)
-            t *= b
+        steps = test.steps(start, width)
         priced = signed.agg(
             *[F.expr(f"sum({softplus_sql(f'p - {t!r}D * s')})").alias(f"l{i}") for i, t in enumerate(steps)]
         )
-        batches += 1
-        for i, (t, loss) in enumerate(zip(steps, priced.first())):
-            penalty = lam * (coef_sq - 2 * t * coef_g + t * t * grad_sq)
-            if not (loss or 0.0) + penalty > fx - a * t * grad_sq or t == 0.0:
-                return LineSearch(start + i, t, batches)
+        n = test.first_passing(steps, priced.first())
+        if n is not None:
+            return LineSearch(start + n, steps[n], start // width + 1)
         start += width
 
 
+class Sufficient(NamedTuple):
+    """The condition L(coef - t g) <= fx - a t |g|^2 for the steps t = b^n."""
+
+    fx: float
+    coef_sq: float
+    coef_g: float
+    grad_sq: float
+    lam: float
+    a: float = 0.2
+    b: float = 0.6
+
+    def steps(self, start: int, width: int) -> list[float]:
+        steps = [self.b**start]
+        while len(steps) < width:
+            steps.append(steps[-1] * self.b)
+        return steps
+
+    def first_passing(self, steps: list[float], losses: list[float]) -> int | None:
+        """Place of the first step that passes, given the losses without penalty; a step of 0 always does."""
+        for i, (t, loss) in enumerate(zip(steps, losses, strict=True)):
+            penalty = self.lam * (self.coef_sq - 2 * t * self.coef_g + t * t * self.grad_sq)
+            if not (loss or 0.0) + penalty > self.fx - self.a * t * self.grad_sq or t == 0.0:
+                return i
+        return None
+
+
 def line_search(
     points: DataFrame,
     beta: DataFrame,
@@ -200,8 +230,7 @@ def line_search(
     coef_sq, coef_g = stacked.agg(
         F.expr("coalesce(sum(coef * coef), 0D)"), F.expr("coalesce(sum(coef * g), 0D)")
     ).first()
-    scored = lookup(entries(points), stacked, "feature", by=["row_id"], how="left")
-    return backtrack(row_sums(scored, m="coef", q="g"), fx, coef_sq, coef_g, grad_sq, lam, a, b)
+    return backtrack(sums_of_points(points, stacked, m="coef", q="g"), fx, coef_sq, coef_g, grad_sq, lam, a, b)
 
 
 def predictions(scored_rows: DataFrame) -> DataFrame:

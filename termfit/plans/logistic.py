@@ -1,4 +1,13 @@
-"""Training loop for sparse logistic regression."""
+"""Training loop for sparse logistic regression.
+
+While the coefficients fit every task, points stay whole and an iteration reads them once: the reading that
+prices the trial steps also sums the gradient at the step that is most likely to pass, the one that passed
+before. Only where another step passes, the gradient takes a reading of its own.
+
+With more coefficients the entries lie in the cells of a grid and never move. Coefficients and weights travel to the
+cells that list them, and each point's margin is carried from iteration to iteration (m - t q after a
+step t). Every REFRESH iterations margins are computed anew, which bounds rounding errors and lineage.
+"""
 
 from __future__ import annotations
 
@@ -10,19 +19,24 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termfit.functions.logistic import gradient_weight, logistic_loss
 from termfit.operators.points import (
     BATCH,
-    backtrack,
+    LineSearch,
+    Sufficient,
+    backtrack_signed,
     confusion_of,
-    entries,
     gradient_parts,
     metrics_of,
     predict,
-    row_sums,
 )
-from termfit.plans.joins import add_salt, copy_per_salt, fits_broadcast, hot_keys, measured_bytes
+from termfit.operators.rows import row_margins, row_pulls
+from termfit.plans.grid import LEFT, RIGHT, PairGrid, blocks_for
+from termfit.plans.joins import fits_broadcast, measured_bytes
+from termfit.plans.point_cells import side_sums
 from termfit.session import durable
 
+REFRESH = 10
 HISTORY = (
     "k INT, time_s DOUBLE, loss DOUBLE, grad_norm DOUBLE, trials INT, gamma DOUBLE, "
     "acc DOUBLE, pre DOUBLE, rec DOUBLE"
@@ -51,45 +65,123 @@ class LogisticModel:
         return LogisticModel(spark.read.parquet(path))
 
 
-class _Entries:
-    """The entries of a point table, laid out once for all passes of a training run.
+class _InRows:
+    """Points that stay whole, for coefficients that fit every task."""
 
-    They are partitioned and sorted by point, so while the coefficients fit a broadcast
-    no pass moves them. With more coefficients the entries travel to the features and
-    back, and the features that many points share are split.
-    """
+    def __init__(self, points: DataFrame, num_partitions: int | None):
+        points = points.select("row_id", "y", "x")
+        self.points = (points.repartition(num_partitions) if num_partitions else points).persist(StorageLevel.MEMORY_AND_DISK)
+        self.readings = 0
+
+    def gradient(self, beta: DataFrame, lam: float) -> DataFrame:
+        self.readings += 1
+        return durable(gradient_parts(row_pulls(self.points, beta), beta, lam))
+
+    def search(self, state: DataFrame, test: Sufficient, guess: int, width: int) -> tuple[LineSearch, DataFrame | None]:
+        """The first passing step, and the next state if it is the step that was guessed."""
+        start, ahead = 0, None
+        while True:
+            steps = test.steps(start, width)
+            at = test.b**guess
+            moved = state.select("feature", F.expr(f"coef - {at!r}D * g").alias("coef"))
+            parts = durable(gradient_parts(row_pulls(self.points, state, at, steps), moved, test.lam))
+            self.readings += 1
+            if ahead is None:
+                ahead = parts
+            # as many rows as there are steps
+            losses = dict(parts.where("feature IS NULL").select("step", "loss").collect())
+            n = test.first_passing(steps, [losses.get(i) for i in range(width)])
+            if n is not None:
+                found = LineSearch(start + n, steps[n], start // width + 1)
+                return found, ahead if found.n == guess else None
+            start += width
+
+    def margins(self, beta: DataFrame) -> DataFrame:
+        return row_margins(self.points, beta, m="coef")
+
+    def release(self) -> None:
+        self.points.unpersist()
+
+
+class _InCells:
+    """Entries that lie in the cells of a grid, and the margins of the points, for more coefficients than fit a task."""
 
     def __init__(self, points: DataFrame, num_partitions: int | None):
-        layout = ([num_partitions] if num_partitions else []) + ["row_id"]
-        table = entries(points).repartition(*layout).sortWithinPartitions("row_id")
-        self.table = table.persist(StorageLevel.MEMORY_AND_DISK)
-        # plans know the partitioning and order of a cached table once it is filled
-        self.table.count()
-        self._salted: DataFrame | None = None
-        self._hot: DataFrame | None = None
-
-    def join(self, coefficients: DataFrame, small: bool) -> DataFrame:
-        if small:
-            return self.table.join(F.broadcast(coefficients), "feature", "left")
-        if self._salted is None:
-            counts = self.table.where("feature IS NOT NULL").groupBy("feature").count()
-            self._hot = durable(hot_keys(counts, "feature"))
-            self._salted = add_salt(self.table, "feature", self._hot, "_salt", by=["row_id"])
-        copies = copy_per_salt(coefficients, "feature", self._hot, "_salt")
-        return self._salted.join(copies, ["feature", "_salt"], "left").drop("_salt")
+        spark = points.sparkSession
+        slots = num_partitions or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        labels = points.select("row_id", "y").repartition(slots, "row_id").sortWithinPartitions("row_id")
+        self.labels = labels.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = self.labels.count()
+        if self.labels.where("row_id IS NOT NULL").select("row_id").distinct().count() < rows:
+            self.labels.unpersist()
+            raise ValueError("row_id does not name every point")
+        pairs = points.select("row_id", F.explode("x").alias("feature", "value")).select("row_id", "feature", F.expr("coalesce(value, 0D)").alias("value"))
+        n, features, size = pairs.agg(F.count("*"), F.approx_count_distinct("feature"), F.avg(F.octet_length("feature"))).first()
+        blocks = blocks_for(n, rows * 48, int(features * (96 + (size or 0))), slots)
+        self.grid = PairGrid(pairs, "row_id", "feature", {"value": "double"}, blocks, slots)
+        self.row_kind = points.schema["row_id"].dataType.simpleString()
+        self.kept: list[DataFrame] = []
+        self.state: DataFrame | None = None
+        self.age = self.readings = 0
+
+    def _sent(self, side: int, rows: DataFrame, key: str, value: str) -> DataFrame:
+        return self.grid.send(side, rows.select(F.col(key).alias("id"), F.array(value).alias("vector")))
+
+    def _along(self, table: DataFrame, column: str, name: str) -> DataFrame:
+        """(row_id, name): the sum of value * column per point with features; only partial sums leave a cell."""
+        self.readings += 1
+        sent = self._sent(RIGHT, table.where("feature IS NOT NULL"), "feature", column)
+        parts = self.grid.apply(side_sums(LEFT), f"id {self.row_kind}, part double", sent)
+        return parts.groupBy(F.col("id").alias("row_id")).agg(F.sum("part").alias(name))
+
+    def margins(self, beta: DataFrame) -> DataFrame:
+        found = self.labels.join(self._along(beta, "coef", "m"), "row_id", "left")
+        return found.select("row_id", "y", F.coalesce("m", F.lit(0.0)).alias("m"))
+
+    def _keep(self, rows: DataFrame) -> DataFrame:
+        """Cached rows; those before them go, as soon as these are there."""
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        rows.count()
+        for table in self.kept:
+            table.unpersist()
+        self.kept = [rows]
+        return rows
+
+    def gradient(self, beta: DataFrame, lam: float) -> DataFrame:
+        if self.state is None or self.age >= REFRESH:
+            self.state, self.age = self._keep(self.margins(beta)), 0
+        labelled = self.state.where("y IS NOT NULL")
+        sent = self._sent(LEFT, labelled.select("row_id", gradient_weight().alias("w")), "row_id", "w")
+        self.readings += 1
+        pulls = self.grid.apply(side_sums(RIGHT), "id string, part double", sent)
+        pulls = pulls.select(F.col("id").alias("feature"), F.lit(-1).alias("step"), F.col("part").alias("pull"), F.lit(0.0).alias("loss"))
+        losses = labelled.agg(F.sum(logistic_loss()).alias("loss"))
+        losses = losses.select(F.lit(None).cast("string").alias("feature"), F.lit(-1).alias("step"), F.lit(0.0).alias("pull"), "loss")
+        return durable(gradient_parts(pulls.unionByName(losses), beta, lam))
+
+    def search(self, state: DataFrame, test: Sufficient, guess: int, width: int) -> tuple[LineSearch, DataFrame | None]:
+        along = self.state.join(self._along(state, "g", "q"), "row_id", "left")
+        trial = self._keep(along.select("row_id", "y", "m", F.coalesce("q", F.lit(0.0)).alias("q")))
+        signed = trial.select(F.expr("y * m").alias("p"), F.expr("y * q").alias("s"))
+        found = backtrack_signed(signed, *test, width=width)
+        self.state = trial.select("row_id", "y", F.expr(f"m - {found.t!r}D * q").alias("m"))
+        self.age += 1
+        return found, None
 
     def release(self) -> None:
-        self.table.unpersist()
+        self.grid.release()
+        for table in (self.labels, *self.kept):
+            table.unpersist()
 
 
-def _measure(coefficients: DataFrame):
-    """Sums over a materialised (feature, coef, g, loss) table, and whether it is small."""
-    row = coefficients.agg(
-        F.expr("coalesce(sum(loss), 0D)").alias("loss"),
+def _measure(state: DataFrame):
+    """Sums over a stored (feature, step, coef, g, loss) table, and whether its coefficients are small."""
+    row = state.agg(
+        F.expr("coalesce(sum(IF(step = -1, loss, 0D)), 0D)").alias("loss"),
         F.expr("coalesce(sum(coef * coef), 0D)").alias("coef_sq"),
-        F.expr("coalesce(sum(coef * g), 0D)").alias("coef_g"),
-        F.expr("coalesce(sum(g * g), 0D)").alias("grad_sq"),
-        F.count(F.lit(1)).alias("rows"),
+        F.expr("coalesce(sum(IF(feature IS NULL, 0D, coef * g)), 0D)").alias("coef_g"),
+        F.expr("coalesce(sum(IF(feature IS NULL, 0D, g * g)), 0D)").alias("grad_sq"),
+        F.count("feature").alias("rows"),
         F.expr("coalesce(sum(octet_length(feature)), 0)").alias("key_bytes"),
     ).first()
     small = fits_broadcast(row["rows"] * 96 + row["key_bytes"])
@@ -107,9 +199,8 @@ def train_logistic(
 ) -> LogisticModel:
     """Gradient descent with backtracking while k < max_iter and |gradient| > eps.
 
-    Coefficients and gradient stay tables; losses, norms and step sizes are the only
-    values on the driver. Per iteration the points are read twice: once for loss and
-    gradient, once to price all trial steps.
+    Coefficients and gradient stay tables; while they fit every task they are handed to the tasks, and beyond
+    that ``row_id`` has to name every point. Losses, norms and step sizes are the only other values on the driver.
     """
     spark = points.sparkSession
     if beta0 is None:
@@ -118,42 +209,40 @@ def train_logistic(
     else:
         beta = durable(beta0.select("feature", "coef"))
         small = fits_broadcast(measured_bytes(beta))
-    train = _Entries(points, num_partitions)
-    held_out = None if test is None else _Entries(test, num_partitions)
+    tables = [points] if test is None else [points, test]
+    layouts = [(_InRows if small else _InCells)(table, num_partitions) for table in tables]
 
     start = time.time()
     rows = []
     norm = 2 * eps
     width = BATCH
-    k = 0
+    k = guess = 0
+    state = None
     try:
         while k < max_iter and norm > eps:
-            scored = train.join(beta, small)
-            state = durable(gradient_parts(scored, beta, lam))
+            if state is None:
+                state = layouts[0].gradient(beta, lam)
             sums, small = _measure(state)
+            if not small and isinstance(layouts[0], _InRows):
+                for place, table in enumerate(tables):
+                    layouts[place].release()
+                    layouts[place] = _InCells(table, num_partitions)
+                layouts[0].gradient(beta, lam)  # sets the margins
             loss = sums["loss"] + lam * sums["coef_sq"]
             norm = math.sqrt(sums["grad_sq"])
-            trial_rows = row_sums(
-                train.join(state.where("feature IS NOT NULL").select("feature", "coef", "g"), small),
-                m="coef",
-                q="g",
-            )
-            found = backtrack(
-                trial_rows, loss, sums["coef_sq"], sums["coef_g"], sums["grad_sq"], lam, width=width
-            )
+            passing = Sufficient(loss, sums["coef_sq"], sums["coef_g"], sums["grad_sq"], lam)
+            state = state.where("feature IS NOT NULL").select("feature", "coef", "g")
+            found, following = layouts[0].search(state, passing, guess, width)
             # the next search most likely needs about as many trials
-            width = BATCH * (1 + (found.n + 2) // BATCH)
-            beta = state.where("feature IS NOT NULL").select(
-                "feature", F.expr(f"coef - {found.t!r}D * g").alias("coef")
-            )
+            guess, width = found.n, BATCH * (1 + (found.n + 2) // BATCH)
+            beta = state.select("feature", F.expr(f"coef - {found.t!r}D * g").alias("coef"))
+            state = following
             quality = [None, None, None]
-            if held_out is not None:
-                scored_rows = row_sums(held_out.join(beta, small), m="coef")
-                quality = list(metrics_of(confusion_of(scored_rows)).first())
+            if test is not None:
+                quality = list(metrics_of(confusion_of(layouts[1].margins(beta))).first())
             rows.append([k, time.time() - start, loss, norm, found.n, found.t, *quality])
             k += 1
     finally:
-        for table in (train, held_out):
-            if table is not None:
-                table.release()
+        for layout in layouts:
+            layout.release()
     return LogisticModel(beta, norm, k, norm <= eps, spark.createDataFrame(rows, HISTORY))

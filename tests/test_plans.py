@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from termfit import document_term_frequency, top_terms_from_text
 from termfit.operators.factors import entity_ids, init_profiles, step_models
-from termfit.operators.points import gradient_parts, row_sums
-from termfit.plans import joins
+from termfit.operators.points import Sufficient, margins, total_gradient
+from termfit.operators.rows import row_pulls
+from termfit.plans import joins, logistic
 from termfit.plans.factorize import _Ratings
-from termfit.plans.logistic import _Entries
 from termfit.plans.rating_cells import RatingGrid
 from termfit.session import checkpoint_dir, durable
 
@@ -101,18 +101,73 @@ def test_top_terms_do_not_sort_everything(spark):
     assert "TakeOrderedAndProject" in shown
 
 
-def test_logistic_passes_leave_the_points_in_place(spark):
-    points = spark.createDataFrame(
-        [(i, 1 if i % 2 else -1, {"a": float(i), "b": 1.0}) for i in range(50)],
+def labelled(spark, n=50):
+    return spark.createDataFrame(
+        [(i, 1 if i % 2 else -1, {"a": float(i % 7 - 3), "b": 1.0, f"f{i % 9}": 0.5} if i % 11 else {}) for i in range(n)],
         "row_id int, y int, x map<string,double>",
     )
+
+
+def test_gradient_and_margins_leave_the_points_whole(spark):
     beta = durable(spark.createDataFrame([("a", 0.1)], "feature string, coef double"))
-    train = _Entries(points, None)
-    gradient = plan(gradient_parts(train.join(beta, True), beta, 0.1)).split("InMemoryRelation")[0]
-    assert gradient.count("Exchange hashpartitioning") == 1 and "Sort" not in gradient
-    sums = row_sums(train.join(beta.withColumn("g", F.lit(1.0)), True), m="coef", q="g")
-    assert "Exchange hashpartitioning" not in plan(sums).split("InMemoryRelation")[0]
-    train.release()
+    shown = plan(total_gradient(labelled(spark), beta, 0.1))
+    assert shown.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(feature" in shown
+    assert "Generate" not in shown and "Window" not in shown and "Sort" not in shown
+    assert "Exchange" not in plan(margins(labelled(spark), beta))
+
+
+def test_an_iteration_reads_the_points_once(spark, monkeypatch):
+    readings = []
+    monkeypatch.setattr(logistic, "row_pulls", lambda *given: (readings.append(given), row_pulls(*given))[1])
+    even = spark.createDataFrame([(1, 1, {"a": 1.0, "b": 2.0}), (2, -1, {"a": -1.0}), (3, -1, {"b": 1.0, "c": 1.0})], labelled(spark).schema)
+    for points, most in ((even, 1), (labelled(spark, 200), 5)):
+        readings.clear()
+        model = logistic.train_logistic(points, lam=0.5, max_iter=6, eps=1e-9)
+        trials = [r["trials"] for r in model.history.orderBy("k").collect()]
+        # the first gradient, one reading per search, and one after each step that was not guessed but the last
+        missed = sum(a != b for a, b in zip([0, *trials], trials)) - (trials[-1] != trials[-2])
+        assert len(readings) == 1 + 6 + missed and missed <= most
+
+
+def cell_layout(spark, monkeypatch, n=200):
+    from termfit.plans import grid
+
+    monkeypatch.setattr(grid, "CELL_PAIRS", 40)
+    return logistic._InCells(labelled(spark, n), None)
+
+
+def test_entries_stay_in_their_cells(spark, monkeypatch):
+    cells = cell_layout(spark, monkeypatch)
+    table = durable(spark.createDataFrame([("a", 0.1), ("b", 0.2)], "feature string, g double"))
+    shown = plan(cells._along(table, "g", "q"))
+    assert re.search(r"FlatMapCoGroupsInArrow[^\n]*\n[^\n]*:- (?:\*\(\d+\) )?(?:Project[^\n]*\n[^\n]*)?(?:InMemoryTableScan|TableCacheQueryStage)", shown), shown
+    assert cells.grid.cells.count() > 4
+    cells.release()
+
+
+@pytest.mark.parametrize("refresh", [1, 2, 10])
+def test_carried_margins_equal_new_ones(spark, monkeypatch, refresh):
+    monkeypatch.setattr(logistic, "REFRESH", refresh)
+    cells = cell_layout(spark, monkeypatch)
+    beta, ages = spark.createDataFrame([("a", 0.3)], "feature string, coef double"), []
+    for _ in range(4):
+        state = cells.gradient(beta, 0.1)
+        ages.append(cells.age)
+        sums, _ = logistic._measure(state)
+        test = Sufficient(sums["loss"] + 0.1 * sums["coef_sq"], sums["coef_sq"], sums["coef_g"], sums["grad_sq"], 0.1)
+        found, _ = cells.search(state.where("feature IS NOT NULL"), test, 0, 16)
+        beta = durable(state.where("feature IS NOT NULL").select("feature", F.expr(f"coef - {found.t!r}D * g").alias("coef")))
+        carried = {r["row_id"]: r["m"] for r in cells.state.collect()}
+        assert carried == pytest.approx({r["row_id"]: r["m"] for r in margins(labelled(spark, 200), beta).collect()}, abs=1e-12)
+    assert ages == [k % refresh for k in range(4)]
+    cells.release()
+
+
+def test_cells_need_row_ids(spark):
+    points = labelled(spark, 5)
+    for bad in (points.unionByName(points), points.withColumn("row_id", F.expr("nullif(row_id, 3)"))):
+        with pytest.raises(ValueError):
+            logistic._InCells(bad, None)
 
 
 def test_large_ratings_stay_with_their_users(spark):
