@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 from termfit.functions.logistic import gradient_weight, logistic_loss
 from termfit.operators import factors, points, text
 from termfit.operators.similarity import cosine_similarity
-from termfit.plans.corpus import compare_documents, corpus_tfidf, score_corpus
+from termfit.plans.corpus import compare_documents, corpus_tfidf, score_corpus, score_parts
 from termfit.plans.factorize import FactorModel, cross_validate, cross_validation_error, factorize, fit_and_save
 from termfit.plans.logistic import LogisticModel, train_logistic
 from termfit.session import durable, scratch_path
 from termfit.sources.readers import (
     read_corpus,
+    read_corpus_parts,
     read_folds,
     read_labelled,
     read_lines,
@@ -377,6 +378,15 @@ def corpus_from_files(spark, sf):
     return _rounded(text.inverse_document_frequency(read_corpus(spark, path)), 6, "idf")
 
 
+def tfidf_from_parts(spark, sf):
+    """Files with many lines, read in parts and scored as whole documents."""
+    path = scratch_path(spark, "parts")
+    _documents(spark, sf).select("text").write.option("maxRecordsPerFile", 1).text(path)
+    scored = score_parts(read_corpus_parts(spark, path))
+    # the files' names vary, so the scores are added up per term
+    return _rounded(scored.groupBy("term").agg(F.count("*").alias("df"), F.sum("tfidf").alias("tfidf")), 4, "tfidf")
+
+
 def tf_from_lines(spark, sf):
     path = scratch_path(spark, "lines")
     _documents(spark, sf).select("text").write.text(path)
@@ -501,6 +511,7 @@ def queries() -> dict[str, Query]:
             train_logistic_history,
             train_logistic_beta,
             corpus_from_files,
+            tfidf_from_parts,
             tf_from_lines,
             tf_text_roundtrip,
             idf_text_roundtrip,
@@ -825,6 +836,7 @@ SELECT round(sqrt(coalesce(sum(delta * delta), 0) / count(*)), 6) AS rmse,
         "train_logistic_history": _sql_logistic_history(),
         "train_logistic_beta": f"WITH {_sql_descent(last)} SELECT f AS feature, round(c, 6) AS coef FROM b{last}",
         "corpus_from_files": idf,
+        "tfidf_from_parts": f"WITH {_SCORES} SELECT term, count(*) AS df, round(sum(tfidf), 4) AS tfidf FROM scores GROUP BY term",
         "tf_from_lines": tf,
         "tf_text_roundtrip": f"WITH {_TF} SELECT term, tf::DOUBLE AS value FROM tf",
         "idf_text_roundtrip": f"WITH {_TERMS}, {_IDF} SELECT term, round(idf, 6) AS value FROM idfs",

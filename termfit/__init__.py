@@ -40,7 +40,7 @@ from termfit.operators.text import (
     top_terms,
     top_terms_from_text,
 )
-from termfit.plans.corpus import compare_documents, score_corpus
+from termfit.plans.corpus import compare_documents, score_corpus, score_parts
 from termfit.plans.factorize import (
     FactorModel,
     cross_validate,
@@ -51,6 +51,7 @@ from termfit.plans.factorize import (
 from termfit.plans.logistic import LogisticModel, train_logistic
 from termfit.sources.readers import (
     read_corpus,
+    read_corpus_parts,
     read_folds,
     read_labelled,
     read_lines,

@@ -7,12 +7,21 @@ partial sum per task. Terms repeated on a side multiply out as they would in a j
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termfit.plans.joins import fits_broadcast, hot_keys, measured_bytes, salted_join
 from termfit.session import durable
 
+# The functions below run in Python workers, which need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _cosine(stacked: DataFrame, keys: list[str]) -> DataFrame:
     zero = F.lit(0.0)
@@ -42,6 +51,26 @@ def cosine_similarity(a: DataFrame, b: DataFrame, value: str | None = None) -> D
     return _cosine(stacked, [])
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The scores of a batch as one row per document; a batch bounds how long a row can be."""
+    for batch in batches:
+        coded = batch.column("_doc").dictionary_encode()
+        order = np.argsort(coded.indices.to_numpy(), kind="stable")
+        sizes = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, batch.column(c).take(pa.array(order))) for c in ("term", "_value")]
+        yield pa.record_batch({"_doc": coded.dictionary, "_terms": lists[0], "_values": lists[1]})
+
+
+def packed_vectors(scores: DataFrame) -> DataFrame:
+    """(_doc, _terms, _values) from (_doc, term, _value): a document is one row per task and batch that holds it.
+
+    No shuffle is needed for that, and a document of any size becomes rows of bounded size.
+    """
+    kind = scores.schema["_doc"].dataType.simpleString()
+    return scores.where("_doc IS NOT NULL").mapInArrow(_pack, f"_doc {kind}, _terms array<string>, _values array<double>")
+
+
 def pairwise_cosine(
     scores: DataFrame,
     pairs: DataFrame,
@@ -53,14 +82,14 @@ def pairwise_cosine(
 ) -> DataFrame:
     """(left, right, cosine) for every distinct pair of documents of a scored corpus.
 
-    The scores are read once: a pair asks for its two documents as two rows. The pair list
-    is stored and measured, and broadcast if it fits (``small_pairs`` overrides that). Otherwise the scores are
+    The scores are read once and packed: a document travels as arrays, and a pair asks for its two documents
+    as two rows. Both meet in one exchange by pair, and terms are only unpacked behind it. The pair list
+    is stored and measured, and broadcast if it fits (``small_pairs=False`` forbids that). Otherwise the packed scores are
     stored, and documents that occur in many pairs, or hold many scores, are split over tasks.
     """
     pairs = durable(pairs.select(left, right).distinct())
-    if small_pairs is None:
-        # two requests per pair, each a little wider than the pair
-        small_pairs = fits_broadcast(4 * measured_bytes(pairs))
+    # two requests per pair, each a little wider than the pair
+    small = small_pairs is not False and fits_broadcast(4 * measured_bytes(pairs))
     requests = pairs.select(
         left,
         right,
@@ -71,35 +100,31 @@ def pairwise_cosine(
             )
         ),
     )
-    scores = scores.select(F.col(doc).alias("_doc"), "term", F.col(value).alias("_value"))
-    if small_pairs:
-        matched = scores.join(F.broadcast(requests), "_doc")
+    scores = scores.select(F.col(doc).alias("_doc"), F.col("term").cast("string").alias("term"), F.col(value).cast("double").alias("_value"))
+    packed = packed_vectors(scores)
+    if small:
+        matched = packed.join(F.broadcast(requests), "_doc")
     else:
-        scores = durable(scores)  # counted and joined
+        packed = durable(packed)  # counted and joined
         matched = salted_join(
             requests,
-            scores,
+            packed,
             "_doc",
             hot_left=durable(hot_keys(requests.groupBy("_doc").count(), "_doc")),
             left_by=[left, right, "_side"],
-            hot_right=durable(hot_keys(scores.groupBy("_doc").count(), "_doc")),
-            right_by=["term"],
+            hot_right=durable(hot_keys(packed.groupBy("_doc").agg(F.sum(F.size("_terms")).alias("count")), "_doc")),
+            right_by=["_terms"],
         )
-    value_of = F.col("_value").cast("double")
-    scored = matched.select(
-        left,
-        right,
-        "term",
-        F.when(F.col("_side") == "a", value_of).alias("a"),
-        F.when(F.col("_side") == "b", value_of).alias("b"),
-    )
     nothing = F.lit(None)
     unscored = pairs.select(
         left,
         right,
-        nothing.cast("string").alias("term"),
-        nothing.cast("double").alias("a"),
-        nothing.cast("double").alias("b"),
+        nothing.cast("string").alias("_side"),
+        F.array(nothing.cast("string")).alias("_terms"),
+        F.array(nothing.cast("double")).alias("_values"),
     )
-    # dealt by pair once; both aggregations fit that
-    return _cosine(scored.unionByName(unscored).repartition(left, right), [left, right])
+    # dealt by pair while packed; both aggregations fit that
+    dealt = matched.select(left, right, "_side", "_terms", "_values").unionByName(unscored).repartition(left, right)
+    scored = dealt.select(left, right, "_side", F.inline(F.arrays_zip("_terms", "_values")).alias("term", "_value"))
+    sides = [F.when(F.col("_side") == side, F.col("_value")).alias(side) for side in ("a", "b")]
+    return _cosine(scored.select(left, right, "term", *sides), [left, right])

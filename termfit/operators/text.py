@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termfit.functions.text import split_tokens, term_array
+from termfit.plans.joins import lookup
+from termfit.session import durable
 
 
 def tokenize(df: DataFrame, text: str = "text", keep: list[str] = ()) -> DataFrame:
@@ -86,9 +88,15 @@ def inverse_document_frequency(
 
 
 def tfidf(tf: DataFrame, idf: DataFrame) -> DataFrame:
-    """tf's columns with ``tf`` replaced by ``tfidf``; terms without an idf drop out."""
+    """tf's columns with ``tf`` replaced by ``tfidf``; terms without an idf drop out.
+
+    The idf table is stored and measured. Beyond a broadcast its ``df``, where it has one, tells which terms are in so many
+    documents that their rows have to be split.
+    """
     keep = [name for name in tf.columns if name not in ("term", "tf")]
-    joined = tf.join(idf.select("term", "idf"), "term")
+    idf = durable(idf)
+    counts = idf.select("term", F.col("df").alias("count")) if "df" in idf.columns else None
+    joined = lookup(tf, idf.select("term", "idf"), "term", by=[*keep, "tf"], counts=counts)
     return joined.select(*keep, "term", tfidf_value())
 
 

@@ -22,7 +22,7 @@ from termfit.operators.factors import (
 )
 from termfit.plans.joins import add_salt, copy_per_salt, fits_broadcast, hot_keys
 from termfit.plans.rating_cells import RatingGrid
-from termfit.session import durable
+from termfit.session import Generations, durable
 
 ROW = ["user_id", "item_id", "rating", "fold"]
 HISTORY = (
@@ -128,6 +128,7 @@ def _descend_all(
     dist: str,
     num_partitions: int | None,
     initial: DataFrame | None = None,
+    state: str | None = None,
 ) -> tuple[DataFrame, list[list]]:
     """Train several models side by side on (user_id, item_id, rating, fold) rows.
 
@@ -139,7 +140,15 @@ def _descend_all(
     sizes = {r["fold"]: r["count"] for r in rows.groupBy("fold").count().collect()}
     n_test = [sizes.get(m, 0) for m in models]
     n_train = [sum(sizes.values()) - n for n in n_test]
-    profiles = durable(_draw(rows, models, d, seed, dist) if initial is None else initial)
+    saved = resumed = None
+    if state is not None:
+        settings = {"models": models, "d": d, "gain": gain, "power": power, "lam": lam, "mu": mu, "seed": seed, "dist": dist}
+        saved = Generations(rows.sparkSession, state, settings | {"train": n_train, "test": n_test})
+        resumed = saved.newest()
+    if resumed:
+        profiles = resumed[0]
+    else:
+        profiles = durable(_draw(rows, models, d, seed, dist) if initial is None else initial)
     counts = profiles.agg(F.count_if(F.col("side") == USER), F.count_if(F.col("side") == ITEM)).first()
     small = [fits_broadcast(n * (64 + 8 * d * len(models))) for n in counts]
     if any(small):
@@ -154,6 +163,8 @@ def _descend_all(
     totals = [1e99] * len(models)
     changes = [1e99] * len(models)
     iteration = 0
+    if resumed:
+        iteration, history, totals, changes = (resumed[1][name] for name in ("iteration", "history", "totals", "changes"))
     try:
         while iteration < maxiter and any(change > eps for change in changes):
             iteration += 1
@@ -178,6 +189,9 @@ def _descend_all(
                 quality = [math.sqrt(held_error / count) if count else None for count in (n, scored)]
                 seconds = time.time() - start
                 history.append([i, iteration, seconds, totals[i], changes[i], gamma, *quality, n, scored])
+            if saved:
+                record = {"iteration": iteration, "history": history, "totals": totals, "changes": changes}
+                profiles = saved.save(iteration, profiles, record)
     finally:
         ratings.release()
     return profiles, history
@@ -197,13 +211,15 @@ def factorize(
     dist: str = "normal",
     num_partitions: int | None = None,
     initial: FactorModel | None = None,
+    state: str | None = None,
 ) -> FactorModel:
     """Full-batch gradient descent on both profile tables at once.
 
     Without ``test`` the reported error is the training error, and ``n_scored`` counts the ratings
     whose user and item both have a profile. Profiles of ``initial`` without a rating are not in the
     model, because a step only moves what ratings pull at. Only sums reach the
-    driver; each iteration ends in a checkpoint of the new profiles.
+    driver; each iteration ends in a checkpoint of the new profiles. With a shared folder ``state`` it also leaves a generation
+    there, and a later run with the same settings and ratings goes on behind the last one.
     """
     columns = ["user_id", "item_id", "rating"]
     rows = ratings.select(*columns, F.lit(-1).alias("fold"))
@@ -215,7 +231,7 @@ def factorize(
             initial.items.select(F.lit(ITEM).alias("side"), "id", "factors")
         )
     profiles, history = _descend_all(
-        rows, [0], d, gain, power, lam, mu, eps, maxiter, seed, dist, num_partitions, given
+        rows, [0], d, gain, power, lam, mu, eps, maxiter, seed, dist, num_partitions, given, state
     )
     trained = profiles.where(F.get("factors", F.lit(0)).isNotNull())
     return FactorModel(
@@ -238,6 +254,7 @@ def cross_validate(
     seed: int = 1234567,
     dist: str = "normal",
     num_partitions: int | None = None,
+    state: str | None = None,
 ) -> DataFrame:
     """(fold, n_train, n_test, iterations, rmse, rmse_scored): one row per fold.
 
@@ -246,6 +263,7 @@ def cross_validate(
 
     The models of all folds are trained side by side, so the ratings are read once per
     iteration and not once per fold and iteration. A fold number outside 0 ... folds - 1, or none, is an error.
+    ``state`` is a folder to go on from, as in ``factorize``.
     """
     spark = folded.sparkSession
     folded = folded.select(*ROW).persist(StorageLevel.MEMORY_AND_DISK)
@@ -258,7 +276,7 @@ def cross_validate(
     table = folded.withColumn("fold", F.lit(-1)) if folds == 1 else folded
     models = list(range(folds))
     _, history = _descend_all(
-        table, models, d, gain, power, lam, mu, eps, maxiter, seed, dist, num_partitions
+        table, models, d, gain, power, lam, mu, eps, maxiter, seed, dist, num_partitions, None, state
     )
     last = {row[0]: row for row in history}
     rows = []

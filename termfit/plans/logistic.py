@@ -34,7 +34,7 @@ from termfit.operators.rows import row_margins, row_pulls
 from termfit.plans.grid import LEFT, RIGHT, PairGrid, blocks_for
 from termfit.plans.joins import fits_broadcast, measured_bytes
 from termfit.plans.point_cells import side_sums
-from termfit.session import durable
+from termfit.session import Generations, durable
 
 REFRESH = 10
 HISTORY = (
@@ -196,14 +196,24 @@ def train_logistic(
     beta0: DataFrame | None = None,
     test: DataFrame | None = None,
     num_partitions: int | None = None,
+    state: str | None = None,
 ) -> LogisticModel:
     """Gradient descent with backtracking while k < max_iter and |gradient| > eps.
 
     Coefficients and gradient stay tables; while they fit every task they are handed to the tasks, and beyond
     that ``row_id`` has to name every point. Losses, norms and step sizes are the only other values on the driver.
+    With a shared folder ``state`` every iteration leaves a generation there, and a later run over the same points with the same
+    settings goes on behind the last one.
     """
     spark = points.sparkSession
-    if beta0 is None:
+    saved = resumed = None
+    if state is not None:
+        saved = Generations(spark, state, {"lam": lam, "points": points.count()})
+        resumed = saved.newest()
+    if resumed:
+        beta = resumed[0]
+        small = fits_broadcast(measured_bytes(beta))
+    elif beta0 is None:
         beta = spark.createDataFrame([], "feature string, coef double")
         small = True
     else:
@@ -217,12 +227,14 @@ def train_logistic(
     norm = 2 * eps
     width = BATCH
     k = guess = 0
-    state = None
+    if resumed:
+        k, norm, guess, width, rows = (resumed[1][name] for name in ("k", "norm", "guess", "width", "rows"))
+    parts = None
     try:
         while k < max_iter and norm > eps:
-            if state is None:
-                state = layouts[0].gradient(beta, lam)
-            sums, small = _measure(state)
+            if parts is None:
+                parts = layouts[0].gradient(beta, lam)
+            sums, small = _measure(parts)
             if not small and isinstance(layouts[0], _InRows):
                 for place, table in enumerate(tables):
                     layouts[place].release()
@@ -231,17 +243,18 @@ def train_logistic(
             loss = sums["loss"] + lam * sums["coef_sq"]
             norm = math.sqrt(sums["grad_sq"])
             passing = Sufficient(loss, sums["coef_sq"], sums["coef_g"], sums["grad_sq"], lam)
-            state = state.where("feature IS NOT NULL").select("feature", "coef", "g")
-            found, following = layouts[0].search(state, passing, guess, width)
+            moving = parts.where("feature IS NOT NULL").select("feature", "coef", "g")
+            found, parts = layouts[0].search(moving, passing, guess, width)
             # the next search most likely needs about as many trials
             guess, width = found.n, BATCH * (1 + (found.n + 2) // BATCH)
-            beta = state.select("feature", F.expr(f"coef - {found.t!r}D * g").alias("coef"))
-            state = following
+            beta = moving.select("feature", F.expr(f"coef - {found.t!r}D * g").alias("coef"))
             quality = [None, None, None]
             if test is not None:
                 quality = list(metrics_of(confusion_of(layouts[1].margins(beta))).first())
             rows.append([k, time.time() - start, loss, norm, found.n, found.t, *quality])
             k += 1
+            if saved:
+                beta = saved.save(k, beta, {"k": k, "norm": norm, "guess": guess, "width": width, "rows": rows})
     finally:
         for layout in layouts:
             layout.release()

@@ -8,6 +8,7 @@ running step.
 from __future__ import annotations
 
 import atexit
+import json
 import shutil
 import tempfile
 import uuid
@@ -42,7 +43,60 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _place(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path in its terms."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a written table that nothing reads any more."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    files, place = _place(spark, path)
+    files.delete(place, True)
+
+
+class Generations:
+    """Numbered generations of a loop's state in a shared folder, so that a run that ended early goes on where it was.
+
+    A generation is a table and a record of plain values. The record is written last, so a generation without one does not
+    count. Of the generations only the last two stay.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, settings: dict):
+        """``settings`` tell runs apart: a folder with the state of another run is refused."""
+        self.spark = spark
+        self.folder = folder
+        self.settings = json.loads(json.dumps(settings))
+
+    def _path(self, number: int, name: str = "") -> str:
+        return f"{self.folder}/generation-{number:08d}/{name}".rstrip("/")
+
+    def _numbers(self) -> list[int]:
+        files, place = _place(self.spark, self.folder)
+        if not files.exists(place):
+            return []
+        names = [status.getPath().getName() for status in files.listStatus(place)]  # three at most
+        return sorted(int(name.rsplit("-", 1)[1]) for name in names if name.startswith("generation-"))
+
+    def newest(self) -> tuple[DataFrame, dict] | None:
+        """The table and the record of the last whole generation."""
+        for number in reversed(self._numbers()):
+            files, place = _place(self.spark, self._path(number, "record.json"))
+            if files.exists(place):
+                record = json.loads("\n".join(row[0] for row in self.spark.read.text(self._path(number, "record.json")).collect()))
+                if record["settings"] != self.settings:
+                    raise ValueError(f"{self.folder} holds the state of a run with other settings: {record['settings']}")
+                return self.spark.read.parquet(self._path(number, "table")), record["values"]
+        return None
+
+    def save(self, number: int, table: DataFrame, values: dict) -> DataFrame:
+        """Write a generation and drop those before the last one. Returns the table as it was written."""
+        table.write.mode("overwrite").parquet(self._path(number, "table"))
+        files, place = _place(self.spark, self._path(number, "record.json"))
+        stream = files.create(place, True)
+        stream.write(json.dumps({"settings": self.settings, "values": values}).encode())
+        stream.close()
+        for old in self._numbers():
+            if old < number - 1:
+                discard(self.spark, self._path(old))
+        return self.spark.read.parquet(self._path(number, "table"))

@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from termfit import document_term_frequency, top_terms_from_text
+from termfit import document_term_frequency, tfidf, top_terms_from_text
 from termfit.operators.factors import entity_ids, init_profiles, step_models
 from termfit.operators.points import Sufficient, margins, total_gradient
 from termfit.operators.rows import row_pulls
@@ -96,6 +96,18 @@ def test_document_terms_are_counted_without_a_shuffle(spark, tmp_path):
     assert "Exchange" not in shown and "extra" not in shown
 
 
+def test_terms_of_every_document_are_split(spark, shuffled_joins, monkeypatch):
+    monkeypatch.setattr(joins, "SHARES", 10)
+    tf = spark.createDataFrame([(d, t, 1) for d in range(60) for t in ("the", f"t{d}", f"u{d}")], "doc_id int, term string, tf int")
+    idf = spark.createDataFrame([("the", 60, 0.5), *((f"{c}{d}", 1, 2.0) for c in "tu" for d in range(60))], "term string, df int, idf double")
+    found = tfidf(tf, idf)
+    assert "_salt" in plan(found)
+    assert found.groupBy("term").agg(F.count("*"), F.sum("tfidf")).where("term = 'the'").first()[1:] == (60, 30.0)
+    assert found.count() == 180
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 1 << 20)
+    assert "BroadcastHashJoin" in plan(tfidf(tf, idf.drop("df")))
+
+
 def test_top_terms_do_not_sort_everything(spark):
     shown = plan(top_terms_from_text(spark.createDataFrame([("a b",)], "text string")))
     assert "TakeOrderedAndProject" in shown

@@ -4,6 +4,7 @@ import random
 import pytest
 
 from termfit import compare_documents, cosine_similarity, pairwise_cosine, score_corpus
+from termfit.operators.similarity import packed_vectors
 from tests.test_text import DOCS
 
 
@@ -60,6 +61,35 @@ def test_golden_pairs_without_broadcast(spark, shuffled_joins):
     golden_pairs(spark, compare_documents)
 
 
+def test_documents_travel_packed(spark, monkeypatch):
+    """Behind the packing the exchanges carry arrays, and one exchange by pair is all there is."""
+    from termfit.plans import joins
+
+    scores = spark.createDataFrame([(d, f"t{t}", 1.0 + t) for d in range(6) for t in range(d, 40)], "doc_id int, term string, tfidf double")
+    pairs = spark.createDataFrame([(0, 1), (2, 3), (5, 5)], "doc_a int, doc_b int")
+
+    def shown():
+        return pairwise_cosine(scores, pairs)._jdf.queryExecution().executedPlan().toString()
+
+    above, below = shown().split("Generate inline(arrays_zip", 1)
+    assert "Exchange" not in above and below.count("Exchange hashpartitioning") == 1
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
+    above, below = shown().split("Generate inline(arrays_zip", 1)
+    assert "Exchange" not in above and "Generate explode" in below  # copies per salt, no terms
+    assert "_value#" not in below.split("\n", 1)[1]
+
+
+def test_packed_rows_are_bounded(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        scores = spark.range(1000).selectExpr("id % 2 AS _doc", "concat('t', id) AS term", "double(id) AS _value").coalesce(1)
+        packed = packed_vectors(scores).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(packed) == 20 and max(len(r["_terms"]) for r in packed) == 50
+    assert sum(v for r in packed for v in r["_values"]) == sum(range(1000))
+
+
 def test_hot_documents_equal_brute_force(spark, shuffled_joins, monkeypatch):
     """One document is in most pairs and another holds most scores; both get split."""
     from termfit.plans import joins

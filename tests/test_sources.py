@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 from termfit import (
     inverse_document_frequency,
     read_corpus,
+    read_corpus_parts,
     read_folds,
     read_labelled,
     read_lines,
     read_pairs,
     read_ratings,
     read_table,
+    score_corpus,
+    score_parts,
     write_ranked,
     write_scalar,
     write_scores,
@@ -44,6 +47,36 @@ def test_corpus_keeps_empty_files(spark, tmp_path):
     assert read_corpus(spark, str(tmp_path / "d[12]")).count() == 2
 
 
+def named(table):
+    return table.selectExpr("element_at(split(doc_id, '/'), -1) AS doc_id", "* EXCEPT (doc_id)")
+
+
+@pytest.mark.parametrize("separator", [None, " "])
+def test_parts_of_a_corpus_score_like_whole_files(spark, tmp_path, separator):
+    for name, text in [*DOCS, ("a long one", "the cat\nand the\rdog\r\n" * 400 + "end")]:
+        put(tmp_path / name, text)
+    parts = read_corpus_parts(spark, str(tmp_path), separator)
+    assert parts.columns == ["doc_id", "text"] and parts.count() > 800
+    assert parts.select("doc_id").distinct().count() == len(DOCS) + 1  # with the empty file
+    found = {(r["doc_id"], r["term"]): r["tfidf"] for r in named(score_parts(parts)).collect()}
+    whole = {(r["doc_id"], r["term"]): r["tfidf"] for r in named(score_corpus(read_corpus(spark, str(tmp_path)))).collect()}
+    assert found == pytest.approx(whole) and len(found) > 8
+    with pytest.raises(ValueError):
+        read_corpus_parts(spark, str(tmp_path), ",")
+
+
+def test_a_large_file_is_read_by_many_tasks(spark, tmp_path):
+    path = put(tmp_path / "big", "one two three\n" * 20_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        parts = read_corpus_parts(spark, path)
+        assert parts.where("text <> ''").rdd.getNumPartitions() > 8 and parts.count() == 20_000
+        scored = score_parts(parts.unionByName(parts.limit(1).selectExpr("'other' AS doc_id", "'four' AS text")))
+        assert {r["term"]: round(r["tfidf"], 3) for r in scored.collect()}["one"] == round(20_000 * 0.6931471805599453, 3)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_pairs_of_every_shape(spark, tmp_path):
     path = put(
         tmp_path / "pairs",
