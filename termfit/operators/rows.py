@@ -2,7 +2,8 @@
 
 A point arrives whole, so its margin is a sum over its own map: nothing is exploded and nothing
 is exchanged by point. Batches of points are worked on as arrays; only sums per feature leave a task.
-The coefficient table is collected for that, so its size must have been checked (``fits_broadcast``).
+The coefficient table is collected for that, so its size must have been checked (``fits_broadcast``). A table
+that is at hand already is given as an Arrow table.
 """
 
 from __future__ import annotations
@@ -55,11 +56,13 @@ class _Points:
         return np.bincount(self.code, weights=self.value * weight[self.row], minlength=len(self.features)).astype(float)
 
 
-def _collected(table: DataFrame, columns: list[str]) -> _Table:
-    return _Table(table.where("feature IS NOT NULL").select("feature", *columns).toArrow(), columns)
+def _collected(table: DataFrame | pa.Table, columns: list[str]) -> _Table:
+    if isinstance(table, DataFrame):
+        table = table.where("feature IS NOT NULL").select("feature", *columns).toArrow()
+    return _Table(table, columns)
 
 
-def row_margins(points: DataFrame, table: DataFrame, **sums: str) -> DataFrame:
+def row_margins(points: DataFrame, table: DataFrame | pa.Table, **sums: str) -> DataFrame:
     """(row_id, y, name...): for each ``name=column`` the sum of value * column of every point, in place."""
     names, held = list(sums), _collected(table, list(sums.values()))
 
@@ -83,14 +86,14 @@ def softplus(z: np.ndarray) -> np.ndarray:
 PULLS = "feature string, step int, pull double, loss double"
 
 
-def row_pulls(points: DataFrame, table: DataFrame, t: float = 0.0, steps: list[float] = ()) -> DataFrame:
+def row_pulls(points: DataFrame, table: DataFrame | pa.Table, t: float = 0.0, steps: list[float] = ()) -> DataFrame:
     """Partial sums of one reading of the points, for coefficients that move from ``coef`` along ``g``.
 
     Rows with a feature hold its pull, the gradient of the loss without penalty at coef - t g. Rows without one hold a
     loss: at step -1 that at coef - t g, at step i that at coef - steps[i] g. A table without ``g`` stays where it is.
     Points without a label do not count.
     """
-    moves = "g" in table.columns
+    moves = "g" in (table.columns if isinstance(table, DataFrame) else table.column_names)
     held = _collected(table, ["coef", "g"] if moves else ["coef"])
 
     def flushed(sums: dict[str, float], losses: np.ndarray | None) -> pa.RecordBatch:

@@ -15,6 +15,9 @@ import math
 import time
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,38 +69,75 @@ class LogisticModel:
 
 
 class _InRows:
-    """Points that stay whole, for coefficients that fit every task."""
+    """Points that stay whole, for coefficients that fit every task.
+
+    Their size is checked once, when the first gradient has shown all features. From then on coefficients and gradient are
+    arrays on the driver, which hands them to the tasks and gets one sum per feature back.
+    """
 
     def __init__(self, points: DataFrame, num_partitions: int | None):
         points = points.select("row_id", "y", "x")
         self.points = (points.repartition(num_partitions) if num_partitions else points).persist(StorageLevel.MEMORY_AND_DISK)
-        self.readings = 0
-
-    def gradient(self, beta: DataFrame, lam: float) -> DataFrame:
-        self.readings += 1
-        return durable(gradient_parts(row_pulls(self.points, beta), beta, lam))
-
-    def search(self, state: DataFrame, test: Sufficient, guess: int, width: int) -> tuple[LineSearch, DataFrame | None]:
-        """The first passing step, and the next state if it is the step that was guessed."""
+        self.features = pa.array([], pa.string())
+        self.coef = self.g = self.loss = None
+
+    def begin(self, beta: DataFrame, lam: float) -> bool:
+        """Start at ``beta``; False if the features turn out not to fit every task."""
+        parts = durable(gradient_parts(row_pulls(self.points, beta), beta, lam))
+        size = parts.agg(F.count("feature"), F.coalesce(F.sum(F.octet_length("feature")), F.lit(0))).first()
+        if not fits_broadcast(size[0] * 96 + size[1]):
+            return False
+        parts = parts.toArrow()
+        self.loss = pc.sum(parts.column("loss")).as_py() or 0.0
+        parts = parts.filter(parts.column("feature").is_valid())
+        self.features = parts.column("feature").combine_chunks()
+        self.coef, self.g = (parts.column(c).to_numpy() for c in ("coef", "g"))
+        return True
+
+    def _table(self) -> pa.Table:
+        columns = {"feature": self.features, "coef": self.coef} | ({} if self.g is None else {"g": self.g})
+        return pa.table(columns)
+
+    def _read(self, t: float, steps: list[float]) -> tuple[np.ndarray, list[float]]:
+        """One reading of the points: the pull per feature and the loss at coef - t g, then the losses at ``steps``."""
+        sums = row_pulls(self.points, self._table(), t, steps).groupBy("feature", "step")
+        sums = sums.agg(F.sum("pull").alias("pull"), F.sum("loss").alias("loss")).toArrow()
+        known = sums.filter(sums.column("feature").is_valid())
+        pulls = np.zeros(len(self.features))
+        pulls[pc.index_in(known.column("feature").combine_chunks(), value_set=self.features).to_numpy()] = known.column("pull").to_numpy()
+        losses = sums.filter(sums.column("feature").is_null()).sort_by("step").column("loss").to_pylist()
+        return pulls, losses or [0.0] * (1 + len(steps))
+
+    def sums(self, lam: float) -> tuple[float, float, float, float]:
+        """(loss without penalty, |coef|^2, <coef, g>, |g|^2)"""
+        if self.g is None:
+            pulls, (self.loss,) = self._read(0.0, [])
+            self.g = pulls + 2.0 * lam * self.coef
+        return self.loss, float(self.coef @ self.coef), float(self.coef @ self.g), float(self.g @ self.g)
+
+    def search(self, test: Sufficient, guess: int, width: int) -> LineSearch:
+        """Move to the first passing step. If it is the one that was guessed, the gradient there is known as well."""
         start, ahead = 0, None
+        at = test.b**guess
         while True:
             steps = test.steps(start, width)
-            at = test.b**guess
-            moved = state.select("feature", F.expr(f"coef - {at!r}D * g").alias("coef"))
-            parts = durable(gradient_parts(row_pulls(self.points, state, at, steps), moved, test.lam))
-            self.readings += 1
-            if ahead is None:
-                ahead = parts
-            # as many rows as there are steps
-            losses = dict(parts.where("feature IS NULL").select("step", "loss").collect())
-            n = test.first_passing(steps, [losses.get(i) for i in range(width)])
+            pulls, losses = self._read(at, steps)
+            ahead = ahead or (pulls, losses[0])
+            n = test.first_passing(steps, losses[1:])
             if n is not None:
-                found = LineSearch(start + n, steps[n], start // width + 1)
-                return found, ahead if found.n == guess else None
+                break
             start += width
+        found = LineSearch(start + n, steps[n], start // width + 1)
+        self.coef, self.g = self.coef - found.t * self.g, None
+        if found.n == guess:
+            self.g, self.loss = ahead[0] + 2.0 * test.lam * self.coef, ahead[1]
+        return found
+
+    def margins(self, of: _InRows) -> DataFrame:
+        return row_margins(self.points, of._table(), m="coef")
 
-    def margins(self, beta: DataFrame) -> DataFrame:
-        return row_margins(self.points, beta, m="coef")
+    def beta(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(pa.table({"feature": self.features, "coef": self.coef}))
 
     def release(self) -> None:
         self.points.unpersist()
@@ -121,21 +161,22 @@ class _InCells:
         self.grid = PairGrid(pairs, "row_id", "feature", {"value": "double"}, blocks, slots)
         self.row_kind = points.schema["row_id"].dataType.simpleString()
         self.kept: list[DataFrame] = []
-        self.state: DataFrame | None = None
-        self.age = self.readings = 0
+        self.rows: DataFrame | None = None  # (row_id, y, m)
+        self.parts: DataFrame | None = None  # (feature, step, coef, g, loss)
+        self.coefficients: DataFrame | None = None
+        self.age = 0
 
     def _sent(self, side: int, rows: DataFrame, key: str, value: str) -> DataFrame:
         return self.grid.send(side, rows.select(F.col(key).alias("id"), F.array(value).alias("vector")))
 
-    def _along(self, table: DataFrame, column: str, name: str) -> DataFrame:
+    def along(self, table: DataFrame, column: str, name: str) -> DataFrame:
         """(row_id, name): the sum of value * column per point with features; only partial sums leave a cell."""
-        self.readings += 1
         sent = self._sent(RIGHT, table.where("feature IS NOT NULL"), "feature", column)
         parts = self.grid.apply(side_sums(LEFT), f"id {self.row_kind}, part double", sent)
         return parts.groupBy(F.col("id").alias("row_id")).agg(F.sum("part").alias(name))
 
-    def margins(self, beta: DataFrame) -> DataFrame:
-        found = self.labels.join(self._along(beta, "coef", "m"), "row_id", "left")
+    def _new_margins(self, beta: DataFrame) -> DataFrame:
+        found = self.labels.join(self.along(beta, "coef", "m"), "row_id", "left")
         return found.select("row_id", "y", F.coalesce("m", F.lit(0.0)).alias("m"))
 
     def _keep(self, rows: DataFrame) -> DataFrame:
@@ -147,26 +188,48 @@ class _InCells:
         self.kept = [rows]
         return rows
 
-    def gradient(self, beta: DataFrame, lam: float) -> DataFrame:
-        if self.state is None or self.age >= REFRESH:
-            self.state, self.age = self._keep(self.margins(beta)), 0
-        labelled = self.state.where("y IS NOT NULL")
+    def begin(self, beta: DataFrame, lam: float) -> bool:
+        self.coefficients, self.rows, self.parts = beta, None, None
+        return True
+
+    def _gradient(self, lam: float) -> DataFrame:
+        if self.rows is None or self.age >= REFRESH:
+            self.rows, self.age = self._keep(self._new_margins(self.coefficients)), 0
+        labelled = self.rows.where("y IS NOT NULL")
         sent = self._sent(LEFT, labelled.select("row_id", gradient_weight().alias("w")), "row_id", "w")
-        self.readings += 1
         pulls = self.grid.apply(side_sums(RIGHT), "id string, part double", sent)
         pulls = pulls.select(F.col("id").alias("feature"), F.lit(-1).alias("step"), F.col("part").alias("pull"), F.lit(0.0).alias("loss"))
         losses = labelled.agg(F.sum(logistic_loss()).alias("loss"))
         losses = losses.select(F.lit(None).cast("string").alias("feature"), F.lit(-1).alias("step"), F.lit(0.0).alias("pull"), "loss")
-        return durable(gradient_parts(pulls.unionByName(losses), beta, lam))
-
-    def search(self, state: DataFrame, test: Sufficient, guess: int, width: int) -> tuple[LineSearch, DataFrame | None]:
-        along = self.state.join(self._along(state, "g", "q"), "row_id", "left")
+        return durable(gradient_parts(pulls.unionByName(losses), self.coefficients, lam))
+
+    def sums(self, lam: float) -> tuple[float, float, float, float]:
+        """(loss without penalty, |coef|^2, <coef, g>, |g|^2)"""
+        if self.parts is None:
+            self.parts = self._gradient(lam)
+        whole = self.parts.agg(
+            F.expr("coalesce(sum(loss), 0D)"), *[F.expr(f"coalesce(sum({p}) FILTER (WHERE feature IS NOT NULL), 0D)") for p in ("coef * coef", "coef * g", "g * g")]
+        )
+        return tuple(whole.first())
+
+    def search(self, test: Sufficient, guess: int, width: int) -> LineSearch:
+        """Move to the first passing step; every margin moves along."""
+        moving = self.parts.where("feature IS NOT NULL")
+        along = self.rows.join(self.along(moving, "g", "q"), "row_id", "left")
         trial = self._keep(along.select("row_id", "y", "m", F.coalesce("q", F.lit(0.0)).alias("q")))
         signed = trial.select(F.expr("y * m").alias("p"), F.expr("y * q").alias("s"))
         found = backtrack_signed(signed, *test, width=width)
-        self.state = trial.select("row_id", "y", F.expr(f"m - {found.t!r}D * q").alias("m"))
+        self.rows = trial.select("row_id", "y", F.expr(f"m - {found.t!r}D * q").alias("m"))
+        self.coefficients = moving.select("feature", F.expr(f"coef - {found.t!r}D * g").alias("coef"))
+        self.parts = None
         self.age += 1
-        return found, None
+        return found
+
+    def margins(self, of: _InCells) -> DataFrame:
+        return self._new_margins(of.coefficients)
+
+    def beta(self, spark: SparkSession) -> DataFrame:
+        return self.coefficients
 
     def release(self) -> None:
         self.grid.release()
@@ -174,20 +237,6 @@ class _InCells:
             table.unpersist()
 
 
-def _measure(state: DataFrame):
-    """Sums over a stored (feature, step, coef, g, loss) table, and whether its coefficients are small."""
-    row = state.agg(
-        F.expr("coalesce(sum(IF(step = -1, loss, 0D)), 0D)").alias("loss"),
-        F.expr("coalesce(sum(coef * coef), 0D)").alias("coef_sq"),
-        F.expr("coalesce(sum(IF(feature IS NULL, 0D, coef * g)), 0D)").alias("coef_g"),
-        F.expr("coalesce(sum(IF(feature IS NULL, 0D, g * g)), 0D)").alias("grad_sq"),
-        F.count("feature").alias("rows"),
-        F.expr("coalesce(sum(octet_length(feature)), 0)").alias("key_bytes"),
-    ).first()
-    small = fits_broadcast(row["rows"] * 96 + row["key_bytes"])
-    return row, small
-
-
 def train_logistic(
     points: DataFrame,
     lam: float = 0.0,
@@ -229,28 +278,22 @@ def train_logistic(
     k = guess = 0
     if resumed:
         k, norm, guess, width, rows = (resumed[1][name] for name in ("k", "norm", "guess", "width", "rows"))
-    parts = None
     try:
+        if k < max_iter and norm > eps and not layouts[0].begin(beta, lam):
+            for place, table in enumerate(tables):
+                layouts[place].release()
+                layouts[place] = _InCells(table, num_partitions)
+            layouts[0].begin(beta, lam)
         while k < max_iter and norm > eps:
-            if parts is None:
-                parts = layouts[0].gradient(beta, lam)
-            sums, small = _measure(parts)
-            if not small and isinstance(layouts[0], _InRows):
-                for place, table in enumerate(tables):
-                    layouts[place].release()
-                    layouts[place] = _InCells(table, num_partitions)
-                layouts[0].gradient(beta, lam)  # sets the margins
-            loss = sums["loss"] + lam * sums["coef_sq"]
-            norm = math.sqrt(sums["grad_sq"])
-            passing = Sufficient(loss, sums["coef_sq"], sums["coef_g"], sums["grad_sq"], lam)
-            moving = parts.where("feature IS NOT NULL").select("feature", "coef", "g")
-            found, parts = layouts[0].search(moving, passing, guess, width)
+            loss, coef_sq, coef_g, grad_sq = layouts[0].sums(lam)
+            loss, norm = loss + lam * coef_sq, math.sqrt(grad_sq)
+            found = layouts[0].search(Sufficient(loss, coef_sq, coef_g, grad_sq, lam), guess, width)
             # the next search most likely needs about as many trials
             guess, width = found.n, BATCH * (1 + (found.n + 2) // BATCH)
-            beta = moving.select("feature", F.expr(f"coef - {found.t!r}D * g").alias("coef"))
+            beta = layouts[0].beta(spark)
             quality = [None, None, None]
             if test is not None:
-                quality = list(metrics_of(confusion_of(layouts[1].margins(beta))).first())
+                quality = list(metrics_of(confusion_of(layouts[1].margins(layouts[0]))).first())
             rows.append([k, time.time() - start, loss, norm, found.n, found.t, *quality])
             k += 1
             if saved:

@@ -151,7 +151,7 @@ def cell_layout(spark, monkeypatch, n=200):
 def test_entries_stay_in_their_cells(spark, monkeypatch):
     cells = cell_layout(spark, monkeypatch)
     table = durable(spark.createDataFrame([("a", 0.1), ("b", 0.2)], "feature string, g double"))
-    shown = plan(cells._along(table, "g", "q"))
+    shown = plan(cells.along(table, "g", "q"))
     assert re.search(r"FlatMapCoGroupsInArrow[^\n]*\n[^\n]*:- (?:\*\(\d+\) )?(?:Project[^\n]*\n[^\n]*)?(?:InMemoryTableScan|TableCacheQueryStage)", shown), shown
     assert cells.grid.cells.count() > 4
     cells.release()
@@ -161,16 +161,14 @@ def test_entries_stay_in_their_cells(spark, monkeypatch):
 def test_carried_margins_equal_new_ones(spark, monkeypatch, refresh):
     monkeypatch.setattr(logistic, "REFRESH", refresh)
     cells = cell_layout(spark, monkeypatch)
-    beta, ages = spark.createDataFrame([("a", 0.3)], "feature string, coef double"), []
+    cells.begin(spark.createDataFrame([("a", 0.3)], "feature string, coef double"), 0.1)
+    ages = []
     for _ in range(4):
-        state = cells.gradient(beta, 0.1)
+        loss, coef_sq, coef_g, grad_sq = cells.sums(0.1)
         ages.append(cells.age)
-        sums, _ = logistic._measure(state)
-        test = Sufficient(sums["loss"] + 0.1 * sums["coef_sq"], sums["coef_sq"], sums["coef_g"], sums["grad_sq"], 0.1)
-        found, _ = cells.search(state.where("feature IS NOT NULL"), test, 0, 16)
-        beta = durable(state.where("feature IS NOT NULL").select("feature", F.expr(f"coef - {found.t!r}D * g").alias("coef")))
-        carried = {r["row_id"]: r["m"] for r in cells.state.collect()}
-        assert carried == pytest.approx({r["row_id"]: r["m"] for r in margins(labelled(spark, 200), beta).collect()}, abs=1e-12)
+        cells.search(Sufficient(loss + 0.1 * coef_sq, coef_sq, coef_g, grad_sq, 0.1), 0, 16)
+        carried = {r["row_id"]: r["m"] for r in cells.rows.collect()}
+        assert carried == pytest.approx({r["row_id"]: r["m"] for r in margins(labelled(spark, 200), durable(cells.coefficients)).collect()}, abs=1e-12)
     assert ages == [k % refresh for k in range(4)]
     cells.release()
 
