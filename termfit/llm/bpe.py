@@ -11,7 +11,9 @@ reads it (its path is a parameter); tasks get its tables.
 
 from __future__ import annotations
 
+import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from itertools import chain
@@ -23,12 +25,17 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termfit.llm.words import slices
+from termfit.llm.spans import bounds, byte_set
+from termfit.llm.words import byte_views, slices
 
 #: Fixed value: the file's rule for cutting normalised text into words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
-#: Words whose encodings a task remembers; beyond it the memory starts afresh.
+#: White space below 128. Nothing composes across it and no word holds it, so texts may be cut there first.
+SPACE = byte_set((0x20, 0x20), (0x09, 0x0D))
+SPACES = re.compile(r"[\x20\x09-\x0D]+")
+#: Pieces whose encodings a task remembers, and their tokens; beyond either the memory starts afresh.
 REMEMBERED = 200_000
+REMEMBERED_TOKENS = 4_000_000
 
 
 def byte_alphabet() -> list[str]:
@@ -72,6 +79,7 @@ class WordBpe:
         self.inner = {n: i for n, i in self.vocabulary.items() if not n.endswith(self.end)}
         self.final = {n[: -len(self.end)]: i for n, i in self.vocabulary.items() if n.endswith(self.end)}
         self.longest = max(map(len, self.inner))
+        self.longest_final = max(map(len, self.final))
         self.alphabet = byte_alphabet()
         self.stable: dict[int, bool] = {}
 
@@ -80,16 +88,30 @@ class WordBpe:
         return [self.inner[c] for c in word[:-1]] + [self.final[word[-1]]]
 
     def merge(self, tokens: list[int]) -> list[int]:
-        """Exact merging: the earliest rule first, at its leftmost place first."""
-        tokens = list(tokens)
-        while len(tokens) > 1:
-            ranked = [self.ranks.get(pair, 1 << 60) for pair in zip(tokens, tokens[1:], strict=False)]
-            best = min(ranked)
-            if best == 1 << 60:
-                break
-            at = ranked.index(best)
-            tokens[at : at + 2] = [self.vocabulary[self._joined(tokens[at], tokens[at + 1])]]
-        return tokens
+        """Exact merging: the earliest rule first, at its leftmost place first. A heap over linked places, O(n log n)."""
+        n = len(tokens)
+        token: list[int | None] = list(tokens)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        ranks = self.ranks
+        heap = [(ranks[pair], i, *pair) for i, pair in enumerate(zip(tokens, tokens[1:], strict=False)) if pair in ranks]
+        heapq.heapify(heap)
+        while heap:
+            _, i, a, b = heapq.heappop(heap)
+            j = after[i]
+            if token[i] != a or j >= n or token[j] != b:
+                continue  # one of the two is part of another token by now
+            token[i], token[j] = self.vocabulary[self._joined(a, b)], None
+            after[i] = after[j]
+            if after[j] < n:
+                before[after[j]] = i
+                pair = (token[i], token[after[j]])
+                if pair in ranks:
+                    heapq.heappush(heap, (ranks[pair], i, *pair))
+            if before[i] >= 0:
+                pair = (token[before[i]], token[i])
+                if pair in ranks:
+                    heapq.heappush(heap, (ranks[pair], before[i], *pair))
+        return [t for t in token if t is not None]
 
     def _joined(self, a: int, b: int) -> str:
         return self.names[a] + self.names[b]
@@ -110,7 +132,7 @@ class WordBpe:
         """Longest match from the left; the last token carries the word end."""
         tokens, at, n = [], 0, len(word)
         while True:
-            whole = self.final.get(word[at:])
+            whole = self.final.get(word[at:]) if n - at <= self.longest_final else None
             if whole is not None:
                 tokens.append(whole)
                 return tokens
@@ -120,6 +142,8 @@ class WordBpe:
                     tokens.append(token)
                     at += length
                     break
+            else:
+                raise ValueError(f"the vocabulary has no token for {word[at]!r}")
 
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether BPE keeps the border between neighbours a and b; all pairs at once.
@@ -179,62 +203,100 @@ def normalized(text: str) -> str:
     return text.lower()
 
 
-def _cutter(special: list[str]):
-    """A function from a text to its words; special tokens keep their spelling behind a mark."""
-    pattern = regex.compile(SPLIT)
-    marks = regex.compile("|".join(map(regex.escape, special))) if special else None
-
-    def cut(text: str) -> list[str]:
-        if marks is None or not any(s in text for s in special):
-            return pattern.findall(normalized(text))
-        words, at = [], 0
-        for m in marks.finditer(text):
-            words += pattern.findall(normalized(text[at : m.start()]))
-            words.append(" " + m[0])  # no word begins with a space
-            at = m.end()
-        return words + pattern.findall(normalized(text[at:]))
-
-    return cut
+class _Memory:
+    """The tokens of the pieces that a task has met. A piece holds no white space; one that begins with a space is a special token."""
+
+    def __init__(self, bpe: WordBpe):
+        self.bpe = bpe
+        self.pattern = regex.compile(SPLIT)
+        self.clear()
+
+    def clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.tokens = np.empty(0, np.int32)
+        self.starts = np.zeros(1, np.int64)
+
+    def places(self, pieces: list[str]) -> np.ndarray:
+        """The places of different pieces; those that are new are cut into words and encoded."""
+        if len(self.index) > REMEMBERED or len(self.tokens) > REMEMBERED_TOKENS:
+            self.clear()
+        fresh = [p for p in pieces if p not in self.index]
+        if fresh:
+            cuts = [self.pattern.findall(normalized(p)) if p[0] != " " else [p] for p in fresh]
+            words = list(dict.fromkeys(chain.from_iterable(cuts)))
+            plain = [w for w in words if w[0] != " "]
+            made = dict(zip(plain, self.bpe.encode_words(plain), strict=True)) | {w: [self.bpe.special[w[1:]]] for w in words if w[0] == " "}
+            split = [list(chain.from_iterable(made[w] for w in cut)) for cut in cuts]
+            self.index.update(zip(fresh, range(len(self.index), len(self.index) + len(fresh)), strict=True))
+            sizes = np.fromiter(map(len, split), np.int64, len(split))
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+            self.tokens = np.concatenate([self.tokens, np.fromiter(chain.from_iterable(split), np.int32, int(sizes.sum()))])
+        return np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+
+    def lists(self, pieces: np.ndarray, per_row: np.ndarray) -> pa.ListArray:
+        """The tokens of rows that are so many pieces each."""
+        sizes = self.starts[pieces + 1] - self.starts[pieces]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        spread = np.arange(total) + np.repeat(self.starts[pieces] - (ends - sizes), sizes)
+        cuts = np.concatenate([[0], np.cumsum(per_row)])
+        offsets = np.concatenate([[0], ends])[cuts].astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(self.tokens[spread]))
+
+
+def _pieces(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The different pieces between white space, the number of each piece in its order, and pieces per row."""
+    data, offsets = byte_views(texts)
+    start, end = bounds(data, offsets, ~SPACE)
+    cuts = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
+    letters = np.ascontiguousarray(data[~SPACE[data]])
+    coded = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(cuts), pa.py_buffer(letters)).dictionary_encode()
+    row = np.searchsorted(offsets, start, side="right") - 1
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.bincount(row, minlength=len(offsets) - 1)
+
+
+def _marked_pieces(text: str, marks: re.Pattern) -> list[str]:
+    """The pieces of a text that special tokens are written in; these keep their spelling behind a space."""
+    pieces, at = [], 0
+    for m in marks.finditer(text):
+        pieces += [*filter(None, SPACES.split(text[at : m.start()])), " " + m[0]]
+        at = m.end()
+    return [*pieces, *filter(None, SPACES.split(text[at:]))]
 
 
 def encode(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """Add the token ids of ``text`` as an array<int> column in place of the text.
 
     Returns doc_id and the ids, one row per row of ``docs``, in their partitions: no shuffle.
-    Null and empty texts give no ids. Special tokens written in a text become their ids.
+    Null and empty texts give no ids. Special tokens written in a text become their ids. Texts and words may be of any
+    length: time grows with n log n for a word of n characters, and memory by some 100 bytes a byte of the longest text. Further
+    columns are ignored.
     """
     bpe = WordBpe(path)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = _cutter(list(bpe.special))
-        index: dict[str, int] = {}
-        tokens = np.empty(0, np.int32)
-        starts = np.zeros(1, np.int64)
+        memory = _Memory(bpe)
+        marks = re.compile("|".join(map(re.escape, bpe.special))) if bpe.special else None
         for whole in batches:
             for batch in slices(whole):
-                texts = pc.fill_null(batch.column("text"), "").to_pylist()
-                cuts = [cut(t) for t in texts]
-                if len(index) > REMEMBERED:
-                    index, tokens, starts = {}, np.empty(0, np.int32), np.zeros(1, np.int64)
-                fresh = [w for w in dict.fromkeys(chain.from_iterable(cuts)) if w not in index]
-                if fresh:
-                    plain = iter(bpe.encode_words([w for w in fresh if w[0] != " "]))
-                    made = [next(plain) if w[0] != " " else [bpe.special[w[1:]]] for w in fresh]
-                    index.update(zip(fresh, range(len(index), len(index) + len(fresh)), strict=True))
-                    sizes = np.fromiter(map(len, made), np.int64, len(made))
-                    starts = np.concatenate([starts, starts[-1] + np.cumsum(sizes)])
-                    tokens = np.concatenate([tokens, np.fromiter(chain.from_iterable(made), np.int32, int(sizes.sum()))])
-                n = sum(map(len, cuts))
-                words = np.fromiter(map(index.__getitem__, chain.from_iterable(cuts)), np.int64, n)
-                sizes = starts[words + 1] - starts[words]
-                ends = np.cumsum(sizes)
-                total = int(ends[-1]) if n else 0
-                spread = np.arange(total) + np.repeat(starts[words] - (ends - sizes), sizes)
-                bounds = np.concatenate([[0], np.cumsum([len(c) for c in cuts])])
-                offsets = np.concatenate([[0], ends])[bounds].astype(np.int32)
-                column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens[spread]))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), column], ["doc_id", ids])
+                texts = pc.fill_null(batch.column("text"), "")
+                marked = np.zeros(len(texts), bool)
+                for special in bpe.special:
+                    marked |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+                turns = np.flatnonzero(np.diff(marked, prepend=~marked[:1]))
+                for low, high in zip(turns, [*turns[1:], len(texts)], strict=True):
+                    part = texts.slice(low, high - low)
+                    if marked[low]:
+                        cuts = [_marked_pieces(t, marks) for t in part.to_pylist()]
+                        different = list(dict.fromkeys(chain.from_iterable(cuts)))
+                        number = {p: i for i, p in enumerate(different)}
+                        order = np.fromiter((number[p] for p in chain.from_iterable(cuts)), np.int64)
+                        per_row = np.fromiter(map(len, cuts), np.int64)
+                    else:
+                        different, order, per_row = _pieces(part)
+                    column = memory.lists(memory.places(different)[order], per_row)
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(low, high - low), column], ["doc_id", ids])
 
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
         run, f"doc_id {kind}, {ids} array<int>"

@@ -342,6 +342,39 @@ def test_tokens_equal_the_library(spark):
     assert bpe.decode(bpe.encode(docs.limit(0), path), path).count() == 0
 
 
+def test_long_words_and_special_tokens_between_spaces(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    path = queries.bpe_path()
+    reference = tokenizers.Tokenizer.from_file(path)
+    rnd = random.Random(9)
+    texts = ["".join(rnd.choice("acgt") for _ in range(1_000_000)), "".join(rnd.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(200_000)), "aba" * 100_000]
+    texts += ["a\u0301 a \u0301b <|endoftext|> e\u0301<|startoftext|>\u0301 x", " <|endoftext|>", "plain", "<|endoftext|>", None, "\u00a0 \u3000x\u2028y"]
+    found = {r.doc_id: r.ids for r in bpe.encode(frame(spark, list(enumerate(texts))).coalesce(1), path).collect()}
+    for i, text in enumerate(texts):
+        assert found[i] == reference.encode(text or "", add_special_tokens=False).ids, repr(text)[:80]
+
+
+def test_merging_takes_the_earliest_rule_first():
+    table = bpe.WordBpe(queries.bpe_path())
+    rnd = random.Random(3)
+    for _ in range(300):
+        tokens = table.symbols("".join(rnd.choice("abetinors") for _ in range(rnd.randint(1, 25))))
+        merged = list(tokens)
+        while True:
+            ranked = [(table.ranks[p], i) for i, p in enumerate(zip(merged, merged[1:])) if p in table.ranks]
+            if not ranked:
+                break
+            _, i = min(ranked)
+            merged[i : i + 2] = [table.vocabulary[table.names[merged[i]] + table.names[merged[i + 1]]]]
+        assert table.merge(tokens) == merged
+
+
+def test_no_token_for_a_character():
+    table = bpe.WordBpe(queries.bpe_path())
+    with pytest.raises(ValueError, match="no token"):
+        table.propose("ab\u4e00c")
+
+
 def test_pair_check_equals_merging():
     table = bpe.WordBpe(queries.bpe_path())
     rnd = random.Random(7)
