@@ -8,7 +8,8 @@ how many spare ones there are, is chosen per band by cost. A set leaves out its
 selective segments as far as the spare ones allow (see ``_signatures``). Sets that share
 a signature are candidates and are verified on their whole shingle sets.
 
-Copies are merged before the join. The members of a bucket are compared with one of them only. What was
+Equal sets are one node of the join: a class, named by a 64-bit hash of its size and two 64-bit sums over
+its shingles. Signatures are dealt out once; statistics of a bucket and its members come from that one exchange. The members of a bucket are compared with one of them only. What was
 compared with one document and is then in different components is compared further only where two
 members share rare differences from that document (see ``_by_difference``): no bucket is expanded
 into its pairs, and no link is lost that would join two components.
@@ -23,11 +24,12 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termfit.llm.words import lists, mix, salted, shingle_sets, slices
-from termfit.session import scratch_path
+from termfit.plans.joins import lookup
+from termfit.session import discard, scratch_path
 
 #: Chance that an unrelated document holds a given shingle too, as the cost model assumes.
 SHARED = 0.2
@@ -149,64 +151,107 @@ def _signatures(row: np.ndarray, key: np.ndarray, rows: int, scheme: Scheme) ->
     return row[order], signature[order]
 
 
+def _class_keys(row: np.ndarray, key: np.ndarray, rows: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """(size, two sums, node) of each row's set; equal sets agree in all of them."""
+    n = np.bincount(row, minlength=rows).astype(np.int64)
+    sums = []
+    for salt in (1, 2):
+        total = np.zeros(rows, np.uint64)
+        np.add.at(total, row, salted(key, salt))
+        sums.append(total)
+    node = mix(mix(sums[0] + np.uint64(0x632BE59BD9B4E019)) + sums[1]) ^ salted(n.astype(np.uint64), 17)
+    return n, sums, node.view(np.int64)
+
+
 def _summaries(shingle_size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
-                row, key = shingle_sets(batch.column("text"), shingle_size)
-                sums = []
-                for salt in (1, 2):
-                    total = np.zeros(batch.num_rows, np.uint64)
-                    np.add.at(total, row, salted(key, salt))
-                    sums.append(pa.array(total.view(np.int64)))
-                n = np.bincount(row, minlength=batch.num_rows)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(n), *sums], ["doc_id", "n_shingles", "a", "b"]
-                )
+                n, sums, node = _class_keys(*shingle_sets(batch.column("text"), shingle_size), batch.num_rows)
+                columns = [batch.column("doc_id"), *map(pa.array, (n, sums[0].view(np.int64), sums[1].view(np.int64), node))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "a", "b", "node"])
 
     return run
 
 
 def _signed(shingle_size: int, scheme: Scheme):
+    """(node, signatures), once for every different set of a slice."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
                 row, key = shingle_sets(batch.column("text"), shingle_size)
-                row, signature = _signatures(row, key, batch.num_rows, scheme)
-                column = lists(row, signature.view(np.int64), batch.num_rows)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), column], ["doc_id", "signatures"])
+                _, _, node = _class_keys(row, key, batch.num_rows)
+                nodes, first = np.unique(node, return_index=True)
+                number = np.full(batch.num_rows, -1)
+                number[np.sort(first)] = np.arange(len(first))
+                row, key = number[row], key[number[row] >= 0]
+                row, signature = _signatures(row[row >= 0], key, len(nodes), scheme)
+                column = lists(row, signature.view(np.int64), len(nodes))
+                yield pa.RecordBatch.from_arrays([pa.array(node[np.sort(first)]), column], ["node", "signatures"])
 
     return run
 
 
 def _sets(shingle_size: int):
+    """The sets of the rows whose text has the set of the wanted node."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
                 row, key = shingle_sets(batch.column("text"), shingle_size)
+                _, _, node = _class_keys(row, key, batch.num_rows)
                 column = lists(row, key.view(np.int64), batch.num_rows)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), column], ["doc_id", "shingles"])
+                same = pa.array(node == batch.column("node").to_numpy())
+                yield pa.RecordBatch.from_arrays([batch.column("node"), column], ["node", "shingles"]).filter(same)
 
     return run
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and go on from there."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _noded(shingle_size: int):
+    """The rows with their node in front."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole):
+                _, _, node = _class_keys(*shingle_sets(batch.column("text"), shingle_size), batch.num_rows)
+                yield pa.RecordBatch.from_arrays([pa.array(node), *batch.columns], ["_node", *batch.schema.names])
+
+    return run
+
 
+class _Scratch:
+    """Tables written to the shared folder, to go on from there; all but those that the result reads are deleted."""
 
-def components(links: DataFrame) -> DataFrame:
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[int, str] = {}
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(table)] = path
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            path = self.paths.pop(id(table), None)
+            if path:
+                discard(self.spark, path)
+
+
+def components(links: DataFrame, stored: _Scratch) -> DataFrame:
     """(id, component) for the ends of ``links`` (a, b): the smallest id that is reachable.
 
     Every round takes the smallest label among the neighbours and then the label's own label,
     so that the length of a chain is at least halved.
     """
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = _stored(both.where("a <> b").distinct(), "links")
+    both = stored(both.where("a <> b").distinct(), "links")
     labels = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
-    labels = _stored(labels.select("id", F.least("id", "m").alias("component")), "labels")
+    kept = stored(labels.select("id", F.least("id", "m").alias("component")), "labels")
+    labels = kept
     while True:
         near = both.join(labels.select(F.col("id").alias("b"), "component"), "b").groupBy(F.col("a").alias("id"))
         moved = labels.join(near.agg(F.min("component").alias("m")), "id").select(
@@ -214,88 +259,123 @@ def components(links: DataFrame) -> DataFrame:
         )
         up = labels.select(F.col("id").alias("lower"), F.col("component").alias("top"))
         moved = moved.join(up, "lower", "left").select("id", "component", F.coalesce("top", "lower").alias("next"))
-        moved = _stored(moved, "labels")
+        moved = stored(moved, "labels")
         changed = moved.where("next <> component").limit(1).count()
-        labels = moved.select("id", F.col("next").alias("component"))
+        stored.drop(kept)
+        kept, labels = moved, moved.select("id", F.col("next").alias("component"))
         if not changed:
+            stored.drop(both)
             return labels
 
 
-def jaccard_components(
-    docs: DataFrame, shingle_size: int = 5, threshold: Fraction = Fraction(4, 5)
-) -> tuple[DataFrame, DataFrame]:
-    """Link documents whose sets of word shingles have a Jaccard similarity of ``threshold`` or more.
-
-    Returns (members, links). members is (doc_id, n_shingles, component_id), one row per row
-    of ``docs`` (doc_id BIGINT, text); component_id is the smallest doc_id that can be reached by
-    links. links is (a, b, shared, n_a, n_b): verified pairs of representatives (the smallest
-    doc_id of equal sets) that join these components.
-
-    A text without words, empty or null has an empty set and links with nothing. Rows without
-    doc_id get component NULL and link with nothing. Rows that repeat a doc_id count as one
-    document if their sets are equal; otherwise each row gets the component of its own set.
-    """
-    docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    summaries = _stored(
-        docs.mapInArrow(_summaries(shingle_size), "doc_id bigint, n_shingles bigint, a bigint, b bigint"), "summaries"
+def _grouped(docs: DataFrame, shingle_size: int, threshold: Fraction) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(summaries, classes, spanning pairs); classes are (node, representative, component_id)."""
+    stored = _Scratch(docs.sparkSession)
+    summaries = stored(
+        docs.mapInArrow(_summaries(shingle_size), "doc_id bigint, n_shingles bigint, a bigint, b bigint, node bigint"), "summaries"
     )
     filled = summaries.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = _stored(
-        filled.groupBy("n_shingles", "a", "b").agg(F.min("doc_id").alias("representative")), "classes"
-    )
+    classes = stored(filled.groupBy("node", "n_shingles", "a", "b").agg(F.min("doc_id").alias("representative")), "classes")
+    if classes.select("node").distinct().count() < classes.count():
+        raise RuntimeError("two different sets have the same 64-bit name")
     counted = classes.groupBy(F.floor(F.log2("n_shingles")).cast("int").alias("e")).count().collect()  # size classes
     scheme = make_scheme({r["e"]: r["count"] for r in counted}, threshold)
 
-    heads = classes.select(F.col("representative").alias("doc_id"), "n_shingles").distinct()
-    signed = docs.where("doc_id IS NOT NULL").mapInArrow(
-        _signed(shingle_size, scheme), "doc_id bigint, signatures array<bigint>"
-    )
-    signed = _stored(signed.where("size(signatures) > 0").join(heads.select("doc_id").distinct(), "doc_id"), "signed")
-    index = signed.select("doc_id", F.explode("signatures").alias("signature"))
+    signed = docs.where("doc_id IS NOT NULL").mapInArrow(_signed(shingle_size, scheme), "node bigint, signatures array<bigint>")
+    # Dealt out once. A set that lies in several tasks is counted once.
+    index = signed.select("node", F.explode("signatures").alias("signature")).repartition("signature")
+    index = index.dropDuplicates(["signature", "node"])
     # Buckets with the same members are kept once.
     buckets = (
         index.groupBy("signature")
         .agg(
             F.count("*").alias("n"),
-            F.min("doc_id").alias("first"),
-            F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("s"),
-            F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("x"),
-            F.max("doc_id").alias("last"),
+            F.min("node").alias("first"),
+            F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("s"),
+            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"),
+            F.max("node").alias("last"),
         )
         .where("first <> last")
         .groupBy("n", "first", "s", "x")
         .agg(F.min("signature").alias("signature"))
     )
-    buckets = _stored(buckets.select("signature", "first"), "buckets")
-    members = _stored(index.join(buckets, "signature").select("signature", "first", "doc_id").distinct(), "members")
-
-    ids = _stored(members.select("doc_id").distinct(), "ids")
-    sets = docs.join(ids, "doc_id").mapInArrow(_sets(shingle_size), "doc_id bigint, shingles array<bigint>")
-    sets = _stored(sets, "sets")
-    stars = _stored(members.where("doc_id <> first").select("first", "doc_id").distinct(), "stars")
-    links = _stored(verify(stars.select(F.col("first").alias("a"), F.col("doc_id").alias("b")), sets, threshold), "found")
-    labels = _stored(components(links), "components")
-    # A group is what was compared with one document. It is active while it holds different components.
-    group = stars.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-    group = group.select("first", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    members = index.join(buckets.select("signature", "first"), "signature")
+    stars = stored(members.where("node <> first").select("first", "node").distinct(), "stars")
+
+    ids = stars.select("node").union(stars.select("first")).distinct()
+    wanted = classes.join(ids, "node").select("node", F.col("representative").alias("doc_id"))
+    sets = docs.join(wanted, "doc_id").select("node", "text").mapInArrow(_sets(shingle_size), "node bigint, shingles array<bigint>")
+    sets = stored(sets.dropDuplicates(["node"]), "sets")
+    links = stored(verify(stars.select(F.col("first").alias("a"), F.col("node").alias("b")), sets, threshold), "found")
+    labels = components(links, stored)
+    # A group is what was compared with one set. It is active while it holds different components.
+    group = stars.join(labels.withColumnRenamed("id", "node"), "node", "left")
+    group = group.select("first", "node", F.coalesce("component", "node").alias("component"))
     mixed = group.groupBy("first").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    active = _stored(group.join(mixed.where("lo <> hi").select("first"), "first"), "active")
+    active = stored(group.join(mixed.where("lo <> hi").select("first"), "first"), "active")
+    stored.drop(stars)
     if active.limit(1).count():
-        pairs = _stored(_by_difference(active, sets, threshold), "pairs")
-        links = links.union(_stored(verify(pairs, sets, threshold), "found"))
-        labels = _stored(components(links), "components")
-
-    named = classes.join(
-        labels.select(F.col("id").alias("representative"), "component"), "representative", "left"
-    ).select("n_shingles", "a", "b", F.coalesce("component", "representative").alias("component_id"))
-    linked = filled.join(named, ["n_shingles", "a", "b"])
+        pairs = stored(_by_difference(active, sets, threshold, stored), "pairs")
+        links = links.union(stored(verify(pairs, sets, threshold), "found"))
+        labels = components(links, stored)
+        stored.drop(pairs)
+    stored.drop(active, sets)
+
+    named = classes.join(labels.withColumnRenamed("id", "node"), "node", "left")
+    named = named.select("node", "representative", F.coalesce("component", "node").alias("component"))
+    lowest = named.groupBy("component").agg(F.min("representative").alias("component_id"))
+    named = stored(named.join(lowest, "component").select("node", "representative", "component_id"), "named")
+    ends = [named.select(F.col("node").alias(end), F.col("representative").alias(f"doc_{end}")) for end in ("a", "b")]
+    spanning = links.join(ends[0], "a").join(ends[1], "b").select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"), "shared", "n_a", "n_b")
+    stored.drop(classes)
+    return summaries, named, spanning
+
+
+def _plain(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+
+
+def jaccard_components(
+    docs: DataFrame, shingle_size: int = 5, threshold: Fraction = Fraction(4, 5)
+) -> tuple[DataFrame, DataFrame]:
+    """Link documents whose sets of word shingles have a Jaccard similarity of ``threshold`` or more.
+
+    Returns (members, spanning). members is (doc_id, n_shingles, component_id), one row per row
+    of ``docs`` (doc_id BIGINT, text); component_id is the smallest doc_id that can be reached by
+    links. spanning is (a, b, shared, n_a, n_b): verified links between different sets, named by their smallest doc_id, that
+    are enough to join these components; it does not hold every link.
+
+    A text without words, empty or null has an empty set and links with nothing. Rows without
+    doc_id get component NULL and link with nothing. Rows that repeat a doc_id count as one
+    document if their sets are equal; otherwise each row gets the component of its own set. Further columns are ignored.
+    Sets are named by 64-bit hashes; two with one name end the job with an error (odds of N * N / 2**65 for N different sets).
+    """
+    summaries, named, spanning = _grouped(_plain(docs), shingle_size, threshold)
+    filled = summaries.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    linked = lookup(filled, named.select("node", "component_id"), "node", by=["doc_id"])
     alone = summaries.where("n_shingles = 0 OR doc_id IS NULL").withColumn("component_id", F.col("doc_id"))
     columns = ["doc_id", "n_shingles", "component_id"]
-    return linked.select(columns).union(alone.select(columns)), links
+    return linked.select(columns).union(alone.select(columns)), spanning
+
+
+def first_of_groups(docs: DataFrame, shingle_size: int = 5, threshold: Fraction = Fraction(4, 5)) -> DataFrame:
+    """The rows of ``docs`` (doc_id BIGINT, text, ...) that stay when one row of each component of ``jaccard_components`` does.
+
+    That is the row with the component's smallest doc_id; of rows that share it, the one with the smallest values. Rows that link with
+    nothing because they have no doc_id or no words all stay.
+    """
+    _, named, _ = _grouped(_plain(docs), shingle_size, threshold)
+    # of several sets with the smallest doc_id, one stands for the component
+    heads = named.where("representative = component_id").groupBy(F.col("component_id").alias("doc_id")).agg(F.min("node").alias("_node"))
+    schema = ", ".join(["_node bigint", *(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)])
+    linkable = F.col("doc_id").isNotNull() & F.coalesce(F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    rows = docs.where(linkable).mapInArrow(_noded(shingle_size), schema)
+    kept = rows.join(heads, ["doc_id", "_node"]).groupBy("doc_id", "_node").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return kept.select("row.*").unionByName(docs.where(~linkable))
 
 
-def _by_difference(active: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
-    """Pairs (a, b) to compare inside groups (first, doc_id, component) that hold several components.
+def _by_difference(active: DataFrame, sets: DataFrame, t: Fraction, stored: _Scratch) -> DataFrame:
+    """Pairs (a, b) to compare inside groups (first, node, component) that hold several components.
 
     Let D(x) be the difference of x and the group's first document. Two members differ
     in the symmetric difference of D(x) and D(y). If |D(x)| + |D(y)| <= H they are similar for certain, so it is
@@ -304,50 +384,50 @@ def _by_difference(active: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame
     the rarest element on, the shorter of the two holds a shared element among its first H/2 + 1 (``index``), the
     longer among its first H + 1, with o - 1 elements behind the first shared one in both.
     """
-    left = sets.select("doc_id", F.col("shingles").alias("mine"))
-    right = sets.select(F.col("doc_id").alias("first"), F.col("shingles").alias("other"))
+    left = sets.select("node", F.col("shingles").alias("mine"))
+    right = sets.select(F.col("node").alias("first"), F.col("shingles").alias("other"))
     n = F.size("mine").cast("bigint")
     less, more = t.denominator - t.numerator, t.denominator + t.numerator
     allowed = F.floor((n + F.floor(n * t.denominator / t.numerator)) * less / more).cast("int")
     differing = F.concat(F.array_except("mine", "other"), F.array_except("other", "mine"))
-    apart = active.join(left, "doc_id").join(right, "first").select(
-        "first", "doc_id", "component", allowed.alias("allowed"), differing.alias("d"),
+    apart = active.join(left, "node").join(right, "first").select(
+        "first", "node", "component", allowed.alias("allowed"), differing.alias("d"),
         (F.size(differing) * more - n * less).alias("far"),
     )
-    apart = _stored(apart, "differences")
+    apart = stored(apart, "differences")
     # The near ones.
-    best = apart.groupBy("first").agg(F.min(F.struct("far", "doc_id", "component")).alias("best"))
+    best = apart.groupBy("first").agg(F.min(F.struct("far", "node", "component")).alias("best"))
     near = apart.where("size(d) <= allowed").join(best, "first").where("component <> best.component")
-    near = near.select(F.least("doc_id", "best.doc_id").alias("a"), F.greatest("doc_id", "best.doc_id").alias("b"))
+    near = near.select(F.least("node", "best.node").alias("a"), F.greatest("node", "best.node").alias("b"))
     # The ones that share an element.
-    rows = apart.select("first", "doc_id", "component", "allowed", F.explode("d").alias("element"))
+    rows = apart.select("first", "node", "component", "allowed", F.explode("d").alias("element"))
     counts = rows.groupBy("first", "element").count()
     ranked = rows.join(counts.where("count > 1"), ["first", "element"], "left").select(
-        "first", "doc_id", "component", "allowed", F.struct(F.coalesce("count", F.lit(1)).alias("n"), "element").alias("e")
+        "first", "node", "component", "allowed", F.struct(F.coalesce("count", F.lit(1)).alias("n"), "element").alias("e")
     )
     # D is at most as long as the two sets, so one document's part fits a task.
-    ranked = ranked.groupBy("first", "doc_id", "component", "allowed").agg(F.sort_array(F.collect_list("e")).alias("d"))
+    ranked = ranked.groupBy("first", "node", "component", "allowed").agg(F.sort_array(F.collect_list("e")).alias("d"))
     prefix = F.slice("d", F.lit(1), F.col("allowed") + 1)
     placed = ranked.select(
-        "first", "doc_id", "component", "allowed", F.size("d").alias("size"), F.posexplode(prefix).alias("at", "e")
+        "first", "node", "component", "allowed", F.size("d").alias("size"), F.posexplode(prefix).alias("at", "e")
     ).where("e.n > 1")
     placed = placed.withColumn("bucket", F.xxhash64("first", "e.element")).drop("first", "e")
-    placed = _stored(placed, "placed")
+    placed = stored(placed, "placed")
     buckets = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    buckets = _stored(buckets.where("lo <> hi").select("bucket"), "mixed")
+    buckets = stored(buckets.where("lo <> hi").select("bucket"), "mixed")
     x = placed.where("2 * at <= allowed").join(buckets, "bucket")
     y = placed.join(buckets, "bucket").select("bucket", *(F.col(c).alias(f"{c}_y") for c in placed.columns if c != "bucket"))
     shared = F.col("size") + F.col("size_y") - F.least("allowed", "allowed_y")
     behind = F.least(F.col("size") - F.col("at"), F.col("size_y") - F.col("at_y"))
     met = x.join(y, "bucket").where((F.col("component") != F.col("component_y")) & (2 * behind >= shared))
-    met = met.select(F.least("doc_id", "doc_id_y").alias("a"), F.greatest("doc_id", "doc_id_y").alias("b"))
+    met = met.select(F.least("node", "node_y").alias("a"), F.greatest("node", "node_y").alias("b"))
     return near.union(met).distinct()
 
 
 def verify(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
-    """The pairs (a, b) whose whole sets (doc_id, shingles) reach the threshold."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right"))
+    """The pairs (a, b) whose whole sets (node, shingles) reach the threshold."""
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
     shared = F.size(F.array_intersect("left", "right")).cast("bigint")
     both = pairs.join(right, "b").join(left, "a").select(
         "a", "b", shared.alias("shared"), F.size("left").cast("bigint").alias("n_a"), F.size("right").cast("bigint").alias("n_b")

@@ -160,6 +160,19 @@ def test_components(spark, size, threshold):
     assert collections.Counter(tuple(r) for r in members.collect()) == plain_components(rows, size, threshold)
 
 
+def test_one_id_with_different_sets(spark):
+    """Each row gets the component of its own set, and one row of each component stays."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(5, a), (5, b), (4, a + " more"), (7, a + " less"), (8, b + " or so"), (9, c), (9, c), (9, a), (None, a), (None, a), (6, ""), (6, None)]
+    docs = frame(spark, rows)
+    members, _ = jaccard.jaccard_components(docs)
+    assert collections.Counter(tuple(r) for r in members.collect()) == plain_components(rows, 5, Fraction(4, 5))
+    kept = jaccard.first_of_groups(docs.drop("component", "hash"))
+    assert kept.columns == docs.drop("component", "hash").columns
+    wanted = [(4, a + " more"), (5, b), (9, c), (None, a), (None, a), (6, ""), (6, None)]
+    assert collections.Counter((r.doc_id, r.text) for r in kept.collect()) == collections.Counter(wanted)
+
+
 def test_components_of_an_empty_table(spark):
     assert jaccard.jaccard_components(frame(spark, []))[0].count() == 0
 
