@@ -269,7 +269,10 @@ def components(links: DataFrame, stored: _Scratch) -> DataFrame:
 
 
 def _grouped(docs: DataFrame, shingle_size: int, threshold: Fraction) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(summaries, classes, spanning pairs); classes are (node, representative, component_id)."""
+    """(summaries, classes, spanning pairs); classes are (node, representative, component, component_id).
+
+    Components are named by a node; component_id is the smallest doc_id, which several may share where ids repeat.
+    """
     stored = _Scratch(docs.sparkSession)
     summaries = stored(
         docs.mapInArrow(_summaries(shingle_size), "doc_id bigint, n_shingles bigint, a bigint, b bigint, node bigint"), "summaries"
@@ -324,7 +327,7 @@ def _grouped(docs: DataFrame, shingle_size: int, threshold: Fraction) -> tuple[D
     named = classes.join(labels.withColumnRenamed("id", "node"), "node", "left")
     named = named.select("node", "representative", F.coalesce("component", "node").alias("component"))
     lowest = named.groupBy("component").agg(F.min("representative").alias("component_id"))
-    named = stored(named.join(lowest, "component").select("node", "representative", "component_id"), "named")
+    named = stored(named.join(lowest, "component").select("node", "representative", "component", "component_id"), "named")
     ends = [named.select(F.col("node").alias(end), F.col("representative").alias(f"doc_{end}")) for end in ("a", "b")]
     spanning = links.join(ends[0], "a").join(ends[1], "b").select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"), "shared", "n_a", "n_b")
     stored.drop(classes)
@@ -366,7 +369,8 @@ def first_of_groups(docs: DataFrame, shingle_size: int = 5, threshold: Fraction
     """
     _, named, _ = _grouped(_plain(docs), shingle_size, threshold)
     # of several sets with the smallest doc_id, one stands for the component
-    heads = named.where("representative = component_id").groupBy(F.col("component_id").alias("doc_id")).agg(F.min("node").alias("_node"))
+    heads = named.groupBy("component").agg(F.min(F.struct("representative", "node")).alias("head"))
+    heads = heads.select(F.col("head.representative").alias("doc_id"), F.col("head.node").alias("_node"))
     schema = ", ".join(["_node bigint", *(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)])
     linkable = F.col("doc_id").isNotNull() & F.coalesce(F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
     rows = docs.where(linkable).mapInArrow(_noded(shingle_size), schema)
