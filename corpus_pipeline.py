@@ -21,15 +21,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word shingles, similarity 0.8) the smallest doc_id stays.
+    """Of each group of near duplicates (five-word shingles, similarity 0.8) the row with the smallest doc_id stays.
 
-    Repeated rows of it stay once; rows without doc_id stay as they are.
+    Repeated rows of it stay once; different texts with one doc_id are judged each for itself; rows without doc_id stay as they are.
     """
-    members, _ = jaccard.jaccard_components(docs)
-    heads = members.where("component_id = doc_id").select("doc_id").distinct()
-    unnamed = docs.where("doc_id IS NULL").select(COLUMNS)
-    first = docs.join(heads, "doc_id", "left_semi").select(COLUMNS).dropDuplicates(["doc_id"])
-    return first.unionByName(unnamed)
+    return jaccard.first_of_groups(docs.select(COLUMNS))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,5 +65,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: Tiling and pair merging cannot be written in SQL; tests/llm checks the operators behind the stages; no test runs a stage yet.
+#: Tiling and pair merging cannot be written in SQL; tests/llm compares every stage and ``run`` with plain Python.
 ORACLE_SQL = None
