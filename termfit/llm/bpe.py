@@ -33,8 +33,11 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
 #: White space below 128. Nothing composes across it and no word holds it, so texts may be cut there first.
 SPACE = byte_set((0x20, 0x20), (0x09, 0x0D))
 SPACES = re.compile(r"[\x20\x09-\x0D]+")
+#: Words up to this many characters are merged in a list, longer ones with a heap.
+SHORT = 40
+NEVER = 1 << 60
 #: Pieces whose encodings a task remembers, and their tokens; beyond either the memory starts afresh.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 REMEMBERED_TOKENS = 4_000_000
 
 
@@ -88,7 +91,26 @@ class WordBpe:
         return [self.inner[c] for c in word[:-1]] + [self.final[word[-1]]]
 
     def merge(self, tokens: list[int]) -> list[int]:
-        """Exact merging: the earliest rule first, at its leftmost place first. A heap over linked places, O(n log n)."""
+        """Exact merging: the earliest rule first, at its leftmost place first."""
+        if len(tokens) > SHORT:
+            return self._merge_long(tokens)
+        ranks, tokens = self.ranks.get, list(tokens)
+        ranked = [ranks(pair, NEVER) for pair in zip(tokens, tokens[1:], strict=False)]
+        while ranked:
+            best = min(ranked)
+            if best == NEVER:
+                break
+            at = ranked.index(best)
+            tokens[at : at + 2] = [self.vocabulary[self._joined(tokens[at], tokens[at + 1])]]
+            del ranked[at]
+            if at:
+                ranked[at - 1] = ranks((tokens[at - 1], tokens[at]), NEVER)
+            if at < len(ranked):
+                ranked[at] = ranks((tokens[at], tokens[at + 1]), NEVER)
+        return tokens
+
+    def _merge_long(self, tokens: list[int]) -> list[int]:
+        """The same with a heap over linked places, O(n log n)."""
         n = len(tokens)
         token: list[int | None] = list(tokens)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
