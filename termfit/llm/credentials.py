@@ -2,7 +2,7 @@
 
 Patterns find candidates in every text. How many distinct owners and repositories hold a
 candidate value separates examples that are copied widely from credentials that belong
-to one owner: a value held by up to ``max_owners`` owners looks live. The fixed patterns
+to one owner: a value held by up to ``max_owners`` owners in up to ``max_repositories`` repositories looks live. The fixed patterns
 (``assign``, ``access``, ``hex``) are always reported; opaque tokens (kind ``owned``) are added
 where their ownership says that they are live. Values travel as hashes only.
 """
@@ -18,10 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termfit.llm.words import slices
-from termfit.session import scratch_path
+from termfit.plans.joins import lookup
+from termfit.session import durable, scratch_path
 
-#: Most distinct owners of a value that still looks live.
+#: Most distinct owners, and repositories, of a value that still looks live.
 MAX_OWNERS = 2
+MAX_REPOSITORIES = 8
 
 # The patterns of the base kinds, in the order in which kinds are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -73,7 +75,12 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def scan(
-    docs: DataFrame, owner: Column, repository: Column, max_owners: int = MAX_OWNERS, carry: list[str] | None = None
+    docs: DataFrame,
+    owner: Column,
+    repository: Column,
+    max_owners: int = MAX_OWNERS,
+    carry: list[str] | None = None,
+    max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """Every row of ``docs`` (doc_id, text) with its spans.
 
@@ -100,9 +107,10 @@ def scan(
     each = found.where(some).select("row", "owner", "repository", F.explode("spans").alias("s"))
     held = each.select(F.col("s.value").alias("value"), "owner", "repository").distinct()
     held = held.groupBy("value", "owner").agg(F.count("*").alias("n"))
-    held = held.groupBy("value").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories"))
-    judged = each.select("row", "s", F.col("s.value").alias("value")).join(held, "value")
-    judged = judged.withColumn("live", F.col("n_owners") <= max_owners)
+    held = durable(held.groupBy("value").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories")))
+    # a value that is copied everywhere is split where the counts do not fit a broadcast
+    judged = lookup(each.select("row", "s", F.col("s.value").alias("value")), held, "value", by=["row"])
+    judged = judged.withColumn("live", (F.col("n_owners") <= max_owners) & (F.col("n_repositories") <= max_repositories))
     span = F.struct("s.start", "s.rank", "s.kind", "s.end", "s.value", "n_owners", "n_repositories", "live")
     judged = judged.where("s.kind <> 'owned' OR live")
     judged = judged.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("spans"))
@@ -114,30 +122,36 @@ def scan(
     return with_spans.union(found.where(~some).select(*columns, empty.alias("spans")))
 
 
-def mask(text: Column, spans: Column, by: str = "[secret]") -> Column:
-    """The text with its spans replaced; overlapping spans count as one."""
-    pieces = F.aggregate(
-        spans,
-        F.struct(F.lit("").alias("done"), F.lit(0).cast("bigint").alias("at")),
-        lambda a, s: F.struct(
-            F.when(
-                s["start"] >= a["at"],
-                F.concat(a["done"], F.substring(text, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")), F.lit(by)),
-            )
-            .otherwise(a["done"])
-            .alias("done"),
-            F.greatest(a["at"], s["end"]).alias("at"),
-        ),
-        lambda a: F.concat(a["done"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text))),
-    )
-    return F.when(F.size(spans) > 0, pieces).otherwise(text)
+def _mask(by: str):
+    """Cut each text once into what lies between its spans; overlapping spans count as one."""
+
+    def masked(text: str | None, starts: list[int], ends: list[int]) -> str | None:
+        if text is None or not starts:
+            return text
+        pieces, at = [], 0
+        for start, end in zip(starts, ends, strict=True):
+            if start >= at:
+                pieces += [text[at:start], by]
+            at = max(at, end)
+        return "".join([*pieces, text[at:]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            carried, spans = batch.column("carried"), batch.column("spans")
+            starts, ends = ([[s[k] for s in row] for row in spans.to_pylist()] for k in ("start", "end"))
+            names = [f.name for f in carried.type]
+            columns = dict(zip(names, carried.flatten(), strict=True))
+            columns["text"] = pa.array(map(masked, columns["text"].to_pylist(), starts, ends), pa.string())
+            yield pa.record_batch(columns)
+
+    return run
 
 
-def masked(docs: DataFrame, owner: Column, repository: Column, max_owners: int = MAX_OWNERS) -> DataFrame:
+def masked(docs: DataFrame, owner: Column, repository: Column, max_owners: int = MAX_OWNERS, by: str = "[secret]") -> DataFrame:
     """``docs`` with all its columns and the reported spans masked in ``text``."""
-    scanned = scan(docs, owner, repository, max_owners, carry=docs.columns)
-    text = mask(F.col("carried.text"), F.col("spans"))
-    return scanned.select(*((text if c == "text" else F.col(f"carried.`{c}`")).alias(c) for c in docs.columns))
+    docs = docs.withColumn("text", F.col("text").cast("string"))
+    scanned = scan(docs, owner, repository, max_owners, carry=docs.columns).select("carried", "spans")
+    return scanned.mapInArrow(_mask(by), docs.schema)
 
 
 def joined(spans: Column) -> Column:
