@@ -9,7 +9,7 @@ selective segments as far as the spare ones allow (see ``_signatures``). Sets th
 a signature are candidates and are verified on their whole shingle sets.
 
 Equal sets are one node of the join: a class, named by a 64-bit hash of its size and two 64-bit sums over
-its shingles. Signatures are dealt out once; statistics of a bucket and its members come from that one exchange. The members of a bucket are compared with one of them only. What was
+its shingles. Signatures are dealt out once. The members of a bucket are compared with one of them only. What was
 compared with one document and is then in different components is compared further only where two
 members share rare differences from that document (see ``_by_difference``): no bucket is expanded
 into its pairs, and no link is lost that would join two components.
@@ -24,7 +24,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from termfit.llm.words import lists, mix, salted, shingle_sets, slices
@@ -285,25 +285,11 @@ def _grouped(docs: DataFrame, shingle_size: int, threshold: Fraction) -> tuple[D
     scheme = make_scheme({r["e"]: r["count"] for r in counted}, threshold)
 
     signed = docs.where("doc_id IS NOT NULL").mapInArrow(_signed(shingle_size, scheme), "node bigint, signatures array<bigint>")
-    # Dealt out once. A set that lies in several tasks is counted once.
-    index = signed.select("node", F.explode("signatures").alias("signature")).repartition("signature")
-    index = index.dropDuplicates(["signature", "node"])
-    # Buckets with the same members are kept once.
-    buckets = (
-        index.groupBy("signature")
-        .agg(
-            F.count("*").alias("n"),
-            F.min("node").alias("first"),
-            F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("s"),
-            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"),
-            F.max("node").alias("last"),
-        )
-        .where("first <> last")
-        .groupBy("n", "first", "s", "x")
-        .agg(F.min("signature").alias("signature"))
-    )
-    members = index.join(buckets.select("signature", "first"), "signature")
-    stars = stored(members.where("node <> first").select("first", "node").distinct(), "stars")
+    # Dealt out once: behind the exchange a bucket's members follow one another, and each is put beside the first.
+    index = signed.select("node", F.explode("signatures").alias("signature"))
+    bucket = Window.partitionBy("signature").orderBy("node")
+    members = index.select("node", F.first("node").over(bucket).alias("first")).where("node <> first")
+    stars = stored(members.select("first", "node").distinct(), "stars")
 
     ids = stars.select("node").union(stars.select("first")).distinct()
     wanted = classes.join(ids, "node").select("node", F.col("representative").alias("doc_id"))
