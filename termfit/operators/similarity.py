@@ -101,11 +101,12 @@ def pairwise_cosine(
         ),
     )
     scores = scores.select(F.col(doc).alias("_doc"), F.col("term").cast("string").alias("term"), F.col(value).cast("double").alias("_value"))
-    packed = packed_vectors(scores)
     if small:
-        matched = packed.join(F.broadcast(requests), "_doc")
+        # only what some pair asks for is packed
+        asked = scores.join(F.broadcast(requests.select("_doc")), "_doc", "left_semi")
+        matched = packed_vectors(asked).join(F.broadcast(requests), "_doc")
     else:
-        packed = durable(packed)  # counted and joined
+        packed = durable(packed_vectors(scores))  # counted and joined
         matched = salted_join(
             requests,
             packed,
