@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termfit.session import durable
+
 
 def write_scores(scores: DataFrame, path: str, format: str = "parquet") -> None:
     """Write a score table; ``format="text"`` gives ``('term', value)`` lines.
@@ -31,9 +33,19 @@ def _quote(term: Column) -> Column:
     return F.regexp_replace(term, r"([\\'])", r"\\$1")
 
 
+#: Rows of a ranked list, which one task sorts and writes.
+MOST_RANKED = 1_000_000
+
+
 def write_ranked(top: DataFrame, path: str) -> None:
-    """Write the few rows of a top list (term, value) as ``(term, value)`` lines, largest value first."""
+    """Write the few rows of a top list (term, value) as ``(term, value)`` lines, largest value first.
+
+    A table of more than MOST_RANKED rows is refused; ``top_terms`` cuts it.
+    """
     term, value = _two_columns(top)
+    top = durable(top.limit(MOST_RANKED + 1))  # all of it, if it is a list of that size
+    if top.count() > MOST_RANKED:
+        raise ValueError(f"a ranked list has at most {MOST_RANKED} rows")
     lines = top.coalesce(1).sortWithinPartitions(value.desc(), term.asc())
     lines.select(F.format_string("(%s, %f)", term, value.cast("double"))).write.text(path)
 

@@ -221,3 +221,15 @@ def test_tables_are_pruned_and_small_ones_spread(spark, tmp_path):
     plan = df._jdf.queryExecution().toString()
     assert "ReadSchema: struct<id:bigint,twice:bigint>" in plan
     assert df.count() == 100
+
+
+def test_a_ranked_list_is_short(spark, tmp_path, monkeypatch):
+    from termfit.sources import writers
+
+    monkeypatch.setattr(writers, "MOST_RANKED", 3)
+    scores = spark.createDataFrame([("a", 1.0), ("b", 3.0), ("c", 2.0)], "term string, value double")
+    write_ranked(scores, str(tmp_path / "top"))
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "top")).collect()] == ["(b, 3.000000)", "(c, 2.000000)", "(a, 1.000000)"]
+    with pytest.raises(ValueError, match="at most 3 rows"):
+        write_ranked(scores.union(scores), str(tmp_path / "more"))
+    assert not (tmp_path / "more").exists()
