@@ -27,7 +27,7 @@ from termfit.sources.readers import (
     read_pairs,
     read_table,
 )
-from termfit.sources.writers import write_ranked, write_scalar, write_scores
+from termfit.sources.writers import write_corpus, write_ranked, write_scalar, write_scores
 
 try:  # the training-data operators and their queries can be left out
     from termfit.llm import queries as training_data
@@ -374,14 +374,14 @@ def train_logistic_beta(spark, sf):
 def corpus_from_files(spark, sf):
     """One file per document, read back as a corpus."""
     path = scratch_path(spark, "corpus")
-    _documents(spark, sf).select("text").write.option("maxRecordsPerFile", 1).text(path)
+    write_corpus(_documents(spark, sf), path)
     return _rounded(text.inverse_document_frequency(read_corpus(spark, path)), 6, "idf")
 
 
 def tfidf_from_parts(spark, sf):
     """Files with many lines, read in parts and scored as whole documents."""
     path = scratch_path(spark, "parts")
-    _documents(spark, sf).select("text").write.option("maxRecordsPerFile", 1).text(path)
+    write_corpus(_documents(spark, sf), path)
     scored = score_parts(read_corpus_parts(spark, path))
     # the files' names vary, so the scores are added up per term
     return _rounded(scored.groupBy("term").agg(F.count("*").alias("df"), F.sum("tfidf").alias("tfidf")), 4, "tfidf")

@@ -59,6 +59,6 @@ from termfit.sources.readers import (
     read_ratings,
     read_table,
 )
-from termfit.sources.writers import write_ranked, write_scalar, write_scores
+from termfit.sources.writers import write_corpus, write_ranked, write_scalar, write_scores
 
 __all__ = sorted(name for name in globals() if not name.startswith("_"))

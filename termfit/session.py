@@ -43,7 +43,7 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _place(spark: SparkSession, path: str):
+def hadoop_place(spark: SparkSession, path: str):
     """The Hadoop file system of a path, and the path in its terms."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
@@ -51,7 +51,7 @@ def _place(spark: SparkSession, path: str):
 
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a written table that nothing reads any more."""
-    files, place = _place(spark, path)
+    files, place = hadoop_place(spark, path)
     files.delete(place, True)
 
 
@@ -72,7 +72,7 @@ class Generations:
         return f"{self.folder}/generation-{number:08d}/{name}".rstrip("/")
 
     def _numbers(self) -> list[int]:
-        files, place = _place(self.spark, self.folder)
+        files, place = hadoop_place(self.spark, self.folder)
         if not files.exists(place):
             return []
         names = [status.getPath().getName() for status in files.listStatus(place)]  # three at most
@@ -81,7 +81,7 @@ class Generations:
     def newest(self) -> tuple[DataFrame, dict] | None:
         """The table and the record of the last whole generation."""
         for number in reversed(self._numbers()):
-            files, place = _place(self.spark, self._path(number, "record.json"))
+            files, place = hadoop_place(self.spark, self._path(number, "record.json"))
             if files.exists(place):
                 record = json.loads("\n".join(row[0] for row in self.spark.read.text(self._path(number, "record.json")).collect()))
                 if record["settings"] != self.settings:
@@ -92,7 +92,7 @@ class Generations:
     def save(self, number: int, table: DataFrame, values: dict) -> DataFrame:
         """Write a generation and drop those before the last one. Returns the table as it was written."""
         table.write.mode("overwrite").parquet(self._path(number, "table"))
-        files, place = _place(self.spark, self._path(number, "record.json"))
+        files, place = hadoop_place(self.spark, self._path(number, "record.json"))
         stream = files.create(place, True)
         stream.write(json.dumps({"settings": self.settings, "values": values}).encode())
         stream.close()

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from termfit.session import durable
+
 # The shapes of legacy text lines. A name is quoted ('w', u'w', "w") or
 # bare; numbers may carry a long suffix or a float64 wrapper.
 _NAME = r"""(?:[uU]?'(.*)'|[uU]?"(.*)"|(.*?))"""
@@ -15,7 +18,11 @@ _NUMBER = rf"(?:np\.float64\()?([-+]?(?:{_DIGITS}|[nN][aA][nN]|[iI]nf(?:inity)?)
 PAIR_LINE = rf"^\s*\(\s*{_NAME}\s*,\s*{_NUMBER}\s*\)\s*$"
 POINT_LINE = r"^\s*\(\s*(\{.*\})\s*,\s*([+-]?1)(?:\.0*)?L?\s*\)\s*$"
 RATING_LINE = rf"^\s*([-+]?[0-9]+)\s*,\s*([-+]?[0-9]+)\s*,\s*([-+]?(?:{_DIGITS}|[nN][aA][nN]|[iI]nf(?:inity)?))\s*$"
+#: Names of files that Hadoop's codecs unpack.
+COMPRESSED = r"\.(gz|gzip|bz2|deflate|zst|lz4|snappy|lzo|passthrough)$"
 SPLIT_BYTES = 128 * 1024 * 1024
+#: Bytes of a file that may be read as one row before it is cut into parts.
+SMALL_FILE = 1024 * 1024
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -37,24 +44,59 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "text")
 
 
+def _plain_names(column: str) -> Column:
+    """File names without escapes and with one way to write an empty authority."""
+    plain = F.url_decode(F.replace(column, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+
+
+def _listed(scan: DataFrame) -> DataFrame:
+    """(doc_id): the files that a scan has listed, those without a byte too. Their names stay in the JVM."""
+    jvm = scan.sparkSession.sparkContext._jvm
+    names = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(scan._jdf.inputFiles())
+    dataset = scan.sparkSession._jsparkSession.createDataset(names, jvm.org.apache.spark.sql.Encoders.STRING())
+    return DataFrame(dataset.toDF(), scan.sparkSession).toDF("doc_id")
+
+
+def _any_compressed(scan: DataFrame) -> bool:
+    return bool(_listed(scan).where(F.rlike("doc_id", F.lit(COMPRESSED))).limit(1).count())
+
+
+def _in_large_tasks(scan: DataFrame) -> DataFrame:
+    """Of many small files a scan gives a task 32; here a task gets SPLIT_BYTES of them, or a fourth of a slot's share."""
+    partitions, slots = scan.rdd.getNumPartitions(), scan.sparkSession.sparkContext.defaultParallelism
+    if len(scan._jdf.inputFiles()) < 8 * partitions:
+        return scan
+    size = scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return scan.coalesce(min(partitions, max(4 * slots, size // SPLIT_BYTES + 1)))
+
+
+def _with_empty_files(found: DataFrame, places: list[str]) -> DataFrame:
+    """``found`` (doc_id, text) and a row with an empty text for every file without a byte, which scans skip.
+
+    Such files are those that are listed and not scanned; for that no file is opened, and it is done once.
+    """
+    scan = found.sparkSession.read.format("binaryFile").load(places)
+    scanned = _in_large_tasks(scan.select("path")).select(F.regexp_replace("path", "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/").alias("doc_id"))
+    empty = _listed(scan).select(_plain_names("doc_id").alias("doc_id")).join(scanned, "doc_id", "left_anti")
+    return found.unionByName(durable(empty).withColumn("text", F.lit("")))
+
+
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, text): one row per file, named by its path; empty files count too.
 
-    The whole-file input format keeps zero-byte files, which Spark's file scans skip.
-    Its rows become a DataFrame inside the JVM, without a detour through Python.
+    ``path`` is a file, folder or glob, or several of them with commas between. Files are listed by Spark's own file index, without
+    asking for each one's permissions, and packed many to a task. Plain files are read as bytes; where some are compressed, all go
+    through the text source.
     """
-    context = spark.sparkContext
-    jvm = context._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(context._jsc.hadoopConfiguration())
-    matches = files.globStatus(place) or []
-    size = sum(files.getContentSummary(match.getPath()).getLength() for match in matches)
-    splits = max(context.defaultParallelism, size // SPLIT_BYTES + 1)
-    pairs = context._jsc.wholeTextFiles(path, splits)
-    text = jvm.org.apache.spark.sql.Encoders.STRING()
-    both = jvm.org.apache.spark.sql.Encoders.tuple(text, text)
-    dataset = spark._jsparkSession.createDataset(pairs.rdd(), both)
-    return DataFrame(dataset.toDF(), spark).toDF("doc_id", "text")
+    places = re.split(r",(?![^{}]*\})", path)  # as Hadoop reads a list of paths
+    scan = spark.read.format("binaryFile").load(places)
+    if _any_compressed(scan):
+        whole = spark.read.text(places, wholetext=True).select(_plain_names("_metadata.file_path").alias("doc_id"), F.col("value").alias("text"))
+    else:
+        name = F.regexp_replace("path", "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+        whole = _in_large_tasks(scan.select("path", "content")).select(name.alias("doc_id"), F.col("content").cast("string").alias("text"))
+    return _with_empty_files(whole.withColumn("text", F.make_valid_utf8("text")), places)
 
 
 def read_corpus_parts(spark: SparkSession, path: str, separator: str | None = None) -> DataFrame:
@@ -67,14 +109,19 @@ def read_corpus_parts(spark: SparkSession, path: str, separator: str | None = No
     if separator is not None and not separator.isspace():
         raise ValueError("the separator has to be white space")
     reader = spark.read if separator is None else spark.read.option("lineSep", separator)
-    lines = reader.text(path)
-    # plain paths, as read_corpus names them: no escapes, one way to write an empty authority
-    name = F.regexp_replace(F.url_decode(F.replace("doc_id", F.lit("+"), F.lit("%2B"))), "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/").alias("doc_id")
-    found = lines.select(F.col("_metadata.file_path").alias("doc_id"), F.col("value").alias("text")).select(name, "text")
-    # the scan skips files without a byte; the file index that it has listed already knows them
-    files = spark.createDataFrame([(f,) for f in lines.inputFiles()], "doc_id string").select(name)
-    empty = files.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", F.lit("").alias("text"))
-    return found.unionByName(empty)
+    name = F.col("_metadata.file_path").alias("doc_id")
+    lines = reader.text(path).select(name, F.col("value").alias("text"))
+    n = len(lines._jdf.inputFiles())
+    if not n or lines._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > n * SMALL_FILE // 16 or _any_compressed(lines):
+        return _with_empty_files(lines.select(_plain_names("doc_id").alias("doc_id"), "text"), [path])
+    # Opening files line by line costs more than reading them. Small ones are read as bytes and cut behind that; few are larger.
+    scan = spark.read.format("binaryFile").load(path)
+    ends = r"\r\n|\r|\n" if separator is None else re.escape(separator)
+    parts = F.split(F.regexp_replace(F.col("content").cast("string"), f"(?:{ends})\\z", ""), ends, -1)
+    small = _in_large_tasks(scan.where(F.col("length") <= SMALL_FILE).select(name, "content")).select("doc_id", F.explode(parts).alias("text"))
+    large = [r[0] for r in _in_large_tasks(scan.where(F.col("length") > SMALL_FILE).select("path")).collect()]  # 1 of 16 files at most
+    found = small.unionByName(reader.text(large).select(name, F.col("value").alias("text"))) if large else small
+    return _with_empty_files(found.select(_plain_names("doc_id").alias("doc_id"), "text"), [path])
 
 
 def _checked(lines: DataFrame, ok: Column, mode: str, message: str, dropped: Observation | None) -> DataFrame:

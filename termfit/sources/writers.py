@@ -1,11 +1,55 @@
-"""Writers for term scores, ranked lists and scalars."""
+"""Writers for corpora, term scores, ranked lists and scalars."""
 
 from __future__ import annotations
 
+import os
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termfit.session import durable
+from termfit.session import durable, hadoop_place
+
+# The functions below run in Python workers, which need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _write_files(folder: str):
+    """A file for every row. A task that runs again replaces what it wrote; a file appears when it is whole."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        hidden = os.path.join(folder, f".{task.partitionId():06d}-{task.taskAttemptId()}")
+        n = 0
+        for batch in batches:
+            for text in batch.column(0).cast(pa.binary()):
+                with open(hidden, "wb") as file:
+                    file.write((text.as_py() or b"") + b"\n")
+                os.replace(hidden, os.path.join(folder, f"part-{task.partitionId():06d}-{n:09d}.txt"))
+                n += 1
+        yield pa.record_batch({"n": pa.array([n], pa.int64())})
+
+    return run
+
+
+def write_corpus(docs: DataFrame, path: str, text: str = "text") -> None:
+    """Write every document to a file of its own in the new folder ``path``, as ``read_corpus`` reads it: UTF-8 and a line end.
+
+    In a local or mounted folder the tasks create the files themselves: Hadoop's local file system starts a process for each file's
+    permissions, and the driver moves all of them in place one by one. Other file systems are left to Spark's writer.
+    """
+    docs = docs.select(text)
+    files, place = hadoop_place(docs.sparkSession, path)
+    if files.getUri().getScheme() != "file":
+        docs.write.option("maxRecordsPerFile", 1).text(path)
+        return
+    if files.exists(place):
+        raise FileExistsError(path)
+    files.mkdirs(place)
+    docs.mapInArrow(_write_files(place.toUri().getPath()), "n bigint").agg(F.sum("n")).first()
 
 
 def write_scores(scores: DataFrame, path: str, format: str = "parquet") -> None:

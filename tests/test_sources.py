@@ -1,3 +1,6 @@
+import gzip
+import os
+
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -16,6 +19,7 @@ from termfit import (
     read_table,
     score_corpus,
     score_parts,
+    write_corpus,
     write_ranked,
     write_scalar,
     write_scores,
@@ -233,3 +237,36 @@ def test_a_ranked_list_is_short(spark, tmp_path, monkeypatch):
     with pytest.raises(ValueError, match="at most 3 rows"):
         write_ranked(scores.union(scores), str(tmp_path / "more"))
     assert not (tmp_path / "more").exists()
+
+
+def test_corpora_of_small_files_open_each_file_once(spark, tmp_path):
+    """One file per document: no process or driver step per file on writing, and larger tasks than 32 files on reading."""
+    texts = [None, "", "a b\nc", "é x"] + [f"the word {i}" for i in range(796)]
+    folder = str(tmp_path / "corpus")
+    write_corpus(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), folder)
+    names = os.listdir(folder)
+    assert len(names) == len(texts) and all(name.startswith("part-") for name in names)  # no checksum files beside them
+    (tmp_path / "corpus" / "nothing + 1%").write_bytes(b"")
+    corpus = read_corpus(spark, folder)
+    assert sorted(r["text"] for r in corpus.collect()) == sorted([*((t or "") + "\n" for t in texts), ""])
+    assert {r["doc_id"] for r in corpus.collect()} == {f"file:{folder}/{name}" for name in [*names, "nothing + 1%"]}
+    slots = spark.sparkContext.defaultParallelism
+    parts = read_corpus_parts(spark, folder)
+    assert sorted(r["text"] for r in parts.collect()) == sorted(["", "", "", "a b", "c", *texts[3:]])
+    for table in (corpus, parts):
+        assert table.where("text <> ''").rdd.getNumPartitions() <= 5 * slots < 800 / 32 + slots * 5
+    assert read_corpus(spark, f"{folder}/part-000000-*,{folder}/no*").where("text = ''").count() == 1
+    with pytest.raises(FileExistsError):
+        write_corpus(corpus, folder)
+
+
+def test_compressed_files_are_unpacked(spark, tmp_path):
+    (tmp_path / "a.txt.gz").write_bytes(gzip.compress(b"one two"))
+    put(tmp_path / "b", "three")
+    assert sorted(r["text"] for r in read_corpus(spark, str(tmp_path)).collect()) == ["one two", "three"]
+
+
+def test_parts_without_terms_count_as_documents(spark):
+    parts = spark.createDataFrame([("a", "x"), ("a", "1"), ("b", "2"), ("b", None), ("c", ""), (None, "x")], "doc_id string, text string")
+    scored = {(r["doc_id"], r["term"]): round(r["tfidf"], 6) for r in score_parts(parts).collect()}
+    assert scored == {("a", "x"): 0.693147, (None, "x"): 0.693147}
