@@ -33,11 +33,11 @@ def score_parts(parts: DataFrame, text: str = "text", doc: str = "doc_id") -> Da
     """(doc, term, tfidf) for a table in which a document is any number of rows, as ``read_corpus_parts`` gives it.
 
     Terms are counted inside each row and the counts added up per document, so no row has to hold a whole document. Rows are cut at
-    white space, which no term crosses.
+    white space, which no term crosses. The parts are read once; a document without terms is a row without one until they are counted.
     """
-    counted = document_term_frequency(parts, text, [doc]).groupBy(doc, "term").agg(F.sum("tf").alias("tf"))
-    tf = durable(counted)
-    n = parts.select(doc).distinct().agg(F.count(F.lit(1))).scalar().cast("double")
+    counted = durable(document_term_frequency(parts, text, [doc], all_rows=True).groupBy(doc, "term").agg(F.sum("tf").alias("tf")))
+    n = counted.select(doc).distinct().agg(F.count(F.lit(1))).scalar().cast("double")
+    tf = counted.where("term IS NOT NULL")
     idf = durable(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", "df", F.log(n / F.col("df")).alias("idf")))
     counts = idf.select("term", F.col("df").alias("count"))
     scored = lookup(tf, idf.select("term", "idf"), "term", by=[doc], counts=counts)
