@@ -240,7 +240,7 @@ def step_items(res: DataFrame, gamma: float, mu: float, d: int) -> DataFrame:
 
 
 def step_models(
-    rows: DataFrame, models: list[int], gammas: list[float], lam: float, mu: float, d: int
+    rows: DataFrame, models: list[int], gammas: list[float], lam: float, mu: float, d: int, profiles: DataFrame | None = None
 ) -> DataFrame:
     """(side, id, factors, parts): all profiles of several models after one step.
 
@@ -250,7 +250,8 @@ def step_models(
     error is booked on the user.
 
     All of it comes from one reading of the rows and one aggregation in which every row
-    pulls at its user and at its item.
+    pulls at its user and at its item. With ``profiles``, the (side, id, factors) that u and v come from, a partial
+    sum of a task carries no copy of its id's own vector: that joins the sums once, as a row.
     """
     places = range(len(models))
     unroll = len(models) * d <= UNROLL_LIMIT
@@ -271,9 +272,49 @@ def step_models(
             f"array({trained}) AS delta, array({nothing}) AS held)))"
         ),
     )
+    if profiles is not None:
+        # rows without an id have no vector of their own
+        return step_summed(_pulled(pulls, len(models), d), profiles.where("id IS NOT NULL"), gammas, lam, mu, d)
     return _descend(pulls, ["side", "id"], gammas, strength_of_sides(lam, mu), d)
 
 
+def _pulled(pulls: DataFrame, models: int, d: int) -> DataFrame:
+    """What every row pulls at its ids, by part, as ``step_summed`` adds it up. Short vectors are summed for all models in one row."""
+    if models * d <= UNROLL_LIMIT:
+        summed = pulls.groupBy("side", "id").agg(
+            *[F.expr(f"sum(2D * delta[{j // d}] * weight * get(other, {j}))").alias(f"_g{j}") for j in range(models * d)],
+            *[
+                F.expr(f"sum({value.format(m=m)})").alias(f"_{name}{m}")
+                for m in range(models)
+                for name, value in (
+                    ("sq_error", "delta[{m}] * delta[{m}] * weight"),
+                    ("held_error", "held[{m}] * held[{m}] * weight"),
+                    ("held_rows", "CAST(IF(held[{m}] IS NULL, 0, weight) AS BIGINT)"),
+                    ("rows", "CAST(IF(delta[{m}] IS NULL, 0, weight) AS BIGINT)"),
+                )
+            ],
+        )
+        structs = ", ".join(
+            f"struct({part} AS part, {', '.join(f'_g{start + j} AS {name}' for j, name in enumerate(pull_columns(d)))}, "
+            f"{', '.join(f'_{name}{m} AS {name}' for name in ('sq_error', 'held_error', 'held_rows', 'rows'))})"
+            for part, m, _, start, _ in stretches(models, d)
+        )
+        return summed.select("side", "id", F.expr(f"inline(array({structs}))"))
+    structs = ", ".join(
+        f"struct({part} AS part, 2D * delta[{m}] * weight AS push, slice(other, {start + 1}, {n}) AS other, "
+        f"{f'delta[{m}]' if c == 0 else 'CAST(NULL AS DOUBLE)'} AS error, {f'held[{m}]' if c == 0 else 'CAST(NULL AS DOUBLE)'} AS held)"
+        for part, m, c, start, n in stretches(models, d)
+    )
+    pieces = pulls.select("side", "id", "weight", F.expr(f"inline(array({structs}))"))
+    return pieces.select(
+        "side", "id", "part", *[F.expr(f"push * get(other, {j})").alias(name) for j, name in enumerate(pull_columns(d))],
+        F.expr("error * error * weight").alias("sq_error"),
+        F.expr("held * held * weight").alias("held_error"),
+        F.expr("CAST(IF(held IS NULL, 0, weight) AS BIGINT)").alias("held_rows"),
+        F.expr("CAST(IF(error IS NULL, 0, weight) AS BIGINT)").alias("rows"),
+    )
+
+
 def strength_of_sides(lam: float, mu: float) -> str:
     return f"IF(side = {USER}, {float(lam)!r}D, {float(mu)!r}D)"
 

@@ -91,7 +91,9 @@ class _Ratings:
         return table
 
     def step(self, profiles: DataFrame, models: list[int], gammas: list[float], lam: float, mu: float, d: int) -> DataFrame:
-        return step_models(self.with_profiles(profiles), models, gammas, lam, mu, d)
+        # with everything broadcast there is little to exchange
+        own = None if self.broadcast_only else profiles
+        return step_models(self.with_profiles(profiles), models, gammas, lam, mu, d, own)
 
     def release(self) -> None:
         self.table.unpersist()

@@ -319,3 +319,22 @@ def test_saved_model(spark, tmp_path):
     again = FactorModel.load(spark, path)
     assert vectors(again.users) == vectors(model.users)
     assert vectors(again.items) == vectors(model.items)
+
+
+def test_partial_sums_without_own_vectors_step_alike(spark):
+    """With the profiles given, tasks exchange pulls only; ids without a profile and rows without an id included."""
+    rows = [(u, i, (u * i) % 5 + 0.5, (u + i) % 3, 1 + u % 2) for u in range(6) for i in range(7)]
+    rows += [(None, 3, 2.0, 0, 1), (77, 2, 1.0, 1, 1), (1, 88, 1.0, 2, 1)]
+    ratings = spark.createDataFrame(rows, "user_id bigint, item_id bigint, rating double, fold int, weight bigint")
+    for models, d in (([0, 1, 2], 3), ([0], 25)):
+        known = [(side, i, [0.1 * ((side * 7 + i * 3 + k) % 9) for k in range(d * len(models))]) for side in (0, 1) for i in range(7)]
+        profiles = spark.createDataFrame([*known, (0, None, known[0][2])], "side int, id bigint, factors array<double>")
+        u, v = (profiles.where(f"side = {s}").selectExpr(f"id AS {key}", f"factors AS {name}") for s, key, name in ((0, "user_id", "u"), (1, "item_id", "v")))
+        joined = ratings.join(u, "user_id", "left").join(v, "item_id", "left")
+        steps = [step_models(joined, models, [0.01] * len(models), 0.5, 0.7, d, own) for own in (None, profiles)]
+        plain, summed = ({(r["side"], r["id"]): r for r in step.collect()} for step in steps)
+        assert plain.keys() == summed.keys()
+        for key, row in plain.items():
+            assert summed[key]["factors"] == pytest.approx(row["factors"])
+            for a, b in zip(summed[key]["parts"], row["parts"], strict=True):
+                assert [x or 0 for x in a] == pytest.approx([x or 0 for x in b])
