@@ -198,7 +198,7 @@ def pairwise_cosine(spark, sf):
     docs = _documents(spark, sf)
     a = docs.select(F.col("doc_id").alias("doc_a"), (F.col("doc_id") + 1).alias("doc_b"))
     pairs = a.join(docs.select(F.col("doc_id").alias("doc_b")), "doc_b")
-    return _rounded(compare_documents(score_corpus(docs), pairs), 6, "cosine")
+    return _rounded(compare_documents(score_corpus(docs, numbered=True), pairs), 6, "cosine")
 
 
 # ---------------------------------------------------------------- factorization

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termfit.plans.joins import fits_broadcast, hot_keys, measured_bytes, salted_join
-from termfit.session import durable
+from termfit.session import durable, stored
 
 # The functions below run in Python workers, which need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -67,8 +67,8 @@ def packed_vectors(scores: DataFrame) -> DataFrame:
 
     No shuffle is needed for that, and a document of any size becomes rows of bounded size.
     """
-    kind = scores.schema["_doc"].dataType.simpleString()
-    return scores.where("_doc IS NOT NULL").mapInArrow(_pack, f"_doc {kind}, _terms array<string>, _values array<double>")
+    kind, term = (scores.schema[c].dataType.simpleString() for c in ("_doc", "term"))
+    return scores.where("_doc IS NOT NULL").mapInArrow(_pack, f"_doc {kind}, _terms array<{term}>, _values array<double>")
 
 
 def pairwise_cosine(
@@ -100,13 +100,14 @@ def pairwise_cosine(
             )
         ),
     )
-    scores = scores.select(F.col(doc).alias("_doc"), F.col("term").cast("string").alias("term"), F.col(value).cast("double").alias("_value"))
+    kind = "bigint" if dict(scores.dtypes)["term"] == "bigint" else "string"
+    scores = scores.select(F.col(doc).alias("_doc"), F.col("term").cast(kind).alias("term"), F.col(value).cast("double").alias("_value"))
     if small:
         # only what some pair asks for is packed
         asked = scores.join(F.broadcast(requests.select("_doc")), "_doc", "left_semi")
         matched = packed_vectors(asked).join(F.broadcast(requests), "_doc")
     else:
-        packed = durable(packed_vectors(scores))  # counted and joined
+        packed = stored(packed_vectors(scores), "packed")  # counted and joined
         matched = salted_join(
             requests,
             packed,
@@ -121,7 +122,7 @@ def pairwise_cosine(
         left,
         right,
         nothing.cast("string").alias("_side"),
-        F.array(nothing.cast("string")).alias("_terms"),
+        F.array(nothing.cast(kind)).alias("_terms"),
         F.array(nothing.cast("double")).alias("_values"),
     )
     # dealt by pair while packed; both aggregations fit that

@@ -2,31 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termfit.operators.similarity import pairwise_cosine
-from termfit.operators.text import (
-    document_term_frequency,
-    inverse_document_frequency,
-    tfidf_value,
-)
-from termfit.plans.joins import lookup
-from termfit.session import durable
+from termfit.operators.text import document_term_frequency, tfidf_value
+from termfit.plans.joins import lookup_frequent
+from termfit.session import durable, stored
 
 
-def score_corpus(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
+def score_corpus(docs: DataFrame, text: str = "text", doc: str = "doc_id", numbered: bool = False) -> DataFrame:
     """(doc, term, tfidf) for a table with one whole document per row.
 
-    The vocabulary is computed once and kept. When it fits, it is broadcast and the
-    documents are scored as they are scanned, without any shuffle of their terms.
-    Otherwise the join is shuffled, and the document counts tell which terms to split.
+    The texts are read once: their terms are counted inside the row and stored, and the vocabulary is computed from that. It is
+    broadcast as far as it fits, the most frequent terms first, so that their scores stay with the document; only the rows
+    of the other terms are shuffled. With ``numbered``, ``term`` is a BIGINT that stands for the term inside this result, which is all that
+    comparing documents needs.
     """
-    idf = durable(inverse_document_frequency(docs, text))
-    tf = document_term_frequency(docs, text, [doc])
-    counts = idf.select("term", F.col("df").alias("count"))
-    scored = lookup(tf, idf.select("term", "idf"), "term", by=[doc], counts=counts)
-    return scored.select(doc, "term", tfidf_value())
+    n = docs.agg(F.count(F.lit(1))).scalar().cast("double")
+    tf = stored(document_term_frequency(docs, text, [doc]), "counts")
+    return _scored(tf, n, doc, numbered)
+
+
+def _scored(tf: DataFrame, n: Column, doc: str, numbered: bool = False) -> DataFrame:
+    """(doc, term, tfidf) from stored (doc, term, tf) of ``n`` documents."""
+    number = [F.monotonically_increasing_id().alias("_number")] if numbered else []
+    idf = durable(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", "df", F.log(n / F.col("df")).alias("idf"), *number))
+    scored = lookup_frequent(tf, idf, "term", "df", by=[doc])
+    return scored.select(doc, F.col("_number").alias("term") if numbered else "term", tfidf_value())
 
 
 def score_parts(parts: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
@@ -37,11 +40,7 @@ def score_parts(parts: DataFrame, text: str = "text", doc: str = "doc_id") -> Da
     """
     counted = durable(document_term_frequency(parts, text, [doc], all_rows=True).groupBy(doc, "term").agg(F.sum("tf").alias("tf")))
     n = counted.select(doc).distinct().agg(F.count(F.lit(1))).scalar().cast("double")
-    tf = counted.where("term IS NOT NULL")
-    idf = durable(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", "df", F.log(n / F.col("df")).alias("idf")))
-    counts = idf.select("term", F.col("df").alias("count"))
-    scored = lookup(tf, idf.select("term", "idf"), "term", by=[doc], counts=counts)
-    return scored.select(doc, "term", tfidf_value())
+    return _scored(counted.where("term IS NOT NULL"), n, doc)
 
 
 def compare_documents(

@@ -13,7 +13,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termfit.session import durable
@@ -22,15 +22,20 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 SHARES = 1000
 
 
-def measured_bytes(table: DataFrame) -> int:
-    """Rough in-memory size of a stored or otherwise cheap table, from its rows."""
+def _width(table: DataFrame) -> Column:
+    """Rough in-memory size of a row."""
     widths = [F.lit(32 + 16 * len(table.columns))]
     for name, kind in table.dtypes:
         if kind in ("string", "binary"):
             widths.append(F.coalesce(F.octet_length(name), F.lit(0)))
         elif kind == "array<double>":
             widths.append(F.coalesce(8 * F.array_size(name), F.lit(0)))
-    return table.agg(F.coalesce(F.sum(reduce(add, widths).cast("bigint")), F.lit(0))).first()[0]
+    return reduce(add, widths).cast("bigint")
+
+
+def measured_bytes(table: DataFrame) -> int:
+    """Rough in-memory size of a stored or otherwise cheap table, from its rows."""
+    return table.agg(F.coalesce(F.sum(_width(table)), F.lit(0))).first()[0]
 
 
 def fits_broadcast(size: int) -> bool:
@@ -120,3 +125,29 @@ def lookup(
         counts = facts.where(F.col(key).isNotNull()).groupBy(key).count()
     hot = durable(hot_keys(counts, key))
     return salted_join(facts, table, key, hot_left=hot, left_by=by, how=how)
+
+
+def lookup_frequent(facts: DataFrame, table: DataFrame, key: str, count: str, *, by: list[str]) -> DataFrame:
+    """``lookup`` for stored facts and a table that tells in ``count`` how many of their rows hold a key; that column is dropped.
+
+    The most frequent keys that fit a broadcast together meet their rows in place, and only the rows of the other keys are shuffled.
+    The facts are read twice for that.
+    """
+    values = table.drop(count)
+    # four classes to an octave; up to 11 rows each hold one number
+    classes = table.groupBy(F.floor(4 * F.log2(count)).alias("_class")).agg(F.min(count).alias("least"), F.sum(_width(values)).alias("bytes"))
+    least, size = None, 0
+    for row in sorted(classes.where("_class IS NOT NULL").collect(), key=lambda r: -r["least"]):
+        size += row["bytes"]
+        if not fits_broadcast(size):
+            break
+        least = row["least"]
+    else:
+        return lookup(facts, values, key, by=by)
+    if least is None:
+        return lookup(facts, values, key, by=by, counts=table.select(key, F.col(count).alias("count")))
+    frequent = table.where(F.col(count) >= least).drop(count)
+    others = table.where(F.col(count) < least)
+    hot = durable(hot_keys(others.select(key, F.col(count).alias("count")), key))
+    left = facts.where(F.col(key).isNotNull()).join(F.broadcast(frequent.select(key)), key, "left_anti")
+    return facts.join(F.broadcast(frequent), key).unionByName(salted_join(left, others.drop(count), key, hot_left=hot, left_by=by))

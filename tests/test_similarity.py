@@ -111,3 +111,31 @@ def test_hot_documents_equal_brute_force(spark, shuffled_joins, monkeypatch):
         norms = [math.sqrt(sum(v * v for v in vectors[d].values())) for d in (a, b)]
         assert value == pytest.approx(dot / (norms[0] * norms[1]))
         assert -1e-12 <= value <= 1 + 1e-12
+
+
+def test_frequent_terms_stay_with_their_document(spark, monkeypatch):
+    """A vocabulary beyond the broadcast limit is divided: only rows of its rare terms leave their document."""
+    from termfit.plans import joins
+
+    docs = [(d, " ".join(f"{'abcdefghij'[t]}x" * (1 + (d + t) % 3) for t in range(10)) + f" {'klmnopqrst'[d % 10] * (d + 1)}") for d in range(30)]
+    docs += [(None, "ax kk"), (40, None), (41, "")]
+    table = spark.createDataFrame(docs, "doc_id int, text string").coalesce(1)
+    pairs = spark.createDataFrame([(d, d + 1) for d in range(30)] + [(3, 3), (0, 40)], "doc_a int, doc_b int")
+
+    def found(**how):
+        scores = score_corpus(table, **how)
+        rows = compare_documents(scores, pairs).collect()
+        return scores, {(r["doc_a"], r["doc_b"]): None if r["cosine"] is None else round(r["cosine"], 9) for r in rows}
+
+    whole, wanted = found()
+    assert len(wanted) == 32 and wanted[3, 3] == 1 and wanted[0, 40] is None
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 20 * (32 + 16 * 2 + 40))
+    divided, cosines = found()
+    assert cosines == wanted
+    assert sorted(divided.collect(), key=str) == sorted(whole.collect(), key=str)
+    assert "LeftAnti" in divided._jdf.queryExecution().executedPlan().toString()
+    packed = packed_vectors(divided.selectExpr("doc_id AS _doc", "term", "tfidf AS _value")).where("size(_terms) >= 9")
+    assert packed.count() >= 28  # not a row per term
+    assert found(numbered=True)[1] == wanted
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
+    assert found()[1] == found(numbered=True)[1] == wanted
