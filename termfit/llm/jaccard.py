@@ -24,7 +24,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from termfit.llm.words import lists, mix, salted, shingle_sets, slices
@@ -35,6 +35,8 @@ from termfit.session import discard, scratch_path
 SHARED = 0.2
 #: Spare segments in proportion to the needed ones.
 SPARE = 0.15
+#: Members of a group that are compared with one another by their parities; larger groups go by their differences.
+SMALL = 64
 
 
 @dataclass(frozen=True)
@@ -99,6 +101,9 @@ def _signatures(row: np.ndarray, key: np.ndarray, rows: int, scheme: Scheme) ->
     differs from any partner by at most H(n), so it may leave out s + w - 1 - H(n) exact
     segments. All sets leave out those with the fewest elements (ties: by signature). Of
     more than that many agreed segments, the last in this order is left out by neither set.
+
+    Part of that weight serves to leave out the signature of an empty wide segment, which unrelated sets share: a set may
+    spend ``own`` on it, 2 for an empty segment and 1 for one whose single element is deleted. Two sets lose 2 * own at most.
     """
     t, edges = scheme.threshold, scheme.edges
     n = np.bincount(row, minlength=rows).astype(np.int64)
@@ -121,8 +126,8 @@ def _signatures(row: np.ndarray, key: np.ndarray, rows: int, scheme: Scheme) ->
         total = int(m.sum())
         if not total:
             continue
-        own = used[row]
-        r, k = row[own], key[own]
+        mine = used[row]
+        r, k = row[mine], key[mine]
         cell = base[r] + ((salted(k, 11) >> np.uint64(33)).astype(np.int64) + band[r] * 7919) % m[r]
         element = salted(k, 12)
         sums = np.zeros(total, np.uint64)
@@ -133,17 +138,24 @@ def _signatures(row: np.ndarray, key: np.ndarray, rows: int, scheme: Scheme) ->
         wide = index < wides[band[owner]]
         place = salted((band[owner].astype(np.uint64) << np.uint64(32)) | index.astype(np.uint64), 13)
         signature = mix(sums ^ place ^ size.astype(np.uint64))
-        left_out = np.maximum(0, segments[band] + wides[band] - 1 - allowed)
+        spare = np.maximum(0, segments[band] + wides[band] - 1 - allowed)
+        price = np.where(wide & (size < 2), 2 - size, 0)
+        spent = np.cumsum(price)
+        spent -= np.where(base > 0, spent[base - 1], 0)[owner]
+        own = np.where(wides[band] > 0, spare * 3 // 8, 0)
+        bare = wide & (size < 2) & (spent <= own[owner])
+        left_out = spare - 2 * own
         exact = np.flatnonzero(~wide)
         order = exact[np.lexsort((signature[exact], size[exact], owner[exact]))]
         per_row = np.bincount(owner[order], minlength=rows)
         rank = np.arange(len(order)) - (np.cumsum(per_row) - per_row)[owner[order]]
         stays = order[rank >= left_out[owner[order]]]
-        deleted = wide[cell]
+        deleted = wide[cell] & ~bare[cell]
         c = cell[deleted]
         neighbours = mix((sums[c] - element[deleted]) ^ place[c] ^ (size[c] - 1).astype(np.uint64))
-        found_row += [owner[stays], owner[wide], owner[c]]
-        found += [signature[stays], signature[wide], neighbours]
+        whole = wide & ~(bare & (size == 0))
+        found_row += [owner[stays], owner[whole], owner[c]]
+        found += [signature[stays], signature[whole], neighbours]
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     row, signature = np.concatenate(found_row), np.concatenate(found)
@@ -163,13 +175,44 @@ def _class_keys(row: np.ndarray, key: np.ndarray, rows: int) -> tuple[np.ndarray
     return n, sums, node.view(np.int64)
 
 
+def _sketches(row: np.ndarray, key: np.ndarray, rows: int) -> pa.Array:
+    """A set's parities: bit i tells whether an odd number of its elements hash to i. The number of bits is the power of two from its size on, 64 at least.
+
+    Two sets of one length differ in as many elements as their parities differ in bits, or more.
+    """
+    n = np.bincount(row, minlength=rows)
+    bits = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+    base = np.cumsum(bits) - bits
+    at = base[row] + (salted(key, 21) >> np.uint64(20)).astype(np.int64) % bits[row]
+    odd = (np.bincount(at, minlength=int(bits.sum())) & 1).astype(np.uint8)
+    words = np.packbits(odd, bitorder="little").view("<i8").astype(np.int64)
+    return lists(np.repeat(np.arange(rows), bits // 64), words, rows)
+
+
+def _within(t: Fraction) -> Column:
+    """False for pairs (n_x, sketch_x, n_y, sketch_y) that are not similar by their sizes or parities."""
+    # the longer parities are folded to the length of the others
+    folded = "zip_with(slice({0}, 1, size({0}) DIV 2), slice({0}, size({0}) DIV 2 + 1, size({0}) DIV 2), (p, q) -> p ^ q)"
+    x, y = (f"CASE WHEN size({a}) > size({b}) THEN {folded.format(a)} ELSE {a} END" for a, b in (("sketch_x", "sketch_y"), ("sketch_y", "sketch_x")))
+    apart = F.expr(f"aggregate(zip_with({x}, {y}, (p, q) -> bit_count(p ^ q)), 0, (s, v) -> s + coalesce(v, 0))")
+    sizes = F.least("n_x", "n_y") * t.denominator >= F.greatest("n_x", "n_y") * t.numerator
+    return sizes & (apart * (t.denominator + t.numerator) <= (F.col("n_x") + F.col("n_y")) * (t.denominator - t.numerator))
+
+
+def _likely(pairs: DataFrame, sketches: DataFrame, t: Fraction) -> DataFrame:
+    """The pairs (a, b) that ``_within`` does not rule out."""
+    x, y = (sketches.select(F.col("node").alias(end), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")) for end, side in (("a", "x"), ("b", "y")))
+    return pairs.join(y, "b").join(x, "a").where(_within(t)).select("a", "b")
+
+
 def _summaries(shingle_size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
-                n, sums, node = _class_keys(*shingle_sets(batch.column("text"), shingle_size), batch.num_rows)
-                columns = [batch.column("doc_id"), *map(pa.array, (n, sums[0].view(np.int64), sums[1].view(np.int64), node))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "a", "b", "node"])
+                row, key = shingle_sets(batch.column("text"), shingle_size)
+                n, sums, node = _class_keys(row, key, batch.num_rows)
+                columns = [batch.column("doc_id"), *map(pa.array, (n, sums[0].view(np.int64), sums[1].view(np.int64), node)), _sketches(row, key, batch.num_rows)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "a", "b", "node", "sketch"])
 
     return run
 
@@ -275,7 +318,7 @@ def _grouped(docs: DataFrame, shingle_size: int, threshold: Fraction) -> tuple[D
     """
     stored = _Scratch(docs.sparkSession)
     summaries = stored(
-        docs.mapInArrow(_summaries(shingle_size), "doc_id bigint, n_shingles bigint, a bigint, b bigint, node bigint"), "summaries"
+        docs.mapInArrow(_summaries(shingle_size), "doc_id bigint, n_shingles bigint, a bigint, b bigint, node bigint, sketch array<bigint>"), "summaries"
     )
     filled = summaries.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stored(filled.groupBy("node", "n_shingles", "a", "b").agg(F.min("doc_id").alias("representative")), "classes")
@@ -292,23 +335,27 @@ def _grouped(docs: DataFrame, shingle_size: int, threshold: Fraction) -> tuple[D
     stars = stored(members.select("first", "node").distinct(), "stars")
 
     ids = stars.select("node").union(stars.select("first")).distinct()
-    wanted = classes.join(ids, "node").select("node", F.col("representative").alias("doc_id"))
-    sets = docs.join(wanted, "doc_id").select("node", "text").mapInArrow(_sets(shingle_size), "node bigint, shingles array<bigint>")
-    sets = stored(sets.dropDuplicates(["node"]), "sets")
-    links = stored(verify(stars.select(F.col("first").alias("a"), F.col("node").alias("b")), sets, threshold), "found")
+    sketches = filled.select("node", "n_shingles", "sketch").join(ids, "node", "left_semi").dropDuplicates(["node"])
+    sketches = stored(sketches, "sketches")
+    likely = stored(_likely(stars.select(F.col("first").alias("a"), F.col("node").alias("b")), sketches, threshold), "likely")
+    links = _verified(docs, classes, likely, shingle_size, threshold, stored)
     labels = components(links, stored)
     # A group is what was compared with one set. It is active while it holds different components.
     group = stars.join(labels.withColumnRenamed("id", "node"), "node", "left")
     group = group.select("first", "node", F.coalesce("component", "node").alias("component"))
-    mixed = group.groupBy("first").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    active = stored(group.join(mixed.where("lo <> hi").select("first"), "first"), "active")
+    mixed = group.groupBy("first").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members"))
+    active = stored(group.join(mixed.where("lo <> hi").select("first", "members"), "first"), "active")
     stored.drop(stars)
     if active.limit(1).count():
-        pairs = stored(_by_difference(active, sets, threshold, stored), "pairs")
-        links = links.union(stored(verify(pairs, sets, threshold), "found"))
+        pairs = stored(_inside(active.where(F.col("members") <= SMALL), sketches, threshold), "pairs")
+        large = active.where(F.col("members") > SMALL).drop("members")
+        if large.limit(1).count():
+            sets = stored(_wanted_sets(docs, classes, large.select("node").union(large.select("first")).distinct(), shingle_size), "sets")
+            pairs = pairs.union(stored(_likely(_by_difference(large, sets, threshold, stored), sketches, threshold), "pairs")).distinct()
+            stored.drop(sets)
+        links = links.union(_verified(docs, classes, pairs, shingle_size, threshold, stored))
         labels = components(links, stored)
-        stored.drop(pairs)
-    stored.drop(active, sets)
+    stored.drop(active, sketches)
 
     named = classes.join(labels.withColumnRenamed("id", "node"), "node", "left")
     named = named.select("node", "representative", F.coalesce("component", "node").alias("component"))
@@ -320,6 +367,30 @@ def _grouped(docs: DataFrame, shingle_size: int, threshold: Fraction) -> tuple[D
     return summaries, named, spanning
 
 
+def _wanted_sets(docs: DataFrame, classes: DataFrame, ids: DataFrame, shingle_size: int) -> DataFrame:
+    """(node, shingles) of the nodes given."""
+    wanted = classes.join(ids, "node").select("node", F.col("representative").alias("doc_id"))
+    sets = docs.join(wanted, "doc_id").select("node", "text").mapInArrow(_sets(shingle_size), "node bigint, shingles array<bigint>")
+    return sets.dropDuplicates(["node"])
+
+
+def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle_size: int, threshold: Fraction, stored: _Scratch) -> DataFrame:
+    """The stored pairs that are similar. Only their sets are read."""
+    ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = stored(_wanted_sets(docs, classes, ids, shingle_size), "sets")
+    found = stored(verify(pairs, sets, threshold), "found")
+    stored.drop(pairs, sets)
+    return found
+
+
+def _inside(active: DataFrame, sketches: DataFrame, t: Fraction) -> DataFrame:
+    """Pairs (a, b) of different components inside small groups (first, node, component) that ``_within`` does not rule out."""
+    held = active.join(sketches, "node").select("first", "node", "component", "n_shingles", "sketch")
+    x, y = (held.select("first", *(F.col(c).alias(f"{to}_{side}") for c, to in zip(held.columns[1:], ("node", "component", "n", "sketch"), strict=True))) for side in "xy")
+    met = x.join(y, "first").where("node_x < node_y AND component_x <> component_y").where(_within(t))
+    return met.select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
+
+
 def _plain(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
 

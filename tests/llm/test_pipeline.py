@@ -127,3 +127,28 @@ def test_run(spark, tmp_path):
     assert found.columns == ["doc_id", "n_tokens", "ids"]
     assert counted(found) == collections.Counter(rows)
     assert [i for i, *_ in rows].count(10) == 2 and {1, 4, 12, 13, 16} <= {i for i, *_ in rows}
+
+
+def test_only_likely_near_duplicates_are_verified(spark, monkeypatch):
+    """Sets travel whole only for pairs whose sizes and parities do not tell them apart; nothing similar is ruled out."""
+    from termfit.llm import jaccard
+
+    seen, verify = [], jaccard.verify
+    monkeypatch.setattr(jaccard, "verify", lambda pairs, sets, t: seen.append(pairs.count()) or verify(pairs, sets, t))
+    rows = []
+    for i in range(0, 300, 3):
+        first = text(i, 300)
+        rows += [(i, first), (i + 1, changed(first, 150)), (i + 2, text(i + 1, 60 + i))]
+    rnd = random.Random(5)
+    for i in range(300, 340):  # around the threshold
+        parts = text(0, 300).split(" ")
+        for at in rnd.sample(range(300), rnd.randint(3, 9)):
+            parts[at] = f"w{i}"
+        rows.append((i, " ".join(parts)))
+    full = [(i, t, "en", "s", len(t)) for i, t in rows]
+    wanted = sorted(r[0] for r in after_near_duplicates(full))
+    docs = frame(spark, full, SCHEMA)
+    assert sorted(r["doc_id"] for r in jaccard.first_of_groups(docs).collect()) == wanted
+    assert sum(seen) < 500
+    monkeypatch.setattr(jaccard, "SMALL", 1)  # all groups by their differences
+    assert sorted(r["doc_id"] for r in jaccard.first_of_groups(docs).collect()) == wanted
