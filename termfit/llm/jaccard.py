@@ -9,10 +9,10 @@ selective segments as far as the spare ones allow (see ``_signatures``). Sets th
 a signature are candidates and are verified on their whole shingle sets.
 
 Equal sets are one node of the join: a class, named by a 64-bit hash of its size and two 64-bit sums over
-its shingles. Signatures are dealt out once. The members of a bucket are compared with one of them only. What was
-compared with one document and is then in different components is compared further only where two
-members share rare differences from that document (see ``_by_difference``): no bucket is expanded
-into its pairs, and no link is lost that would join two components.
+its shingles. Signatures are dealt out once, packed (see ``_dealt``). The members of a bucket are compared with one of them only. What was
+compared with one document and is then in different components is compared by parities, block by block, and in very
+large groups only where two members share rare differences from that document (see ``_by_difference``): no bucket is
+expanded into its pairs, and no link is lost that would join two components.
 """
 
 from __future__ import annotations
@@ -24,9 +24,11 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termfit.llm.exchange import pack_keys, unpack_keys
 from termfit.llm.words import lists, mix, salted, shingle_sets, slices
 from termfit.plans.joins import lookup
 from termfit.session import discard, scratch_path
@@ -35,8 +37,17 @@ from termfit.session import discard, scratch_path
 SHARED = 0.2
 #: Spare segments in proportion to the needed ones.
 SPARE = 0.15
-#: Members of a group that are compared with one another by their parities; larger groups go by their differences.
+#: Members of a group that are compared with one another by their parities in a join.
 SMALL = 64
+#: Members of a group whose parities are compared block by block; larger groups go by their differences.
+LARGE = 1 << 16
+#: Members of such a block, and the likely partners that one of them names at first.
+BLOCK = 4096
+PARTNERS = 16
+#: Bits of a signature that are dealt out (more unequal ones meet with fewer bits), and of a place in a slice.
+BUCKET_BITS, PLACE_BITS = 48, 16
+#: Shingles for which there is one range of buckets.
+RANGE = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -217,25 +228,87 @@ def _summaries(shingle_size: int):
     return run
 
 
-def _signed(shingle_size: int, scheme: Scheme):
-    """(node, signatures), once for every different set of a slice."""
+def _places(block: np.ndarray | int, at: np.ndarray) -> np.ndarray:
+    """The 64-bit names of the different sets of slices."""
+    return mix(np.asarray(block, np.int64).view(np.uint64) + salted(at.astype(np.uint64), 31)).view(np.int64)
+
+
+def _dealt(shingle_size: int, scheme: Scheme, ranges: int):
+    """Slices as rows (range, block, packed): the signatures of the slice's different sets, and under a negative range their nodes.
+
+    A signature takes 64 bits with the place of its set in the slice. They are packed as ascending numbers, some 6 bytes each; the block
+    is a hash of the nodes, so that it names the same sets whichever task computes them.
+    """
+    cuts = np.array([-(-(i << BUCKET_BITS) // ranges) << PLACE_BITS for i in range(ranges)], np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole):
-                row, key = shingle_sets(batch.column("text"), shingle_size)
-                _, _, node = _class_keys(row, key, batch.num_rows)
-                nodes, first = np.unique(node, return_index=True)
-                number = np.full(batch.num_rows, -1)
-                number[np.sort(first)] = np.arange(len(first))
-                row, key = number[row], key[number[row] >= 0]
-                row, signature = _signatures(row[row >= 0], key, len(nodes), scheme)
-                column = lists(row, signature.view(np.int64), len(nodes))
-                yield pa.RecordBatch.from_arrays([pa.array(node[np.sort(first)]), column], ["node", "signatures"])
+            for part in slices(whole):
+                for low in range(0, part.num_rows, 1 << PLACE_BITS):
+                    batch = part.slice(low, 1 << PLACE_BITS)
+                    row, key = shingle_sets(batch.column("text"), shingle_size)
+                    _, _, node = _class_keys(row, key, batch.num_rows)
+                    first = np.sort(np.unique(node, return_index=True)[1])
+                    number = np.full(batch.num_rows, -1)
+                    number[first] = np.arange(len(first))
+                    row, key = number[row], key[number[row] >= 0]
+                    row, signature = _signatures(row[row >= 0], key, len(first), scheme)
+                    entries = np.unique((signature >> np.uint64(64 - BUCKET_BITS)) << np.uint64(PLACE_BITS) | row.astype(np.uint64))
+                    nodes = node[first]
+                    block = int(mix(np.uint64(len(nodes)) + salted(nodes.view(np.uint64) + salted(np.arange(len(nodes), dtype=np.uint64), 32), 33).sum(keepdims=True)).view(np.int64)[0])
+                    at = np.append(np.searchsorted(entries, cuts), len(entries))
+                    held = np.flatnonzero(at[:-1] < at[1:])
+                    packed = [pack_keys(entries[at[i] : at[i + 1]]) for i in held]
+                    columns = [pa.array([*held.tolist(), -1 - block % ranges], pa.int32()), pa.array([block] * (len(held) + 1), pa.int64()), pa.array([*packed, nodes.tobytes()], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["range", "block", "packed"])
 
     return run
 
 
+def _met(dealt: pa.Table) -> pa.Table:
+    """Of a range of buckets (first, place): a bucket's members, each beside the first of them. Of nodes (null, place, node)."""
+    dealt = dealt.sort_by("block")
+    blocks = dealt.column("block").to_numpy()
+    packed = dealt.column("packed").to_pylist()
+    if dealt.column("range")[0].as_py() < 0:
+        nodes = [np.frombuffer(p, np.int64) for p in packed]
+        places = [_places(block, np.arange(len(n))) for block, n in zip(blocks, nodes, strict=True)]
+        place = np.concatenate(places)
+        return pa.table({"first": pa.nulls(len(place), pa.int64()), "place": place, "node": np.concatenate(nodes)})
+    entries = [unpack_keys(p) for p in packed]
+    rank = np.repeat(np.arange(len(entries)), [len(e) for e in entries])
+    entries = np.concatenate(entries)
+    order = np.argsort(entries >> np.uint64(PLACE_BITS), kind="stable")
+    bucket = entries[order] >> np.uint64(PLACE_BITS)
+    who = rank[order] << PLACE_BITS | (entries[order] & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+    new = np.ones(len(bucket), bool)
+    new[1:] = bucket[1:] != bucket[:-1]
+    rest = np.flatnonzero(~new)
+    first, member = who[np.maximum.accumulate(np.where(new, np.arange(len(who)), 0))[rest]], who[rest]
+    order = np.lexsort((member, first))
+    first, member = first[order], member[order]
+    other = np.ones(len(first), bool)
+    other[1:] = (first[1:] != first[:-1]) | (member[1:] != member[:-1])
+    ends = [_places(blocks[w >> PLACE_BITS], w & ((1 << PLACE_BITS) - 1)) for w in (first[other], member[other])]
+    return pa.table({"first": ends[0], "place": ends[1], "node": pa.nulls(len(ends[0]), pa.int64())})
+
+
+def _stars(docs: DataFrame, shingle_size: int, scheme: Scheme, shingles: int, stored: _Scratch) -> DataFrame:
+    """(first, node): the members of each bucket beside one of them. ``shingles`` is the number in all different sets."""
+    ranges = max(1, -(-shingles // RANGE))
+    dealt = docs.where("doc_id IS NOT NULL").mapInArrow(_dealt(shingle_size, scheme, ranges), "range int, block bigint, packed binary")
+    met = stored(dealt.groupBy("range").applyInArrow(_met, "first bigint, place bigint, node bigint"), "met")
+    places = met.where("first IS NULL").groupBy("place").agg(F.min("node").alias("node"), F.max("node").alias("other"))
+    places = stored(places, "places")
+    if places.where("node <> other").limit(1).count():
+        raise RuntimeError("two different places have the same 64-bit name")
+    firsts = places.select(F.col("place").alias("first"), F.col("node").alias("first_node"))
+    found = met.where("first IS NOT NULL").select("first", "place").join(firsts, "first").join(places.select("place", "node"), "place")
+    stars = stored(found.where("first_node <> node").select(F.col("first_node").alias("first"), "node").distinct(), "stars")
+    stored.drop(met, places)
+    return stars
+
+
 def _sets(shingle_size: int):
     """The sets of the rows whose text has the set of the wanted node."""
 
@@ -324,15 +397,10 @@ def _grouped(docs: DataFrame, shingle_size: int, threshold: Fraction) -> tuple[D
     classes = stored(filled.groupBy("node", "n_shingles", "a", "b").agg(F.min("doc_id").alias("representative")), "classes")
     if classes.select("node").distinct().count() < classes.count():
         raise RuntimeError("two different sets have the same 64-bit name")
-    counted = classes.groupBy(F.floor(F.log2("n_shingles")).cast("int").alias("e")).count().collect()  # size classes
-    scheme = make_scheme({r["e"]: r["count"] for r in counted}, threshold)
-
-    signed = docs.where("doc_id IS NOT NULL").mapInArrow(_signed(shingle_size, scheme), "node bigint, signatures array<bigint>")
-    # Dealt out once: behind the exchange a bucket's members follow one another, and each is put beside the first.
-    index = signed.select("node", F.explode("signatures").alias("signature"))
-    bucket = Window.partitionBy("signature").orderBy("node")
-    members = index.select("node", F.first("node").over(bucket).alias("first")).where("node <> first")
-    stars = stored(members.select("first", "node").distinct(), "stars")
+    by_size = classes.groupBy(F.floor(F.log2("n_shingles")).cast("int").alias("e"))  # size classes
+    counted = by_size.agg(F.count(F.lit(1)).alias("sets"), F.sum("n_shingles").alias("shingles")).collect()
+    scheme = make_scheme({r["e"]: r["sets"] for r in counted}, threshold)
+    stars = _stars(docs, shingle_size, scheme, sum(r["shingles"] for r in counted), stored)
 
     ids = stars.select("node").union(stars.select("first")).distinct()
     sketches = filled.select("node", "n_shingles", "sketch").join(ids, "node", "left_semi").dropDuplicates(["node"])
@@ -341,20 +409,31 @@ def _grouped(docs: DataFrame, shingle_size: int, threshold: Fraction) -> tuple[D
     links = _verified(docs, classes, likely, shingle_size, threshold, stored)
     labels = components(links, stored)
     # A group is what was compared with one set. It is active while it holds different components.
-    group = stars.join(labels.withColumnRenamed("id", "node"), "node", "left")
-    group = group.select("first", "node", F.coalesce("component", "node").alias("component"))
+    group = _labelled(stars, labels)
     mixed = group.groupBy("first").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members"))
     active = stored(group.join(mixed.where("lo <> hi").select("first", "members"), "first"), "active")
     stored.drop(stars)
     if active.limit(1).count():
         pairs = stored(_inside(active.where(F.col("members") <= SMALL), sketches, threshold), "pairs")
-        large = active.where(F.col("members") > SMALL).drop("members")
+        large = active.where(F.col("members") > max(SMALL, LARGE)).drop("members")
         if large.limit(1).count():
-            sets = stored(_wanted_sets(docs, classes, large.select("node").union(large.select("first")).distinct(), shingle_size), "sets")
-            pairs = pairs.union(stored(_likely(_by_difference(large, sets, threshold, stored), sketches, threshold), "pairs")).distinct()
+            sets = _wanted_sets(docs, classes, large.select("node").union(large.select("first")).distinct(), shingle_size, stored)
+            pairs = pairs.union(stored(_likely(_by_difference(large, sets, threshold, stored), sketches, threshold), "pairs"))
             stored.drop(sets)
-        links = links.union(_verified(docs, classes, pairs, shingle_size, threshold, stored))
-        labels = components(links, stored)
+        between = active.where((F.col("members") > SMALL) & (F.col("members") <= LARGE))
+        most = PARTNERS
+        while True:
+            partners = stored(_partners(between, sketches, threshold, most), "partners")
+            met = partners.select("a", "b")
+            asked = stored((met.union(pairs) if most == PARTNERS else met).distinct(), "pairs")
+            links = links.union(_verified(docs, classes, asked, shingle_size, threshold, stored))
+            labels = components(links, stored)
+            more = partners.where("more").limit(1).count()
+            stored.drop(partners)
+            if not more:
+                break
+            # All name more partners, of those that are in other components still.
+            between, most = _labelled(between, labels), 8 * most
     stored.drop(active, sketches)
 
     named = classes.join(labels.withColumnRenamed("id", "node"), "node", "left")
@@ -367,17 +446,25 @@ def _grouped(docs: DataFrame, shingle_size: int, threshold: Fraction) -> tuple[D
     return summaries, named, spanning
 
 
-def _wanted_sets(docs: DataFrame, classes: DataFrame, ids: DataFrame, shingle_size: int) -> DataFrame:
-    """(node, shingles) of the nodes given."""
-    wanted = classes.join(ids, "node").select("node", F.col("representative").alias("doc_id"))
-    sets = docs.join(wanted, "doc_id").select("node", "text").mapInArrow(_sets(shingle_size), "node bigint, shingles array<bigint>")
-    return sets.dropDuplicates(["node"])
+def _labelled(group: DataFrame, labels: DataFrame) -> DataFrame:
+    """Groups (first, node, ...) with the components that ``labels`` gives; a node without links is its own."""
+    named = group.select(*(c for c in group.columns if c != "component")).join(labels.withColumnRenamed("id", "node"), "node", "left")
+    return named.withColumn("component", F.coalesce("component", "node"))
+
+
+def _wanted_sets(docs: DataFrame, classes: DataFrame, ids: DataFrame, shingle_size: int, stored: _Scratch) -> DataFrame:
+    """(node, shingles) of the nodes given, stored. Texts move only where the list of the wanted ones is too large to go to them."""
+    wanted = stored(classes.join(ids, "node").select("node", F.col("representative").alias("doc_id")), "wanted")
+    found = lookup(docs, wanted, "doc_id", by=["text"]).select("node", "text")
+    sets = stored(found.mapInArrow(_sets(shingle_size), "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "sets")
+    stored.drop(wanted)
+    return sets
 
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle_size: int, threshold: Fraction, stored: _Scratch) -> DataFrame:
     """The stored pairs that are similar. Only their sets are read."""
     ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = stored(_wanted_sets(docs, classes, ids, shingle_size), "sets")
+    sets = _wanted_sets(docs, classes, ids, shingle_size, stored)
     found = stored(verify(pairs, sets, threshold), "found")
     stored.drop(pairs, sets)
     return found
@@ -391,6 +478,59 @@ def _inside(active: DataFrame, sketches: DataFrame, t: Fraction) -> DataFrame:
     return met.select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
 
 
+def _close(t: Fraction, most: int):
+    """For the members (part, node, component, n_shingles, sketch) of two parts: pairs (a, b) of ``_within`` and different components.
+
+    A member names ``most`` of them at most, and ``more`` tells whether there were others.
+    """
+    less, whole = t.denominator - t.numerator, t.denominator + t.numerator
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("n_shingles")
+        two = group.column("low")[0].as_py() != group.column("high")[0].as_py()
+        n, node, component, part = (group.column(c).to_numpy() for c in ("n_shingles", "node", "component", "part"))
+        sketch = group.column("sketch").combine_chunks()
+        size = pc.list_value_length(sketch).to_numpy()  # ascends with n
+        values, ends = sketch.flatten().to_numpy().view(np.uint64), np.cumsum(size)
+        last = np.searchsorted(n * t.numerator, n * t.denominator, side="right")
+        lows = np.flatnonzero(np.diff(size, prepend=0))
+        levels = [(lo, hi, values[ends[lo] - size[lo] : ends[hi - 1]].reshape(hi - lo, -1)) for lo, hi in zip(lows, [*lows[1:], len(n)], strict=True)]
+        a, b, more = [], [], []
+        for k, (start, stop, mine) in enumerate(levels):
+            others = []
+            for lo, hi, bits in levels[k:]:
+                while bits.shape[1] > mine.shape[1]:  # the longer parities are folded
+                    bits = bits[:, : bits.shape[1] // 2] ^ bits[:, bits.shape[1] // 2 :]
+                others.append((lo, hi, bits))
+                if last[stop - 1] <= hi:
+                    break
+            for i in range(start, stop):
+                found = []
+                for lo, hi, bits in others:
+                    low, high = max(lo, i + 1), min(hi, last[i])
+                    if low < high:
+                        apart = np.bitwise_count(bits[low - lo : high - lo] ^ mine[i - start]).sum(axis=1, dtype=np.int64)
+                        fits = (apart * whole <= (n[i] + n[low:high]) * less) & (component[low:high] != component[i])
+                        found.append(low + np.flatnonzero(fits & (part[low:high] != part[i]) if two else fits))
+                named = np.concatenate(found)[:most] if found else np.empty(0, np.int64)
+                a.append(np.full(len(named), node[i]))
+                b.append(node[named])
+                more.append(np.full(len(named), sum(map(len, found)) > most))
+        x, y = np.concatenate(a), np.concatenate(b)
+        return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y), "more": np.concatenate(more)})
+
+    return run
+
+
+def _partners(active: DataFrame, sketches: DataFrame, t: Fraction, most: int) -> DataFrame:
+    """(a, b, more) of ``_close`` for groups (first, node, component, members), two parts of BLOCK members at a time."""
+    parts = F.ceil(F.col("members") / BLOCK).cast("int")
+    held = active.join(sketches, "node").withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
+    pairs = held.withColumn("with", F.explode(F.sequence(F.lit(0), parts - 1)))
+    pairs = pairs.select("first", F.least("part", "with").alias("low"), F.greatest("part", "with").alias("high"), "part", "node", "component", "n_shingles", "sketch")
+    return pairs.groupBy("first", "low", "high").applyInArrow(_close(t, most), "a bigint, b bigint, more boolean")
+
+
 def _plain(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
 
