@@ -39,6 +39,8 @@ NEVER = 1 << 60
 #: Pieces whose encodings a task remembers, and their tokens; beyond either the memory starts afresh.
 REMEMBERED = 400_000
 REMEMBERED_TOKENS = 4_000_000
+#: Short words whose tokens a task remembers, as many pieces hold them beside other signs; beyond that this memory starts afresh.
+REMEMBERED_WORDS = 100_000
 
 
 def byte_alphabet() -> list[str]:
@@ -235,6 +237,7 @@ class _Memory:
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
+        self.words: dict[str, list[int]] = {}
         self.tokens = np.empty(0, np.int32)
         self.starts = np.zeros(1, np.int64)
 
@@ -245,10 +248,16 @@ class _Memory:
         fresh = [p for p in pieces if p not in self.index]
         if fresh:
             cuts = [self.pattern.findall(normalized(p)) if p[0] != " " else [p] for p in fresh]
-            words = list(dict.fromkeys(chain.from_iterable(cuts)))
+            if len(self.words) > REMEMBERED_WORDS:
+                self.words = {}
+            made = self.words
+            words = [w for w in dict.fromkeys(chain.from_iterable(cuts)) if w not in made]
             plain = [w for w in words if w[0] != " "]
-            made = dict(zip(plain, self.bpe.encode_words(plain), strict=True)) | {w: [self.bpe.special[w[1:]]] for w in words if w[0] == " "}
-            split = [list(chain.from_iterable(made[w] for w in cut)) for cut in cuts]
+            made.update(zip(plain, self.bpe.encode_words(plain), strict=True))
+            made.update((w, [self.bpe.special[w[1:]]]) for w in words if w[0] == " ")
+            split = [made[cut[0]] if len(cut) == 1 else list(chain.from_iterable([made[w] for w in cut])) for cut in cuts]
+            for w in [w for w in words if len(w) > SHORT]:
+                del made[w]
             self.index.update(zip(fresh, range(len(self.index), len(self.index) + len(fresh)), strict=True))
             sizes = np.fromiter(map(len, split), np.int64, len(split))
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
