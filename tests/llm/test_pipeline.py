@@ -152,3 +152,24 @@ def test_only_likely_near_duplicates_are_verified(spark, monkeypatch):
     assert sum(seen) < 500
     monkeypatch.setattr(jaccard, "SMALL", 1)  # all groups by their differences
     assert sorted(r["doc_id"] for r in jaccard.first_of_groups(docs).collect()) == wanted
+
+
+def test_words_are_encoded_once():
+    """A word that stands in further pieces beside other signs is not encoded anew; long ones are not remembered."""
+    from termfit.llm import bpe
+
+    asked = []
+
+    class Words:
+        special = {"<end>": 9}
+
+        def encode_words(self, given):
+            asked.extend(given)
+            return [list(map(ord, w)) for w in given]
+
+    memory = bpe._Memory(Words())
+    long = "x" * (bpe.SHORT + 1)
+    for pieces in (["word", "one,", long], ["word.", "One", ",", " <end>", long + "!"]):
+        found = memory.lists(memory.places(pieces), [1] * len(pieces)).to_pylist()
+        assert found == [[9] if p[0] == " " else list(map(ord, p.lower())) for p in pieces]
+    assert sorted(asked) == sorted(["word", "one", ",", long, ".", long, "!"])
