@@ -39,8 +39,6 @@ NEVER = 1 << 60
 #: Pieces whose encodings a task remembers, and their tokens; beyond either the memory starts afresh.
 REMEMBERED = 400_000
 REMEMBERED_TOKENS = 4_000_000
-#: Short words whose tokens a task remembers, as many pieces hold them beside other signs; beyond that this memory starts afresh.
-REMEMBERED_WORDS = 100_000
 
 
 def byte_alphabet() -> list[str]:
@@ -83,7 +81,9 @@ class WordBpe:
         self.pair_keys, self.pair_ranks = np.array(pairs)[order], np.array(ranks)[order]
         self.inner = {n: i for n, i in self.vocabulary.items() if not n.endswith(self.end)}
         self.final = {n[: -len(self.end)]: i for n, i in self.vocabulary.items() if n.endswith(self.end)}
-        self.longest = max(map(len, self.inner))
+        self.reach: dict[str, int] = {}  # length of the longest inner token with these two first characters
+        for name in self.inner:
+            self.reach[name[:2]] = max(len(name), self.reach.get(name[:2], 1))
         self.longest_final = max(map(len, self.final))
         self.alphabet = byte_alphabet()
         self.stable: dict[int, bool] = {}
@@ -160,7 +160,7 @@ class WordBpe:
             if whole is not None:
                 tokens.append(whole)
                 return tokens
-            for length in range(min(self.longest, n - at - 1), 0, -1):
+            for length in range(min(self.reach.get(word[at : at + 2], 1), n - at - 1), 0, -1):
                 token = self.inner.get(word[at : at + length])
                 if token is not None:
                     tokens.append(token)
@@ -237,7 +237,6 @@ class _Memory:
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.words: dict[str, list[int]] = {}
         self.tokens = np.empty(0, np.int32)
         self.starts = np.zeros(1, np.int64)
 
@@ -248,16 +247,10 @@ class _Memory:
         fresh = [p for p in pieces if p not in self.index]
         if fresh:
             cuts = [self.pattern.findall(normalized(p)) if p[0] != " " else [p] for p in fresh]
-            if len(self.words) > REMEMBERED_WORDS:
-                self.words = {}
-            made = self.words
-            words = [w for w in dict.fromkeys(chain.from_iterable(cuts)) if w not in made]
+            words = list(dict.fromkeys(chain.from_iterable(cuts)))
             plain = [w for w in words if w[0] != " "]
-            made.update(zip(plain, self.bpe.encode_words(plain), strict=True))
-            made.update((w, [self.bpe.special[w[1:]]]) for w in words if w[0] == " ")
-            split = [made[cut[0]] if len(cut) == 1 else list(chain.from_iterable([made[w] for w in cut])) for cut in cuts]
-            for w in [w for w in words if len(w) > SHORT]:
-                del made[w]
+            made = dict(zip(plain, self.bpe.encode_words(plain), strict=True)) | {w: [self.bpe.special[w[1:]]] for w in words if w[0] == " "}
+            split = [list(chain.from_iterable(made[w] for w in cut)) for cut in cuts]
             self.index.update(zip(fresh, range(len(self.index), len(self.index) + len(fresh)), strict=True))
             sizes = np.fromiter(map(len, split), np.int64, len(split))
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])

@@ -154,22 +154,21 @@ def test_only_likely_near_duplicates_are_verified(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in jaccard.first_of_groups(docs).collect()) == wanted
 
 
-def test_words_are_encoded_once():
-    """A word that stands in further pieces beside other signs is not encoded anew; long ones are not remembered."""
+def test_longest_match_tries_no_longer_tokens_than_there_are():
+    """The longest match is found without asking for lengths that no token with these first characters has."""
     from termfit.llm import bpe
 
-    asked = []
+    class Counted(dict):
+        asked = 0
 
-    class Words:
-        special = {"<end>": 9}
+        def get(self, key, default=None):
+            self.asked += 1
+            return super().get(key, default)
 
-        def encode_words(self, given):
-            asked.extend(given)
-            return [list(map(ord, w)) for w in given]
-
-    memory = bpe._Memory(Words())
-    long = "x" * (bpe.SHORT + 1)
-    for pieces in (["word", "one,", long], ["word.", "One", ",", " <end>", long + "!"]):
-        found = memory.lists(memory.places(pieces), [1] * len(pieces)).to_pylist()
-        assert found == [[9] if p[0] == " " else list(map(ord, p.lower())) for p in pieces]
-    assert sorted(asked) == sorted(["word", "one", ",", long, ".", long, "!"])
+    encoder = bpe.WordBpe.__new__(bpe.WordBpe)
+    encoder.inner = Counted({c: i for i, c in enumerate("abc")} | {"ab": 3, "a" * 20: 4})
+    encoder.final, encoder.longest_final, encoder.longest = {"a": 5, "b": 6, "c": 7, "bc": 8}, 2, 20
+    encoder.reach = {"a": 1, "b": 1, "c": 1, "ab": 2, "aa": 20}
+    assert encoder.propose("cb" * 50 + "abc") == [2, 1] * 50 + [3, 7]
+    assert encoder.inner.asked == 101
+    assert encoder.propose("a" * 20 + "bc") == [4, 8]
