@@ -267,9 +267,9 @@ def _dealt(shingle_size: int, scheme: Scheme, ranges: int):
 
 def _met(dealt: pa.Table) -> pa.Table:
     """Of a range of buckets (first, place): a bucket's members, each beside the first of them. Of nodes (null, place, node)."""
-    dealt = dealt.sort_by("block")
     blocks = dealt.column("block").to_numpy()
-    packed = dealt.column("packed").to_pylist()
+    order = np.argsort(blocks, kind="stable")
+    blocks, packed = blocks[order], (dealt.column("packed")[int(i)].as_py() for i in order)
     if dealt.column("range")[0].as_py() < 0:
         nodes = [np.frombuffer(p, np.int64) for p in packed]
         places = [_places(block, np.arange(len(n))) for block, n in zip(blocks, nodes, strict=True)]
@@ -278,13 +278,18 @@ def _met(dealt: pa.Table) -> pa.Table:
     entries = [unpack_keys(p) for p in packed]
     rank = np.repeat(np.arange(len(entries)), [len(e) for e in entries])
     entries = np.concatenate(entries)
-    order = np.argsort(entries >> np.uint64(PLACE_BITS), kind="stable")
-    bucket = entries[order] >> np.uint64(PLACE_BITS)
-    who = rank[order] << PLACE_BITS | (entries[order] & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+    bucket = entries >> np.uint64(PLACE_BITS)
+    who = entries.view(np.int64)
+    who &= (1 << PLACE_BITS) - 1
+    rank <<= PLACE_BITS
+    who |= rank
+    del rank
+    order = np.argsort(bucket, kind="stable")
+    bucket, who = bucket[order], who[order]
+    del entries, order
     new = np.ones(len(bucket), bool)
     new[1:] = bucket[1:] != bucket[:-1]
-    rest = np.flatnonzero(~new)
-    first, member = who[np.maximum.accumulate(np.where(new, np.arange(len(who)), 0))[rest]], who[rest]
+    first, member = who[new][np.cumsum(new)[~new] - 1], who[~new]
     order = np.lexsort((member, first))
     first, member = first[order], member[order]
     other = np.ones(len(first), bool)
@@ -293,17 +298,51 @@ def _met(dealt: pa.Table) -> pa.Table:
     return pa.table({"first": ends[0], "place": ends[1], "node": pa.nulls(len(ends[0]), pa.int64())})
 
 
+def _sent(parts: int):
+    """What ``_met`` finds in a range, packed into rows (part, firsts, places, nodes): a place is always sent to the same part."""
+
+    def run(dealt: pa.Table) -> pa.Table:
+        met = _met(dealt)
+        place = met.column("place").to_numpy()
+        part = (salted(place.view(np.uint64), 34) % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        held, at = np.unique(part[order], return_index=True)
+        columns = [None if met.column(c).null_count else met.column(c).to_numpy()[order] for c in ("first", "place", "node")]
+        cuts = list(zip(at, [*at[1:], len(part)], strict=True))
+        packed = [pa.array([None if c is None else c[lo:hi].tobytes() for lo, hi in cuts], pa.binary()) for c in columns]
+        return pa.Table.from_arrays([pa.array(held), *packed], ["part", "firsts", "places", "nodes"])
+
+    return run
+
+
+def _named(sent: pa.Table) -> pa.Table:
+    """Of a part: (null, place, node), and (first, place, node) for what met, once each however many ranges found it."""
+    firsts, places, nodes = (sent.column(c).to_pylist() for c in ("firsts", "places", "nodes"))
+    number = lambda chunks: np.frombuffer(b"".join(chunks), np.int64)
+    own = np.unique(np.stack([number(p for p, n in zip(places, nodes, strict=True) if n is not None), number(n for n in nodes if n is not None)]), axis=1)
+    met = np.stack([number(p for p, f in zip(places, firsts, strict=True) if f is not None), number(f for f in firsts if f is not None)])
+    met = met[:, np.lexsort(met[::-1])]
+    new = np.ones(met.shape[1], bool)
+    new[1:] = (met[:, 1:] != met[:, :-1]).any(axis=0)
+    place, first = met[:, new]
+    node = own[1][np.searchsorted(own[0], place)] if len(place) else place
+    found = [pa.chunked_array([pa.nulls(own.shape[1], pa.int64()), pa.array(first)])]
+    found += [pa.array(np.concatenate(x)) for x in ((own[0], place), (own[1], node))]
+    return pa.table(dict(zip(("first", "place", "node"), found, strict=True)))
+
+
 def _stars(docs: DataFrame, shingle_size: int, scheme: Scheme, shingles: int, stored: _Scratch) -> DataFrame:
     """(first, node): the members of each bucket beside one of them. ``shingles`` is the number in all different sets."""
     ranges = max(1, -(-shingles // RANGE))
     dealt = docs.where("doc_id IS NOT NULL").mapInArrow(_dealt(shingle_size, scheme, ranges), "range int, block bigint, packed binary")
-    met = stored(dealt.groupBy("range").applyInArrow(_met, "first bigint, place bigint, node bigint"), "met")
+    sent = dealt.groupBy("range").applyInArrow(_sent(ranges), "part int, firsts binary, places binary, nodes binary")
+    met = stored(sent.groupBy("part").applyInArrow(_named, "first bigint, place bigint, node bigint"), "met")
     places = met.where("first IS NULL").groupBy("place").agg(F.min("node").alias("node"), F.max("node").alias("other"))
     places = stored(places, "places")
     if places.where("node <> other").limit(1).count():
         raise RuntimeError("two different places have the same 64-bit name")
     firsts = places.select(F.col("place").alias("first"), F.col("node").alias("first_node"))
-    found = met.where("first IS NOT NULL").select("first", "place").join(firsts, "first").join(places.select("place", "node"), "place")
+    found = met.where("first IS NOT NULL").select("first", "node").join(firsts, "first")
     stars = stored(found.where("first_node <> node").select(F.col("first_node").alias("first"), "node").distinct(), "stars")
     stored.drop(met, places)
     return stars
@@ -384,6 +423,20 @@ def components(links: DataFrame, stored: _Scratch) -> DataFrame:
             return labels
 
 
+def _merged(labels: DataFrame, links: DataFrame, stored: _Scratch) -> DataFrame:
+    """``labels`` of ``components`` after further stored links (a, b): only those between components are followed."""
+    if not links.limit(1).count():
+        return labels
+    ends = links.select(F.col("a").alias("id")).union(links.select("b")).distinct()
+    labels = stored(labels.join(ends, "id", "full").select("id", F.coalesce("component", "id").alias("component")), "labels")
+    x, y = (labels.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}")) for end in "ab")
+    between = links.select("a", "b").join(x, "a").join(y, "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    tops = components(between, stored).select(F.col("id").alias("component"), F.col("component").alias("top"))
+    merged = stored(labels.join(tops, "component", "left").select("id", F.coalesce("top", "component").alias("component")), "labels")
+    stored.drop(labels)
+    return merged
+
+
 def _grouped(docs: DataFrame, shingle_size: int, threshold: Fraction) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(summaries, classes, spanning pairs); classes are (node, representative, component, component_id).
 
@@ -407,6 +460,7 @@ def _grouped(docs: DataFrame, shingle_size: int, threshold: Fraction) -> tuple[D
     sketches = stored(sketches, "sketches")
     likely = stored(_likely(stars.select(F.col("first").alias("a"), F.col("node").alias("b")), sketches, threshold), "likely")
     links = _verified(docs, classes, likely, shingle_size, threshold, stored)
+    stored.drop(likely)
     labels = components(links, stored)
     # A group is what was compared with one set. It is active while it holds different components.
     group = _labelled(stars, labels)
@@ -421,13 +475,15 @@ def _grouped(docs: DataFrame, shingle_size: int, threshold: Fraction) -> tuple[D
             pairs = pairs.union(stored(_likely(_by_difference(large, sets, threshold, stored), sketches, threshold), "pairs"))
             stored.drop(sets)
         between = active.where((F.col("members") > SMALL) & (F.col("members") <= LARGE))
-        most = PARTNERS
+        most, asked = PARTNERS, None
         while True:
             partners = stored(_partners(between, sketches, threshold, most), "partners")
             met = partners.select("a", "b")
-            asked = stored((met.union(pairs) if most == PARTNERS else met).distinct(), "pairs")
-            links = links.union(_verified(docs, classes, asked, shingle_size, threshold, stored))
-            labels = components(links, stored)
+            new = stored(met.distinct().join(asked, ["a", "b"], "left_anti") if asked else met.union(pairs).distinct(), "pairs")
+            asked = asked.union(new) if asked else new
+            found = _verified(docs, classes, new, shingle_size, threshold, stored)
+            links = links.union(found)
+            labels = _merged(labels, found, stored)
             more = partners.where("more").limit(1).count()
             stored.drop(partners)
             if not more:
@@ -466,7 +522,7 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle_siz
     ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets = _wanted_sets(docs, classes, ids, shingle_size, stored)
     found = stored(verify(pairs, sets, threshold), "found")
-    stored.drop(pairs, sets)
+    stored.drop(sets)
     return found
 
 

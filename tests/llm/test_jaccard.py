@@ -70,3 +70,43 @@ def test_signatures_are_packed():
     entries = sum(len(jaccard.unpack_keys(p)) for r, p in zip(ranges, dealt.column("packed").to_pylist(), strict=True) if r >= 0)
     packed = pa.compress(b"".join(p for r, p in zip(ranges, dealt.column("packed").to_pylist(), strict=True) if r >= 0), "lz4", asbytes=True)
     assert len(packed) < 8 * entries
+
+
+def test_a_pair_is_found_once_and_asked_once(spark, monkeypatch):
+    """Neither ranges of buckets that two sets share nor further rounds of partners repeat a pair."""
+    monkeypatch.setattr(jaccard, "RANGE", 1000)
+    monkeypatch.setattr(jaccard, "SMALL", 1)
+    monkeypatch.setattr(jaccard, "PARTNERS", 1)
+    met, asked = [], []
+
+    class Scratch(jaccard._Scratch):
+        def __call__(self, df, name):
+            table = super().__call__(df, name)
+            if name == "met":
+                met.extend((r["first"], r["place"]) for r in table.collect() if r["first"] is not None)
+            return table
+
+    def verified(docs, classes, pairs, *more, plain=jaccard._verified):
+        asked.append({tuple(sorted(r)) for r in pairs.select("a", "b").collect()})
+        return plain(docs, classes, pairs, *more)
+
+    monkeypatch.setattr(jaccard, "_Scratch", Scratch)
+    monkeypatch.setattr(jaccard, "_verified", verified)
+    rows = clustered_documents() + grouped_documents()
+    members, _ = jaccard.jaccard_components(frame(spark, rows), 1, Fraction(2, 5))
+    assert collections.Counter(tuple(r) for r in members.collect()) == plain_components(rows, 1, Fraction(2, 5))
+    assert met and len(met) == len(set(met))
+    assert len(asked) > 2 and not asked[1] & asked[2]
+
+
+def test_further_links_join_components(spark):
+    """Labels after further links are those of all links together, also for ends that had no link before."""
+    rnd = random.Random(5)
+    links = [(rnd.randrange(200), rnd.randrange(200)) for _ in range(150)]
+    table = lambda rows: spark.createDataFrame(rows, "a bigint, b bigint")
+    stored = jaccard._Scratch(spark)
+    labels = jaccard.components(table(links[:80]), stored)
+    assert jaccard._merged(labels, table([]), stored) is labels
+    merged = jaccard._merged(labels, table(links[80:]), stored)
+    wanted = {tuple(r) for r in jaccard.components(table(links), stored).collect()}
+    assert {tuple(r) for r in merged.collect() if any(r[0] in (a, b) and a != b for a, b in links)} == wanted
