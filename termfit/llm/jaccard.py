@@ -474,10 +474,10 @@ def _grouped(docs: DataFrame, shingle_size: int, threshold: Fraction) -> tuple[D
             sets = _wanted_sets(docs, classes, large.select("node").union(large.select("first")).distinct(), shingle_size, stored)
             pairs = pairs.union(stored(_likely(_by_difference(large, sets, threshold, stored), sketches, threshold), "pairs"))
             stored.drop(sets)
-        between = active.where((F.col("members") > SMALL) & (F.col("members") <= LARGE))
-        most, asked = PARTNERS, None
+        between = active.where((F.col("members") > SMALL) & (F.col("members") <= LARGE)).withColumn("known", F.col("component"))
+        before, most, asked = 0, PARTNERS, None
         while True:
-            partners = stored(_partners(between, sketches, threshold, most), "partners")
+            partners = stored(_partners(between, sketches, threshold, before, most), "partners")
             met = partners.select("a", "b")
             new = stored(met.distinct().join(asked, ["a", "b"], "left_anti") if asked else met.union(pairs).distinct(), "pairs")
             asked = asked.union(new) if asked else new
@@ -488,8 +488,8 @@ def _grouped(docs: DataFrame, shingle_size: int, threshold: Fraction) -> tuple[D
             stored.drop(partners)
             if not more:
                 break
-            # All name more partners, of those that are in other components still.
-            between, most = _labelled(between, labels), 8 * most
+            # All name further partners, of those that are in other components still.
+            between, before, most = _labelled(between, labels), most, 8 * most
     stored.drop(active, sketches)
 
     named = classes.join(labels.withColumnRenamed("id", "node"), "node", "left")
@@ -534,17 +534,18 @@ def _inside(active: DataFrame, sketches: DataFrame, t: Fraction) -> DataFrame:
     return met.select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
 
 
-def _close(t: Fraction, most: int):
-    """For the members (part, node, component, n_shingles, sketch) of two parts: pairs (a, b) of ``_within`` and different components.
+def _close(t: Fraction, before: int, most: int):
+    """For the members (part, node, known, component, n_shingles, sketch) of two parts: pairs (a, b) of ``_within`` and different components.
 
-    A member names ``most`` of them at most, and ``more`` tells whether there were others.
+    Of its partners by the components ``known`` at first, in a fixed order, a member names those from ``before`` up to ``most``, so that
+    no round repeats another; ``more`` tells whether there are others behind them.
     """
     less, whole = t.denominator - t.numerator, t.denominator + t.numerator
 
     def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by("n_shingles")
+        group = group.sort_by([("n_shingles", "ascending"), ("node", "ascending")])
         two = group.column("low")[0].as_py() != group.column("high")[0].as_py()
-        n, node, component, part = (group.column(c).to_numpy() for c in ("n_shingles", "node", "component", "part"))
+        n, node, known, component, part = (group.column(c).to_numpy() for c in ("n_shingles", "node", "known", "component", "part"))
         sketch = group.column("sketch").combine_chunks()
         size = pc.list_value_length(sketch).to_numpy()  # ascends with n
         values, ends = sketch.flatten().to_numpy().view(np.uint64), np.cumsum(size)
@@ -566,25 +567,29 @@ def _close(t: Fraction, most: int):
                     low, high = max(lo, i + 1), min(hi, last[i])
                     if low < high:
                         apart = np.bitwise_count(bits[low - lo : high - lo] ^ mine[i - start]).sum(axis=1, dtype=np.int64)
-                        fits = (apart * whole <= (n[i] + n[low:high]) * less) & (component[low:high] != component[i])
+                        fits = (apart * whole <= (n[i] + n[low:high]) * less) & (known[low:high] != known[i])
                         found.append(low + np.flatnonzero(fits & (part[low:high] != part[i]) if two else fits))
-                named = np.concatenate(found)[:most] if found else np.empty(0, np.int64)
+                found = np.concatenate(found)[before:] if found else np.empty(0, np.int64)
+                apart = component[found] != component[i]
+                named = found[: most - before][apart[: most - before]]
+                further = found[most - before :][apart[most - before :]]
+                named = named if len(named) else further[:1]  # else nobody learns of the further ones
                 a.append(np.full(len(named), node[i]))
                 b.append(node[named])
-                more.append(np.full(len(named), sum(map(len, found)) > most))
+                more.append(np.full(len(named), len(further) > 0))
         x, y = np.concatenate(a), np.concatenate(b)
         return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y), "more": np.concatenate(more)})
 
     return run
 
 
-def _partners(active: DataFrame, sketches: DataFrame, t: Fraction, most: int) -> DataFrame:
-    """(a, b, more) of ``_close`` for groups (first, node, component, members), two parts of BLOCK members at a time."""
+def _partners(active: DataFrame, sketches: DataFrame, t: Fraction, before: int, most: int) -> DataFrame:
+    """(a, b, more) of ``_close`` for groups (first, node, known, component, members), two parts of BLOCK members at a time."""
     parts = F.ceil(F.col("members") / BLOCK).cast("int")
     held = active.join(sketches, "node").withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
     pairs = held.withColumn("with", F.explode(F.sequence(F.lit(0), parts - 1)))
-    pairs = pairs.select("first", F.least("part", "with").alias("low"), F.greatest("part", "with").alias("high"), "part", "node", "component", "n_shingles", "sketch")
-    return pairs.groupBy("first", "low", "high").applyInArrow(_close(t, most), "a bigint, b bigint, more boolean")
+    pairs = pairs.select("first", F.least("part", "with").alias("low"), F.greatest("part", "with").alias("high"), "part", "node", "known", "component", "n_shingles", "sketch")
+    return pairs.groupBy("first", "low", "high").applyInArrow(_close(t, before, most), "a bigint, b bigint, more boolean")
 
 
 def _plain(docs: DataFrame) -> DataFrame:

@@ -110,3 +110,16 @@ def test_further_links_join_components(spark):
     merged = jaccard._merged(labels, table(links[80:]), stored)
     wanted = {tuple(r) for r in jaccard.components(table(links), stored).collect()}
     assert {tuple(r) for r in merged.collect() if any(r[0] in (a, b) and a != b for a, b in links)} == wanted
+
+
+def test_rounds_of_partners_do_not_repeat_each_other():
+    """Every pair of different components is named by one round; merged ones hide none behind them."""
+    count = 20
+    columns = {c: [0] * count for c in ("low", "high", "part")} | {c: list(range(count)) for c in ("node", "known", "component")}
+    group = pa.table(columns | {"n_shingles": [10] * count, "sketch": pa.array([[7]] * count, pa.list_(pa.int64()))})
+    rounds = [jaccard._close(Fraction(4, 5), *span)(group).to_pylist() for span in ((0, 2), (2, 8), (8, 64))]
+    assert sorted((r["a"], r["b"]) for part in rounds for r in part) == [(a, b) for a in range(count) for b in range(a + 1, count)]
+    assert [any(r["more"] for r in part) for part in rounds] == [True, True, False]
+    merged = group.set_column(group.schema.get_field_index("component"), "component", pa.array([0] * (count - 1) + [count]))
+    assert all(r["more"] for r in jaccard._close(Fraction(4, 5), 2, 4)(merged).to_pylist() if r["a"] < 10)
+    assert {r["a"] for r in jaccard._close(Fraction(4, 5), 2, 4)(merged).to_pylist()} >= set(range(10))
