@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from termfit.session import durable
+from termfit.sources.folders import COMPRESSED, large_files, list_files, read_files
 
 # The shapes of legacy text lines. A name is quoted ('w', u'w', "w") or
 # bare; numbers may carry a long suffix or a float64 wrapper.
@@ -18,10 +19,8 @@ _NUMBER = rf"(?:np\.float64\()?([-+]?(?:{_DIGITS}|[nN][aA][nN]|[iI]nf(?:inity)?)
 PAIR_LINE = rf"^\s*\(\s*{_NAME}\s*,\s*{_NUMBER}\s*\)\s*$"
 POINT_LINE = r"^\s*\(\s*(\{.*\})\s*,\s*([+-]?1)(?:\.0*)?L?\s*\)\s*$"
 RATING_LINE = rf"^\s*([-+]?[0-9]+)\s*,\s*([-+]?[0-9]+)\s*,\s*([-+]?(?:{_DIGITS}|[nN][aA][nN]|[iI]nf(?:inity)?))\s*$"
-#: Names of files that Hadoop's codecs unpack.
-COMPRESSED = r"\.(gz|gzip|bz2|deflate|zst|lz4|snappy|lzo|passthrough)$"
 SPLIT_BYTES = 128 * 1024 * 1024
-#: Bytes of a file that may be read as one row before it is cut into parts.
+#: Larger files are left to Spark's readers, by name; smaller ones may be read as one row before they are cut into parts.
 SMALL_FILE = 1024 * 1024
 
 
@@ -50,6 +49,11 @@ def _plain_names(column: str) -> Column:
     return F.regexp_replace(plain, "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
 
 
+def _bytes_of(scan: DataFrame) -> DataFrame:
+    """(doc_id, content) of a scan of whole files."""
+    return scan.select(F.regexp_replace("path", "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/").alias("doc_id"), "content")
+
+
 def _listed(scan: DataFrame) -> DataFrame:
     """(doc_id): the files that a scan has listed, those without a byte too. Their names stay in the JVM."""
     jvm = scan.sparkSession.sparkContext._jvm
@@ -85,17 +89,22 @@ def _with_empty_files(found: DataFrame, places: list[str]) -> DataFrame:
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, text): one row per file, named by its path; empty files count too.
 
-    ``path`` is a file, folder or glob, or several of them with commas between. Files are listed by Spark's own file index, without
-    asking for each one's permissions, and packed many to a task. Plain files are read as bytes; where some are compressed, all go
-    through the text source.
+    ``path`` is a file, folder or glob, or several of them with commas between. In local and mounted folders tasks list the files and
+    read them, many to a task; other file systems, folders with folders in them and compressed files are left to Spark's own file index,
+    which keeps all names on the driver. Plain files are read as bytes; where some are compressed, all go through the text source.
     """
     places = re.split(r",(?![^{}]*\})", path)  # as Hadoop reads a list of paths
+    packs = list_files(spark, places, SMALL_FILE)
+    if packs is not None:
+        found = read_files(packs, SPLIT_BYTES)
+        if large := large_files(packs):
+            found = found.unionByName(_bytes_of(spark.read.format("binaryFile").load(large)))
+        return found.select("doc_id", F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
     scan = spark.read.format("binaryFile").load(places)
     if _any_compressed(scan):
         whole = spark.read.text(places, wholetext=True).select(_plain_names("_metadata.file_path").alias("doc_id"), F.col("value").alias("text"))
     else:
-        name = F.regexp_replace("path", "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
-        whole = _in_large_tasks(scan.select("path", "content")).select(name.alias("doc_id"), F.col("content").cast("string").alias("text"))
+        whole = _in_large_tasks(_bytes_of(scan)).select("doc_id", F.col("content").cast("string").alias("text"))
     return _with_empty_files(whole.withColumn("text", F.make_valid_utf8("text")), places)
 
 
@@ -109,19 +118,28 @@ def read_corpus_parts(spark: SparkSession, path: str, separator: str | None = No
     if separator is not None and not separator.isspace():
         raise ValueError("the separator has to be white space")
     reader = spark.read if separator is None else spark.read.option("lineSep", separator)
-    name = F.col("_metadata.file_path").alias("doc_id")
-    lines = reader.text(path).select(name, F.col("value").alias("text"))
-    n = len(lines._jdf.inputFiles())
-    if not n or lines._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > n * SMALL_FILE // 16 or _any_compressed(lines):
-        return _with_empty_files(lines.select(_plain_names("doc_id").alias("doc_id"), "text"), [path])
-    # Opening files line by line costs more than reading them. Small ones are read as bytes and cut behind that; few are larger.
-    scan = spark.read.format("binaryFile").load(path)
     ends = r"\r\n|\r|\n" if separator is None else re.escape(separator)
     parts = F.split(F.regexp_replace(F.col("content").cast("string"), f"(?:{ends})\\z", ""), ends, -1)
-    small = _in_large_tasks(scan.where(F.col("length") <= SMALL_FILE).select(name, "content")).select("doc_id", F.explode(parts).alias("text"))
+
+    def lines(places: str | list[str]) -> DataFrame:
+        return reader.text(places).select(F.col("_metadata.file_path").alias("doc_id"), F.col("value").alias("text"))
+
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    packs = list_files(spark, [path], min(SMALL_FILE, split))
+    if packs is not None:
+        found = read_files(packs, SPLIT_BYTES).select("doc_id", F.explode(parts).alias("text"))
+        large = large_files(packs)
+        return found.unionByName(lines(large).withColumn("doc_id", _plain_names("doc_id"))) if large else found
+    scan = lines(path)
+    n = len(scan._jdf.inputFiles())
+    if not n or scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > n * SMALL_FILE // 16 or _any_compressed(scan):
+        return _with_empty_files(scan.withColumn("doc_id", _plain_names("doc_id")), [path])
+    # Opening files line by line costs more than reading them. Small ones are read as bytes and cut behind that; few are larger.
+    scan = spark.read.format("binaryFile").load(path)
+    small = _in_large_tasks(_bytes_of(scan.where(F.col("length") <= SMALL_FILE))).select("doc_id", F.explode(parts).alias("text"))
     large = [r[0] for r in _in_large_tasks(scan.where(F.col("length") > SMALL_FILE).select("path")).collect()]  # 1 of 16 files at most
-    found = small.unionByName(reader.text(large).select(name, F.col("value").alias("text"))) if large else small
-    return _with_empty_files(found.select(_plain_names("doc_id").alias("doc_id"), "text"), [path])
+    found = small.unionByName(lines(large).withColumn("doc_id", _plain_names("doc_id"))) if large else small
+    return _with_empty_files(found, [path])
 
 
 def _checked(lines: DataFrame, ok: Column, mode: str, message: str, dropped: Observation | None) -> DataFrame:

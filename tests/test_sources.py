@@ -270,3 +270,47 @@ def test_parts_without_terms_count_as_documents(spark):
     parts = spark.createDataFrame([("a", "x"), ("a", "1"), ("b", "2"), ("b", None), ("c", ""), (None, "x")], "doc_id string, text string")
     scored = {(r["doc_id"], r["term"]): round(r["tfidf"], 6) for r in score_parts(parts).collect()}
     assert scored == {("a", "x"): 0.693147, (None, "x"): 0.693147}
+
+
+@pytest.mark.parametrize("read", [read_corpus, read_corpus_parts])
+def test_tasks_list_folders_as_the_file_index_does(spark, tmp_path, monkeypatch, read):
+    """The driver holds no list of files, and the same files are found with the same names and texts."""
+    from termfit.sources import folders, readers
+
+    folder = tmp_path / "x=1" / "files"
+    folder.mkdir(parents=True)
+    for i in range(300):
+        put(folder / f"f{i:03d}", f"one\ntwo {i}\n")
+    for name in ("_hidden", ".hidden", "copied._COPYING_", "é b+%41", "b[1]", "b1", "{c}"):
+        put(folder / name, f"{name} is here" * 9)
+    (folder / "_folder").mkdir()
+    put(folder / "_folder" / "inner", "inside")
+    (folder / "empty").write_bytes(b"")
+    (folder / "broken").write_bytes(b"one \xff\xfe two\r\nthree")
+    os.symlink(folder / "nowhere", folder / "link")
+    os.symlink(folder / "b1", folder / "other")
+    monkeypatch.setattr(readers, "SMALL_FILE", 80)
+    monkeypatch.setattr(folders, "PACK_FILES", 7)
+    places = [folder, folder / "*", folder / "f[0-1]?[!1-3]", folder / "{b1,f00*,_folder}", tmp_path / "*" / "f*" / "f1*", folder / "b1", folder / "b\\[1\\]"]
+    places = [f"file://{folder}", *map(str, places), *([f"{folder}/f00*,{folder}/e*"] if read is read_corpus else [])]
+    found = [read(spark, place) for place in places]
+    assert max(len(table._jdf.inputFiles()) for table in found) < 100
+    monkeypatch.setattr(readers, "list_files", lambda *_: None)
+    for table, place in zip(found, places, strict=True):
+        wanted = sorted(map(tuple, read(spark, place).collect()))
+        assert wanted and sorted(map(tuple, table.collect())) == wanted, place
+
+
+def test_folders_in_folders_are_left_to_the_file_index(spark, tmp_path):
+    from termfit.sources.folders import list_files
+
+    (tmp_path / "lang=en").mkdir()
+    put(tmp_path / "lang=en" / "a", "one")
+    (tmp_path / "c").mkdir()
+    put(tmp_path / "c" / "_metadata", "two")
+    for name in ("", "n*", "c"):
+        assert list_files(spark, [str(tmp_path / name)], 10) is None
+    assert list_files(spark, [str(tmp_path / "lang=*")], 10).count() == 1
+    for read in (read_corpus, read_corpus_parts):
+        with pytest.raises(PySparkException):
+            read(spark, str(tmp_path / "nothing")).collect()
