@@ -26,11 +26,11 @@ def term_frequency(terms: DataFrame, by: list[str] = ()) -> DataFrame:
 
 
 def document_term_frequency(
-    docs: DataFrame, text: str = "text", keep: list[str] = ("doc_id",), all_rows: bool = False
+    docs: DataFrame, text: str = "text", keep: list[str] = ("doc_id",), packed: bool = False
 ) -> DataFrame:
     """(*keep, term, tf) when every row of ``docs`` is a whole document.
 
-    With ``all_rows`` a row without terms gives one with NULL as its term.
+    With ``packed`` a row stays one row (*keep, counts): an array of its terms and their tf, NULL without terms.
 
     The terms of a row are sorted and their runs measured inside the row, so unlike
     ``term_frequency(terms, by)`` this needs no shuffle.
@@ -47,7 +47,8 @@ def document_term_frequency(
         ).alias("_starts"),
     )
     run = "struct(_terms[s] AS term, CAST(coalesce(get(_starts, n + 1), size(_terms)) - s AS BIGINT) AS tf)"
-    return starts.select(*keep, F.expr(f"{'inline_outer' if all_rows else 'inline'}(transform(_starts, (s, n) -> {run}))"))
+    counts = f"transform(_starts, (s, n) -> {run})"
+    return starts.select(*keep, F.expr(f"{counts} AS counts" if packed else f"inline({counts})"))
 
 
 def top_terms(scores: DataFrame, k: int = 20, value: str | None = None) -> DataFrame:

@@ -13,6 +13,8 @@ import shutil
 import tempfile
 import uuid
 import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,10 +45,26 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Compute ``df`` now and continue from a written table, which takes less room than a checkpoint if there are many rows."""
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries run here go with the query, not when the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Compute ``df`` now and continue from a written table, which takes less room than a checkpoint if there are many rows.
+
+    ``options`` go to the Parquet writer.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with _shuffles_dropped(df.sparkSession):
+        df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -149,23 +149,43 @@ def list_files(spark: SparkSession, places: list[str], most: int) -> DataFrame |
     return packs.drop("other") if n and not other else None
 
 
-def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for folder, names in zip(batch.column("folder").to_pylist(), batch.column("names").to_pylist(), strict=True):
-            texts = []
-            for name in names:
-                with open(os.path.join(folder, name), "rb") as file:
-                    texts.append(file.read())
-            paths = [b"file:" + os.path.join(folder, name) for name in names]
-            yield pa.record_batch({"doc_id": pa.array([p.decode(errors="replace") for p in paths], pa.string()), "content": pa.array(texts, pa.binary())})
+def _contents(kind: pa.DataType, cut):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder, names in zip(batch.column("folder").to_pylist(), batch.column("names").to_pylist(), strict=True):
+                found = []
+                for name in names:
+                    with open(os.path.join(folder, name), "rb") as file:
+                        found.append(cut(file.read()))
+                paths = [(b"file:" + os.path.join(folder, name)).decode(errors="replace") for name in names]
+                yield pa.record_batch({"doc_id": pa.array(paths, pa.string()), "content": pa.array(found, kind)})
 
+    return run
 
-def read_files(packs: DataFrame, task_bytes: int) -> DataFrame:
-    """(doc_id, content): the files of listed packs, whole. A task gets ``task_bytes`` of them, or a fourth of a slot's share."""
+
+def _dealt(packs: DataFrame, task_bytes: int) -> DataFrame:
+    """The packs of small files. A task gets ``task_bytes`` of them, or a fourth of a slot's share."""
     small = packs.where("NOT large")
     n, size = small.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     tasks = max(4 * packs.sparkSession.sparkContext.defaultParallelism, size // task_bytes + 1)
-    return small.select("folder", "names").repartition(max(1, min(n, tasks))).mapInArrow(_contents, "doc_id string, content binary")
+    return small.select("folder", "names").repartition(max(1, min(n, tasks)))
+
+
+def read_files(packs: DataFrame, task_bytes: int) -> DataFrame:
+    """(doc_id, content): the small files of listed packs, whole."""
+    return _dealt(packs, task_bytes).mapInArrow(_contents(pa.binary(), lambda data: data), "doc_id string, content binary")
+
+
+def read_parts(packs: DataFrame, task_bytes: int, separator: str | None) -> DataFrame:
+    """(doc_id, text): the lines of these files, or what lies between two separators. An empty file gives one empty part."""
+    between = separator and separator.encode()
+
+    def cut(data: bytes) -> list[bytes]:
+        # bytes end a line at \n, \r and \r\n only
+        return data.removesuffix(between).split(between) if between else data.splitlines() or [b""]
+
+    parts = _dealt(packs, task_bytes).mapInArrow(_contents(pa.list_(pa.binary()), cut), "doc_id string, content array<binary>")
+    return parts.select("doc_id", F.explode("content").alias("text")).withColumn("text", F.make_valid_utf8(F.col("text").cast("string")))
 
 
 def large_files(packs: DataFrame) -> list[str]:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from termfit.session import durable
-from termfit.sources.folders import COMPRESSED, large_files, list_files, read_files
+from termfit.sources.folders import COMPRESSED, large_files, list_files, read_files, read_parts
 
 # The shapes of legacy text lines. A name is quoted ('w', u'w', "w") or
 # bare; numbers may carry a long suffix or a float64 wrapper.
@@ -118,8 +118,6 @@ def read_corpus_parts(spark: SparkSession, path: str, separator: str | None = No
     if separator is not None and not separator.isspace():
         raise ValueError("the separator has to be white space")
     reader = spark.read if separator is None else spark.read.option("lineSep", separator)
-    ends = r"\r\n|\r|\n" if separator is None else re.escape(separator)
-    parts = F.split(F.regexp_replace(F.col("content").cast("string"), f"(?:{ends})\\z", ""), ends, -1)
 
     def lines(places: str | list[str]) -> DataFrame:
         return reader.text(places).select(F.col("_metadata.file_path").alias("doc_id"), F.col("value").alias("text"))
@@ -127,7 +125,7 @@ def read_corpus_parts(spark: SparkSession, path: str, separator: str | None = No
     split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     packs = list_files(spark, [path], min(SMALL_FILE, split))
     if packs is not None:
-        found = read_files(packs, SPLIT_BYTES).select("doc_id", F.explode(parts).alias("text"))
+        found = read_parts(packs, SPLIT_BYTES, separator)
         large = large_files(packs)
         return found.unionByName(lines(large).withColumn("doc_id", _plain_names("doc_id"))) if large else found
     scan = lines(path)
@@ -136,6 +134,8 @@ def read_corpus_parts(spark: SparkSession, path: str, separator: str | None = No
         return _with_empty_files(scan.withColumn("doc_id", _plain_names("doc_id")), [path])
     # Opening files line by line costs more than reading them. Small ones are read as bytes and cut behind that; few are larger.
     scan = spark.read.format("binaryFile").load(path)
+    ends = r"\r\n|\r|\n" if separator is None else re.escape(separator)
+    parts = F.split(F.regexp_replace(F.col("content").cast("string"), f"(?:{ends})\\z", ""), ends, -1)
     small = _in_large_tasks(_bytes_of(scan.where(F.col("length") <= SMALL_FILE))).select("doc_id", F.explode(parts).alias("text"))
     large = [r[0] for r in _in_large_tasks(scan.where(F.col("length") > SMALL_FILE).select("path")).collect()]  # 1 of 16 files at most
     found = small.unionByName(lines(large).withColumn("doc_id", _plain_names("doc_id"))) if large else small
