@@ -17,6 +17,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Terms of one document that a task keeps until its next part comes.
 HELD_TERMS = 500_000
+#: Rows that are worked on at once; a worker's memory follows from that.
+ROWS = 2000
 
 
 def _codes(column: pa.Array) -> np.ndarray:
@@ -46,22 +48,21 @@ def _summed(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.record_batch([docs.take(pa.array(first)), pa.ListArray.from_arrays(offsets, terms)], names=batch.schema.names)
 
 
-def _pieces(most: int):
+def _pieces(most: int, at_once: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         batch = rows = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = pa.Table.from_batches([*held, batch]).combine_chunks().to_batches()[0]
-            doc = _codes(rows.column(0))
-            others = np.flatnonzero(doc != doc[-1])
-            last = others[-1] + 1 if len(others) else 0
-            if last:
-                yield _summed(rows.slice(0, last))
-            held = [rows.slice(last)]
-            if len(held[0].column(1).flatten()) > most:
-                yield _summed(held.pop())
+            for start in range(0, batch.num_rows, at_once):
+                rows = pa.Table.from_batches([*held, batch.slice(start, at_once)]).combine_chunks().to_batches()[0]
+                doc = _codes(rows.column(0))
+                others = np.flatnonzero(doc != doc[-1])
+                last = others[-1] + 1 if len(others) else 0
+                if last:
+                    yield _summed(rows.slice(0, last))
+                held = [rows.slice(last)]
+                if len(held[0].column(1).flatten()) > most:
+                    yield _summed(held.pop())
         for rows in held:
             yield _summed(rows)
         del held, batch, rows
@@ -77,4 +78,4 @@ def add_up_in_place(counted: DataFrame) -> DataFrame:
     exchanged, so a document whose rows lie elsewhere too still has several.
     """
     doc, counts = counted.schema
-    return counted.mapInArrow(_pieces(HELD_TERMS), StructType([doc, counts]))
+    return counted.mapInArrow(_pieces(HELD_TERMS, ROWS), StructType([doc, counts]))

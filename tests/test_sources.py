@@ -332,7 +332,8 @@ def test_counts_are_added_up_where_parts_are_read(spark, tmp_path, monkeypatch):
     tf = document_term_frequency(wanted)
     assert sorted(added.select("doc_id", F.inline("counts")).collect()) == sorted(tf.collect())
     scored = {(r["doc_id"], r["term"]): r["tfidf"] for r in score_corpus(wanted).collect()}
-    for table, most in ((parts, 500_000), (parts.repartition(4), 500_000), (parts, 3)):
+    for table, most, rows in ((parts, 500_000, 7), (parts.repartition(4), 500_000, 2000), (parts, 3, 2000)):
         monkeypatch.setattr(pieces, "HELD_TERMS", most)
+        monkeypatch.setattr(pieces, "ROWS", rows)
         found = score_parts(table)
         assert {(r["doc_id"], r["term"]): r["tfidf"] for r in found.collect()} == pytest.approx(scored)
